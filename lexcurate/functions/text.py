@@ -20,9 +20,9 @@ WHITESPACE_CLASS = (
 WHITESPACE_RUN = WHITESPACE_CLASS + "+"
 
 # Default token pattern: a run of letters / marks / digits / underscore, or
-# one other non-space character. Written out because ``\w`` is ASCII-only in
-# Java and RE2.
-TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"
+# one other non-whitespace character. Written out because ``\w`` is
+# ASCII-only in Java and RE2 and ``\s`` differs between them.
+TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_" + WHITESPACE_CLASS[1:-1] + "]"
 
 # Sentence boundary: end punctuation followed by whitespace. RE2 has no
 # look-behind, so the split marks the boundary with a record separator first.
@@ -52,7 +52,7 @@ def words(text) -> Column:
 
 def word_count(text) -> Column:
     """T4: number of whitespace-separated words."""
-    return F.size(words(text))
+    return F.size(words(text)).cast("long")
 
 
 def letter_tokens(text) -> Column:
@@ -92,4 +92,4 @@ def sentences(text) -> Column:
 
 def token_count(text, pattern: str = TOKEN_PATTERN) -> Column:
     """T9 default counter: words and single punctuation marks."""
-    return F.coalesce(F.size(F.regexp_extract_all(_col(text), F.lit(pattern), 0)), F.lit(0))
+    return F.coalesce(F.size(F.regexp_extract_all(_col(text), F.lit(pattern), 0)), F.lit(0)).cast("long")

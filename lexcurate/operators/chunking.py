@@ -96,7 +96,9 @@ def chunk(df: DataFrame, text_col: str = "text", max_tokens: int = DEFAULT_MAX_T
     every row too (the reference counts chunks before embedding them).
     """
     arr = chunk_array(text_col, max_tokens, overlap, counter)
-    base = df.select(*keep, arr.alias("__chunks"))
-    cols = [c for c in base.columns if c != "__chunks"]
-    extra = [F.size("__chunks").alias(count_col)] if count_col else []
-    return base.select(*cols, *extra, F.posexplode("__chunks").alias(chunk_id_col, content_col))
+    # one struct per chunk, built from the array bound once (see langid.detect)
+    def rows(a):
+        return F.transform(a, lambda x, i: F.struct(
+            i.alias(chunk_id_col), x.alias(content_col), *([F.size(a).alias(count_col)] if count_col else [])))
+
+    return df.select(*keep, F.inline(F.element_at(F.transform(F.array(arr), rows), 1)))
