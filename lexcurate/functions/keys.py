@@ -32,7 +32,7 @@ def key_year(decision_date, run_year, dtype: str = "string") -> Column:
     run = _c(run_year).cast("string")
     if dtype in ("date", "timestamp"):
         return F.coalesce(F.year(d).cast("string"), F.lit("None"))
-    parsed = F.year(F.try_to_date(d, F.lit("yyyy-M-d"))).cast("string")
+    parsed = F.year(F.try_to_date(d, "yyyy-M-d")).cast("string")
     return F.when(d.isNull() | (d == ""), F.lit("None")).otherwise(F.coalesce(parsed, run))
 
 

@@ -32,7 +32,7 @@ def _bounds(T: Column, max_tokens: int, overlap: int) -> Column:
     m = F.size(T)
 
     def tok(i):
-        return F.element_at(T, i + 1)
+        return F.element_at(T, i + 1).cast("long")
 
     def step(acc, i):
         t = tok(i)
@@ -42,7 +42,7 @@ def _bounds(T: Column, max_tokens: int, overlap: int) -> Column:
             .otherwise(F.array().cast("array<int>"))
         tail = F.aggregate(
             back,
-            F.struct(i.alias("j"), F.lit(0).alias("sum"), F.lit(False).alias("stop")),
+            F.struct(i.alias("j"), F.lit(0).cast("long").alias("sum"), F.lit(False).alias("stop")),
             lambda o, j: F.when(
                 o["stop"] | (o["sum"] + tok(j) > F.lit(overlap)),
                 F.struct(o["j"].alias("j"), o["sum"].alias("sum"), F.lit(True).alias("stop")),
@@ -58,7 +58,7 @@ def _bounds(T: Column, max_tokens: int, overlap: int) -> Column:
         kept = F.struct(acc["s"].alias("s"), (acc["n"] + t).alias("n"), acc["b"].alias("b"))
         return F.when(close, closed).otherwise(kept)
 
-    init = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"), F.array().cast(_BOUNDS_TYPE).alias("b"))
+    init = F.struct(F.lit(0).alias("s"), F.lit(0).cast("long").alias("n"), F.array().cast(_BOUNDS_TYPE).alias("b"))
     idx = F.when(m > 0, F.sequence(F.lit(0), m - 1)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(
         idx, init, step,

@@ -34,7 +34,7 @@ RUN_KEYS = ["year", "court_code", "bench"]
 
 def upsert_date(decision_date):
     """Ordering date of a record for last-write-wins: parsed decision date, lowest when absent."""
-    return F.coalesce(F.try_to_date(decision_date.cast("string"), F.lit("yyyy-M-d")),
+    return F.coalesce(F.try_to_date(decision_date.cast("string"), "yyyy-M-d"),
                       F.lit("0001-01-01").cast("date"))
 
 # FIXED VALUES — per-document outcomes and failure labels / messages.

@@ -185,7 +185,7 @@ header AS (
   FROM meta GROUP BY year, court_code, bench
 ),
 objects AS (
-  SELECT key, arg_min(text, doc_id) AS text, arg_min(extract_error, doc_id) AS extract_error
+  SELECT key, arg_min_null(text, doc_id) AS text, arg_min_null(extract_error, doc_id) AS extract_error
   FROM (
     SELECT k.s3_key AS key, k.doc_id,
            CASE WHEN k.doc_id % 31 = 0 THEN '' ELSE d.text END AS text,
@@ -411,12 +411,12 @@ SELECT v.index_name, v.key, v.s3_key, v.cnr, v.title, v.year, v.content,
        (SELECT count(*) FROM emb e WHERE e.id = v.doc_id AND e.chunk_id = v.chunk_id AND e.value <> 0) AS nonzero
 FROM vectors v"""
     q["vector_upsert"] = s2 + """
-SELECT index_name, key, arg_max(s3_key, (udate, s3_key)) AS s3_key, arg_max(content, (udate, s3_key)) AS content
+SELECT index_name, key, arg_max_null(s3_key, (udate, s3_key)) AS s3_key, arg_max_null(content, (udate, s3_key)) AS content
 FROM vectors GROUP BY index_name, key"""
     q["metadata_items"] = s2 + f"\nSELECT {_ITEM_COLS} FROM items WHERE coalesce(pk <> '', false)"
     q["metadata_rejects"] = s2 + f"\nSELECT {_ITEM_COLS} FROM items WHERE NOT coalesce(pk <> '', false)"
     q["metadata_upsert"] = s2 + f"""
-SELECT pk, sk, {', '.join(f'arg_max({c}, (udate, s3_key)) AS {c}' for c in _ITEM_COLS.split(', ')[2:])}
+SELECT pk, sk, {', '.join(f'arg_max_null({c}, (udate, s3_key)) AS {c}' for c in _ITEM_COLS.split(', ')[2:])}
 FROM items WHERE coalesce(pk <> '', false) GROUP BY pk, sk"""
     q["run_counts"] = s2 + f"""
 SELECT {RUN}, total_documents_attempted, successful_documents, failed_documents, empty_text_documents, keys_not_found
