@@ -51,7 +51,9 @@ def _bincount_udf(dim: int):
 
 def hashing_embedder(dim: int = DEFAULT_DIM):
     """``Column -> Column`` embedder: array<float> of width ``dim`` or null."""
-    udf = _bincount_udf(dim)
+    # nondeterministic: evaluated once per row and never duplicated into a
+    # pushed-down filter (the contract a paid embedder needs too)
+    udf = _bincount_udf(dim).asNondeterministic()
     return lambda text: udf(token_buckets(text, dim))
 
 

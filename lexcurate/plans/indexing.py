@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from lexcurate.functions import keys as K
 from lexcurate.functions.text import is_blank, token_count
 from lexcurate.operators import chunking, metadata as M
+from lexcurate.operators.broadcast import broadcast_if_small, materialize
 from lexcurate.operators.embedding import hashing_embedder, vector_records
 
 RUN_KEYS = ["year", "court_code", "bench"]
@@ -79,12 +80,13 @@ def run_header(meta: DataFrame) -> DataFrame:
 
 def index(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
           overlap: int = chunking.DEFAULT_OVERLAP, embedder=None, counter=token_count,
-          object_key_col: str = "key") -> IndexingResult:
+          object_key_col: str = "key", max_runs: int = 1_000_000) -> IndexingResult:
     """Run stage 2 over metadata records and the stored objects (key, text, extract_error)."""
     embedder = embedder or hashing_embedder()
     recs = keyed_records(meta)
-    header = run_header(meta)
-    # one row per run: AQE measures it at runtime and broadcasts it when small
+    # one row per run (years x courts x benches): counted, then broadcast, so
+    # a run holding a third of all records is never shuffled onto one task
+    header = broadcast_if_small(materialize(run_header(meta)), max_runs)
     recs = recs.join(header, RUN_KEYS, "left")
 
     objs = objects.select(F.col(object_key_col).alias("s3_key"), F.col("text").alias("__text"),

@@ -120,14 +120,13 @@ def stored_objects(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFra
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id")
+    # one object per key: pick the winning doc_id on keys only, then fetch its text
+    winners = keys.join(lab, "doc_id", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     i = F.col("doc_id")
-    objs = (keys.join(lab, "doc_id", "left_semi").join(d, "doc_id")
-            .select("key", "doc_id",
-                    F.when(i % 31 == 0, F.lit("")).otherwise(F.col("text")).alias("text"),
-                    F.when(i % 37 == 0, F.lit("unreadable page tree")).alias("extract_error")))
-    return objs.groupBy("key").agg(
-        F.min_by(F.struct("text", "extract_error"), "doc_id").alias("o")
-    ).select("key", "o.text", "o.extract_error")
+    return winners.join(d, "doc_id").select(
+        "key",
+        F.when(i % 31 == 0, F.lit("")).otherwise(F.col("text")).alias("text"),
+        F.when(i % 37 == 0, F.lit("unreadable page tree")).alias("extract_error"))
 
 
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,9 +50,9 @@ def metadata_partitions(spark: SparkSession, root: str, year=None, court_code=No
     ``raw_html`` is never read unless a caller selects it.
     """
     df = spark.read.option("pathGlobFilter", "*metadata.parquet").parquet(root)
-    if "court" in df.columns and "court_code" not in df.columns:
-        pass
     df = _where_partitions(df, year=year, court=court_code, bench=bench)
+    if "court" in df.columns and "court_code" not in df.columns:
+        df = df.withColumnRenamed("court", "court_code")
     if year_range is not None:
         lo, hi = year_range
         df = df.where(F.col("year").cast("int").between(lo, hi))
@@ -106,7 +106,7 @@ def read_logs(spark: SparkSession, path_glob: str) -> DataFrame:
     corrupt rows (pretty-printed records) are re-read whole with
     ``multiLine``. The year comes from the file name.
     """
-    schema = LOG_SCHEMA.add("_corrupt_record", T.StringType())
+    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
     lines = (spark.read.schema(schema).option("mode", "PERMISSIVE")
              .option("columnNameOfCorruptRecord", "_corrupt_record").json(path_glob)
              .withColumn("file_path", F.col("_metadata.file_path")))

@@ -1,0 +1,30 @@
+from pyspark.sql import functions as F
+
+from lexcurate.operators import langid, wordfreq
+
+
+def test_trigrams_and_detection(spark):
+    corpus = spark.createDataFrame(
+        [("the cat and the dog and the house", "en"), ("le chat et le chien et la maison", "fr")] * 3,
+        "text string, lang string")
+    prof = langid.train_profiles(corpus)
+    det = langid.NaiveBayesDetector(prof)
+    probe = spark.createDataFrame([(1, "the house and the cat"), (2, "le chien et la maison"), (3, "  1234 "),
+                                   (4, None)], "id long, text string")
+    got = {r.id: (r.lang, r.prob) for r in det.detect(probe, "id", "text").collect()}
+    assert got[1][0] == "en" and got[2][0] == "fr"
+    assert got[3] == (None, 0.0) and got[4] == (None, 0.0)
+    assert 0.5 < got[1][1] <= 1.0
+    grams = spark.createDataFrame([("Ab, c",)], "t string").select(langid.trigrams("t")).first()[0]
+    assert grams == [" ab", "ab ", "b c", " c "]
+
+
+def test_zipf_cut_on_literal_table(spark):
+    # total 1e7: zipf(n) = log10(n / 1e7 * 1e9) = log10(100 n); cut 2.0 <=> n >= 1, cut 3.0 <=> n >= 10
+    freq = spark.createDataFrame([("the", 9_999_989), ("court", 10), ("rare", 1)], "token string, n long")
+    freq = freq.withColumn("zipf", F.log10(F.col("n") / F.lit(1e7) * F.lit(1e9)))
+    assert sorted(r.token for r in wordfreq.known_words(freq, 3.0).collect()) == ["court", "the"]
+    assert sorted(r.token for r in wordfreq.known_words(freq, 2.0).collect()) == ["court", "rare", "the"]
+    docs = spark.createDataFrame([(1, "The court, the RARE x"), (2, "")], "doc_id long, text string")
+    got = {r.doc_id: r.word_ratio for r in wordfreq.word_ratio_freq(docs, freq, cut=3.0).collect()}
+    assert got == {1: 0.75, 2: 0.0}
