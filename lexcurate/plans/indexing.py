@@ -78,11 +78,11 @@ def run_header(meta: DataFrame) -> DataFrame:
         .select(*RUN_KEYS, K.court_name(F.col("__court")).alias("court_name"))
 
 
-def index(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
-          overlap: int = chunking.DEFAULT_OVERLAP, embedder=None, counter=token_count,
-          object_key_col: str = "key", max_runs: int = 1_000_000) -> IndexingResult:
-    """Run stage 2 over metadata records and the stored objects (key, text, extract_error)."""
-    embedder = embedder or hashing_embedder()
+def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
+                     overlap: int = chunking.DEFAULT_OVERLAP, counter=token_count,
+                     object_key_col: str = "key", max_runs: int = 1_000_000) -> DataFrame:
+    """The stage table: one row per metadata record with outcome, counts and
+    the chunk array of a successful document (text itself is dropped)."""
     recs = keyed_records(meta)
     # one row per run (years x courts x benches): counted, then broadcast, so
     # a run holding a third of all records is never shuffled onto one task
@@ -91,8 +91,7 @@ def index(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEF
 
     objs = objects.select(F.col(object_key_col).alias("s3_key"), F.col("text").alias("__text"),
                           F.col("extract_error").alias("__extract_error"), F.lit(True).alias("__found"))
-    active = recs.where(~F.col("skipped"))
-    looked = active.join(objs, "s3_key", "left")
+    looked = recs.where(~F.col("skipped")).join(objs, "s3_key", "left")
     found = F.coalesce(F.col("__found"), F.lit(False))
     outcome = (F.when(~found, F.lit(KEY_NOT_FOUND))
                .when(F.col("__extract_error").isNotNull(), F.lit(EXTRACTION_ERROR))
@@ -112,27 +111,37 @@ def index(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEF
         title.alias("run_title"),
         M.has_cnr(cnr).alias("has_cnr"),
         F.when(ok, counter(F.col("__text"))).alias("token_count"),
-        F.when(ok, chunking.chunk_array(F.col("__text"), max_tokens, overlap, counter)).alias("__chunks"),
+        F.when(ok, chunking.chunk_array(F.col("__text"), max_tokens, overlap, counter)).alias("chunks"),
     )
-    records = docs.select(*[c for c in docs.columns if c != "__chunks"],
-                          F.size("__chunks").cast("long").alias("chunk_count_raw")) \
-        .withColumn("chunk_count", F.when(F.col("outcome") == SUCCESS, F.col("chunk_count_raw"))) \
-        .drop("chunk_count_raw")
-
-    chunks = docs.where(F.col("outcome") == SUCCESS).select(
-        *RUN_KEYS, "court_name", "s3_key", cnr.alias("cnr"), F.col("run_title").alias("title"), F.col("year").alias("run_year"),
-        "decision_date", upsert_date(F.col("decision_date")).alias("upsert_date"), "has_cnr",
-        F.posexplode("__chunks").alias("chunk_id", "content"),
+    docs = docs.withColumn("chunk_count", F.when(F.col("outcome") == SUCCESS, F.size("chunks").cast("long")))
+    skipped = recs.where(F.col("skipped")).select(*carried, F.lit(SKIPPED).alias("outcome"))
+    return docs.unionByName(skipped, allowMissingColumns=True)
+
+
+def derive(stage: DataFrame, meta_columns: list[str], embedder=None) -> IndexingResult:
+    """Records, embedded chunks, vectors and items from the stage table."""
+    embedder = embedder or hashing_embedder()
+    records = stage.drop("chunks")
+    cnr = F.col("cnr") if "cnr" in stage.columns else F.lit(None).cast("string")
+    chunks = stage.where(F.col("outcome") == SUCCESS).select(
+        *RUN_KEYS, "court_name", "s3_key", cnr.alias("cnr"), F.col("run_title").alias("title"),
+        F.col("year").alias("run_year"), "decision_date",
+        upsert_date(F.col("decision_date")).alias("upsert_date"), "has_cnr",
+        F.posexplode("chunks").alias("chunk_id", "content"),
     )
     emb = vector_records(chunks, embedder, court_col="court_name")
     vectors = emb.where(F.col("data").isNotNull() & F.col("has_cnr"))
-
-    skipped = recs.where(F.col("skipped")).select(*carried, F.lit(SKIPPED).alias("outcome"))
-    records = records.unionByName(skipped, allowMissingColumns=True)
-
     succeeded = records.where(F.col("outcome") == SUCCESS)
-    meta_cols = [c for c in meta.columns] + ["s3_key"]
-    items_all = M.items(succeeded.select(*meta_cols))
+    items_all = M.items(succeeded.select(*[c for c in meta_columns if c != "s3_key"], "s3_key"))
     ok_cnr = M.has_cnr(F.col("pk"))
     return IndexingResult(records=records, chunks=emb, vectors=vectors,
                           items=items_all.where(ok_cnr), rejects=items_all.where(~ok_cnr))
+
+
+def index(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
+          overlap: int = chunking.DEFAULT_OVERLAP, embedder=None, counter=token_count,
+          object_key_col: str = "key", max_runs: int = 1_000_000) -> IndexingResult:
+    """Run stage 2 lazily over metadata records and the stored objects (key, text, extract_error)."""
+    stage = lookup_and_chunk(meta, objects, max_tokens=max_tokens, overlap=overlap, counter=counter,
+                             object_key_col=object_key_col, max_runs=max_runs)
+    return derive(stage, list(meta.columns), embedder)
