@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, materialize
+from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, materialize
 
 SCALE = 1_000_000  # fixed-point unit of log-probabilities
 LANG_TYPE = "struct<lang:string,prob:double>"
@@ -63,22 +63,37 @@ def model_weights(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class NaiveBayesDetector:
-    """Detector backed by trained profiles (a DataFrame of lang, gram, n)."""
+    """Detector backed by trained profiles (a DataFrame of lang, gram, n).
+
+    The model is pivoted to one row per gram with one weight column per
+    language, so each trigram occurrence joins exactly one model row and the
+    only aggregate is a per-document sum of a few columns. The language
+    labels (one per language, a handful of strings) are read at plan time to
+    name those columns, together with each language's normaliser.
+    """
 
     inline = False
 
     def __init__(self, profiles: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  materialize_model: bool = True):
         weights, base = model_weights(profiles)
-        # every language also gets the empty "sentinel" gram with weight 0; each
-        # document carries it once, so every (document, language) pair gets a
-        # row from the same broadcast hash join, without a cross join
-        sentinel = base.select("lang", F.lit("").alias("gram"), F.lit(0).cast("long").alias("w"))
-        weights = weights.unionByName(sentinel)
         if materialize_model:
-            weights, base = materialize(weights), materialize(base)
-        self.weights = broadcast_if_small(weights, max_broadcast_rows)
-        self.base = F.broadcast(base)  # one row per language
+            base = materialize(base)
+        # one (label, normaliser) pair per language: model parameters, not data
+        params = base.orderBy("lang").collect()
+        self.langs = [r.lang for r in params]
+        self.base = {r.lang: int(r.base) for r in params}
+        wide = weights.groupBy("gram").pivot("lang", self.langs).agg(F.first("w"))
+        wide = wide.select("gram", *[F.coalesce(F.col(f"`{l}`"), F.lit(0)).cast("long").alias(self._c(i))
+                                     for i, l in enumerate(self.langs)])
+        if materialize_model:
+            wide = materialize(wide)
+        self.small = wide.count() <= max_broadcast_rows
+        self.wide = F.broadcast(wide) if self.small else wide
+
+    @staticmethod
+    def _c(i: int) -> str:
+        return f"__w{i}"
 
     def detect(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """(id, lang, prob): top-1 language per document; (null, 0.0) without letters."""
@@ -88,29 +103,34 @@ class NaiveBayesDetector:
         def rows(g):
             n = F.size(g).cast("long")
             letters = F.exists(g, lambda x: x.rlike(r"\p{L}"))
-            return F.transform(F.concat(F.array(F.lit("")), g), lambda x: F.struct(
-                x.alias("gram"), n.alias("__n"), letters.alias("__letters")))
+            return F.transform(g, lambda x: F.struct(x.alias("gram"), n.alias("__n"), letters.alias("__letters")))
 
         occ = docs.select(
             F.col(id_col).alias("__id"),
-            F.inline(F.element_at(F.transform(F.array(trigrams(text_col)), rows), 1)),
+            F.inline_outer(F.element_at(F.transform(F.array(trigrams(text_col)), rows), 1)),
         )
-        summed = (occ.join(self.weights, "gram")
-                  .groupBy("__id", "__n", "__letters", "lang").agg(F.sum("w").alias("__sw"))
-                  .join(self.base, "lang")
-                  .withColumn("score", F.col("__sw") - F.col("__n") * F.col("base")))
-        w = Window.partitionBy("__id")
-        ranked = summed.select(
-            "*",
-            F.row_number().over(w.orderBy(F.desc("score"), F.asc("lang"))).alias("__rk"),
-            F.max("score").over(w).alias("__top"),
-        ).withColumn("__e", F.exp((F.col("score") - F.col("__top")) / F.lit(float(SCALE))))
-        ranked = ranked.withColumn("__z", F.sum("__e").over(w))
-        top = ranked.where(F.col("__rk") == 1)
-        return top.select(
+        k = len(self.langs)
+        sums = (occ.join(self.wide, "gram", "left")
+                .groupBy("__id").agg(F.max("__n").alias("__n"), F.max("__letters").alias("__letters"),
+                                     *[F.sum(F.coalesce(F.col(self._c(i)), F.lit(0))).alias(self._c(i))
+                                       for i in range(k)]))
+        n = F.coalesce(F.col("__n"), F.lit(0))
+        scores = F.array(*[(F.col(self._c(i)) - n * F.lit(self.base[l])).alias(l) for i, l in enumerate(self.langs)])
+
+        def pick(sc):
+            top = F.array_max(sc)
+            # first position of the maximum: languages are in ascending order
+            pos = F.array_position(sc, top)
+            z = F.aggregate(sc, F.lit(0.0), lambda acc, x: acc + F.exp((x - top) / F.lit(float(SCALE))))
+            return F.struct(F.element_at(F.array(*[F.lit(l) for l in self.langs]), pos.cast("int")).alias("lang"),
+                            (F.lit(1.0) / z).alias("prob"))
+
+        best = F.element_at(F.transform(F.array(scores), pick), 1)
+        letters = F.coalesce(F.col("__letters"), F.lit(False))
+        return sums.select(
             F.col("__id").alias(id_col),
-            F.when(F.col("__letters"), F.col("lang")).alias("lang"),
-            F.when(F.col("__letters"), F.col("__e") / F.col("__z")).otherwise(F.lit(0.0)).alias("prob"),
+            F.when(letters, best["lang"]).alias("lang"),
+            F.when(letters, best["prob"]).otherwise(F.lit(0.0)).alias("prob"),
         )
 
     def languages(self, docs: DataFrame, id_col: str, text_col: str, out_col: str) -> DataFrame:

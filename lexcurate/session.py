@@ -20,7 +20,6 @@ REQUIRED_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
@@ -40,6 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("LEXCURATE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local data is a few MB per shuffle: coalescing by bytes would merge it
+        # into one or two tasks and leave CPU-bound text work on a core or two
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
