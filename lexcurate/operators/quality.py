@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lexcurate.functions.classify import doc_type as classify
 from lexcurate.functions.text import is_blank, word_ratio_heuristic
+from lexcurate.operators.broadcast import materialize
 
 DEFAULT_MIN_WORD_RATIO = 0.6
 DEFAULT_ALLOWED_LANGS = "en,hi,te,mr"
@@ -88,13 +89,16 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
            fix_fused: bool = False, classify_on: str = "before",
            key_col: str = "key", text_col: str = "text",
            fetch_error_col: str | None = None, keep: tuple[str, ...] = (),
-           ratio_fn=word_ratio_heuristic) -> DataFrame:
+           ratio_fn=word_ratio_heuristic, restrict_repairs: bool = False) -> DataFrame:
     """E1 core: exactly one log row per input document.
 
     ``docs`` has ``key``, ``text`` (and optionally a fetch-error column);
     ``repaired`` has ``key``, ``text``: the repaired (OCR) text of documents
-    that went through repair. Only garbled keys are looked up, and the text
-    column never crosses a shuffle: the joins carry keys and scores only.
+    that went through repair. Repaired scores are used for garbled rows only,
+    so the repaired table is joined as is; ``restrict_repairs=True`` scores
+    only the garbled keys' texts, for a table that also holds texts of
+    documents that passed. The document text never crosses a shuffle: the
+    joins carry keys and scores only.
     ``classify_on="after"`` types a repaired document on its repaired text.
     """
     allowed = parse_langs(allowed_langs)
@@ -110,9 +114,14 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
         "__garbled", garbled(F.col("b_word_ratio"), F.col("b_lang.lang"), F.col("__blank"), min_ratio, allowed))
 
     if repaired is not None:
-        need = small.where(F.col("__garbled") & F.col("__fetch_error").isNull()).select("key")
         rep = repaired.select(F.col(key_col).alias("key"), F.col(text_col).alias("__rtext"),
-                              *getattr(detector, "input_cols", ())).join(need, "key", "left_semi")
+                              *getattr(detector, "input_cols", ()))
+        if restrict_repairs:
+            # the repaired table also holds texts of documents that passed the
+            # gate: score only garbled keys, reading the text-free scores once
+            small = materialize(small)
+            need = small.where(F.col("__garbled") & F.col("__fetch_error").isNull()).select("key")
+            rep = rep.join(need, "key", "left_semi")
         rep = score(rep, detector, "key", "__rtext", "a_", ratio_fn, extra=(
             F.lit(True).alias("__repaired"),
             classify(F.col("__rtext"), lexicon, fix_fused).alias("__rdoc_type"),

@@ -48,3 +48,15 @@ def test_fetch_failure_row(spark):
     d = spark.createDataFrame([("k", None, None, "NoSuchKey")], "key string, text string, lang string, err string")
     row = quality.assess(d, langid.GivenLanguage("lang"), None, fetch_error_col="err").first()
     assert row.status == "download_failed: NoSuchKey" and row.doc_type is None and row.word_ratio_before is None
+
+
+def test_restricted_repairs_same_log(spark):
+    from lexcurate.plans import standins as SI
+    from tests.conftest import SF_SMALL
+
+    docs = SI.stage1_objects(spark, SF_SMALL)
+    rep = SI.repaired_text(spark, SF_SMALL)
+    kw = dict(min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED)
+    a = quality.assess(docs, langid.GivenLanguage("lang"), rep, **kw)
+    b = quality.assess(docs, langid.GivenLanguage("lang"), rep, restrict_repairs=True, **kw)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
