@@ -67,20 +67,31 @@ def curation_gate(doc_type: Column, status_col: Column) -> Column:
 
 
 def score(df: DataFrame, detector, key_col: str, text_col: str, prefix: str,
-          ratio_fn=word_ratio_heuristic, extra=()) -> DataFrame:
+          ratio_fn=word_ratio_heuristic, extra=(), freq: DataFrame | None = None) -> DataFrame:
     """Text-free scores of each row: key, ``{prefix}word_ratio``, ``{prefix}lang``
     (struct lang, prob) and any ``extra`` text-derived columns.
 
-    A detector that needs a model join returns (key, lang) rows that are joined
-    onto the text-free frame, so document text never enters a shuffle.
+    A detector that needs a model join returns (key, lang) rows, and a
+    frequency-list ratio (T2, ``freq`` given) returns (key, ratio) rows; both
+    are joined onto the text-free frame, so document text never enters a
+    shuffle.
     """
     cols = [c for c in df.columns if c != text_col]
-    out = [ratio_fn(F.col(text_col)).alias(f"{prefix}word_ratio"), *extra]
+    out = list(extra)
+    if freq is None:
+        out.append(ratio_fn(F.col(text_col)).alias(f"{prefix}word_ratio"))
     if detector.inline:
-        return df.select(*cols, *out, detector.column(text_col).alias(f"{prefix}lang"))
+        out.append(detector.column(text_col).alias(f"{prefix}lang"))
     small = df.select(*cols, *out)
-    langs = detector.languages(df.select(key_col, text_col), key_col, text_col, f"{prefix}lang")
-    return small.join(langs, key_col, "left")
+    if freq is not None:
+        from lexcurate.operators.wordfreq import word_ratio_freq
+
+        ratios = word_ratio_freq(df.select(key_col, text_col), freq, id_col=key_col, text_col=text_col)
+        small = small.join(ratios.withColumnRenamed("word_ratio", f"{prefix}word_ratio"), key_col, "left")
+    if not detector.inline:
+        langs = detector.languages(df.select(key_col, text_col), key_col, text_col, f"{prefix}lang")
+        small = small.join(langs, key_col, "left")
+    return small
 
 
 def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
@@ -89,7 +100,8 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
            fix_fused: bool = False, classify_on: str = "before",
            key_col: str = "key", text_col: str = "text",
            fetch_error_col: str | None = None, keep: tuple[str, ...] = (),
-           ratio_fn=word_ratio_heuristic, restrict_repairs: bool = False) -> DataFrame:
+           ratio_fn=word_ratio_heuristic, restrict_repairs: bool = False,
+           freq: DataFrame | None = None) -> DataFrame:
     """E1 core: exactly one log row per input document.
 
     ``docs`` has ``key``, ``text`` (and optionally a fetch-error column);
@@ -100,13 +112,15 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
     documents that passed. The document text never crosses a shuffle: the
     joins carry keys and scores only.
     ``classify_on="after"`` types a repaired document on its repaired text.
+    ``freq`` (a frequency list, T2b) switches the word ratio to the
+    known-word ratio (T2), as when the reference has its word list installed.
     """
     allowed = parse_langs(allowed_langs)
     err = F.col(fetch_error_col) if fetch_error_col else F.lit(None).cast("string")
     passthrough = [c for c in getattr(detector, "input_cols", ()) if c not in keep]
     base = docs.select(F.col(key_col).alias("key"), *keep, *passthrough, F.col(text_col).alias("__text"),
                        err.alias("__fetch_error"))
-    small = score(base, detector, "key", "__text", "b_", ratio_fn, extra=(
+    small = score(base, detector, "key", "__text", "b_", ratio_fn, freq=freq, extra=(
         is_blank(F.col("__text")).alias("__blank"),
         classify(F.col("__text"), lexicon, fix_fused).alias("__doc_type"),
     ))
@@ -122,7 +136,7 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
             small = materialize(small)
             need = small.where(F.col("__garbled") & F.col("__fetch_error").isNull()).select("key")
             rep = rep.join(need, "key", "left_semi")
-        rep = score(rep, detector, "key", "__rtext", "a_", ratio_fn, extra=(
+        rep = score(rep, detector, "key", "__rtext", "a_", ratio_fn, freq=freq, extra=(
             F.lit(True).alias("__repaired"),
             classify(F.col("__rtext"), lexicon, fix_fused).alias("__rdoc_type"),
         )).select("key", "a_word_ratio", "a_lang", "__repaired", "__rdoc_type")

@@ -63,6 +63,27 @@ def _document_log(spark, sf, lexicon="latin"):
                           allowed_langs=SI.TEST_ALLOWED, lexicon=lexicon, keep=("year", "court", "bench"))
 
 
+def _document_log_models(spark, sf):
+    """Stage 1 with Spark-trained models: known-word ratio from a frequency list
+    built on ``benchmark`` (T2/T2b) and trigram language detection trained on
+    ``documents`` (T3/T3b)."""
+    docs = _stage1_docs(spark, sf)
+    rep = SI.repaired_text(spark, sf)
+    det = langid.NaiveBayesDetector(_profiles(spark, sf))
+    freq = wordfreq.frequency_list(SI.table(spark, sf, "benchmark"))
+    return quality.assess(docs, det, rep, min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED,
+                          keep=("year", "court", "bench"), freq=freq)
+
+
+def q_document_log_models(spark, sf):
+    log = _flat_log(_document_log_models(spark, sf))
+    return log.withColumn("prob_before", F.round("prob_before", 6)).withColumn("prob_after", F.round("prob_after", 6))
+
+
+def q_document_log_multi(spark, sf):
+    return _flat_log(_document_log(spark, sf, lexicon="multi"))
+
+
 def _flat_log(log: DataFrame) -> DataFrame:
     return log.select(
         "key", "status", "word_ratio_before",
@@ -312,6 +333,8 @@ QUERIES = {
     "garble_gate": q_garble_gate,
     "repair_status": q_repair_status,
     "document_log": q_document_log,
+    "document_log_multi": q_document_log_multi,
+    "document_log_models": q_document_log_models,
     "curated": q_curated,
     "word_ratio": q_word_ratio,
     "token_count": q_token_count,

@@ -149,6 +149,98 @@ doclog AS (
 )"""
 
 
+def _doclog_cte(mn: float, allowed: list[str]) -> str:
+    """``doclog`` from ``gated`` (key, year, court, bench, wr, lg, pr, garbled, doc_type) and
+    ``rescored`` (key, wr_a, lg_a, pr_a)."""
+    return f"""
+doclog AS (
+  SELECT g.key, g.year, g.court, g.bench,
+    CASE WHEN NOT g.garbled THEN '{Q.OK_NO_OCR}'
+         WHEN r.key IS NULL THEN '{Q.OCR_FAILED}'
+         WHEN r.wr_a >= {mn} AND {_in_allowed('r.lg_a', allowed)} THEN '{Q.OK_AFTER_OCR}'
+         ELSE '{Q.STILL_GARBLED}' END AS status,
+    g.wr AS word_ratio_before, g.lg AS lang_before, g.pr AS prob_before,
+    CASE WHEN g.garbled AND r.key IS NOT NULL THEN r.wr_a END AS word_ratio_after,
+    CASE WHEN g.garbled AND r.key IS NOT NULL THEN r.lg_a END AS lang_after,
+    CASE WHEN g.garbled AND r.key IS NOT NULL THEN r.pr_a END AS prob_after,
+    (g.garbled AND r.key IS NOT NULL) AS did_ocr,
+    g.doc_type
+  FROM gated g LEFT JOIN rescored r ON g.key = r.key
+)"""
+
+
+def _known_words_cte() -> str:
+    """``known`` tokens: zipf >= 2.0 in the frequency list built from ``benchmark``."""
+    return f"""
+btoks AS (SELECT unnest({letter_tokens('text')}) AS token FROM benchmark),
+bfreq AS (SELECT token, count(*) AS n FROM btoks GROUP BY token),
+btot AS (SELECT sum(n) AS total FROM bfreq),
+known AS (SELECT token FROM bfreq, btot WHERE n * 1e9 >= {10.0 ** 2.0} * total)"""
+
+
+def _freq_ratio_cte(name: str, src: str) -> str:
+    """``{name}`` (id, wr): known-word ratio of ``src`` (id, text)."""
+    return f"""
+{name}_tok AS (SELECT id, unnest({letter_tokens('text')}) AS token FROM {src}),
+{name}_agg AS (SELECT id, count(*) AS total, count(*) FILTER (WHERE token IN (SELECT token FROM known)) AS good
+               FROM {name}_tok GROUP BY id),
+{name} AS (SELECT s.id, CASE WHEN coalesce(a.total, 0) > 0 THEN a.good::DOUBLE / a.total::DOUBLE ELSE 0.0 END AS wr
+           FROM {src} s LEFT JOIN {name}_agg a ON a.id = s.id)"""
+
+
+def _model_cte() -> str:
+    """Trigram profiles trained on ``documents``: ``weights`` (lang, gram, w), ``base`` (lang, base)."""
+    return f"""
+p_norm AS (SELECT lang, ' ' || regexp_replace(lower(coalesce(text, '')), '\\P{{L}}+', ' ', 'g') || ' ' AS t
+           FROM documents),
+p_grams AS (SELECT lang, substring(t, i, 3) AS gram FROM (SELECT lang, t, unnest(range(1, length(t) - 1)) AS i FROM p_norm)),
+p_prof AS (SELECT lang, gram, count(*) AS n FROM p_grams WHERE lang IS NOT NULL GROUP BY lang, gram),
+base AS (SELECT lang, CAST(round(ln(sum(n) + (SELECT count(DISTINCT gram) FROM p_prof)) * {SCALE}) AS BIGINT) AS base
+         FROM p_prof GROUP BY lang),
+weights AS (SELECT lang, gram, CAST(round(ln(n + 1) * {SCALE}) AS BIGINT) AS w FROM p_prof)"""
+
+
+def _detect_cte(name: str, src: str) -> str:
+    """``{name}`` (id, lang, prob): top language of each ``src`` (id, text) row."""
+    return f"""
+{name}_norm AS (SELECT id, ' ' || regexp_replace(lower(coalesce(text, '')), '\\P{{L}}+', ' ', 'g') || ' ' AS t
+                FROM {src}),
+{name}_grams AS (SELECT id, substring(t, i, 3) AS gram
+                 FROM (SELECT id, t, unnest(range(1, length(t) - 1)) AS i FROM {name}_norm)),
+{name}_m AS (SELECT g.id, w.lang, sum(w.w) AS sw FROM {name}_grams g JOIN weights w ON w.gram = g.gram
+             GROUP BY g.id, w.lang),
+{name}_sc AS (SELECT d.id, b.lang, regexp_matches(d.t, '\p{{L}}') AS letters,
+                     coalesce(m.sw, 0) - (length(d.t) - 2) * b.base AS score
+              FROM {name}_norm d CROSS JOIN base b LEFT JOIN {name}_m m ON m.id = d.id AND m.lang = b.lang),
+{name}_top AS (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM {name}_sc),
+{name}_rk AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang ASC) AS rk,
+                     sum(exp((score - top) / {float(SCALE)})) OVER (PARTITION BY id) AS z
+              FROM {name}_top),
+{name} AS (SELECT id, CASE WHEN letters THEN lang END AS lang, CASE WHEN letters THEN 1.0 / z ELSE 0.0 END AS prob
+           FROM {name}_rk WHERE rk = 1)"""
+
+
+def document_log_models_sql() -> str:
+    allowed = Q.parse_langs(SI.TEST_ALLOWED)
+    mn = SI.TEST_MIN_RATIO
+    return "WITH " + LISTING.strip() + "," + _known_words_cte() + "," + _model_cte() + f""",
+s1 AS (SELECT key AS id, text FROM stage1),
+r1 AS (SELECT key AS id, text FROM repaired),""" + _freq_ratio_cte("s1_wr", "s1") + "," + _detect_cte("s1_det", "s1") \
+        + "," + _freq_ratio_cte("r1_wr", "r1") + "," + _detect_cte("r1_det", "r1") + f""",
+gated AS (
+  SELECT s.key, s.year, s.court, s.bench, w.wr, d.lang AS lg, d.prob AS pr, {doc_type('s.text', 'latin')} AS doc_type,
+         ((w.wr < {mn} AND NOT {_in_allowed('d.lang', allowed)}) OR {is_blank('s.text')}) AS garbled
+  FROM stage1 s JOIN s1_wr w ON w.id = s.key JOIN s1_det d ON d.id = s.key
+),
+rescored AS (
+  SELECT r.key, w.wr AS wr_a, d.lang AS lg_a, d.prob AS pr_a
+  FROM repaired r JOIN r1_wr w ON w.id = r.key JOIN r1_det d ON d.id = r.key
+),""" + _doclog_cte(mn, allowed) + """
+SELECT key, status, word_ratio_before, lang_before, round(prob_before, 6) AS prob_before, word_ratio_after,
+       lang_after, round(prob_after, 6) AS prob_after, did_ocr, doc_type
+FROM doclog"""
+
+
 METADATA = """
 meta AS (
   SELECT COALESCE(CAST(year(o.o_orderdate) AS VARCHAR), 'None') AS year, d.source AS court_code, d.lang AS bench,
@@ -340,6 +432,10 @@ FROM (SELECT key, lang, {word_ratio('text')} AS wr, {is_blank('text')} AS blank
     q["document_log"] = log + """
 SELECT key, status, word_ratio_before, lang_before, prob_before, word_ratio_after, lang_after, prob_after, did_ocr, doc_type
 FROM doclog"""
+    q["document_log_multi"] = "WITH " + document_log_cte("multi").strip() + """
+SELECT key, status, word_ratio_before, lang_before, prob_before, word_ratio_after, lang_after, prob_after, did_ocr, doc_type
+FROM doclog"""
+    q["document_log_models"] = document_log_models_sql()
     q["repair_status"] = log + "\nSELECT status, did_ocr, count(*) AS n_docs FROM doclog GROUP BY status, did_ocr"
     q["curated"] = log + f"""
 SELECT key, year, court, bench, status FROM doclog
