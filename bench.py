@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 # headline queries: both pipeline stages end to end, plus their heaviest operators
 HEADLINE = [
     "document_log",      # stage 1: score, gate, repair join, classify
+    "document_log_models",  # stage 1 with trained word-frequency and language models
     "doc_type_multi",    # multilingual classifier
     "detect_language",   # trigram profiles + broadcast scoring
     "word_ratio_freq",   # frequency list + known-word join

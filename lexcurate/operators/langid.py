@@ -76,9 +76,9 @@ class NaiveBayesDetector:
 
     def __init__(self, profiles: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  materialize_model: bool = True):
-        weights, base = model_weights(profiles)
         if materialize_model:
-            base = materialize(base)
+            profiles = materialize(profiles)  # trained once; weights and normalisers read it
+        weights, base = model_weights(profiles)
         # one (label, normaliser) pair per language: model parameters, not data
         params = base.orderBy("lang").collect()
         self.langs = [r.lang for r in params]

@@ -101,12 +101,13 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
 
 
 def run_years(spark: SparkSession, metadata_root: str, objects: DataFrame, out_root: str, version: str,
-              first_year: int, last_year: int, court_code=None, bench=None, **kw) -> IndexingOutput:
+              first_year: int, last_year: int, court_code=None, bench=None, court_dir: str = "court",
+              **kw) -> IndexingOutput:
     """M1: every year of a court (and bench) in one job; results grouped by run.
 
     A bad record never fails the job: it becomes an outcome row (M2)."""
     meta = metadata_partitions(spark, metadata_root, court_code=court_code, bench=bench,
-                               year_range=(first_year, last_year))
+                               year_range=(first_year, last_year), court_dir=court_dir)
     return run_indexing(spark, meta, objects, out_root, version, **kw)
 
 

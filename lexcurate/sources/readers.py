@@ -43,20 +43,34 @@ def pdf_objects(spark: SparkSession, root: str, year=None, court=None, bench=Non
 
 
 def metadata_partitions(spark: SparkSession, root: str, year=None, court_code=None, bench=None,
-                        year_range: tuple[int, int] | None = None) -> DataFrame:
+                        year_range: tuple[int, int] | None = None, file_glob: str | None = None,
+                        court_dir: str = "court") -> DataFrame:
     """S3: metadata Parquet of one or many (year, court, bench) partitions.
 
-    Exact partition equality (no prefix match); column pruning means
-    ``raw_html`` is never read unless a caller selects it.
+    The record files hold a ``court`` column (the court's name) while the
+    path holds ``court=`` (its code), so partition inference would collide.
+    The requested partition directories are globbed instead (exact values,
+    no prefix match; a year range becomes a brace list, so only those
+    directories are listed) and the run keys are taken from each file's
+    path. Column pruning means ``raw_html`` is never read unless selected.
     """
-    df = spark.read.option("pathGlobFilter", "*metadata.parquet").parquet(root)
-    df = _where_partitions(df, year=year, court=court_code, bench=bench)
-    if "court" in df.columns and "court_code" not in df.columns:
-        df = df.withColumnRenamed("court", "court_code")
-    if year_range is not None:
-        lo, hi = year_range
-        df = df.where(F.col("year").cast("int").between(lo, hi))
-    return df
+    def one_of(v):
+        if v is None:
+            return "*"
+        vals = [str(x) for x in (v if isinstance(v, (list, tuple, set)) else [v])]
+        return vals[0] if len(vals) == 1 else "{" + ",".join(vals) + "}"
+
+    years = [str(y) for y in range(year_range[0], year_range[1] + 1)] if year_range else year
+    path = f"{root.rstrip('/')}/year={one_of(years)}/{court_dir}={one_of(court_code)}/bench={one_of(bench)}"
+    reader = spark.read.option("pathGlobFilter", file_glob) if file_glob else spark.read
+    df = reader.parquet(path)
+    fp = F.col("_metadata.file_path")
+    return df.select(
+        "*",
+        F.regexp_extract(fp, r"/year=([^/]+)/", 1).alias("year"),
+        F.regexp_extract(fp, rf"/{court_dir}=([^/]+)/", 1).alias("court_code"),
+        F.regexp_extract(fp, r"/bench=([^/]+)/", 1).alias("bench"),
+    )
 
 
 def assemble_pages(pages: DataFrame, key_col: str = "doc_key", page_col: str = "page_no",

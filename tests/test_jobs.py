@@ -67,3 +67,20 @@ def test_curation_stream(spark, scratch):
                         max_files_per_trigger=1, min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED)
     q.awaitTermination(300)
     assert spark.read.parquet(f"{scratch}/out/log").count() == docs.count()
+
+
+def test_year_range_job_over_partitioned_metadata(spark, scratch):
+    from lexcurate.sources.readers import metadata_partitions
+
+    meta = SI.metadata(spark, SF_SMALL)
+    meta.write.partitionBy("year", "court_code", "bench").parquet(f"{scratch}/metadata")
+    one = metadata_partitions(spark, f"{scratch}/metadata", year="1996", court_dir="court_code")
+    assert {r.year for r in one.select("year").distinct().collect()} == {"1996"}
+    assert one.count() == meta.where(F.col("year") == "1996").count()
+    assert "court" in one.columns and one.where(~F.col("court").startswith("High Court")).count() == 0
+    out = jobs.run_years(spark, f"{scratch}/metadata", _objects(spark, SF_SMALL), f"{scratch}/out", "1", 1995, 1997,
+                         court_dir="court_code", embedder=hashing_embedder(SI.TEST_EMBED_DIM))
+    years = {str(r.year) for r in spark.read.json(out.stats_path).select("year").distinct().collect()}
+    assert years == {"1995", "1996", "1997"}
+    expect = meta.where(F.col("year").between("1995", "1997")).count()
+    assert spark.read.parquet(out.stage_path).count() == expect
