@@ -75,11 +75,13 @@ class NaiveBayesDetector:
     inline = False
 
     def __init__(self, profiles: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 materialize_model: bool = True):
+                 materialize_model: bool = True, max_languages: int = 1000):
         if materialize_model:
             profiles = materialize(profiles)  # trained once; weights and normalisers read it
         weights, base = model_weights(profiles)
         # one (label, normaliser) pair per language: model parameters, not data
+        if base.count() > max_languages:
+            raise ValueError(f"more than {max_languages} language labels: not a language model")
         params = base.orderBy("lang").collect()
         self.langs = [r.lang for r in params]
         self.base = {r.lang: int(r.base) for r in params}

@@ -10,6 +10,9 @@ partitions replaces exactly them.
 
 from __future__ import annotations
 
+import datetime
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +75,10 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
                  current_version: str | None = None, embedder=None, max_tokens: int = 2000,
                  overlap: int = 100) -> IndexingOutput:
     """E2 over metadata records of any number of runs and the stored objects."""
+    started = time.time()
+    # Run identity and times, written with the statistics (not compared)
+    process_id = f"proc_{uuid.uuid4().hex[:8]}_{int(started)}"
+    processing_date = datetime.datetime.now().isoformat()
     out = out_root.rstrip("/")
     stage_path = f"{out}/stage/records"
     stage = indexing.lookup_and_chunk(meta, objects, max_tokens=max_tokens, overlap=overlap)
@@ -96,7 +103,12 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
     failed_path = f"{out}/failed_files"
     stats.failed_files(res.records).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(*indexing.RUN_KEYS).parquet(failed_path)
-    stats_path = writers.write_stats(stats.run_stats(res.records, chunks), f"{out}/stats")
+    ended = time.time()
+    run = stats.run_stats(res.records, chunks).select(
+        "*", F.lit(process_id).alias("process_id"), F.lit(processing_date).alias("processing_date"),
+        F.lit(started).alias("start_time"), F.lit(ended).alias("end_time"),
+        F.lit(ended - started).alias("total_processing_time_seconds"))
+    stats_path = writers.write_stats(run, f"{out}/stats")
     return IndexingOutput(stage_path, vectors_path, items_path, rejects_path, titles_path, stats_path, failed_path)
 
 

@@ -209,7 +209,7 @@ def _detect_cte(name: str, src: str) -> str:
                  FROM (SELECT id, t, unnest(range(1, length(t) - 1)) AS i FROM {name}_norm)),
 {name}_m AS (SELECT g.id, w.lang, sum(w.w) AS sw FROM {name}_grams g JOIN weights w ON w.gram = g.gram
              GROUP BY g.id, w.lang),
-{name}_sc AS (SELECT d.id, b.lang, regexp_matches(d.t, '\p{{L}}') AS letters,
+{name}_sc AS (SELECT d.id, b.lang, regexp_matches(d.t, '\\p{{L}}') AS letters,
                      coalesce(m.sw, 0) - (length(d.t) - 2) * b.base AS score
               FROM {name}_norm d CROSS JOIN base b LEFT JOIN {name}_m m ON m.id = d.id AND m.lang = b.lang),
 {name}_top AS (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM {name}_sc),

@@ -37,6 +37,7 @@ def test_indexing_job_and_upsert_idempotent(spark, scratch):
     tot = st.agg(F.sum("total_documents_attempted"), F.sum("successful_documents"), F.sum("failed_documents"),
                  F.sum("keys_not_found")).first()
     assert tot[0] == tot[1] + tot[2] + tot[3]
+    assert {"process_id", "start_time", "total_processing_time_seconds"} <= set(st.columns)
     records = spark.read.parquet(o2.stage_path)
     assert records.count() == meta.count()  # every record has one outcome row (skipped included)
 
