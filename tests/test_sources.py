@@ -1,7 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from lexcurate.sources.readers import assemble_pages, pdf_objects, read_logs
 
