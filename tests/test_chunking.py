@@ -66,3 +66,31 @@ def test_chunk_rows_keep_columns_and_count(spark):
     rows = CH.chunk(df, "text", 3, 1, keep=("id",), counter=words_per_sentence, count_col="n").collect()
     assert [(r.id, r.chunk_id, r.content, r.n) for r in rows] == [(1, 0, "a b.", 3), (1, 1, "c d.", 3),
                                                                     (1, 2, "e f.", 3)]
+
+
+def test_fold_equals_loop_random_layouts(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    doc = st.lists(st.integers(min_value=1, max_value=15), min_size=0, max_size=25)
+    batch = st.lists(st.tuples(doc, st.sampled_from([1, 3, 8, 20]), st.sampled_from([0, 2, 6])),
+                     min_size=60, max_size=60)
+
+    @settings(max_examples=3, deadline=None)
+    @given(batch)
+    def check(cases):
+        rows, expected = [], []
+        for n, (counts, mx, ov) in enumerate(cases):
+            sents = [" ".join(f"w{n}s{k}t{j}" for j in range(t)) + "." for k, t in enumerate(counts)]
+            rows.append((n, " ".join(sents), mx, ov))
+            expected.append(loop_chunks(sents, counts, mx, ov))
+        df = spark.createDataFrame(rows, "id long, text string, mx int, ov int")
+        # limits are per-row literals here: group the batch by (mx, ov)
+        got = {}
+        for mx, ov in {(r[2], r[3]) for r in rows}:
+            part = df.where((df.mx == mx) & (df.ov == ov))
+            for r in part.select("id", CH.chunk_array("text", mx, ov, counter=words_per_sentence).alias("c")).collect():
+                got[r.id] = list(r.c)
+        assert [got[i] for i in range(len(rows))] == expected
+
+    check()
