@@ -84,7 +84,7 @@ def score(df: DataFrame, detector, key_col: str, text_col: str, prefix: str,
         out.append(detector.column(text_col).alias(f"{prefix}lang"))
     small = df.select(*cols, *out)
     if freq is not None:
-        from lexcurate.operators.wordfreq import word_ratio_freq
+        from lexcurate.operators.frequency import word_ratio_freq
 
         ratios = word_ratio_freq(df.select(key_col, text_col), freq, id_col=key_col, text_col=text_col)
         small = small.join(ratios.withColumnRenamed("word_ratio", f"{prefix}word_ratio"), key_col, "left")

@@ -16,7 +16,7 @@ from lexcurate.functions import keys as K
 from lexcurate.functions import text as TX
 from lexcurate.functions.classify import doc_type
 from lexcurate.functions.partitioning import spread
-from lexcurate.operators import chunking, langid, quality, stats, upsert, wordfreq
+from lexcurate.operators import chunking, langid, quality, stats, upsert, frequency
 from lexcurate.operators.embedding import hashing_embedder
 from lexcurate.plans import indexing, standins as SI
 from lexcurate.sources.readers import assemble_pages
@@ -70,7 +70,7 @@ def _document_log_models(spark, sf):
     docs = _stage1_docs(spark, sf)
     rep = SI.repaired_text(spark, sf)
     det = langid.NaiveBayesDetector(_profiles(spark, sf))
-    freq = wordfreq.frequency_list(SI.table(spark, sf, "benchmark"))
+    freq = frequency.frequency_list(SI.table(spark, sf, "benchmark"))
     return quality.assess(docs, det, rep, min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED,
                           keep=("year", "court", "bench"), freq=freq)
 
@@ -154,13 +154,13 @@ def q_pages_concat(spark, sf):
 
 
 def q_word_freq(spark, sf):
-    f = wordfreq.frequency_list(SI.table(spark, sf, "benchmark"))
+    f = frequency.frequency_list(SI.table(spark, sf, "benchmark"))
     return f.select("token", "n", F.round("zipf", 6).alias("zipf"))
 
 
 def q_word_ratio_freq(spark, sf):
-    f = wordfreq.frequency_list(SI.table(spark, sf, "benchmark"))
-    return wordfreq.word_ratio_freq(_documents(spark, sf), f)
+    f = frequency.frequency_list(SI.table(spark, sf, "benchmark"))
+    return frequency.word_ratio_freq(_documents(spark, sf), f)
 
 
 def _profiles(spark, sf):

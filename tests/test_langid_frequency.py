@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lexcurate.operators import langid, wordfreq
+from lexcurate.operators import langid, frequency
 
 
 def test_trigrams_and_detection(spark):
@@ -23,8 +23,8 @@ def test_zipf_cut_on_literal_table(spark):
     # total 1e7: zipf(n) = log10(n / 1e7 * 1e9) = log10(100 n); cut 2.0 <=> n >= 1, cut 3.0 <=> n >= 10
     freq = spark.createDataFrame([("the", 9_999_989), ("court", 10), ("rare", 1)], "token string, n long")
     freq = freq.withColumn("zipf", F.log10(F.col("n") / F.lit(1e7) * F.lit(1e9)))
-    assert sorted(r.token for r in wordfreq.known_words(freq, 3.0).collect()) == ["court", "the"]
-    assert sorted(r.token for r in wordfreq.known_words(freq, 2.0).collect()) == ["court", "rare", "the"]
+    assert sorted(r.token for r in frequency.known_words(freq, 3.0).collect()) == ["court", "the"]
+    assert sorted(r.token for r in frequency.known_words(freq, 2.0).collect()) == ["court", "rare", "the"]
     docs = spark.createDataFrame([(1, "The court, the RARE x"), (2, "")], "doc_id long, text string")
-    got = {r.doc_id: r.word_ratio for r in wordfreq.word_ratio_freq(docs, freq, cut=3.0).collect()}
+    got = {r.doc_id: r.word_ratio for r in frequency.word_ratio_freq(docs, freq, cut=3.0).collect()}
     assert got == {1: 0.75, 2: 0.0}
