@@ -63,3 +63,15 @@ def write_stats(stats: DataFrame, path: str) -> str:
     (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy("court_name", "year", "bench").json(path))
     return path
+
+
+def write_objects_bucketed(objects: DataFrame, table: str, buckets: int, key_col: str = "key") -> str:
+    """Store document text as a catalog table bucketed and sorted by object key.
+
+    Stage 2's lookup joins metadata records to stored objects on the key; with
+    the text side bucketed by that key the join reads it in place and only the
+    (small, text-free) metadata side is shuffled to meet it.
+    """
+    (objects.write.mode("overwrite").bucketBy(buckets, key_col).sortBy(key_col)
+     .format("parquet").saveAsTable(table))
+    return table

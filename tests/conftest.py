@@ -19,7 +19,8 @@ def spark():
     b = (SparkSession.builder.master("local[*]").appName("lexcurate-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexcurate-test-ckpt-", dir="/tmp")))
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexcurate-test-ckpt-", dir="/tmp"))
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lexcurate-test-wh-", dir="/tmp")))
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()

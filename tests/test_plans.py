@@ -55,3 +55,22 @@ def test_run_header_is_broadcast(spark):
 def test_embedder_runs_once_per_row(spark):
     p = plan(C.q_vector_records(spark, SF_SMALL))
     assert p.count("ArrowEvalPython") == 1
+
+
+def test_bucketed_objects_are_not_shuffled(spark):
+    from lexcurate.plans import indexing, standins as SI
+    from lexcurate.sinks.writers import write_objects_bucketed
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle join shape
+    try:
+        write_objects_bucketed(C._objects(spark, SF_SMALL), "objects_bucketed", 8)
+        objs = spark.table("objects_bucketed")
+        recs = indexing.lookup_and_chunk(SI.metadata(spark, SF_SMALL), objs)
+        text = formatted(spark, recs)
+        cols = exchanged_columns(spark, recs)
+        assert "SortMergeJoin" in text
+        assert all("text" not in c for c in cols), cols
+        assert recs.count() == SI.metadata(spark, SF_SMALL).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS objects_bucketed")
