@@ -26,6 +26,29 @@ from lexcurate.sinks import writers
 from lexcurate.sources.readers import metadata_partitions, read_logs
 
 
+def stage1_documents(spark: SparkSession, pdf_root: str, pages: DataFrame, *, year=None, court=None,
+                     year_range: tuple[int, int] | None = None, page_key_col: str = "doc_key") -> DataFrame:
+    """S1 + S2 + S4: the PDF objects of the selected partitions with their text.
+
+    Objects are listed with partition pruning (no bytes read); their text is
+    the newline-joined non-empty pages of the page table, keyed by the object
+    key relative to ``pdf_root`` (``data/pdf/year=.../x.pdf``). An object
+    without extracted pages gets empty text (the extractor's answer for an
+    unreadable file), so it is garbled and goes to repair. Spark's file
+    sources do not list zero-byte files, so an empty object has no row.
+    """
+    from lexcurate.sources.readers import assemble_pages, pdf_objects
+
+    objs = pdf_objects(spark, pdf_root, year=year, court=court, year_range=year_range, with_content=False)
+    rel = F.regexp_extract(F.col("path"), r"(data/pdf/.*)$", 1)
+    objs = objs.select(F.when(rel != "", rel).otherwise(F.col("path")).alias("key"), "year", "court",
+                       *(["bench"] if "bench" in objs.columns else [F.lit(None).cast("string").alias("bench")]))
+    text = assemble_pages(pages, key_col=page_key_col, sep="\n", drop_empty=True) \
+        .withColumnRenamed(page_key_col, "key")
+    return (objs.join(text, "key", "left")
+            .select("key", "year", "court", "bench", F.coalesce(F.col("text"), F.lit("")).alias("text")))
+
+
 @dataclass
 class CurationOutput:
     log_path: str

@@ -85,3 +85,31 @@ def test_year_range_job_over_partitioned_metadata(spark, scratch):
     assert years == {"1995", "1996", "1997"}
     expect = meta.where(F.col("year").between("1995", "1997")).count()
     assert spark.read.parquet(out.stage_path).count() == expect
+
+
+def test_stage1_from_pdf_listing_and_pages(spark, scratch):
+    import os
+
+    from lexcurate.plans.jobs import stage1_documents
+
+    root = f"{scratch}/store"
+    files = {"data/pdf/year=1995/court=28_2/bench=aphc/a.pdf": b"%PDF a",
+             "data/pdf/year=1995/court=28_2/bench=aphc/b.PDF": b"%PDF b",
+             "data/pdf/year=1995/court=28_2/bench=aphc/c.pdf": b"",
+             "data/pdf/year=1995/court=16~20/bench=x/d.pdf": b"%PDF d"}
+    for rel, data in files.items():
+        os.makedirs(os.path.dirname(f"{root}/{rel}"), exist_ok=True)
+        with open(f"{root}/{rel}", "wb") as f:
+            f.write(data)
+    pages = spark.createDataFrame([
+        ("data/pdf/year=1995/court=28_2/bench=aphc/a.pdf", 1, "REASONS given"),
+        ("data/pdf/year=1995/court=28_2/bench=aphc/a.pdf", 0, "JUDGMENT"),
+        ("data/pdf/year=1995/court=16~20/bench=x/d.pdf", 0, "ORDER")], "doc_key string, page_no int, text string")
+    docs = stage1_documents(spark, f"{root}/data/pdf", pages, year="1995", court="28_2")
+    got = {r.key.rsplit("/", 1)[-1]: r.text for r in docs.collect()}
+    # c.pdf has zero bytes: Spark's file sources do not list it
+    assert got == {"a.pdf": "JUDGMENT\nREASONS given", "b.PDF": ""}
+    log = {r.key.rsplit("/", 1)[-1]: r for r in
+           jobs.quality.assess(docs, langid.GivenLanguage("bench"), None, allowed_langs="aphc").collect()}
+    assert log["a.pdf"].doc_type == "judgment" and log["a.pdf"].status == "ok_no_ocr"
+    assert log["b.PDF"].status == "ocr_failed" and log["b.PDF"].doc_type == "order"
