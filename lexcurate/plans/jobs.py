@@ -78,7 +78,8 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
 
     keys = quality.curated(log).select("key")
     keys = broadcast_if_small(keys, max_broadcast_keys)
-    cur = documents.join(keys, "key", "left_semi").select("key", "year", "court", "bench", "text")
+    payload = ["content"] if "content" in documents.columns else []  # the object bytes, when scanned
+    cur = documents.join(keys, "key", "left_semi").select("key", "year", "court", "bench", "text", *payload)
     writers.write_curated(cur, f"{out}/curated")
     return CurationOutput(f"{out}/logs", f"{out}/curated")
 
