@@ -112,28 +112,30 @@ class NaiveBayesDetector:
             F.inline_outer(F.element_at(F.transform(F.array(trigrams(text_col)), rows), 1)),
         )
         k = len(self.langs)
+        wcols = [self._c(i) for i in range(k)]
         sums = (occ.join(self.wide, "gram", "left")
                 .groupBy("__id").agg(F.max("__n").alias("__n"), F.max("__letters").alias("__letters"),
-                                     *[F.sum(F.coalesce(F.col(self._c(i)), F.lit(0))).alias(self._c(i))
-                                       for i in range(k)]))
-        n = F.coalesce(F.col("__n"), F.lit(0))
-        scores = F.array(*[(F.col(self._c(i)) - n * F.lit(self.base[l])).alias(l) for i, l in enumerate(self.langs)])
+                                     *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in wcols]))
+        best = self.pick(sums, "__n", "__letters", wcols)
+        return sums.select(F.col("__id").alias(id_col), best["lang"].alias("lang"), best["prob"].alias("prob"))
 
-        def pick(sc):
+    def pick(self, sums: DataFrame, n_col: str, letters_col: str, weight_cols: list[str]):
+        """struct(lang, prob) column from per-document weight sums (one column per language)."""
+        n = F.coalesce(F.col(n_col), F.lit(0))
+        scores = F.array(*[(F.coalesce(F.col(c), F.lit(0)) - n * F.lit(self.base[l]))
+                           for c, l in zip(weight_cols, self.langs)])
+
+        def best(sc):
             top = F.array_max(sc)
-            # first position of the maximum: languages are in ascending order
-            pos = F.array_position(sc, top)
+            pos = F.array_position(sc, top)  # first maximum: languages are in ascending order
             z = F.aggregate(sc, F.lit(0.0), lambda acc, x: acc + F.exp((x - top) / F.lit(float(SCALE))))
             return F.struct(F.element_at(F.array(*[F.lit(l) for l in self.langs]), pos.cast("int")).alias("lang"),
                             (F.lit(1.0) / z).alias("prob"))
 
-        best = F.element_at(F.transform(F.array(scores), pick), 1)
-        letters = F.coalesce(F.col("__letters"), F.lit(False))
-        return sums.select(
-            F.col("__id").alias(id_col),
-            F.when(letters, best["lang"]).alias("lang"),
-            F.when(letters, best["prob"]).otherwise(F.lit(0.0)).alias("prob"),
-        )
+        b = F.element_at(F.transform(F.array(scores), best), 1)
+        letters = F.coalesce(F.col(letters_col), F.lit(False))
+        return F.struct(F.when(letters, b["lang"]).alias("lang"),
+                        F.when(letters, b["prob"]).otherwise(F.lit(0.0)).alias("prob"))
 
     def languages(self, docs: DataFrame, id_col: str, text_col: str, out_col: str) -> DataFrame:
         """(id, out_col struct<lang, prob>), to be joined onto a text-free frame."""
