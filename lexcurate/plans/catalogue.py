@@ -326,6 +326,22 @@ def q_log_roundtrip(spark, sf):
     return back.select("key", "status", "doc_type", "did_ocr")
 
 
+def q_document_log_stream(spark, sf):
+    """Stage 1 through Structured Streaming: the stage-1 documents land as
+    parquet files, an ``availableNow`` file stream drains them one file per
+    micro-batch, and the appended log is read back. Equals the batch log."""
+    from lexcurate.streaming.incremental import curation_stream
+
+    base = _scratch(spark)
+    docs = _stage1_docs(spark, sf).select("key", "year", "court", "bench", "text", "lang")
+    docs.repartition(4, "key").write.parquet(f"{base}/landing")
+    q = curation_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint",
+                        langid.GivenLanguage("lang"), SI.repaired_text(spark, sf), max_files_per_trigger=1,
+                        min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED)
+    q.awaitTermination()
+    return _flat_log(spark.read.parquet(f"{base}/out/log"))
+
+
 QUERIES = {
     "scan_partition": q_scan_partition,
     "doc_type_latin": q_doc_type_latin,
@@ -335,6 +351,7 @@ QUERIES = {
     "document_log": q_document_log,
     "document_log_multi": q_document_log_multi,
     "document_log_models": q_document_log_models,
+    "document_log_stream": q_document_log_stream,
     "curated": q_curated,
     "word_ratio": q_word_ratio,
     "token_count": q_token_count,

@@ -436,6 +436,7 @@ FROM doclog"""
 SELECT key, status, word_ratio_before, lang_before, prob_before, word_ratio_after, lang_after, prob_after, did_ocr, doc_type
 FROM doclog"""
     q["document_log_models"] = document_log_models_sql()
+    q["document_log_stream"] = q["document_log"]  # the stream must equal the batch log
     q["repair_status"] = log + "\nSELECT status, did_ocr, count(*) AS n_docs FROM doclog GROUP BY status, did_ocr"
     q["curated"] = log + f"""
 SELECT key, year, court, bench, status FROM doclog
