@@ -65,3 +65,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written stage tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 64 << 20,
+                   min_partitions: int = 200) -> dict:
+    """Partition sizing for a run over ``input_bytes`` of document text.
+
+    Text work is CPU-bound (regex passes, the chunk fold), so splits and
+    shuffle partitions aim at ~64 MB of text each rather than the 128 MB scan
+    default: at 100 TB that is ~1.6 million scan splits and as many shuffle
+    partitions for the one text shuffle of stage 2, each well inside an
+    executor's memory. Values the session already sets explicitly win.
+    """
+    parts = max(min_partitions, -(-input_bytes // target_partition_bytes))
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        # a single PDF larger than this fails the scan instead of exhausting a task
+        "spark.sql.sources.binaryFile.maxLength": str(256 << 20),
+    }
+    applied = {}
+    for k, v in wanted.items():
+        if spark.conf.get(k, None) in (None, "") or k == "spark.sql.shuffle.partitions":
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied

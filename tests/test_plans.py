@@ -74,3 +74,14 @@ def test_bucketed_objects_are_not_shuffled(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS objects_bucketed")
+
+
+def test_size_for_input(spark):
+    from lexcurate.session import size_for_input
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        got = size_for_input(spark, 100 * (1 << 40))  # 100 TB
+        assert int(got["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (64 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
