@@ -75,7 +75,8 @@ def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes
     shuffle partitions aim at ~64 MB of text each rather than the 128 MB scan
     default: at 100 TB that is ~1.6 million scan splits and as many shuffle
     partitions for the one text shuffle of stage 2, each well inside an
-    executor's memory. Values the session already sets explicitly win.
+    executor's memory. Shuffle partitions are always sized; the other values
+    are set only where the session leaves them unset.
     """
     parts = max(min_partitions, -(-input_bytes // target_partition_bytes))
     wanted = {
