@@ -64,7 +64,9 @@ def letter_tokens(text) -> Column:
     """
     letters_only = F.regexp_replace(F.coalesce(_col(text), F.lit("")),
                                     r"[^\p{L}" + WHITESPACE_CLASS[1:-1] + "]", "")
-    return F.regexp_extract_all(F.lower(letters_only), F.lit(r"\p{L}{2,}"), 0)
+    # marks can only come from lower-casing here (e.g. U+0130 -> i + U+0307),
+    # and they stay part of their token, as in lower-casing word by word
+    return F.regexp_extract_all(F.lower(letters_only), F.lit(r"[\p{L}\p{M}]{2,}"), 0)
 
 
 def word_ratio_heuristic(text) -> Column:

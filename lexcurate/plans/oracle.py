@@ -45,7 +45,7 @@ def word_count(x: str) -> str:
 def letter_tokens(x: str) -> str:
     cls = lit("[^\\p{L}" + WHITESPACE_CLASS[1:-1] + "]")
     return (f"regexp_extract_all(lower(regexp_replace(coalesce({x}, ''), {cls}, '', 'g')), "
-            f"{lit('\\p{L}{2,}')})")
+            f"{lit('[\\p{L}\\p{M}]{2,}')})")
 
 
 def word_ratio(x: str) -> str:

@@ -42,3 +42,14 @@ def test_word_ratio_agrees_with_python_on_documents(spark):
     for r in rows:
         assert r.n == len(r.text.split())
         assert r.r == pytest.approx(py_ratio(r.text), abs=1e-12)
+
+
+def test_letter_tokens_follow_word_by_word_lowering(spark):
+    samples = ["İSTANBUL İzmir", "Ünİ ab", "x1y2z Ǆemal", "café naïve", "ΣΊΣΥΦΟΣ σοφός"]
+
+    def py_tokens(text):
+        toks = ["".join(c for c in raw if c.isalpha()).lower() for raw in text.split()]
+        return [t for t in toks if len(t) >= 2]
+
+    got = one(spark, T.letter_tokens, samples)
+    assert [list(g) for g in got] == [py_tokens(s) for s in samples]
