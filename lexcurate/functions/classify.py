@@ -24,9 +24,26 @@ PROCEDURAL_MAX_WORDS = 1000  # strictly less than
 SHORT_MAX_WORDS = 300        # strictly less than
 
 
+# A word boundary over Python's word characters (letters, digits, underscore).
+# Java's ``(?U)\\b`` would also count combining marks as word characters.
+_W = r"[\p{L}\p{N}_]"
+WORD_BOUNDARY = rf"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
+
+
+def _python_boundaries(p: str) -> str:
+    """``\\b`` of a pattern as Python's boundary. A ``\\b`` before a leading
+    (after a trailing) letter or digit only needs the other side checked."""
+    b = chr(92) + "b"
+    if p.startswith(b) and len(p) > 2 and (p[2].isalnum() or p[2] == "_"):
+        p = f"(?<!{_W})" + p[2:]
+    if p.endswith(b) and len(p) > 2 and (p[-3].isalnum() or p[-3] == "_") and p[-4:-2] != chr(92) * 2:
+        p = p[:-2] + f"(?!{_W})"
+    return p.replace(b, WORD_BOUNDARY)
+
+
 def head_regex(patterns: list[str]) -> str:
-    """One alternation; ``(?U)`` keeps ``\\b`` Unicode-aware as in Python."""
-    return "(?U)" + "|".join(f"(?:{p})" for p in patterns)
+    """One alternation of the head patterns, ``\\b`` as Python's Unicode word boundary."""
+    return "|".join(f"(?:{_python_boundaries(p)})" for p in patterns)
 
 
 def phrase_regex(phrases: list[str]) -> str:

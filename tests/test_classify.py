@@ -73,3 +73,10 @@ def test_matches_brute_force_on_prefixed_documents(spark):
     for lex in ("latin", "multi"):
         rows = docs.select("text", doc_type(F.col("text"), lex).alias("d")).collect()
         assert all(r.d == brute(r.text, lex) for r in rows)
+
+
+def test_word_boundary_follows_python_with_marks_and_digits(spark):
+    texts = ["JUDGMENT́ x", "XJUDGMENT", "JUDGMENT1", "_ORDER_", "ORDERन", "(ORDER)", "ÉORDER",
+             "DECISION् y"]
+    for lex in ("latin", "multi"):
+        assert classify(spark, texts, lex) == [brute(t, lex) for t in texts]
