@@ -12,8 +12,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     alone; a single small file (one row group, one task) is spread so per-row
     text work is not serialised on one core.
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # a Spark Connect session has no RDD view: leave the plan as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)

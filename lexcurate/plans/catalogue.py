@@ -311,7 +311,10 @@ def q_year_range_run(spark, sf):
 def _scratch(spark) -> str:
     from lexcurate.session import scratch_path
 
-    return scratch_path(spark, "catalogue-" + uuid.uuid4().hex[:12])
+    import tempfile
+
+    base = scratch_path(spark, "catalogue-" + uuid.uuid4().hex[:12])
+    return base if not base.startswith("/catalogue-") else tempfile.mkdtemp(prefix="catalogue-", dir="/tmp")
 
 
 def q_log_roundtrip(spark, sf):

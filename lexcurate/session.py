@@ -52,13 +52,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names; a scratch folder only when unset (tests)."""
-    conf = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    conf = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="lexcurate-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf)
+        except Exception:  # a core setting some sessions refuse at runtime; the context still gets it
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
