@@ -59,7 +59,7 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
                  repaired: DataFrame | None = None, *, min_ratio: float = quality.DEFAULT_MIN_WORD_RATIO,
                  allowed_langs: str = quality.DEFAULT_ALLOWED_LANGS, lexicon: str = "latin",
                  fix_fused: bool = False, classify_on: str = "before", fetch_error_col: str | None = None,
-                 max_broadcast_keys: int = 5_000_000) -> CurationOutput:
+                 freq: DataFrame | None = None, max_broadcast_keys: int = 5_000_000) -> CurationOutput:
     """E1 over ``documents`` (key, year, court, bench, text [, fetch error]).
 
     Writes the per-document log (K2, JSON lines under year=/court=) and the
@@ -68,7 +68,7 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
     out = out_root.rstrip("/")
     log = quality.assess(documents, detector, repaired, min_ratio=min_ratio, allowed_langs=allowed_langs,
                          lexicon=lexicon, fix_fused=fix_fused, classify_on=classify_on,
-                         fetch_error_col=fetch_error_col, keep=("year", "court", "bench"))
+                         fetch_error_col=fetch_error_col, keep=("year", "court", "bench"), freq=freq)
     # stage table: the log, written once (parquet keeps structs exact)
     stage = f"{out}/stage/log"
     log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
