@@ -113,3 +113,16 @@ def test_stage1_from_pdf_listing_and_pages(spark, scratch):
            jobs.quality.assess(docs, langid.GivenLanguage("bench"), None, allowed_langs="aphc").collect()}
     assert log["a.pdf"].doc_type == "judgment" and log["a.pdf"].status == "ok_no_ocr"
     assert log["b.PDF"].status == "ocr_failed" and log["b.PDF"].doc_type == "order"
+
+
+def test_curation_job_with_trained_models(spark, scratch):
+    from lexcurate.operators import frequency
+
+    docs = SI.stage1_objects(spark, SF_SMALL).where(F.lower("key").endswith(".pdf"))
+    det = langid.NaiveBayesDetector(langid.train_profiles(SI.table(spark, SF_SMALL, "documents")))
+    freq = frequency.frequency_list(SI.table(spark, SF_SMALL, "benchmark"))
+    out = jobs.run_curation(spark, docs, scratch, det, SI.repaired_text(spark, SF_SMALL), freq=freq,
+                            min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED, lexicon="multi")
+    logs = spark.read.json(out.log_path)
+    assert logs.count() == docs.count()
+    assert logs.where(F.col("lang_before").isNull()).count() == 0
