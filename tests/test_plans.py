@@ -85,3 +85,31 @@ def test_size_for_input(spark):
         assert int(got["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (64 << 20)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_keys_are_combined_map_side(spark):
+    """One case number / one run holding a third of all rows: both reductions
+    are partial aggregates inside each task before the shuffle."""
+    from pyspark.sql import functions as F
+
+    from lexcurate.operators import stats, upsert
+
+    n = 3000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("C"), F.col("id").cast("string"))).alias("pk"),
+        F.lit("HC_DOC_METADATA").alias("sk"), F.col("id").cast("string").alias("s3_key"),
+        F.col("id").alias("v"))
+    latest = upsert.latest(rows, ["pk", "sk"], ["s3_key"])
+    assert "partial_max_by" in plan(latest)
+    assert latest.count() == 1 + 2 * n // 3
+
+    recs = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("1999")).otherwise((F.col("id") % 50).cast("string")).alias("year"),
+        F.lit("c").alias("court_code"), F.lit("b").alias("bench"), F.lit("X").alias("court_name"),
+        F.lit("success").alias("outcome"), F.lit(True).alias("has_cnr"),
+        F.lit(10).cast("long").alias("token_count"), F.lit(1).cast("long").alias("chunk_count"))
+    st = stats.run_stats(recs)
+    p = plan(st)
+    assert "partial_count" in p and "partial_sum" in p
+    hot = st.where(F.col("year") == "1999").first()
+    assert hot.total_documents_attempted == n // 3  # other rows have years "0".."49"
