@@ -86,6 +86,28 @@ def chunk_array(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int = DEFAU
     return F.element_at(F.transform(bound, build), 1)
 
 
+def chunks_and_tokens(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int = DEFAULT_OVERLAP,
+                      counter=token_count) -> Column:
+    """struct(chunks array, tokens long) from one sentence split and one count per sentence.
+
+    For an additive counter (the default: tokens never span whitespace, and
+    sentences split only at whitespace) the document's token count is the
+    sum of its sentences' counts, so the text is not scanned a second time.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+
+    def build(x):
+        S, T = x["S"], x["T"]
+        chunks = F.transform(_bounds(T, max_tokens, overlap),
+                             lambda b: F.array_join(F.slice(S, b["s"] + 1, b["e"] - b["s"] + 1), " "))
+        total = F.aggregate(T, F.lit(0).cast("long"), lambda acc, t: acc + t.cast("long"))
+        return F.struct(chunks.alias("chunks"), total.alias("tokens"))
+
+    bound = F.transform(F.array(split_sentences(text)),
+                        lambda s: F.struct(s.alias("S"), F.transform(s, lambda x: counter(x)).alias("T")))
+    return F.element_at(F.transform(bound, build), 1)
+
+
 def chunk(df: DataFrame, text_col: str = "text", max_tokens: int = DEFAULT_MAX_TOKENS,
           overlap: int = DEFAULT_OVERLAP, keep=("*",), counter=token_count,
           chunk_id_col: str = "chunk_id", content_col: str = "content",

@@ -104,14 +104,21 @@ def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = c
     cnr = F.col("cnr") if "cnr" in meta.columns else F.lit(None).cast("string")
 
     carried = [c for c in recs.columns if c != "skipped"]
+    if counter is token_count:
+        # additive counter: the token count is the sum of the sentence counts
+        # the chunk fold computes anyway (one pass over the text, not two)
+        both = F.when(ok, chunking.chunks_and_tokens(F.col("__text"), max_tokens, overlap, counter))
+        per_doc = [both["tokens"].alias("token_count"), both["chunks"].alias("chunks")]
+    else:
+        per_doc = [F.when(ok, counter(F.col("__text"))).alias("token_count"),
+                   F.when(ok, chunking.chunk_array(F.col("__text"), max_tokens, overlap, counter)).alias("chunks")]
     docs = looked.select(
         *carried,
         outcome.alias("outcome"),
         message.alias("error_message"),
         title.alias("run_title"),
         M.has_cnr(cnr).alias("has_cnr"),
-        F.when(ok, counter(F.col("__text"))).alias("token_count"),
-        F.when(ok, chunking.chunk_array(F.col("__text"), max_tokens, overlap, counter)).alias("chunks"),
+        *per_doc,
     )
     docs = docs.withColumn("chunk_count", F.when(F.col("outcome") == SUCCESS, F.size("chunks").cast("long")))
     skipped = recs.where(F.col("skipped")).select(*carried, F.lit(SKIPPED).alias("outcome"))
