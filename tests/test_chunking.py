@@ -94,3 +94,14 @@ def test_fold_equals_loop_random_layouts(spark):
         assert [got[i] for i in range(len(rows))] == expected
 
     check()
+
+
+def test_sentence_token_sum_equals_text_count(spark):
+    from tests.conftest import SF_SMALL
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text")
+    odd = spark.createDataFrame([("A.\u001eB! c? d. e f.  ",), ("",), ("...",), ("x" * 5 + ". \x1c y",)],
+                                "text string")
+    for df in (docs, odd):
+        rows = df.select(T.token_count("text").alias("n"), CH.chunks_and_tokens("text", 200, 40).alias("ct")).collect()
+        assert all(r.n == r.ct.tokens for r in rows)
