@@ -405,18 +405,6 @@ RUN = "year, court_code, bench, court_name"
 _ITEM_COLS = "pk, sk, s3_key, doc_id, title, court, decision_date, date_of_registration, pdf_link, priority, year, court_code, bench"
 
 
-def _profiles_sql() -> str:
-    return """
-norm AS (
-  SELECT doc_id, lang, ' ' || regexp_replace(lower(coalesce(text, '')), '\\P{L}+', ' ', 'g') || ' ' AS t FROM documents
-),
-grams AS (
-  SELECT doc_id, lang, substring(t, i, 3) AS gram
-  FROM (SELECT doc_id, lang, t, unnest(range(1, length(t) - 1)) AS i FROM norm)
-),
-profiles AS (SELECT lang, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY lang, gram)"""
-
-
 def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_partition"] = "WITH " + LISTING.strip() + """
@@ -470,28 +458,10 @@ agg AS (SELECT doc_id, count(*) AS total, count(*) FILTER (WHERE token IN (SELEC
         FROM dt GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN coalesce(a.total, 0) > 0 THEN a.good::DOUBLE / a.total::DOUBLE ELSE 0.0 END AS word_ratio
 FROM documents d LEFT JOIN agg a ON a.doc_id = d.doc_id"""
-    prof = "WITH " + _profiles_sql().strip()
-    q["lang_profiles"] = prof + "\nSELECT lang, gram, n FROM profiles"
-    q["detect_language"] = prof + f""",
-vocab AS (SELECT count(DISTINCT gram) AS v FROM profiles),
-base AS (SELECT lang, CAST(round(ln(sum(n) + (SELECT v FROM vocab)) * {SCALE}) AS BIGINT) AS base FROM profiles GROUP BY lang),
-weights AS (SELECT lang, gram, CAST(round(ln(n + 1) * {SCALE}) AS BIGINT) AS w FROM profiles),
-dgram AS (SELECT doc_id, gram, count(*) AS k FROM grams GROUP BY doc_id, gram),
-dn AS (SELECT doc_id, max(length(t)) - 2 AS n, max(regexp_matches(t, '\\p{{L}}')::INT) = 1 AS letters FROM norm GROUP BY doc_id),
-sc AS (
-  SELECT dn.doc_id, b.lang, dn.letters,
-         coalesce((SELECT sum(dg.k * w.w) FROM dgram dg JOIN weights w ON w.gram = dg.gram
-                   WHERE dg.doc_id = dn.doc_id AND w.lang = b.lang), 0) - dn.n * b.base AS score
-  FROM dn, base b
-),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang ASC) AS rk,
-         exp((score - max(score) OVER (PARTITION BY doc_id)) / {float(SCALE)}) AS e
-  FROM sc
-)
-SELECT doc_id, CASE WHEN letters THEN lang END AS lang,
-       round(CASE WHEN letters THEN e / (SELECT sum(e) FROM ranked r2 WHERE r2.doc_id = ranked.doc_id) ELSE 0.0 END, 6) AS prob
-FROM ranked WHERE rk = 1"""
+    model = "WITH " + _model_cte().strip()
+    q["lang_profiles"] = model + "\nSELECT lang, gram, n FROM p_prof"
+    q["detect_language"] = model + ",\nsrc AS (SELECT doc_id AS id, text FROM documents)," + \
+        _detect_cte("det", "src") + "\nSELECT id AS doc_id, lang, round(prob, 6) AS prob FROM det"
 
     meta = "WITH " + METADATA.strip()
     q["object_key"] = meta + "\nSELECT doc_id, year, court_code, bench, year_val, filename, s3_key FROM keyed WHERE NOT skipped"
