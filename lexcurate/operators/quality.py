@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lexcurate.functions.classify import doc_type as classify
 from lexcurate.functions.text import is_blank, word_ratio_heuristic
 from lexcurate.operators.broadcast import materialize
+from lexcurate.operators.langid import LANG_TYPE
 
 DEFAULT_MIN_WORD_RATIO = 0.6
 DEFAULT_ALLOWED_LANGS = "en,hi,te,mr"
@@ -143,7 +144,7 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
         joined = small.join(rep, "key", "left")
     else:
         joined = small.select("*", F.lit(None).cast("double").alias("a_word_ratio"),
-                              F.lit(None).cast("struct<lang:string,prob:double>").alias("a_lang"),
+                              F.lit(None).cast(LANG_TYPE).alias("a_lang"),
                               F.lit(None).cast("boolean").alias("__repaired"),
                               F.lit(None).cast("string").alias("__rdoc_type"))
 
