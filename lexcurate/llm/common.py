@@ -7,9 +7,7 @@ Every intermediate table lives under the folder the session names in
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +15,8 @@ from lexcurate.session import scratch_path
 
 #: Rows of one Arrow batch. Texts may be long; a batch of them must fit a Python worker.
 BATCH_ROWS = 256
+#: The key column of documents, and the largest side (narrow rows, at most 64 bytes each) that is broadcast.
+KEY, BROADCAST_ROWS = "__key", 250_000
 #: Scratch folders of the running job, so that a pipeline can drop those of stages already written.
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
@@ -57,23 +57,35 @@ def drop_scratch() -> None:
         delete(*_SCRATCH.pop())
 
 
-def with_row_key(docs: DataFrame, *keep: str) -> DataFrame:
-    """``docs`` as (row_key, doc_id, text, *keep) with a unique non-null row_key.
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique non-null key column ``__key``.
 
     The key is doc_id where that is unique and never null. Otherwise (repeated
     or null ids) the rows get a surrogate, fixed by writing them once.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                       *keep)
+    if KEY in docs.columns:
+        return docs
     n, known = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
-    repeated = n != known or bool(docs.groupBy("doc_id").count().where("count > 1").limit(1).count())
-    if not repeated:
-        return slim.withColumn("row_key", F.col("doc_id"))
-    return table(slim.withColumn("row_key", F.monotonically_increasing_id()), "row-keys")
+    if n == known and not docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return docs.withColumn(KEY, F.col("doc_id").cast("long"))
+    return table(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def texts(docs: DataFrame) -> DataFrame:
+    """(row_key, doc_id, text) of keyed documents; null text is empty."""
+    return keyed(docs).select(F.col(KEY).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"),
+                              F.coalesce("text", F.lit("")).alias("text"))
+
+
+def sized(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (narrow rows, materialised) broadcast if it has at most ``most_rows`` rows; else left to a shuffled join."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of keyed ``docs`` whose key isn't in ``dropped`` (row_key), without the key column."""
+    gone = sized(table(dropped.select(F.col("row_key").alias(KEY)), "dropped"))
+    return docs.join(gone, KEY, "left_anti").drop(KEY)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

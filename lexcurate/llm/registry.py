@@ -1,11 +1,20 @@
 """Registered queries of the training-data operators and the SQL they are checked against."""
 
-from lexcurate.llm import bpe, packing, token_counts
+from lexcurate.llm import bpe, exact_dedup, minhash, packing, quality, token_counts, topk, url_filters
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_url_filters": url_filters.op2_url_filters,
+    "op3_topk": topk.op3_topk,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_bpe": bpe.op6_bpe,
+    "op7_minhash": minhash.op7_minhash,
+    "op9_quality": quality.op9_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_url_filters": url_filters.OP2_SQL,
+    "op3_topk": topk.OP3_SQL,
+    "op5_exact_dedup": exact_dedup.OP5_SQL,
+}
