@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators and the SQL they are checked against."""
 
-from lexcurate.llm import bpe, exact_dedup, minhash, packing, quality, suffix_dedup, token_counts, topk, url_filters
+from lexcurate.llm import bpe, exact_dedup, maxent_lm, minhash, packing, quality, suffix_dedup, token_counts, topk, url_filters
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_bpe": bpe.op6_bpe,
     "op7_minhash": minhash.op7_minhash,
+    "op8_lm_scores": maxent_lm.op8_lm_scores,
     "op9_quality": quality.op9_quality,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
