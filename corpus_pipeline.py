@@ -1,17 +1,65 @@
-"""Corpus pipeline: documents to packed sequences, one operator a stage."""
+"""Corpus pipeline: from documents to packed sequences in five stages.
 
-ORACLE_SQL = None
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of
+``docs``, except the last, which returns the pieces of packed sequences. What a
+stage returns is written as Parquet and read back as the next one's docs.
 
+1. quality       documents that the quality classifier rejects go
+2. exact_dedup   of equal texts (white space aside) one row stays
+3. near_dedup    of each class of near-duplicates one row stays
+4. suffix_dedup  byte strings of 400 and more that occur elsewhere are cut out
+5. packing       what is left is encoded and packed into sequences of 2048 tokens
+"""
 
-def pack(spark, docs, sf_dir):
-    from lexcurate.llm import common, packing
+from lexcurate.llm import common, exact_dedup, minhash, packing, quality, suffix_dedup
+
+#: No SQL: the classifier and the tokenizer can't be expressed; tests compare the stages with brute force.
+ORACLE_SQL = None
 
+
+def _begin(spark, docs):
+    """The stage before is written out, so its scratch tables can go, unless ``docs`` still reads them."""
     common.configure(spark)
+    if not any("/llm-" in path for path in docs.inputFiles()):
+        common.drop_scratch()
+
+
+def keep_good(spark, docs, sf_dir):
+    _begin(spark, docs)
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def keep_one_exact(spark, docs, sf_dir):
+    _begin(spark, docs)
+    return exact_dedup.keep_one(docs)
+
+
+def keep_one_near(spark, docs, sf_dir):
+    _begin(spark, docs)
+    return minhash.keep_one(docs)
+
+
+def cut_repeats(spark, docs, sf_dir):
+    _begin(spark, docs)
+    return suffix_dedup.without_repeats(docs)
+
+
+def pack(spark, docs, sf_dir):
+    _begin(spark, docs)
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [("quality", keep_good), ("exact_dedup", keep_one_exact), ("near_dedup", keep_one_near),
+          ("suffix_dedup", cut_repeats), ("packing", pack)]
 
 
 def run(spark, sf_dir):
-    return pack(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    """All stages over ``documents``. Tables between stages lie in the folder of spark.checkpoint.dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            path = common.stage_path(spark, name)
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

@@ -37,6 +37,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a pipeline stage's output; it isn't dropped with the scratch tables."""
+    return scratch_path(spark, f"stage-{name}-{uuid.uuid4().hex}")
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, and
     a lost executor re-reads files instead of repeating the lineage."""
