@@ -29,6 +29,8 @@ from lexcurate.llm import common
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Preallocated log files would take several MB for each partition of the state.
+PREALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 #: Files of narrow rows that one micro-batch takes.
 FILES_A_BATCH = 4096
 
@@ -45,12 +47,15 @@ def order() -> Column:
 
 @contextmanager
 def _rocksdb(spark: SparkSession):
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    wanted = {PROVIDER: ROCKSDB, PREALLOCATE: "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
 
 
 def digest_state(rows: DataFrame, path: str, files_a_batch: int = FILES_A_BATCH) -> DataFrame:
