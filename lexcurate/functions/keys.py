@@ -32,7 +32,9 @@ def key_year(decision_date, run_year, dtype: str = "string") -> Column:
     run = _c(run_year).cast("string")
     if dtype in ("date", "timestamp"):
         return F.coalesce(F.year(d).cast("string"), F.lit("None"))
-    parsed = F.year(F.try_to_date(d, "yyyy-M-d")).cast("string")
+    # what strptime takes: four digits of a year from 1 on, month and day of one or two digits
+    strict = F.when(d.rlike(r"^\d{4}-(1[0-2]|0?[1-9])-\d{1,2}$"), F.year(F.try_to_date(d, "yyyy-M-d")))
+    parsed = F.when(strict > 0, strict).cast("string")
     return F.when(d.isNull() | (d == ""), F.lit("None")).otherwise(F.coalesce(parsed, run))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexcurate.functions.text import letter_tokens
-from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, materialize
+from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bytes, materialize
 
 DEFAULT_ZIPF_CUT = 2.0
 
@@ -39,13 +39,13 @@ def known_words(freq: DataFrame, cut: float = DEFAULT_ZIPF_CUT) -> DataFrame:
 
 
 def word_ratio_freq(docs: DataFrame, freq: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    cut: float = DEFAULT_ZIPF_CUT, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    cut: float = DEFAULT_ZIPF_CUT, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                     materialize_known: bool = True) -> DataFrame:
     """(id, word_ratio): share of a document's tokens that are known words; 0.0 without tokens."""
     known = known_words(freq, cut).withColumn("__known", F.lit(1))
     if materialize_known:
         known = materialize(known)
-    small = known.count() <= max_broadcast_rows
+    small = broadcast_bytes(known) <= max_broadcast_bytes
     toks = docs.select(F.col(id_col).alias("__id"), F.explode_outer(letter_tokens(text_col)).alias("token"))
     if small:
         # every occurrence is flagged in the scan stage; only per-document

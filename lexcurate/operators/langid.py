@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, materialize
+from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bytes, materialize
 
 SCALE = 1_000_000  # fixed-point unit of log-probabilities
 LANG_TYPE = "struct<lang:string,prob:double>"
@@ -31,7 +31,7 @@ LANG_TYPE = "struct<lang:string,prob:double>"
 
 def normalized(text) -> Column:
     text = F.col(text) if isinstance(text, str) else text
-    body = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\P{L}+", " ")
+    body = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+", " ")
     return F.concat(F.lit(" "), body, F.lit(" "))
 
 
@@ -74,14 +74,12 @@ class NaiveBayesDetector:
 
     inline = False
 
-    def __init__(self, profiles: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 materialize_model: bool = True, max_languages: int = 1000):
+    def __init__(self, profiles: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                 materialize_model: bool = True):
         if materialize_model:
             profiles = materialize(profiles)  # trained once; weights and normalisers read it
         weights, base = model_weights(profiles)
         # one (label, normaliser) pair per language: model parameters, not data
-        if base.count() > max_languages:
-            raise ValueError(f"more than {max_languages} language labels: not a language model")
         params = base.orderBy("lang").collect()
         self.langs = [r.lang for r in params]
         self.base = {r.lang: int(r.base) for r in params}
@@ -90,7 +88,7 @@ class NaiveBayesDetector:
                                      for i, l in enumerate(self.langs)])
         if materialize_model:
             wide = materialize(wide)
-        self.small = wide.count() <= max_broadcast_rows
+        self.small = broadcast_bytes(wide) <= max_broadcast_bytes
         self.wide = F.broadcast(wide) if self.small else wide
 
     @staticmethod

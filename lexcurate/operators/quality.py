@@ -95,24 +95,32 @@ def score(df: DataFrame, detector, key_col: str, text_col: str, prefix: str,
     return small
 
 
+def one_repair(repaired: DataFrame) -> DataFrame:
+    """One row per key, so that a key with several repaired rows gets one log row."""
+    rest = [c for c in repaired.columns if c != "key"]
+    return repaired.groupBy("key").agg(F.max(F.struct(*rest)).alias("__r")).select("key", *[F.col(f"__r.{c}") for c in rest])
+
+
 def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
            min_ratio: float = DEFAULT_MIN_WORD_RATIO,
            allowed_langs=DEFAULT_ALLOWED_LANGS, lexicon: str = "latin",
            fix_fused: bool = False, classify_on: str = "before",
            key_col: str = "key", text_col: str = "text",
            fetch_error_col: str | None = None, keep: tuple[str, ...] = (),
-           ratio_fn=word_ratio_heuristic, restrict_repairs: bool = False,
-           freq: DataFrame | None = None) -> DataFrame:
+           ratio_fn=word_ratio_heuristic, restrict_repairs: bool = True,
+           freq: DataFrame | None = None, upload_error_col: str | None = None) -> DataFrame:
     """E1 core: exactly one log row per input document.
 
     ``docs`` has ``key``, ``text`` (and optionally a fetch-error column);
     ``repaired`` has ``key``, ``text``: the repaired (OCR) text of documents
-    that went through repair. Repaired scores are used for garbled rows only,
-    so the repaired table is joined as is; ``restrict_repairs=True`` scores
-    only the garbled keys' texts, for a table that also holds texts of
-    documents that passed. The document text never crosses a shuffle: the
+    that went through repair. Only garbled rows have use for them, so the scores are
+    written out once and only the texts of garbled keys are scored
+    (``restrict_repairs=False`` scores them all, for a table that is known to
+    hold no others). Of several repaired rows of a key the greatest text counts. The document text never crosses a shuffle: the
     joins carry keys and scores only.
     ``classify_on="after"`` types a repaired document on its repaired text.
+    ``upload_error_col``: what the curated store answered when the document was
+    copied; a document that was to be copied gets the status ``upload_failed: ...``.
     ``freq`` (a frequency list, T2b) switches the word ratio to the
     known-word ratio (T2), as when the reference has its word list installed.
     """
@@ -120,7 +128,8 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
     err = F.col(fetch_error_col) if fetch_error_col else F.lit(None).cast("string")
     passthrough = [c for c in getattr(detector, "input_cols", ()) if c not in keep]
     base = docs.select(F.col(key_col).alias("key"), *keep, *passthrough, F.col(text_col).alias("__text"),
-                       err.alias("__fetch_error"))
+                       err.alias("__fetch_error"),
+                       (F.col(upload_error_col) if upload_error_col else F.lit(None).cast("string")).alias("__upload_error"))
     small = score(base, detector, "key", "__text", "b_", ratio_fn, freq=freq, extra=(
         is_blank(F.col("__text")).alias("__blank"),
         classify(F.col("__text"), lexicon, fix_fused).alias("__doc_type"),
@@ -137,9 +146,11 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
             small = materialize(small)
             need = small.where(F.col("__garbled") & F.col("__fetch_error").isNull()).select("key")
             rep = rep.join(need, "key", "left_semi")
+        rep = one_repair(rep)
         rep = score(rep, detector, "key", "__rtext", "a_", ratio_fn, freq=freq, extra=(
             F.lit(True).alias("__repaired"),
-            classify(F.col("__rtext"), lexicon, fix_fused).alias("__rdoc_type"),
+            (classify(F.col("__rtext"), lexicon, fix_fused) if classify_on == "after"
+             else F.lit(None).cast("string")).alias("__rdoc_type"),
         )).select("key", "a_word_ratio", "a_lang", "__repaired", "__rdoc_type")
         joined = small.join(rep, "key", "left")
     else:
@@ -154,9 +165,12 @@ def assess(docs: DataFrame, detector, repaired: DataFrame | None = None, *,
     st = F.when(failed_fetch, F.concat(F.lit(DOWNLOAD_FAILED), F.col("__fetch_error"))) \
         .otherwise(status(F.col("__garbled"), repaired_ok, accepted))
     dt = F.col("__doc_type")
+    refused = F.col("__upload_error").isNotNull()
     if classify_on == "after":
         dt = F.when(repaired_ok, F.col("__rdoc_type")).otherwise(dt)
 
+    st = F.when(refused & curation_gate(dt, st), F.concat(F.lit(UPLOAD_FAILED), F.col("__upload_error"))).otherwise(st)
+
     def unless_failed(c):
         return F.when(~failed_fetch, c)
 

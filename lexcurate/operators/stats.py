@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexcurate.plans.indexing import (EMPTY_TEXT, EXTRACTION_ERROR, KEY_NOT_FOUND, RUN_KEYS, SKIPPED,
+from lexcurate.plans.indexing import (EMPTY_TEXT, EXTRACTION_ERROR, FAILURES, KEY_NOT_FOUND, RUN_KEYS, SKIPPED,
                                       SUCCESS)
 
 
@@ -29,7 +29,7 @@ def run_stats(records: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
     per_run = counted.groupBy(*RUN_KEYS, "court_name").agg(
         F.count(F.lit(1)).alias("total_documents_attempted"),
         F.count_if(ok).alias("successful_documents"),
-        F.count_if(o.isin(EXTRACTION_ERROR, EMPTY_TEXT)).alias("failed_documents"),
+        F.count_if(o.isin(*FAILURES)).alias("failed_documents"),
         F.count_if(o == EMPTY_TEXT).alias("empty_text_documents"),
         F.count_if(o == KEY_NOT_FOUND).alias("keys_not_found"),
         F.count_if(o == EXTRACTION_ERROR).alias("pdf_extraction_errors"),
@@ -42,14 +42,16 @@ def run_stats(records: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
         F.sum(F.when(ok, F.col("chunk_count"))).alias("total_chunks"),
     )
     if chunks is not None:
+        refused = F.col("upload_error") if "upload_error" in chunks.columns else F.lit(None).cast("string")
         errs = chunks.groupBy(*RUN_KEYS).agg(
-            F.count_if(F.col("data").isNull()).alias("embedding_generation_errors"))
+            F.count_if(F.col("data").isNull()).alias("embedding_generation_errors"),
+            # an embedded chunk that the vector store did not take
+            F.count_if(F.col("data").isNotNull() & refused.isNotNull()).alias("s3_upload_errors"))
         per_run = per_run.join(errs, RUN_KEYS, "left")
     else:
-        per_run = per_run.withColumn("embedding_generation_errors", F.lit(None).cast("long"))
-    per_run = per_run.withColumn(
-        "embedding_generation_errors", F.coalesce(F.col("embedding_generation_errors"), F.lit(0)).cast("long"))
-    per_run = per_run.withColumn("s3_upload_errors", F.lit(0).cast("long"))
+        per_run = per_run.withColumns({c: F.lit(None).cast("long") for c in ("embedding_generation_errors", "s3_upload_errors")})
+    per_run = per_run.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+                                   for c in ("embedding_generation_errors", "s3_upload_errors")})
     denom = F.col("total_documents_attempted") - F.col("keys_not_found")
     return per_run.withColumn(
         "success_rate_percent",
@@ -65,5 +67,5 @@ def titles(records: DataFrame) -> DataFrame:
 
 def failed_files(records: DataFrame) -> DataFrame:
     """A7 rows: {filename, error, error_message} of every failed document."""
-    return records.where(F.col("outcome").isin(EXTRACTION_ERROR, EMPTY_TEXT)).select(
+    return records.where(F.col("outcome").isin(*FAILURES)).select(
         *RUN_KEYS, "court_name", "s3_key", "filename", F.col("outcome").alias("error"), "error_message")

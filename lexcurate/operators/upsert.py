@@ -8,34 +8,46 @@ one task.
 
 ``upsert_table`` reads the current table, unions the new batch, keeps the
 latest row per key and writes a *new* version directory, never overwriting the
-path it reads; applying the same batch twice gives the same table.
+path it reads; applying the same batch twice gives the same table. A later
+batch always replaces what an earlier one wrote under a key, whatever dates
+its rows bear; the order columns decide inside one batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def upsert_date(decision_date: Column) -> Column:
+    """Ordering date of a record for last-write-wins: parsed decision date, lowest when absent."""
+    return F.coalesce(F.try_to_date(decision_date.cast("string"), "yyyy-M-d"),
+                      F.lit("0001-01-01").cast("date"))
+
+
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per ``keys``: the row with the greatest ``order`` tuple (nulls lowest)."""
+    """One row per ``keys``: the row with the greatest ``order`` tuple (nulls lowest; exact ties by a hash of the row)."""
     payload = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order])
+    ordering = F.struct(*[F.col(c) for c in order], F.xxhash64(*payload) if payload else F.lit(0))
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), ordering).alias("__row"))
             .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in payload]))
 
 
+def upserted(old: DataFrame | None, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The table after ``new`` was written over ``old``: order is (batch, ``order``)."""
+    merged = new.withColumn("__batch", F.lit(1))
+    if old is not None:
+        merged = old.withColumn("__batch", F.lit(0)).unionByName(merged, allowMissingColumns=True)
+    return latest(merged, keys, ["__batch", *order]).drop("__batch")
+
+
 def upsert_table(spark, new: DataFrame, path: str, version: str, keys: list[str], order: list[str],
                  partition_by: list[str] | None = None, current_version: str | None = None) -> str:
     """Merge ``new`` into the table at ``{path}/v={current_version}`` and write ``{path}/v={version}``."""
-    merged = new
-    if current_version is not None:
-        old = spark.read.parquet(f"{path}/v={current_version}")
-        merged = old.unionByName(new, allowMissingColumns=True)
-    out = latest(merged, keys, order)
+    old = spark.read.parquet(f"{path}/v={current_version}") if current_version is not None else None
     target = f"{path}/v={version}"
-    w = out.write.mode("overwrite")
+    w = upserted(old, new, keys, order).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)

@@ -17,23 +17,20 @@ from lexcurate.functions import text as TX
 from lexcurate.functions.classify import doc_type
 from lexcurate.functions.partitioning import spread
 from lexcurate.operators import chunking, langid, quality, stats, upsert, frequency
+from lexcurate.operators.broadcast import materialize
 from lexcurate.operators.embedding import hashing_embedder
 from lexcurate.plans import indexing, standins as SI
 from lexcurate.sources.readers import assemble_pages
 
 # --------------------------------------------------------------------------- stage 1
 
-def _listing(spark, sf):
-    return SI.stage1_objects(spark, sf)
-
-
 def _stage1_docs(spark, sf):
     """only ``.pdf`` keys (any case) are documents."""
-    return _listing(spark, sf).where(K.is_pdf(F.col("key")))
+    return SI.stage1_objects(spark, sf).where(K.is_pdf(F.col("key")))
 
 
 def q_scan_partition(spark, sf):
-    o = _listing(spark, sf)
+    o = SI.stage1_objects(spark, sf, mixed=True)
     return o.select("key", "year", "court", "bench",
                     K.partition_prefix(F.col("year"), F.col("court")).alias("prefix"),
                     K.is_pdf(F.col("key")).alias("is_pdf"))
@@ -254,8 +251,12 @@ def q_metadata_upsert(spark, sf):
 
 
 def _stats(spark, sf, meta=None):
-    r = _stage2(spark, sf, meta)
-    return stats.run_stats(r.records, r.chunks)
+    """The stage table is written once; records and chunks both read it. The vector store refuses some chunks."""
+    meta = meta if meta is not None else SI.metadata(spark, sf)
+    stage = materialize(indexing.lookup_and_chunk(meta, _objects(spark, sf)))
+    r = indexing.derive(stage, list(meta.columns), hashing_embedder(SI.TEST_EMBED_DIM))
+    refused = F.when((F.length("s3_key") + F.col("chunk_id")) % 11 == 0, F.lit("slow down"))
+    return stats.run_stats(r.records, r.chunks.withColumn("upload_error", refused))
 
 
 _RUN = ["year", "court_code", "bench", "court_name"]
@@ -300,8 +301,8 @@ def q_failed_files(spark, sf):
 
 
 def q_year_range_run(spark, sf):
-    """M1: every year from 1993 to 2025 of every court and bench in one job."""
-    meta = SI.metadata(spark, sf).where(F.col("year").cast("int").between(1993, 2025))
+    """M1: the years from 1994 to 1996 of every court and bench in one job."""
+    meta = SI.metadata(spark, sf).where(F.col("year").try_cast("int").between(1994, 1996))
     st = _stats(spark, sf, meta)
     return st.select(*_RUN, "total_documents_attempted", "successful_documents", "total_chunks")
 
@@ -311,22 +312,101 @@ def q_year_range_run(spark, sf):
 def _scratch(spark) -> str:
     from lexcurate.session import scratch_path
 
-    import tempfile
-
-    base = scratch_path(spark, "catalogue-" + uuid.uuid4().hex[:12])
-    return base if not base.startswith("/catalogue-") else tempfile.mkdtemp(prefix="catalogue-", dir="/tmp")
+    return scratch_path(spark, "catalogue-" + uuid.uuid4().hex)
 
 
 def q_log_roundtrip(spark, sf):
     """K2 -> S6 + P9: write the stage-1 log as JSON lines partitioned by
-    year / court, read it back and derive the year from the file name."""
+    year / court, read it back; the year is that of the folder."""
     from lexcurate.sinks.writers import write_log
     from lexcurate.sources.readers import read_logs
 
     out = _scratch(spark)
     write_log(_document_log(spark, sf), out)
-    back = read_logs(spark, f"{out}/year=*/court=*/*.json")
-    return back.select("key", "status", "doc_type", "did_ocr")
+    back = read_logs(spark, f"{out}/year=*/court=*/origin=*/*.json")
+    return _read_back(back)
+
+
+def _read_back(logs):
+    return logs.select("key", "status", "word_ratio_before", F.col("lang_before.lang").alias("lang_before"),
+                       "word_ratio_after", F.col("lang_after.lang").alias("lang_after"), "did_ocr", "doc_type", "log_year")
+
+
+def _foreign_logs(spark, sf) -> str:
+    """Log files as other writers leave them: pretty-printed records for 1995; else one record a line,
+    every hundredth cut short, as by a killed writer."""
+    from lexcurate.sinks.writers import log_json
+
+    out = _scratch(spark)
+    log = log_json(_document_log(spark, sf))
+    record = F.to_json(F.struct(*[c for c in log.columns if c not in ("year", "court", "bench")]), {"ignoreNullFields": "false"})
+    number = F.regexp_extract("key", r"/(\d+)\.[^/.]*$", 1).cast("long")
+    line = F.when(F.col("year") == "1995", F.regexp_replace(record, ',"', ',\n    "')) \
+        .when(number % 100 == 3, F.substring(record, 1, 60)).otherwise(record)
+    log.select("year", line.alias("value")).repartition("year").write.partitionBy("year").text(out)
+    return f"{out}/year=*/*.txt"
+
+
+def q_log_read(spark, sf):
+    """S6 over files with cut lines and pretty-printed records: every sound record, whatever lies beside it."""
+    from lexcurate.sources.readers import read_logs
+
+    return _read_back(read_logs(spark, _foreign_logs(spark, sf)))
+
+
+def q_log_rejects(spark, sf):
+    """What S6 refuses, line by line."""
+    from lexcurate.sources.readers import log_rejects
+
+    return log_rejects(spark, _foreign_logs(spark, sf)).select("line")
+
+
+def q_curated_copy(spark, sf):
+    """E1 as a job: the curated store holds the repaired text of repaired documents."""
+    from lexcurate.plans import jobs
+
+    out = jobs.run_curation(spark, _stage1_docs(spark, sf), _scratch(spark), langid.GivenLanguage("lang"),
+                            SI.repaired_text(spark, sf), min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED)
+    return spark.read.parquet(out.curated_path).select("key", "year", "court", "bench", "text")
+
+
+def _two_batches(spark, sf, rows, write):
+    """The rows of two batches written one after the other: documents not divisible by 3, then the others."""
+    rows, path = materialize(rows), _scratch(spark)
+    number = F.regexp_extract("s3_key", r"/(\d+)\.[^/.]*$", 1)
+    later = F.coalesce(F.when(number != "", number).cast("long") % 3 == 0, F.lit(False))
+    write(spark, rows.where(~later), path, "1")
+    return spark.read.parquet(write(spark, rows.where(later), path, "2", "1"))
+
+
+def q_items_after_two_batches(spark, sf):
+    """K4 as a sink: a later batch replaces what an earlier one wrote, whatever its dates."""
+    from lexcurate.sinks import writers
+
+    items = _stage2(spark, sf).items.select(*_ITEM_COLS)
+    return _two_batches(spark, sf, items, writers.write_items).select(*_ITEM_COLS)
+
+
+def q_vectors_after_two_batches(spark, sf):
+    """K3 as a sink."""
+    from lexcurate.sinks import writers
+
+    v = _two_batches(spark, sf, _stage2(spark, sf).vectors, writers.write_vectors)
+    return v.select("index_name", "key", "s3_key", F.col("metadata.content").alias("content"))
+
+
+def q_two_runs_one_root(spark, sf):
+    """E2 as a job, for two years one after the other into one root: each keeps its statistics."""
+    from lexcurate.plans import jobs
+
+    root, meta, objects = _scratch(spark), SI.metadata(spark, sf), _objects(spark, sf)
+    embedder = hashing_embedder(SI.TEST_EMBED_DIM)
+    jobs.run_indexing(spark, meta.where("year = '1995'"), objects, root, "1", embedder=embedder)
+    out = jobs.run_indexing(spark, meta.where("year = '1996'"), objects, root, "2", current_version="1", embedder=embedder)
+    runs = spark.read.json(out.stats_path)
+    return runs.groupBy("year", "process_id").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("total_documents_attempted").alias("attempted"),
+        F.sum("successful_documents").alias("successful"), F.sum("total_chunks").alias("chunks")).drop("process_id")
 
 
 def q_document_log_stream(spark, sf):
@@ -387,4 +467,10 @@ QUERIES = {
     "failed_files": q_failed_files,
     "year_range_run": q_year_range_run,
     "log_roundtrip": q_log_roundtrip,
+    "log_read": q_log_read,
+    "log_rejects": q_log_rejects,
+    "curated_copy": q_curated_copy,
+    "items_after_two_batches": q_items_after_two_batches,
+    "vectors_after_two_batches": q_vectors_after_two_batches,
+    "two_runs_one_root": q_two_runs_one_root,
 }

@@ -7,7 +7,9 @@ one plan, not a loop.
 Per record outcome (one value each):
   skipped               F2 (not counted anywhere)
   key_not_found         J1 anti side (neither success nor failure)
+  error_with_getting_file  the store refused the object for another reason
   pdf_extraction_error  the stored object could not be read
+  general_error         a later step of the document failed
   empty_text            text blank after trim
   success               counted tokens, chunked, embedded, item written
 
@@ -29,21 +31,20 @@ from lexcurate.functions.text import is_blank, token_count
 from lexcurate.operators import chunking, metadata as M
 from lexcurate.operators.broadcast import broadcast_if_small, materialize
 from lexcurate.operators.embedding import hashing_embedder, vector_records
+from lexcurate.operators.upsert import upsert_date
 
 RUN_KEYS = ["year", "court_code", "bench"]
 
 
-def upsert_date(decision_date):
-    """Ordering date of a record for last-write-wins: parsed decision date, lowest when absent."""
-    return F.coalesce(F.try_to_date(decision_date.cast("string"), "yyyy-M-d"),
-                      F.lit("0001-01-01").cast("date"))
-
 # FIXED VALUES — per-document outcomes and failure labels / messages.
 SKIPPED = "skipped"
 KEY_NOT_FOUND = "key_not_found"
+FETCH_ERROR = "error_with_getting_file"
 EXTRACTION_ERROR = "pdf_extraction_error"
+GENERAL_ERROR = "general_error"
 EMPTY_TEXT = "empty_text"
 SUCCESS = "success"
+FAILURES = (FETCH_ERROR, EXTRACTION_ERROR, EMPTY_TEXT, GENERAL_ERROR)
 EMPTY_TEXT_MESSAGE = "No extractable text found in PDF"
 
 
@@ -57,7 +58,10 @@ class IndexingResult:
 
 
 def keyed_records(meta: DataFrame, decision_type: str | None = None) -> DataFrame:
-    """P2 + P3 + F2 on metadata records: adds year_val, filename, s3_key, skipped."""
+    """P2 + P3 + F2 on metadata records: adds year_val, filename, s3_key, skipped.
+
+    ``raw_html`` is in no output, so it leaves here and is never read."""
+    meta = meta.drop("raw_html")
     dtype = decision_type or meta.schema["decision_date"].dataType.typeName()
     dtype = {"date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp"}.get(dtype, "string")
     year_val = K.key_year(F.col("decision_date"), F.col("year"), dtype)
@@ -80,24 +84,32 @@ def run_header(meta: DataFrame) -> DataFrame:
 
 def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
                      overlap: int = chunking.DEFAULT_OVERLAP, counter=token_count,
-                     object_key_col: str = "key", max_runs: int = 1_000_000) -> DataFrame:
+                     object_key_col: str = "key") -> DataFrame:
     """The stage table: one row per metadata record with outcome, counts and
     the chunk array of a successful document (text itself is dropped)."""
     recs = keyed_records(meta)
     # one row per run (years x courts x benches): counted, then broadcast, so
     # a run holding a third of all records is never shuffled onto one task
-    header = broadcast_if_small(materialize(run_header(meta)), max_runs)
+    header = broadcast_if_small(materialize(run_header(meta)))
     recs = recs.join(header, RUN_KEYS, "left")
 
-    objs = objects.select(F.col(object_key_col).alias("s3_key"), F.col("text").alias("__text"),
-                          F.col("extract_error").alias("__extract_error"), F.lit(True).alias("__found"))
+    # errors of the store and of later steps, where the object rows carry them
+    optional = {c: F.col(c) if c in objects.columns else F.lit(None).cast("string") for c in ("fetch_error", "general_error")}
+    one = F.max(F.struct(F.col("text").alias("__text"), F.col("extract_error").alias("__extract_error"),
+                         optional["fetch_error"].alias("__fetch_error"), optional["general_error"].alias("__general_error"))).alias("o")
+    # one row per key (the same key partitions the join), so a record never gets two outcomes
+    objs = objects.groupBy(F.col(object_key_col).alias("s3_key")).agg(one).select("s3_key", "o.*", F.lit(True).alias("__found"))
     looked = recs.where(~F.col("skipped")).join(objs, "s3_key", "left")
     found = F.coalesce(F.col("__found"), F.lit(False))
     outcome = (F.when(~found, F.lit(KEY_NOT_FOUND))
+               .when(F.col("__fetch_error").isNotNull(), F.lit(FETCH_ERROR))
                .when(F.col("__extract_error").isNotNull(), F.lit(EXTRACTION_ERROR))
                .when(is_blank(F.col("__text")), F.lit(EMPTY_TEXT))
+               .when(F.col("__general_error").isNotNull(), F.lit(GENERAL_ERROR))
                .otherwise(F.lit(SUCCESS)))
-    message = (F.when(outcome == EXTRACTION_ERROR, F.col("__extract_error"))
+    message = (F.when(outcome == FETCH_ERROR, F.concat(F.lit("Key not found: "), F.col("s3_key")))
+               .when(outcome == EXTRACTION_ERROR, F.col("__extract_error"))
+               .when(outcome == GENERAL_ERROR, F.col("__general_error"))
                .when(outcome == EMPTY_TEXT, F.lit(EMPTY_TEXT_MESSAGE)))
     ok = outcome == SUCCESS
     title = F.col("title") if "title" in meta.columns else F.col("filename")
@@ -139,7 +151,7 @@ def derive(stage: DataFrame, meta_columns: list[str], embedder=None) -> Indexing
     emb = vector_records(chunks, embedder, court_col="court_name")
     vectors = emb.where(F.col("data").isNotNull() & F.col("has_cnr"))
     succeeded = records.where(F.col("outcome") == SUCCESS)
-    items_all = M.items(succeeded.select(*[c for c in meta_columns if c != "s3_key"], "s3_key"))
+    items_all = M.items(succeeded.select(*[c for c in meta_columns if c not in ("s3_key", "raw_html")], "s3_key"))
     ok_cnr = M.has_cnr(F.col("pk"))
     return IndexingResult(records=records, chunks=emb, vectors=vectors,
                           items=items_all.where(ok_cnr), rejects=items_all.where(~ok_cnr))
@@ -147,8 +159,8 @@ def derive(stage: DataFrame, meta_columns: list[str], embedder=None) -> Indexing
 
 def index(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
           overlap: int = chunking.DEFAULT_OVERLAP, embedder=None, counter=token_count,
-          object_key_col: str = "key", max_runs: int = 1_000_000) -> IndexingResult:
+          object_key_col: str = "key") -> IndexingResult:
     """Run stage 2 lazily over metadata records and the stored objects (key, text, extract_error)."""
     stage = lookup_and_chunk(meta, objects, max_tokens=max_tokens, overlap=overlap, counter=counter,
-                             object_key_col=object_key_col, max_runs=max_runs)
+                             object_key_col=object_key_col)
     return derive(stage, list(meta.columns), embedder)

@@ -1,9 +1,9 @@
 """E1, E2, M1, K7 as batch jobs with sinks.
 
-Each job writes its stage table once to the output root and derives every
-sink from it, so text is scored, chunked and embedded once, not once per
-sink, and a lost executor recomputes at most the stage, never the source
-scan of a finished one. Output paths are partitioned by year / court /
+Each run writes its stage tables once, to a folder of its own under the output
+root, and derives every sink from them, so text is scored, chunked and embedded
+once, not once per sink, a lost executor recomputes at most the stage, and a
+run never reads, embeds or counts what an earlier run left under the same root. Output paths are partitioned by year / court /
 bench and written with dynamic partition overwrite: a rerun of the same
 partitions replaces exactly them.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lexcurate.functions.keys import year_from_log_name
 from lexcurate.operators import quality, stats
-from lexcurate.operators.broadcast import broadcast_if_small
+from lexcurate.operators.broadcast import broadcast_if_small, materialize
 from lexcurate.plans import indexing
 from lexcurate.sinks import writers
 from lexcurate.sources.readers import metadata_partitions, read_logs
@@ -43,7 +43,9 @@ def stage1_documents(spark: SparkSession, pdf_root: str, pages: DataFrame, *, ye
     rel = F.regexp_extract(F.col("path"), r"(data/pdf/.*)$", 1)
     objs = objs.select(F.when(rel != "", rel).otherwise(F.col("path")).alias("key"), "year", "court",
                        *(["bench"] if "bench" in objs.columns else [F.lit(None).cast("string").alias("bench")]))
-    text = assemble_pages(pages, key_col=page_key_col, sep="\n", drop_empty=True) \
+    # only the pages of the listed objects are grouped
+    listed = objs.select(F.col("key").alias(page_key_col)).distinct()
+    text = assemble_pages(pages.join(listed, page_key_col, "left_semi"), key_col=page_key_col, sep="\n", drop_empty=True) \
         .withColumnRenamed(page_key_col, "key")
     return (objs.join(text, "key", "left")
             .select("key", "year", "court", "bench", F.coalesce(F.col("text"), F.lit("")).alias("text")))
@@ -59,31 +61,46 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
                  repaired: DataFrame | None = None, *, min_ratio: float = quality.DEFAULT_MIN_WORD_RATIO,
                  allowed_langs: str = quality.DEFAULT_ALLOWED_LANGS, lexicon: str = "latin",
                  fix_fused: bool = False, classify_on: str = "before", fetch_error_col: str | None = None,
-                 freq: DataFrame | None = None, max_broadcast_keys: int = 5_000_000) -> CurationOutput:
-    """E1 over ``documents`` (key, year, court, bench, text [, fetch error]).
+                 freq: DataFrame | None = None, upload_error_col: str | None = None) -> CurationOutput:
+    """E1 over ``documents`` (key, year, court, bench, text [, fetch error, upload error, content]).
 
     Writes the per-document log (K2, JSON lines under year=/court=) and the
     curated documents (K1, under year=/court=/bench=). One log row per input.
+    A repaired document is stored as repaired: its text (and, where ``repaired``
+    has them, its bytes) replace the garbled ones.
     """
     out = out_root.rstrip("/")
+    documents = materialize(documents)  # assembled texts: written once, read by every score and by the copy
     log = quality.assess(documents, detector, repaired, min_ratio=min_ratio, allowed_langs=allowed_langs,
                          lexicon=lexicon, fix_fused=fix_fused, classify_on=classify_on,
-                         fetch_error_col=fetch_error_col, keep=("year", "court", "bench"), freq=freq)
-    # stage table: the log, written once (parquet keeps structs exact)
-    stage = f"{out}/stage/log"
-    log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("year", "court").parquet(stage)
+                         fetch_error_col=fetch_error_col, keep=("year", "court", "bench"), freq=freq,
+                         upload_error_col=upload_error_col)
+    # stage table: this run's log, written once (parquet keeps structs exact)
+    stage = f"{out}/stage/run={uuid.uuid4().hex}/log"
+    log.write.partitionBy("year", "court").parquet(stage)
     log = spark.read.parquet(stage)
     writers.write_log(log, f"{out}/logs")
 
-    keys = quality.curated(log).select("key")
-    keys = broadcast_if_small(keys, max_broadcast_keys)
-    payload = ["content"] if "content" in documents.columns else []  # the object bytes, when scanned
-    cur = documents.join(keys, "key", "left_semi").select("key", "year", "court", "bench", "text", *payload)
-    writers.write_curated(cur, f"{out}/curated")
+    writers.write_curated(curated_documents(documents, log, repaired), f"{out}/curated")
     return CurationOutput(f"{out}/logs", f"{out}/curated")
 
 
+def curated_documents(documents: DataFrame, log: DataFrame, repaired: DataFrame | None = None) -> DataFrame:
+    """K1 rows: key, year, court, bench, text [, content] of the documents that pass the curation gate;
+    of a repaired one what the repair gave."""
+    keys = quality.curated(log).select("key", "did_ocr")
+    payload = ["content"] if "content" in documents.columns else []  # the object bytes, when scanned
+    cols = ["key", "year", "court", "bench", "text", *payload]
+    kept = documents.join(broadcast_if_small(keys.where("NOT did_ocr").select("key")), "key", "left_semi").select(*cols)
+    if repaired is None:
+        return kept
+    mended = broadcast_if_small(keys.where("did_ocr").select("key"))
+    fresh = [c for c in ("text", *payload) if c in repaired.columns]
+    rep = quality.one_repair(repaired.select("key", *fresh).join(mended, "key", "left_semi"))
+    rest = documents.join(mended, "key", "left_semi").select(*[c for c in cols if c not in fresh])
+    return kept.unionByName(rest.join(rep, "key"))
+
+
 @dataclass
 class IndexingOutput:
     stage_path: str
@@ -101,20 +118,18 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
     """E2 over metadata records of any number of runs and the stored objects."""
     started = time.time()
     # Run identity and times, written with the statistics (not compared)
-    process_id = f"proc_{uuid.uuid4().hex[:8]}_{int(started)}"
+    process_id = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     processing_date = datetime.datetime.now().isoformat()
     out = out_root.rstrip("/")
-    stage_path = f"{out}/stage/records"
+    stage_path = f"{out}/stage/run={process_id}/records"
     stage = indexing.lookup_and_chunk(meta, objects, max_tokens=max_tokens, overlap=overlap)
-    stage.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*indexing.RUN_KEYS).parquet(stage_path)
+    stage.write.partitionBy(*indexing.RUN_KEYS).parquet(stage_path)
     stage = spark.read.parquet(stage_path)
 
     res = indexing.derive(stage, list(meta.columns), embedder)
     # embedded chunks are the second stage table: vectors and error counts read it
-    chunks_path = f"{out}/stage/chunks"
-    res.chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*indexing.RUN_KEYS).parquet(chunks_path)
+    chunks_path = f"{out}/stage/run={process_id}/chunks"
+    res.chunks.write.partitionBy(*indexing.RUN_KEYS).parquet(chunks_path)
     chunks = spark.read.parquet(chunks_path)
     vectors = chunks.where(F.col("data").isNotNull() & F.col("has_cnr"))
 
@@ -138,22 +153,24 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
 
 def run_years(spark: SparkSession, metadata_root: str, objects: DataFrame, out_root: str, version: str,
               first_year: int, last_year: int, court_code=None, bench=None, court_dir: str = "court",
-              **kw) -> IndexingOutput:
+              file_glob: str | None = "*metadata.parquet", **kw) -> IndexingOutput:
     """M1: every year of a court (and bench) in one job; results grouped by run.
 
     A bad record never fails the job: it becomes an outcome row (M2)."""
     meta = metadata_partitions(spark, metadata_root, court_code=court_code, bench=bench,
-                               year_range=(first_year, last_year), court_dir=court_dir)
+                               year_range=(first_year, last_year), court_dir=court_dir, file_glob=file_glob)
     return run_indexing(spark, meta, objects, out_root, version, **kw)
 
 
 def backfill_logs(spark: SparkSession, log_glob: str, out_root: str) -> str:
     """K7: log files written outside the job -> the log layout, year from the
-    file name (``.jsonl`` names only), court from each record's key."""
+    file name (``.jsonl`` names only), court from each record's key. Each file's
+    records lie in a partition of their own, so a backfill replaces only what
+    the same file gave before."""
     logs = read_logs(spark, log_glob).where(F.col("file_name").endswith(".jsonl"))
     court = F.regexp_extract(F.col("key"), r"/court=([^/]+)/", 1)
     logs = logs.select(
         "key", "status", "word_ratio_before", "lang_before", "word_ratio_after", "lang_after", "did_ocr", "doc_type",
         year_from_log_name(F.col("file_name")).alias("year"),
-        F.when(court != "", court).otherwise(F.lit("unknown")).alias("court"))
-    return writers.write_log(logs, f"{out_root.rstrip('/')}/logs")
+        F.when(court != "", court).otherwise(F.lit("unknown")).alias("court"), "file_name")
+    return writers.write_log(logs, f"{out_root.rstrip('/')}/logs", origin=F.col("file_name"))

@@ -90,8 +90,9 @@ def doc_type(x: str, lexicon: str = "latin") -> str:
 
 # --------------------------------------------------------------------------- stand-ins
 
-def _ext(i: str) -> str:
-    return f"(CASE WHEN {i} % 9 = 0 THEN '.PDF' WHEN {i} % 9 = 1 THEN '.txt' ELSE '.pdf' END)"
+def _ext(i: str, mixed: bool = False) -> str:
+    text = f" WHEN {i} % 9 = 1 THEN '.txt'" if mixed else ""
+    return f"(CASE WHEN {i} % 9 = 0 THEN '.PDF'{text} ELSE '.pdf' END)"
 
 
 PREFIX_LIST = "[" + ", ".join(lit(p) for p in SI.PREFIXES) + "]"
@@ -106,7 +107,7 @@ listing AS (
 ),
 stage1 AS (SELECT * FROM listing WHERE lower(key) LIKE '%.pdf'),
 repaired AS (
-  SELECT l.key, b.text AS text, l.lang FROM listing l JOIN benchmark b ON b.item_id = l.doc_id % {SI.REPAIR_ITEMS}
+  SELECT l.key, b.text AS text, CASE WHEN l.doc_id % 2 = 0 THEN 'en' ELSE l.lang END AS lang FROM listing l JOIN benchmark b ON b.item_id = l.doc_id % {SI.REPAIR_ITEMS}
 )"""
 
 
@@ -191,7 +192,7 @@ def _freq_ratio_cte(name: str, src: str) -> str:
 def _model_cte() -> str:
     """Trigram profiles trained on ``documents``: ``weights`` (lang, gram, w), ``base`` (lang, base)."""
     return f"""
-p_norm AS (SELECT lang, ' ' || regexp_replace(lower(coalesce(text, '')), '\\P{{L}}+', ' ', 'g') || ' ' AS t
+p_norm AS (SELECT lang, ' ' || regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{M}}]+', ' ', 'g') || ' ' AS t
            FROM documents),
 p_grams AS (SELECT lang, substring(t, i, 3) AS gram FROM (SELECT lang, t, unnest(range(1, length(t) - 1)) AS i FROM p_norm)),
 p_prof AS (SELECT lang, gram, count(*) AS n FROM p_grams WHERE lang IS NOT NULL GROUP BY lang, gram),
@@ -203,7 +204,7 @@ weights AS (SELECT lang, gram, CAST(round(ln(n + 1) * {SCALE}) AS BIGINT) AS w F
 def _detect_cte(name: str, src: str) -> str:
     """``{name}`` (id, lang, prob): top language of each ``src`` (id, text) row."""
     return f"""
-{name}_norm AS (SELECT id, ' ' || regexp_replace(lower(coalesce(text, '')), '\\P{{L}}+', ' ', 'g') || ' ' AS t
+{name}_norm AS (SELECT id, ' ' || regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{M}}]+', ' ', 'g') || ' ' AS t
                 FROM {src}),
 {name}_grams AS (SELECT id, substring(t, i, 3) AS gram
                  FROM (SELECT id, t, unnest(range(1, length(t) - 1)) AS i FROM {name}_norm)),
@@ -277,13 +278,16 @@ header AS (
   FROM meta GROUP BY year, court_code, bench
 ),
 objects AS (
-  SELECT key, arg_min_null(text, doc_id) AS text, arg_min_null(extract_error, doc_id) AS extract_error
+  SELECT key, arg_min_null(text, doc_id) AS text, arg_min_null(extract_error, doc_id) AS extract_error,
+         arg_min_null(fetch_error, doc_id) AS fetch_error, arg_min_null(general_error, doc_id) AS general_error
   FROM (
     SELECT k.s3_key AS key, k.doc_id,
            CASE WHEN k.doc_id % 31 = 0 THEN '' ELSE d.text END AS text,
-           CASE WHEN k.doc_id % 37 = 0 THEN 'unreadable page tree' END AS extract_error
+           CASE WHEN k.doc_id % 37 = 0 THEN 'unreadable page tree' END AS extract_error,
+           CASE WHEN k.doc_id % 41 = 0 THEN 'access denied' END AS fetch_error,
+           CASE WHEN k.doc_id % 43 = 0 THEN 'no space left' END AS general_error
     FROM keyed k JOIN documents d ON d.doc_id = k.doc_id
-    WHERE NOT k.skipped AND k.doc_id IN (SELECT doc_id FROM labels))
+    WHERE NOT k.skipped AND k.doc_id % 25 <> 7)
   GROUP BY key
 )"""
 
@@ -345,10 +349,12 @@ def stage2_cte(meta_where: str = "") -> str:
     return "WITH RECURSIVE " + METADATA.strip() + f""",
 active AS (SELECT * FROM keyed WHERE NOT skipped {meta_where}),
 looked AS (
-  SELECT a.*, h.court_name, o.text AS otext, o.extract_error, o.key IS NOT NULL AS found,
+  SELECT a.*, h.court_name, o.text AS otext, o.extract_error, o.general_error, o.key IS NOT NULL AS found,
     CASE WHEN o.key IS NULL THEN '{IX.KEY_NOT_FOUND}'
+         WHEN o.fetch_error IS NOT NULL THEN '{IX.FETCH_ERROR}'
          WHEN o.extract_error IS NOT NULL THEN '{IX.EXTRACTION_ERROR}'
          WHEN {is_blank('o.text')} THEN '{IX.EMPTY_TEXT}'
+         WHEN o.general_error IS NOT NULL THEN '{IX.GENERAL_ERROR}'
          ELSE '{IX.SUCCESS}' END AS outcome
   FROM active a LEFT JOIN objects o ON o.key = a.s3_key
   LEFT JOIN header h ON h.year = a.year AND h.court_code = a.court_code AND h.bench = a.bench
@@ -363,7 +369,12 @@ docstats AS (
          CASE WHEN outcome = '{IX.SUCCESS}' THEN coalesce(c.n, 0) END AS chunk_count,
          CASE WHEN outcome = '{IX.SUCCESS}' THEN coalesce(c.nerr, 0) ELSE 0 END AS emb_err,
          COALESCE(l.cnr <> '', false) AS has_cnr,
+         CASE WHEN outcome = '{IX.SUCCESS}' THEN coalesce((
+           SELECT count(*) FROM s2tok t WHERE t.id = l.doc_id AND t.ntok > 0 AND (length(l.s3_key) + t.chunk_id) % 11 = 0), 0)
+           ELSE 0 END AS refused,
          CASE WHEN outcome = '{IX.EXTRACTION_ERROR}' THEN l.extract_error
+              WHEN outcome = '{IX.FETCH_ERROR}' THEN 'Key not found: ' || l.s3_key
+              WHEN outcome = '{IX.GENERAL_ERROR}' THEN l.general_error
               WHEN outcome = '{IX.EMPTY_TEXT}' THEN '{IX.EMPTY_TEXT_MESSAGE}' END AS error_message
   FROM looked l LEFT JOIN (SELECT id, count(*) AS n, count(*) FILTER (WHERE ntok = 0) AS nerr FROM s2tok GROUP BY id) c
     ON c.id = l.doc_id
@@ -372,13 +383,13 @@ runstats AS (
   SELECT year, court_code, bench, court_name,
     count(*) AS total_documents_attempted,
     count(*) FILTER (WHERE outcome = '{IX.SUCCESS}') AS successful_documents,
-    count(*) FILTER (WHERE outcome IN ('{IX.EXTRACTION_ERROR}', '{IX.EMPTY_TEXT}')) AS failed_documents,
+    count(*) FILTER (WHERE outcome IN {IX.FAILURES}) AS failed_documents,
     count(*) FILTER (WHERE outcome = '{IX.EMPTY_TEXT}') AS empty_text_documents,
     count(*) FILTER (WHERE outcome = '{IX.KEY_NOT_FOUND}') AS keys_not_found,
     count(*) FILTER (WHERE outcome = '{IX.EXTRACTION_ERROR}') AS pdf_extraction_errors,
     CAST(sum(emb_err) AS BIGINT) AS embedding_generation_errors,
     count(*) FILTER (WHERE outcome = '{IX.SUCCESS}' AND NOT has_cnr) AS dynamodb_write_errors,
-    CAST(0 AS BIGINT) AS s3_upload_errors,
+    CAST(sum(refused) AS BIGINT) AS s3_upload_errors,
     avg(token_count) AS avg_tokens_per_document, CAST(sum(token_count) AS BIGINT) AS total_tokens,
     min(token_count) AS min_tokens, max(token_count) AS max_tokens,
     avg(chunk_count) AS avg_chunks_per_document, CAST(sum(chunk_count) AS BIGINT) AS total_chunks
@@ -407,7 +418,7 @@ _ITEM_COLS = "pk, sk, s3_key, doc_id, title, court, decision_date, date_of_regis
 
 def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["scan_partition"] = "WITH " + LISTING.strip() + """
+    q["scan_partition"] = "WITH " + LISTING.strip().replace(_ext("doc_id"), _ext("doc_id", mixed=True)) + """
 SELECT key, year, court, bench, 'data/pdf/year=' || year || '/court=' || court || '/' AS prefix,
        lower(key) LIKE '%.pdf' AS is_pdf FROM listing"""
     for name, lex in (("doc_type_latin", "latin"), ("doc_type_multi", "multi")):
@@ -442,8 +453,8 @@ SELECT doc_id, sentence_no, sentence, {token_count('sentence')} AS tokens FROM (
     q["chunk_embedding"] = chunks_cte + "," + _embed_rows("ch", SI.TEST_EMBED_DIM) + """
 SELECT id AS doc_id, chunk_id, bucket, value FROM emb"""
     q["pages_newline"] = """
-SELECT conv_id AS doc_key, string_agg(text, chr(10) ORDER BY turn) AS text
-FROM conversations WHERE text IS NOT NULL AND text <> '' GROUP BY conv_id"""
+SELECT conv_id AS doc_key, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE text <> ''), '') AS text
+FROM conversations GROUP BY conv_id"""
     q["pages_concat"] = """
 SELECT conv_id AS doc_key, string_agg(coalesce(text, ''), '' ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id"""
@@ -463,6 +474,20 @@ FROM documents d LEFT JOIN agg a ON a.doc_id = d.doc_id"""
     q["detect_language"] = model + ",\nsrc AS (SELECT doc_id AS id, text FROM documents)," + \
         _detect_cte("det", "src") + "\nSELECT id AS doc_id, lang, round(prob, 6) AS prob FROM det"
 
+    back = """
+SELECT key, status, word_ratio_before, lang_before, word_ratio_after, lang_after, did_ocr, doc_type, year AS log_year FROM doclog"""
+    number = "CAST(regexp_extract(key, '/([0-9]+)[.][^/.]*$', 1) AS BIGINT)"
+    cut = f"(year <> '1995' AND {number} % 100 = 3)"
+    q["log_roundtrip"] = log + back
+    q["log_read"] = log + back + f" WHERE NOT {cut}"
+    # a record begins with its key and status: what is left of a cut line
+    q["log_rejects"] = log + f"""
+SELECT substring('{{"key":"' || key || '","status":"' || status || '"', 1, 60) AS line FROM doclog WHERE {cut}"""
+    q["curated_copy"] = log + f"""
+SELECT d.key, d.year, d.court, d.bench, CASE WHEN d.did_ocr THEN r.text ELSE s.text END AS text
+FROM doclog d JOIN stage1 s ON s.key = d.key LEFT JOIN repaired r ON r.key = d.key
+WHERE d.doc_type = 'judgment' AND d.status IN ('{Q.OK_NO_OCR}', '{Q.OK_AFTER_OCR}')"""
+
     meta = "WITH " + METADATA.strip()
     q["object_key"] = meta + "\nSELECT doc_id, year, court_code, bench, year_val, filename, s3_key FROM keyed WHERE NOT skipped"
     q["object_key_skip"] = meta + "\nSELECT doc_id, pdf_link FROM keyed WHERE skipped"
@@ -485,6 +510,18 @@ FROM vectors GROUP BY index_name, key"""
     q["metadata_upsert"] = s2 + f"""
 SELECT pk, sk, {', '.join(f'arg_max_null({c}, (udate, s3_key)) AS {c}' for c in _ITEM_COLS.split(', ')[2:])}
 FROM items WHERE coalesce(pk <> '', false) GROUP BY pk, sk"""
+    batch = "coalesce(TRY_CAST(regexp_extract(s3_key, '/([0-9]+)[.][^/.]*$', 1) AS BIGINT) % 3 = 0, false)"
+    q["vectors_after_two_batches"] = s2 + f"""
+SELECT index_name, key, arg_max_null(s3_key, ({batch}, udate, s3_key)) AS s3_key,
+       arg_max_null(content, ({batch}, udate, s3_key)) AS content
+FROM vectors GROUP BY index_name, key"""
+    q["items_after_two_batches"] = s2 + f"""
+SELECT pk, sk, {', '.join(f'arg_max_null({c}, ({batch}, udate, s3_key)) AS {c}' for c in _ITEM_COLS.split(', ')[2:])}
+FROM items WHERE coalesce(pk <> '', false) GROUP BY pk, sk"""
+    q["two_runs_one_root"] = s2 + """
+SELECT year, count(*) AS runs, CAST(sum(total_documents_attempted) AS BIGINT) AS attempted,
+       CAST(sum(successful_documents) AS BIGINT) AS successful, CAST(sum(total_chunks) AS BIGINT) AS chunks
+FROM runstats WHERE year IN ('1995', '1996') GROUP BY year"""
     q["run_counts"] = s2 + f"""
 SELECT {RUN}, total_documents_attempted, successful_documents, failed_documents, empty_text_documents, keys_not_found
 FROM runstats"""
@@ -503,7 +540,7 @@ SELECT {RUN}, s3_key, token_count, chunk_count FROM docstats WHERE outcome = '{I
     q["titles"] = s2 + f"\nSELECT {RUN}, s3_key, title FROM docstats WHERE outcome = '{IX.SUCCESS}'"
     q["failed_files"] = s2 + f"""
 SELECT {RUN}, s3_key, filename, outcome AS error, error_message FROM docstats
-WHERE outcome IN ('{IX.EXTRACTION_ERROR}', '{IX.EMPTY_TEXT}')"""
-    q["year_range_run"] = stage2_cte("AND CAST(year AS INTEGER) BETWEEN 1993 AND 2025") + f"""
+WHERE outcome IN {IX.FAILURES}"""
+    q["year_range_run"] = stage2_cte("AND TRY_CAST(year AS INTEGER) BETWEEN 1994 AND 1996") + f"""
 SELECT {RUN}, total_documents_attempted, successful_documents, total_chunks FROM runstats"""
     return q

@@ -11,7 +11,8 @@ from the driver's tables, so the work grows with them:
 * metadata records    ``documents`` LEFT JOIN ``orders`` on
   ``o_orderkey = doc_id`` with dates, links and case numbers in every shape
   the key derivation must handle
-* stored objects      metadata keys of the documents listed in ``labels``
+* stored objects      metadata keys of all but every 25th document, some with
+  store, extraction or later errors
 * page rows           ``conversations`` (conv_id, turn, text)
 
 Every value here is built with the same expressions in the oracle SQL
@@ -43,31 +44,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _ext(doc_id) -> F.Column:
-    return (F.when(doc_id % 9 == 0, F.lit(".PDF"))
-            .when(doc_id % 9 == 1, F.lit(".txt"))
-            .otherwise(F.lit(".pdf")))
+def _ext(doc_id, mixed: bool) -> F.Column:
+    upper = F.when(doc_id % 9 == 0, F.lit(".PDF"))
+    return (upper.when(doc_id % 9 == 1, F.lit(".txt")) if mixed else upper).otherwise(F.lit(".pdf"))
 
 
-def stage1_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing of the stage-1 store: key, year, court, bench, doc_id, text, lang."""
+def stage1_objects(spark: SparkSession, sf_dir: str, mixed: bool = False) -> DataFrame:
+    """Listing of the stage-1 store: key, year, court, bench, doc_id, text, lang. Every document is a
+    ``.pdf`` or ``.PDF``; in a ``mixed`` listing every ninth is a ``.txt`` that the scan must pass over."""
     d = spread(table(spark, sf_dir, "documents"))
     year = (F.lit(1995) + F.col("doc_id") % 5).cast("string")
     prefix = F.element_at(F.array(*[F.lit(p) for p in PREFIXES]), (F.col("doc_id") % 7 + 1).cast("int"))
     return d.select(
         F.concat(F.lit("data/pdf/year="), year, F.lit("/court="), F.col("source"),
                  F.lit("/bench="), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"),
-                 _ext(F.col("doc_id"))).alias("key"),
+                 _ext(F.col("doc_id"), mixed)).alias("key"),
         year.alias("year"), F.col("source").alias("court"), F.col("lang").alias("bench"),
         "doc_id", F.concat(prefix, F.col("text")).alias("text"), "lang",
     )
 
 
 def repaired_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(key, text, lang): the repaired text of each stage-1 object, when the repair produced one."""
+    """(key, text, lang): the repaired text of each stage-1 object, when the repair produced one. It reads as
+    English for even ids, and in the object's own language (which the gate may refuse) for odd ones."""
     objs = stage1_objects(spark, sf_dir).select("key", "doc_id", "lang")
     b = table(spark, sf_dir, "benchmark")
-    return objs.join(b, (objs.doc_id % REPAIR_ITEMS) == b.item_id).select("key", b.text.alias("text"), "lang")
+    return objs.join(b, (objs.doc_id % REPAIR_ITEMS) == b.item_id).select(
+        "key", b.text.alias("text"), F.when(F.col("doc_id") % 2 == 0, F.lit("en")).otherwise(F.col("lang")).alias("lang"))
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,21 +115,24 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_objects(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFrame:
-    """(key, text, extract_error) for the metadata keys of documents in ``labels``.
+    """(key, text, extract_error, fetch_error, general_error) for the metadata keys of all documents but
+    those with doc_id % 25 = 7, which the store lacks.
 
     ``keys`` is (doc_id, key). One object per key (the lowest doc_id wins when
-    two records derive the same key). Text is blank for doc_id % 31 = 0 and
-    extraction fails for doc_id % 37 = 0.
+    two records derive the same key). Text is blank for doc_id % 31 = 0,
+    extraction fails for doc_id % 37 = 0, the store answers with an error for doc_id % 41 = 0
+    and a later step fails for doc_id % 43 = 0.
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lab = table(spark, sf_dir, "labels").select("doc_id")
     # one object per key: pick the winning doc_id on keys only, then fetch its text
-    winners = keys.join(lab, "doc_id", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    winners = keys.where(F.col("doc_id") % 25 != 7).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     i = F.col("doc_id")
     return winners.join(d, "doc_id").select(
         "key",
         F.when(i % 31 == 0, F.lit("")).otherwise(F.col("text")).alias("text"),
-        F.when(i % 37 == 0, F.lit("unreadable page tree")).alias("extract_error"))
+        F.when(i % 37 == 0, F.lit("unreadable page tree")).alias("extract_error"),
+        F.when(i % 41 == 0, F.lit("access denied")).alias("fetch_error"),
+        F.when(i % 43 == 0, F.lit("no space left")).alias("general_error"))
 
 
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

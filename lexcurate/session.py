@@ -51,12 +51,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch folder only when unset (tests)."""
+    """The shared checkpoint folder the cluster names; a scratch folder only when unset in a local session (tests)."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
         return spark.conf.get("spark.checkpoint.dir", None) or ""
     conf = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="lexcurate-ckpt-", dir="/tmp")
         try:
@@ -74,24 +76,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 64 << 20,
-                   min_partitions: int = 200) -> dict:
+def size_for_input(spark: SparkSession, input_bytes: int, split_bytes: int = 512 << 20,
+                   min_partitions: int = 200, max_partitions: int = 20_000) -> dict:
     """Partition sizing for a run over ``input_bytes`` of document text.
 
-    Text work is CPU-bound (regex passes, the chunk fold), so splits and
-    shuffle partitions aim at ~64 MB of text each rather than the 128 MB scan
-    default: at 100 TB that is ~1.6 million scan splits and as many shuffle
-    partitions for the one text shuffle of stage 2, each well inside an
-    executor's memory. Shuffle partitions are always sized; the other values
+    Scans take splits of 512 MB (at 100 TB some 200,000 map tasks); the texts of
+    a split stream through a task, so its memory doesn't grow with it. A shuffle
+    has one block for each pair of map and reduce tasks, so reducers stop at
+    20,000 and take more each from there on; AQE splits the skewed ones and
+    joins small ones. Shuffle partitions are always sized; the other values
     are set only where the session leaves them unset.
     """
-    parts = max(min_partitions, -(-input_bytes // target_partition_bytes))
+    parts = min(max_partitions, max(min_partitions, -(-input_bytes // split_bytes)))
     wanted = {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        # a single PDF larger than this fails the scan instead of exhausting a task
-        "spark.sql.sources.binaryFile.maxLength": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 << 20),
     }
     applied = {}
     for k, v in wanted.items():

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexcurate.operators.upsert import upsert_table
+from lexcurate.functions import keys as K
+from lexcurate.operators.upsert import upsert_date, upsert_table
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> str:
@@ -19,6 +20,9 @@ def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parque
     return path
 
 
+RUN_PATH = ["court_path", "court_code", "year", "bench"]
+
+
 def log_json(log: DataFrame) -> DataFrame:
     """K2 record shape: ``lang_*`` as the two-element ``[lang, prob]`` arrays of the JSON log."""
     def arr(c):
@@ -28,10 +32,17 @@ def log_json(log: DataFrame) -> DataFrame:
     return log.select(*cols)
 
 
-def write_log(log: DataFrame, path: str) -> str:
-    """K2: one JSON line per document under ``year=/court=``; nulls written as null."""
-    (log_json(log).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("ignoreNullFields", "false").partitionBy("year", "court").json(path))
+JOB_ORIGIN = "job"
+
+
+def write_log(log: DataFrame, path: str, origin=JOB_ORIGIN) -> str:
+    """K2: one JSON line per document under ``year=/court=/origin=``; nulls written as null.
+
+    ``origin`` is the job, or the name of the file that a backfill took the
+    record from (a column): writing one replaces only its own records."""
+    origin = origin if not isinstance(origin, str) else F.lit(origin)
+    (log_json(log.withColumn("origin", origin)).drop("file_name").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("ignoreNullFields", "false").partitionBy("year", "court", "origin").json(path))
     return path
 
 
@@ -41,27 +52,31 @@ def write_curated(curated_docs: DataFrame, path: str) -> str:
 
 
 def write_vectors(spark, vectors: DataFrame, path: str, version: str, current_version: str | None = None) -> str:
-    """K3: keyed upsert of vector records per index; newest decision wins, then object key."""
-    v = vectors.select("index_name", "key", "data", "metadata", "decision_date", "s3_key")
-    return upsert_table(spark, v, path, version, ["index_name", "key"], ["decision_date", "s3_key"],
+    """K3: keyed upsert of vector records per index; the later batch wins, inside a batch the newest
+    decision (as a date), then the object key."""
+    v = vectors.select("index_name", "key", "data", "metadata", "decision_date",
+                       upsert_date(F.col("decision_date")).alias("upsert_date"), "s3_key")
+    return upsert_table(spark, v, path, version, ["index_name", "key"], ["upsert_date", "s3_key"],
                         partition_by=["index_name"], current_version=current_version)
 
 
 def write_items(spark, items: DataFrame, path: str, version: str, current_version: str | None = None) -> str:
-    """K4: keyed upsert of metadata items on (pk, sk)."""
-    return upsert_table(spark, items, path, version, ["pk", "sk"], ["decision_date", "s3_key"],
+    """K4: keyed upsert of metadata items on (pk, sk), in the order of K3."""
+    dated = items.withColumn("upsert_date", upsert_date(F.col("decision_date")))
+    return upsert_table(spark, dated, path, version, ["pk", "sk"], ["upsert_date", "s3_key"],
                         current_version=current_version)
 
 
 def write_titles(titles: DataFrame, path: str) -> str:
-    """K5: titles as rows, partitioned by court name, year and bench."""
-    return _write(titles, path, ["court_name", "year", "bench"])
+    """K5: titles as rows under P4's court path; the court's code keeps nameless courts apart."""
+    return _write(titles.withColumn("court_path", K.court_path_name(F.col("court_name"))), path, RUN_PATH)
 
 
 def write_stats(stats: DataFrame, path: str) -> str:
     """K6: one JSON stats record per run."""
-    (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("ignoreNullFields", "false").partitionBy("court_name", "year", "bench").json(path))
+    (stats.withColumn("court_path", K.court_path_name(F.col("court_name")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("ignoreNullFields", "false").partitionBy(*RUN_PATH).json(path))
     return path
 
 

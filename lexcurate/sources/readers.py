@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 from lexcurate.functions.keys import year_from_log_name
 
+#: Objects above this size are not read into a row; they become a fetch error of their own document.
+MAX_OBJECT_BYTES = 256 << 20
+
 
 def _where_partitions(df: DataFrame, **eq) -> DataFrame:
     for k, v in eq.items():
@@ -26,24 +29,34 @@ def _where_partitions(df: DataFrame, **eq) -> DataFrame:
 
 
 def pdf_objects(spark: SparkSession, root: str, year=None, court=None, bench=None,
-                year_range: tuple[int, int] | None = None, with_content: bool = True) -> DataFrame:
+                year_range: tuple[int, int] | None = None, with_content: bool = True,
+                max_bytes: int = MAX_OBJECT_BYTES) -> DataFrame:
     """S1 + S2 + F1: PDF objects under a partitioned root, with bytes when asked.
 
     ``pathGlobFilter`` applies the case-insensitive ``.pdf`` test at listing
     time; partition filters prune directories. (``recursiveFileLookup`` would
-    drop the partition columns, so it is not used.)
+    drop the partition columns, so it is not used.) A year range leaves out
+    partitions whose year is no number (``None``). With content, an object of
+    more than ``max_bytes`` has null content and a ``fetch_error`` instead of
+    failing the job.
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(root))
     df = _where_partitions(df, year=year, court=court, bench=bench)
     if year_range is not None:
         lo, hi = year_range
-        df = df.where(F.col("year").cast("int").between(lo, hi))
+        df = df.where(F.col("year").try_cast("int").between(lo, hi))
     cols = ["path", "year", "court"] + (["bench"] if "bench" in df.columns else []) + ["length"]
-    return df.select(*cols, *(["content"] if with_content else []))
+    if not with_content:
+        return df.select(*cols)
+    # the length filter reaches the source: a larger object is listed, its bytes are not read
+    read = df.where(F.col("length") <= max_bytes).select(*cols, "content", F.lit(None).cast("string").alias("fetch_error"))
+    large = df.select(*cols).where(F.col("length") > max_bytes).select(
+        *cols, F.lit(None).cast("binary").alias("content"), F.format_string("object of %d bytes is too large", "length").alias("fetch_error"))
+    return read.unionByName(large)
 
 
 def metadata_partitions(spark: SparkSession, root: str, year=None, court_code=None, bench=None,
-                        year_range: tuple[int, int] | None = None, file_glob: str | None = None,
+                        year_range: tuple[int, int] | None = None, file_glob: str | None = "*metadata.parquet",
                         court_dir: str = "court") -> DataFrame:
     """S3: metadata Parquet of one or many (year, court, bench) partitions.
 
@@ -52,7 +65,9 @@ def metadata_partitions(spark: SparkSession, root: str, year=None, court_code=No
     The requested partition directories are globbed instead (exact values,
     no prefix match; a year range becomes a brace list, so only those
     directories are listed) and the run keys are taken from each file's
-    path. Column pruning means ``raw_html`` is never read unless selected.
+    path. Only files named ``...metadata.parquet`` are records (``file_glob=None``
+    takes all). Schemas are merged, so a column that some partitions lack
+    is null there. Column pruning means ``raw_html`` is never read unless selected.
     """
     def one_of(v):
         if v is None:
@@ -62,7 +77,9 @@ def metadata_partitions(spark: SparkSession, root: str, year=None, court_code=No
 
     years = [str(y) for y in range(year_range[0], year_range[1] + 1)] if year_range else year
     path = f"{root.rstrip('/')}/year={one_of(years)}/{court_dir}={one_of(court_code)}/bench={one_of(bench)}"
-    reader = spark.read.option("pathGlobFilter", file_glob) if file_glob else spark.read
+    reader = spark.read.option("mergeSchema", "true")
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
     df = reader.parquet(path)
     fp = F.col("_metadata.file_path")
     return df.select(
@@ -78,21 +95,20 @@ def assemble_pages(pages: DataFrame, key_col: str = "doc_key", page_col: str = "
     """Document text from page rows, pages in page order.
 
     ``sep="\\n", drop_empty=True``: empty / null pages are dropped, the rest
-    joined by newlines (stage-1 extractor). ``sep="", drop_empty=False``: null
-    pages count as empty strings, no separator (stage-2 extractor).
+    joined by newlines (stage-1 extractor); a document of empty pages only has
+    empty text. ``sep="", drop_empty=False``: null pages count as empty
+    strings, no separator (stage-2 extractor).
 
     The grouping holds (page_no, text) of one document only, so a group is
     bounded by the pages of one document; documents are distributed by key.
     """
-    t = F.col(text_col)
-    rows = pages.select(F.col(key_col).alias("__k"),
-                        F.struct(F.col(page_col).alias("p"),
-                                 (F.coalesce(t, F.lit("")) if not drop_empty else t).alias("t")).alias("__pg"))
-    if drop_empty:
-        rows = rows.where(F.col("__pg.t").isNotNull() & (F.col("__pg.t") != ""))
+    page = F.struct(F.col(page_col).alias("p"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    rows = pages.select(F.col(key_col).alias("__k"), page.alias("__pg"))
     agg = rows.groupBy("__k").agg(F.array_sort(F.collect_list("__pg")).alias("__pages"))
-    return agg.select(F.col("__k").alias(key_col),
-                      F.array_join(F.transform("__pages", lambda x: x["t"]), sep).alias("text"))
+    texts = F.transform("__pages", lambda x: x["t"])
+    if drop_empty:
+        texts = F.filter(texts, lambda t: t != "")
+    return agg.select(F.col("__k").alias(key_col), F.array_join(texts, sep).alias("text"))
 
 
 # FIXED VALUES — the stage-1 log record layout.
@@ -106,6 +122,8 @@ LOG_SCHEMA = T.StructType([
     T.StructField("did_ocr", T.BooleanType()),
     T.StructField("doc_type", T.StringType()),
 ])
+# one flat JSON object: strings and anything but braces; possessive, so long strings need no stack
+_FLAT_OBJECT = r'\{(?:[^{}"]++|"(?:[^"\\]++|\\.)*+")*+\}'
 
 
 def _lang_struct(c: str):
@@ -113,28 +131,47 @@ def _lang_struct(c: str):
         F.col(c)[0].alias("lang"), F.col(c)[1].cast("double").alias("prob")))
 
 
+def log_lines(spark: SparkSession, path_glob: str) -> DataFrame:
+    """Every non-blank piece of the log files: file_path, line, r (the record, null where it is none).
+
+    A line that holds a record stands for itself, whatever the file's other lines
+    hold. Only of files in which no line is a record (pretty-printed ones)
+    the lines are put together again and every object in them is a record.
+    """
+    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField("bad", T.StringType())])
+    parsed = lambda line: F.from_json(line, schema, {"columnNameOfCorruptRecord": "bad"})
+    sound = lambda r: F.when(r["bad"].isNull() & r["key"].isNotNull(), r)
+    lines = spark.read.text(path_glob).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"), F.col("value").alias("line")).where(F.trim("line") != "")
+    lines = lines.withColumn("r", sound(parsed(F.col("line"))))
+    by_line = lines.groupBy("file_path").agg(F.max(F.col("r").isNotNull()).alias("by_line"))
+    lines = lines.join(by_line, "file_path")
+    whole = (lines.where(~F.col("by_line")).groupBy("file_path")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "n", "line"))), lambda x: x["line"]), "\n").alias("text")))
+    objects = F.regexp_extract_all("text", F.lit(_FLAT_OBJECT), 0)
+    pieces = whole.select("file_path", F.explode(F.when(F.size(objects) > 0, objects).otherwise(F.array("text"))).alias("line"))
+    pieces = pieces.withColumn("r", sound(parsed(F.col("line"))))
+    return lines.where("by_line").select("file_path", "line", "r").unionByName(pieces)
+
+
 def read_logs(spark: SparkSession, path_glob: str) -> DataFrame:
-    """S6 + P9: stage-1 log files, one record per line or pretty-printed.
+    """S6 + P9: stage-1 log records, one per line or pretty-printed.
 
-    One-record-per-line files are read as JSON lines; files where that yields
-    corrupt rows (pretty-printed records) are re-read whole with
-    ``multiLine``. The year comes from the file name.
+    The year is that of a ``year=`` folder, or else comes from the file name.
+    What isn't a record is in ``log_rejects``.
     """
-    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
-    lines = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-             .option("columnNameOfCorruptRecord", "_corrupt_record").json(path_glob)
-             .withColumn("file_path", F.col("_metadata.file_path")))
-    lines = lines.cache()
-    bad_files = lines.where(F.col("_corrupt_record").isNotNull()).select("file_path").distinct()
-    good = lines.join(bad_files, "file_path", "left_anti").drop("_corrupt_record")
-    bad_paths = [r.file_path for r in bad_files.collect()]  # file names only, bounded by #files
-    if bad_paths:
-        multi = (spark.read.schema(LOG_SCHEMA).option("multiLine", "true").json(bad_paths)
-                 .withColumn("file_path", F.col("_metadata.file_path")))
-        good = good.unionByName(multi)
+    rows = log_lines(spark, path_glob).where("r IS NOT NULL").select("file_path", "r.*").drop("bad")
     name = F.element_at(F.split(F.col("file_path"), "/"), -1)
-    return good.select(
+    folder = F.regexp_extract("file_path", r"/year=([^/]+)/", 1)
+    return rows.select(
         "key", "status", "word_ratio_before", _lang_struct("lang_before").alias("lang_before"),
         "word_ratio_after", _lang_struct("lang_after").alias("lang_after"), "did_ocr", "doc_type",
-        name.alias("file_name"), year_from_log_name(name).alias("log_year"),
+        name.alias("file_name"), F.when(folder != "", folder).otherwise(year_from_log_name(name)).alias("log_year"),
     )
+
+
+def log_rejects(spark: SparkSession, path_glob: str) -> DataFrame:
+    """The lines (of pretty-printed files: objects) that are no log record: file_name, line."""
+    return log_lines(spark, path_glob).where("r IS NULL").select(
+        F.element_at(F.split(F.col("file_path"), "/"), -1).alias("file_name"), "line")

@@ -4,7 +4,7 @@ The reference re-runs stage 1 per year by hand. Here new document rows
 (parquet files dropped into a landing folder: key, year, court, bench,
 text, lang) are picked up by a file stream; each micro-batch runs the same
 ``quality.assess`` plan (stream-static join with the repaired-text table)
-and appends its log rows and curated keys. The checkpoint folder records
+and writes its log rows and curated documents, each under the batch's id. The checkpoint folder records
 which files were processed, so a restarted or failed query resumes without
 reprocessing or losing documents; ``trigger(availableNow=True)`` drains the
 backlog and stops, which is how a scheduled batch cluster would run it.
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexcurate.operators import quality
+from lexcurate.plans.jobs import curated_documents
 
 LANDING_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -42,6 +43,10 @@ def curation_stream(spark: SparkSession, landing: str, out_root: str, checkpoint
         # idempotent per batch: a replayed batch overwrites its own partition
         (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(f"{out}/log"))
+        written = spark.read.parquet(f"{out}/log").where(F.col("batch_id") == batch_id)
+        (curated_documents(batch, written, repaired).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(f"{out}/curated"))
 
     w = docs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

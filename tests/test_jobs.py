@@ -17,6 +17,10 @@ def test_curation_job(spark, scratch):
     cur = spark.read.parquet(out.curated_path)
     judged = logs.where((F.col("doc_type") == "judgment") & F.col("status").isin("ok_no_ocr", "ok_after_ocr"))
     assert sorted(r.key for r in cur.collect()) == sorted(r.key for r in judged.collect())
+    texts = {r.key: r.text for r in SI.repaired_text(spark, SF_SMALL).collect()}
+    own = {r.key: r.text for r in docs.collect()}
+    did = {r.key: r.did_ocr for r in logs.collect()}
+    assert all(r.text == (texts if did[r.key] else own)[r.key] for r in cur.collect())
     # rerun: same partitions rewritten, nothing duplicated
     jobs.run_curation(spark, docs, scratch, langid.GivenLanguage("lang"), SI.repaired_text(spark, SF_SMALL),
                       min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED)
@@ -56,6 +60,35 @@ def test_backfill_logs(spark, scratch):
     path = jobs.backfill_logs(spark, f"{scratch}/in/processing*", f"{scratch}/out")
     rows = spark.read.json(path).collect()
     assert [(r.key, str(r.year), r.court) for r in rows] == [(rec["key"], "1995", "28_2")]
+    # another file of the same year and court: both stay, also when one is repeated
+    with open(f"{scratch}/in/more_log_1995.jsonl", "w") as f:
+        f.write(json.dumps({**rec, "key": rec["key"] + "2"}) + "\n")
+    for name in ("more_log_1995", "more_log_1995", "processing_log_1995"):
+        jobs.backfill_logs(spark, f"{scratch}/in/{name}.jsonl", f"{scratch}/out")
+    assert sorted(r.key for r in spark.read.json(path).collect()) == [rec["key"], rec["key"] + "2"]
+
+
+def test_fetch_and_upload_errors(spark):
+    rows = [("a", "JUDGMENT the reasons given here", None, None), ("b", "JUDGMENT the reasons given here", None, "denied"),
+            ("c", "ORDER adjourned to monday", None, "denied"), ("d", None, "gone", "denied")]
+    docs = spark.createDataFrame(rows, "key string, text string, fetch string, upload string").withColumn("lang", F.lit("en"))
+    twice = spark.createDataFrame([("a", "x", "en"), ("a", "y", "en")], "key string, text string, lang string")
+    log = jobs.quality.assess(docs, langid.GivenLanguage("lang"), twice, fetch_error_col="fetch", upload_error_col="upload", min_ratio=0.1)
+    assert {r.key: r.status for r in log.collect()} == {
+        "a": "ok_no_ocr", "b": "upload_failed: denied", "c": "ok_no_ocr", "d": "download_failed: gone"}
+    assert log.count() == 4
+
+
+def test_one_record_has_one_outcome(spark):
+    from lexcurate.plans import indexing
+
+    meta = SI.metadata(spark, SF_SMALL)
+    objects = _objects(spark, SF_SMALL)
+    stage = indexing.lookup_and_chunk(meta, objects.union(objects))
+    assert stage.count() == meta.count()
+    assert {r.outcome for r in stage.select("outcome").distinct().collect()} >= {
+        "success", "key_not_found", "error_with_getting_file", "pdf_extraction_error", "empty_text", "general_error"}
+    assert "raw_html" not in stage.columns
 
 
 def test_curation_stream(spark, scratch):
@@ -67,7 +100,10 @@ def test_curation_stream(spark, scratch):
                         langid.GivenLanguage("lang"), SI.repaired_text(spark, SF_SMALL),
                         max_files_per_trigger=1, min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED)
     q.awaitTermination(300)
-    assert spark.read.parquet(f"{scratch}/out/log").count() == docs.count()
+    log = spark.read.parquet(f"{scratch}/out/log")
+    assert log.count() == docs.count()
+    kept = jobs.quality.curated(log)
+    assert sorted(r.key for r in spark.read.parquet(f"{scratch}/out/curated").collect()) == sorted(r.key for r in kept.collect())
 
 
 def test_year_range_job_over_partitioned_metadata(spark, scratch):
@@ -75,12 +111,12 @@ def test_year_range_job_over_partitioned_metadata(spark, scratch):
 
     meta = SI.metadata(spark, SF_SMALL)
     meta.write.partitionBy("year", "court_code", "bench").parquet(f"{scratch}/metadata")
-    one = metadata_partitions(spark, f"{scratch}/metadata", year="1996", court_dir="court_code")
+    one = metadata_partitions(spark, f"{scratch}/metadata", year="1996", court_dir="court_code", file_glob=None)
     assert {r.year for r in one.select("year").distinct().collect()} == {"1996"}
     assert one.count() == meta.where(F.col("year") == "1996").count()
     assert "court" in one.columns and one.where(~F.col("court").startswith("High Court")).count() == 0
     out = jobs.run_years(spark, f"{scratch}/metadata", _objects(spark, SF_SMALL), f"{scratch}/out", "1", 1995, 1997,
-                         court_dir="court_code", embedder=hashing_embedder(SI.TEST_EMBED_DIM))
+                         court_dir="court_code", file_glob=None, embedder=hashing_embedder(SI.TEST_EMBED_DIM))
     years = {str(r.year) for r in spark.read.json(out.stats_path).select("year").distinct().collect()}
     assert years == {"1995", "1996", "1997"}
     expect = meta.where(F.col("year").between("1995", "1997")).count()
@@ -126,3 +162,13 @@ def test_curation_job_with_trained_models(spark, scratch):
     logs = spark.read.json(out.log_path)
     assert logs.count() == docs.count()
     assert logs.where(F.col("lang_before").isNull()).count() == 0
+
+
+def test_repaired_document_is_stored_repaired(spark, scratch):
+    docs = spark.createDataFrame([("a", "JUDGMENT xx zz qq ww vv", "fr"), ("b", "JUDGMENT the reasons are given here", "en")],
+                                 "key string, text string, lang string").selectExpr("*", "'1995' year", "'c' court", "'b' bench", "encode(text, 'UTF-8') content")
+    rep = spark.createDataFrame([("a", "JUDGMENT the repaired reasons", "en")], "key string, text string, lang string").withColumn(
+        "content", F.encode("text", "UTF-8"))
+    out = jobs.run_curation(spark, docs, scratch, langid.GivenLanguage("lang"), rep, min_ratio=0.6, allowed_langs="en")
+    rows = {r.key: (r.text, bytes(r.content).decode()) for r in spark.read.parquet(out.curated_path).collect()}
+    assert rows == {"a": ("JUDGMENT the repaired reasons",) * 2, "b": ("JUDGMENT the reasons are given here",) * 2}

@@ -54,3 +54,14 @@ def test_keyed_records_object_key(spark):
                                " cnr string, court string")
     r = indexing.keyed_records(df).first()
     assert r.s3_key == "data/pdf/year=2017/court=16~20/bench=taphc/doc.pdf" and not r.skipped
+
+
+def test_key_year_takes_what_strptime_takes(spark):
+    from pyspark.sql import functions as F
+
+    from lexcurate.functions.keys import key_year
+
+    given = {"2020-01-05": "2020", "2020-1-5": "2020", "2020-001-05": "run", "0000-01-01": "run", "20-01-05": "run", "2020-02-30": "run",
+             "2020-13-01": "run", "": "None"}
+    df = spark.createDataFrame([(d,) for d in given], "d string")
+    assert {r.d: r.y for r in df.select("d", key_year(F.col("d"), F.lit("run")).alias("y")).collect()} == given

@@ -28,3 +28,12 @@ def test_zipf_cut_on_literal_table(spark):
     docs = spark.createDataFrame([(1, "The court, the RARE x"), (2, "")], "doc_id long, text string")
     got = {r.doc_id: r.word_ratio for r in frequency.word_ratio_freq(docs, freq, cut=3.0).collect()}
     assert got == {1: 0.75, 2: 0.0}
+
+
+def test_vowel_signs_stay_in_their_words(spark):
+    from lexcurate.operators.langid import normalized
+
+    texts = {"hi": "\u0928\u093f\u0930\u094d\u0923\u092f \u0915\u093f\u092f\u093e \u0917\u092f\u093e", "mr": "\u0928\u094d\u092f\u093e\u092f\u093e\u0932\u092f\u093e\u0928\u0947 \u0906\u0926\u0947\u0936 \u0926\u093f\u0932\u093e",
+             "te": "\u0c24\u0c40\u0c30\u0c4d\u0c2a\u0c41 \u0c07\u0c1a\u0c4d\u0c1a\u0c3e\u0c30\u0c41"}
+    df = spark.createDataFrame([(k, t + " 12, (3)") for k, t in texts.items()], "k string, t string")
+    assert {r.k: r.n.split() for r in df.select("k", normalized("t").alias("n")).collect()} == {k: t.split() for k, t in texts.items()}

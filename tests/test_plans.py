@@ -30,6 +30,7 @@ def test_stage1_shuffles_no_text(spark):
     df = C.q_document_log(spark, SF_SMALL)
     cols = exchanged_columns(spark, df)
     assert cols, "expected a keyed exchange for the repair join"
+    # repaired texts of garbled documents meet their keys; documents' own texts stay where they are
     assert all("text" not in c and "__text" not in c for c in cols), cols
 
 
@@ -82,7 +83,9 @@ def test_size_for_input(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         got = size_for_input(spark, 100 * (1 << 40))  # 100 TB
-        assert int(got["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (64 << 20)
+        maps = 100 * (1 << 40) / int(got["spark.sql.files.maxPartitionBytes"])
+        # a shuffle has maps x reducers blocks; the driver holds a size for each
+        assert int(got["spark.sql.shuffle.partitions"]) <= 20_000 and maps <= 250_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

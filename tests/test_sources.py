@@ -2,7 +2,7 @@ import json
 import os
 
 
-from lexcurate.sources.readers import assemble_pages, pdf_objects, read_logs
+from lexcurate.sources.readers import assemble_pages, log_rejects, metadata_partitions, pdf_objects, read_logs
 
 
 def test_binary_listing_keeps_partitions_and_filters(spark, scratch):
@@ -24,12 +24,57 @@ def test_binary_listing_keeps_partitions_and_filters(spark, scratch):
     assert "PartitionFilters" in plan or "partitionFilters" in plan.lower()
 
 
+def test_year_range_passes_over_partitions_without_a_year(spark, scratch):
+    for rel in ["year=2001/court=c/bench=b/a.pdf", "year=1990/court=c/bench=b/b.pdf", "year=None/court=c/bench=b/e.pdf"]:
+        os.makedirs(os.path.dirname(f"{scratch}/{rel}"), exist_ok=True)
+        with open(f"{scratch}/{rel}", "wb") as f:
+            f.write(b"%PDF")
+    assert [r.year for r in pdf_objects(spark, scratch, year_range=(2000, 2005), with_content=False).collect()] == ["2001"]
+
+
+def test_large_object_is_an_error_of_its_own(spark, scratch):
+    os.makedirs(f"{scratch}/year=2001/court=c/bench=b")
+    for name, n in (("a.pdf", 10), ("b.pdf", 2000)):
+        with open(f"{scratch}/year=2001/court=c/bench=b/{name}", "wb") as f:
+            f.write(b"x" * n)
+    rows = {r.path[-5:]: r for r in pdf_objects(spark, scratch, max_bytes=1000).collect()}
+    assert bytes(rows["a.pdf"].content) == b"x" * 10 and rows["a.pdf"].fetch_error is None
+    assert rows["b.pdf"].content is None and "2000" in rows["b.pdf"].fetch_error
+
+
+def test_metadata_columns_and_files(spark, scratch):
+    spark.createDataFrame([("1", "x")], "cnr string, court string").coalesce(1).write.parquet(f"{scratch}/a")
+    spark.createDataFrame([("2", "y", "J")], "cnr string, court string, judge string").coalesce(1).write.parquet(f"{scratch}/b")
+    for year, part in (("2001", "a"), ("2002", "b")):
+        folder = f"{scratch}/m/year={year}/court=c/bench=b"
+        os.makedirs(folder)
+        source = [n for n in os.listdir(f"{scratch}/{part}") if n.endswith(".parquet")][0]
+        for name in ("metadata.parquet", "x-metadata.parquet.bak.parquet"):
+            with open(f"{scratch}/{part}/{source}", "rb") as f, open(f"{folder}/{name}", "wb") as g:
+                g.write(f.read())
+    rows = sorted((r.cnr, r.judge, r.year) for r in metadata_partitions(spark, f"{scratch}/m").collect())
+    assert rows == [("1", None, "2001"), ("2", "J", "2002")]
+
+
+def test_one_cut_line_loses_one_record(spark, scratch):
+    record = {"key": "k", "status": "ok_no_ocr", "doc_type": "a {brace} and \"quote\"", "did_ocr": False}
+    lines = [json.dumps(record | {"key": f"k{i}"}) for i in range(1000)]
+    with open(f"{scratch}/processing_log_2001.jsonl", "w") as f:
+        f.write("\n".join(lines) + "\n" + lines[0][:30])
+    with open(f"{scratch}/processing_log_2002.jsonl", "w") as f:
+        f.write("".join(json.dumps(record | {"key": f"p{i}"}, indent=2) + "\n" for i in range(3)) + "{\"key\": \"cut\",\n")
+    got = read_logs(spark, f"{scratch}/processing*").collect()
+    assert len(got) == 1003 and {r.log_year for r in got if r.key[0] == "p"} == {"2002"}
+    assert {r.doc_type for r in got} == {record["doc_type"]}
+    assert [r.line for r in log_rejects(spark, f"{scratch}/processing_log_2001*").collect()] == [lines[0][:30]]
+
+
 def test_pages_both_variants(spark):
     pages = spark.createDataFrame([(1, 2, "b"), (1, 0, "a"), (1, 1, None), (1, 3, ""), (2, 0, None)],
                                   "doc_key long, page_no int, text string")
     nl = {r.doc_key: r.text for r in assemble_pages(pages, sep="\n", drop_empty=True).collect()}
     cc = {r.doc_key: r.text for r in assemble_pages(pages, sep="", drop_empty=False).collect()}
-    assert nl == {1: "a\nb"}
+    assert nl == {1: "a\nb", 2: ""}
     assert cc == {1: "ab", 2: ""}
 
 

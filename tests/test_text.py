@@ -53,3 +53,19 @@ def test_letter_tokens_follow_word_by_word_lowering(spark):
 
     got = one(spark, T.letter_tokens, samples)
     assert [list(g) for g in got] == [py_tokens(s) for s in samples]
+
+
+def test_long_blank_runs_take_linear_time(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from lexcurate.functions import text as TX
+
+    df = spark.createDataFrame([("a" + " " * 200_000 + "b",), ("\u3000\x1c " * 70_000,), ("\u2003x\x85",)], "t string")
+    df.select(TX.strip_ws("t")).collect()
+    began = time.time()
+    rows = df.select(TX.strip_ws("t").alias("s"), TX.is_blank("t").alias("b"), TX.word_count("t").alias("n"),
+                     F.size(TX.sentences("t")).alias("k")).collect()
+    assert time.time() - began < 5
+    assert [(len(r.s), r.b, r.n, r.k) for r in rows] == [(200_002, False, 2, 1), (0, True, 0, 0), (1, False, 1, 1)]

@@ -1,4 +1,5 @@
 from lexcurate.operators.upsert import latest, upsert_table
+from lexcurate.sinks import writers
 
 
 def test_latest_newest_wins_nulls_lowest(spark):
@@ -8,6 +9,15 @@ def test_latest_newest_wins_nulls_lowest(spark):
     assert got == {"k": ("b", 2), "j": ("d", 4)}
 
 
+def test_a_later_batch_wins_whatever_its_dates(spark, scratch):
+    schema = "pk string, sk string, decision_date string, s3_key string, v int"
+    first = spark.createDataFrame([("a", "s", "1999-01-01", "k1", 1), ("b", "s", "31-12-1990", "k1", 2), ("b", "s", "2020-05-01", "k2", 3)], schema)
+    later = spark.createDataFrame([("a", "s", "1990-01-01", "k0", 4)], schema)
+    writers.write_items(spark, first, scratch, "1")
+    path = writers.write_items(spark, later, scratch, "2", "1")
+    assert sorted((r.pk, r.v) for r in spark.read.parquet(path).collect()) == [("a", 4), ("b", 3)]
+
+
 def test_upsert_is_idempotent(spark, scratch):
     batch = spark.createDataFrame([("k1", "2020", "x"), ("k2", "2021", "y"), ("k1", "2022", "z")],
                                   "key string, d string, v string")
