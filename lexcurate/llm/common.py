@@ -108,17 +108,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     open_edges = table(edges, "edges")
     labels = table(open_edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
                    .select("node", F.col("node").alias("root")), "labels")
-    while open_edges.limit(1).count():
+    while not open_edges.isEmpty():
         both = open_edges.select("a", "b").union(open_edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = table(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
                        .select("node", F.least("node", "low").alias("up")), "hooks")
         while True:
-            above = parent.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-            jumped = table(parent.join(above, "up", "left")
-                           .select("node", F.coalesce("upper", "up").alias("up"),
-                                   (F.coalesce("upper", "up") != F.col("up")).alias("moved")), "jumps")
-            parent = jumped.select("node", "up")
-            if not jumped.where("moved").limit(1).count():
+            once = parent.join(parent.select(F.col("node").alias("up"), F.col("up").alias("two")), "up").select("node", F.col("two").alias("up"))
+            jumped = table(once.join(once.select(F.col("node").alias("up"), F.col("up").alias("four")), "up")
+                           .select("node", F.col("four").alias("up"), (F.col("four") != F.col("up")).alias("moved")), "jumps")
+            parent = jumped.select("node", "up")  # every "up" is a node itself, so inner joins lose none
+            if jumped.where("moved").isEmpty():
                 break
         roots = parent.select(F.col("node").alias("root"), F.col("up").alias("top"))
         labels = table(labels.join(roots, "root", "left").select("node", F.coalesce("top", "root").alias("root")),

@@ -13,9 +13,13 @@ Search. Documents with the same words are one class from the start. Bands of
 five registers put class representatives into buckets. No bucket emits its
 pairs: in rounds, each bucket names a hub and every member outside the hub's
 class proposes that one pair; each member's most frequent hub is verified on the
-exact multiset overlap of whole texts, and found links join classes. When a
-round finds no link, what is still in a bucket with members of other classes
-is compared pair by pair, so no link between bucket members is lost.
+exact multiset overlap of whole texts, and found links join classes. When rounds
+no longer find many links, the members of buckets that still hold several classes
+are joined exactly, by prefixes: of n shingles (copies counted apart) a
+document's rarest n - ceil(0.8 n) + 1 must hold one of any partner's. Shingles that no
+other such document has fill most prefixes, so families of half-similar
+documents yield few pairs where their buckets would yield all, and no link between
+bucket members is lost.
 
 Defined cases: words are separated by white space; a text of one to four words
 has one shingle, the text; texts without a word (null too) equal each other and
@@ -154,53 +158,93 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(rows, "a long, b long, near boolean")
 
 
+def elements(texts: DataFrame) -> DataFrame:
+    """(row_key, n, element): a row for each shingle; equal ones of a text are numbered apart."""
+
+    def rows(batches):
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = np.sort(shingles(text.split()))
+                first = np.searchsorted(h, h, "left")
+                nth = (np.arange(len(h)) - first).astype(np.uint64)
+                got = np.where(nth > 0, mixed(h + nth * _STEP), h).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), key)), pa.array(np.full(len(h), len(h))), pa.array(got)],
+                                                 names=["row_key", "n", "element"])
+
+    return texts.select("row_key", "text").mapInArrow(rows, "row_key long, n long, element long")
+
+
+def prefix_pairs(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of ``members`` (row_key, root) with different roots that can reach a similarity of ``least``."""
+    some = common.sized(members.select("row_key"))
+    rows = common.table(elements(texts.join(some, "row_key", "left_semi")), "elements")
+    spread = common.table(rows.groupBy("element").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "spread")
+    prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
+    # what nobody else has comes first in the prefix; the rarest others fill it up
+    shared = rows.join(spread, "element").groupBy("row_key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("e"))
+    room = prefix - (F.col("n") - F.size("e"))
+    heads = common.table(shared.where(room > 0).join(members, "row_key").select(
+        "row_key", "root", "n", F.explode(F.slice("e", F.lit(1), room.cast("int"))).alias("e")).select("row_key", "root", "n", "e.element"), "prefixes")
+    other = heads.select(F.col("row_key").alias("key_b"), F.col("root").alias("root_b"), F.col("n").alias("m"), "element")
+    met = heads.join(other, "element").where("root < root_b").where(F.least("n", "m") >= F.greatest("n", "m") * least)
+    return met.select(F.least("row_key", "key_b").alias("a"), F.greatest("row_key", "key_b").alias("b")).distinct()
+
+
+def _hubs(buckets: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Bucket rows with their class; and of each bucket with several classes, its hub of this turn."""
+    at = common.table(buckets.join(roots, "row_key", "left").select(
+        "band", "row_key", "n", F.coalesce("root", "row_key").alias("root")), "placed")
+    hub = F.struct(F.xxhash64("row_key", F.lit(turn)).alias("o"), F.col("row_key").alias("k"), "n", "root")
+    hubs = at.groupBy("band").agg(F.min(hub).alias("hub"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return at, common.table(hubs, "hubs")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """The verified pairs, and the classes with the found links."""
+    result = common.table(verified(pairs, texts, least), "verified")
+    links = result.where("near").select("a", "b")
+    if links.isEmpty():
+        return result, roots
+    known = links.union(roots.select(F.col("row_key").alias("a"), F.col("root").alias("b")))
+    return result, common.components(known).select(F.col("node").alias("row_key"), "root")
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, kept (the class's representative), row_key."""
     spark = docs.sparkSession
     texts = common.texts(docs)
     signs = common.table(signed(texts), "signatures")
-    same = signs.groupBy("same").agg(F.min("row_key").alias("rep"))
+    # sums are written before they are joined: then Spark can split a hot key's partition of the join
+    same = common.table(signs.groupBy("same").agg(F.min("row_key").alias("rep")), "same")
     copies = common.table(signs.select("row_key", "doc_id", "same").join(same, "same").drop("same"), "copies")
 
     reps = signs.join(copies.where("row_key = rep").select("row_key"), "row_key", "left_semi")
     placed = reps.select("row_key", "n", F.explode("bands").alias("band"))
-    full = placed.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("band")
+    full = common.table(placed.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("band"), "full")
     buckets = common.table(placed.join(full, "band"), "buckets")
     some = common.sized(common.table(buckets.select("row_key").distinct(), "candidates"))
     whole = common.table(texts.join(some, "row_key", "left_semi").select("row_key", "text"), "candidate-texts")
 
     roots = spark.createDataFrame([], "row_key long, root long")
     tested = spark.createDataFrame([], "a long, b long")
-    for turn in range(1, 1_000):
-        at = common.table(buckets.join(roots, "row_key", "left").select(
-            "band", "row_key", "n", F.coalesce("root", "row_key").alias("root")), "placed")
-        hubs = at.groupBy("band").agg(
-            F.min(F.struct(F.xxhash64("row_key", F.lit(turn)).alias("o"), F.col("row_key").alias("k"), "n", "root")).alias("hub"),
-            F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        close = F.least("n", "m") >= F.greatest("n", "m") * least
-        met = at.join(hubs.select("band", F.col("hub.k").alias("hub"), F.col("hub.n").alias("m"),
-                                  F.col("hub.root").alias("hub_root")), "band").where("root <> hub_root").where(close)
-        last = turn > 1 and not found  # noqa: F821
-        if last:  # every pair still open
-            other = at.select("band", F.col("row_key").alias("hub"), F.col("n").alias("m"), F.col("root").alias("hub_root"))
-            still = hubs.select("band")
-            met = at.join(still, "band").join(other, "band").where("root < hub_root").where(close)
+    turn, fruitful = 0, True
+    while fruitful:
+        turn += 1
+        at, hubs = _hubs(buckets, roots, turn)
+        hub = hubs.select("band", F.col("hub.k").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.root").alias("hub_root"))
+        met = at.join(hub, "band").where("root <> hub_root").where(F.least("n", "m") >= F.greatest("n", "m") * least)
         named = met.groupBy(F.least("row_key", "hub").alias("a"), F.greatest("row_key", "hub").alias("b")) \
             .agg(F.count(F.lit(1)).alias("bands"), F.max("row_key").alias("member"))
-        named = named.join(tested, ["a", "b"], "left_anti")
-        if not last:
-            named = named.groupBy("member").agg(F.max(F.struct("bands", "a", "b")).alias("p")).select("p.a", "p.b")
-        pairs = common.table(named.select("a", "b"), "pairs")
-        result = common.table(verified(pairs, whole, least), "verified")
-        links = result.where("near").select("a", "b")
-        found = not links.isEmpty()
-        if found:
-            over = roots.select("row_key", "root")
-            known = links.union(over.select(F.col("row_key").alias("a"), F.col("root").alias("b")))
-            roots = common.components(known).select(F.col("node").alias("row_key"), "root")
+        named = named.join(tested, ["a", "b"], "left_anti").groupBy("member").agg(F.max(F.struct("bands", "a", "b")).alias("p"))
+        pairs = common.table(named.select("p.a", "p.b"), "pairs")
+        result, roots = _linked(pairs, whole, roots, least)
         tested = tested.union(result.select("a", "b"))
-        if last:
-            break
+        n, near = result.agg(F.count(F.lit(1)), F.count_if("near")).first()
+        fruitful = near * 8 > n
+    at, hubs = _hubs(buckets, roots, turn)
+    members = common.table(at.join(hubs.select("band"), "band").select("row_key", "root").distinct(), "members")
+    pairs = common.table(prefix_pairs(members, whole, least).join(tested, ["a", "b"], "left_anti"), "prefix-pairs")
+    _, roots = _linked(pairs, whole, roots, least)
     known = roots.select(F.col("row_key").alias("rep"), "root")
     out = copies.join(known, "rep", "left").select("row_key", "doc_id", F.coalesce("root", "rep").alias("root"))
     ids = copies.select(F.col("row_key").alias("root"), F.col("doc_id").alias("class_id"))
