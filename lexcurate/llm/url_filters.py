@@ -52,14 +52,14 @@ def patterns_of(url: Column) -> Column:
     """The patterns (kind, pattern) that match a URL."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
-    levels = F.split(F.trim(F.lit("/"), path), "/")
+    levels = F.split(F.trim(path, F.lit("/")), "/")
     one = lambda kind, pattern: F.struct(F.lit(kind).alias("kind"), pattern.alias("pattern"))
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)),
                           lambda i: one("domain", F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     prefixes = F.transform(F.sequence(F.lit(1), F.least(F.size(levels), F.lit(PATH_LEVELS))),
                            lambda i: one("prefix", F.concat(host, F.lit("/"), F.array_join(F.slice(levels, F.lit(1), i), "/"))))
     whole = F.array(one("url", F.concat(host, path)), one("host", host))
-    return F.when(host != "", F.concat(whole, domains, F.when(F.length(F.trim(F.lit("/"), path)) > 0, prefixes)
+    return F.when(host != "", F.concat(whole, domains, F.when(F.length(F.trim(path, F.lit("/"))) > 0, prefixes)
                                        .otherwise(F.slice(whole, 1, 0))))
 
 
@@ -91,7 +91,7 @@ def dated_entries(pages: DataFrame) -> DataFrame:
     """List history for the hosts, sections and pages that ``pages`` holds, drawn from hashes of their names."""
     host = host_of(F.col("url"))
     names = pages.select(host.alias("host"), path_of(F.col("url")).alias("path")).where("host <> ''")
-    section = F.concat("host", F.lit("/"), F.split(F.trim(F.lit("/"), F.col("path")), "/")[0])
+    section = F.concat("host", F.lit("/"), F.split(F.trim(F.col("path"), F.lit("/")), "/")[0])
     parent = F.regexp_replace("host", r"^[^.]+\.", "")
     some = [names.select(F.lit("block").alias("list"), F.lit("host").alias("kind"), F.col("host").alias("pattern"), F.lit(3).alias("one_in")),
             names.where(F.size(F.split("host", r"\.")) > 3).select(F.lit("block"), F.lit("domain"), parent, F.lit(4)),
