@@ -20,6 +20,7 @@ other columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from lexcurate.llm import common, words
 
 #: Bytes in the rolling window, mean chunk length (a power of two), and bytes of chunks kept by a worker.
-WINDOW, MEAN_CHUNK, CACHE_BYTES = 16, 1024, 24 << 20
+WINDOW, MEAN_CHUNK, CACHE_BYTES = 16, 1024, 8 << 20
 _MIX = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 SPACES = " \t\n\r\x0b\x0c"
 
@@ -65,13 +66,15 @@ class Chunks:
         for token, i in vocab.items():
             name[i] = token
         self.names = name
-        self.words = words.Bounded(self.word)
+        self.words = words.Bounded(self.word, words.CACHE_WORDS // 2)
         self.chunks: dict[bytes, tuple] = {}
         self.held = 0
 
     def word(self, word: str) -> tuple[bytes, str]:
-        ids = self.enc.word(word)
-        return words.to_bytes(ids), " ".join([self.names[i] for i in ids])
+        return self.named(self.enc.word(word))
+
+    def named(self, ids: bytes) -> tuple[bytes, str]:
+        return ids, " ".join([self.names[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
 
     def run(self, text: str) -> tuple[bytes, str]:
         """Ids and decoded form of a text that begins and ends at white space."""
@@ -99,8 +102,7 @@ class Chunks:
     def text(self, text: str) -> tuple[bytes, str]:
         """Ids as bytes and decoded text, both equal to the library's."""
         if words.ODD_SPACE.search(text):
-            ids = self.enc.whole(text)
-            return words.to_bytes(ids), " ".join([self.names[i] for i in ids])
+            return self.named(self.enc.whole(text))
         data, start, ids, decoded, open_words = text.encode(), 0, [], [], ""
         for end in chunk_ends(data):
             head, inner, inner_decoded, tail = self.chunk(data[start:end])

@@ -34,7 +34,7 @@ def frequent_words(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, most: in
             for text in batch.column(0).to_pylist():
                 if not words.ODD_SPACE.search(text):
                     seen.update(text.split())
-        lengths = {w: len(words.encoder(path).word(w)) for w, _ in seen.most_common(most)
+        lengths = {w: len(words.encoder(path).word(w)) // 4 for w, _ in seen.most_common(most)
                    if len(w) <= words.CACHE_LETTERS}
         keep = [w for w, n in lengths.items() if n < 256]
         yield pa.RecordBatch.from_pydict({"words": [" ".join(keep)], "lengths": [bytes(lengths[w] for w in keep)]})
@@ -51,7 +51,7 @@ def _lengths(path: str, table_words: str, table_lengths: bytes) -> words.Bounded
 
     def length(word: str) -> int:
         n = first.get(word)
-        return len(enc.word(word)) if n is None else n
+        return len(enc.word(word)) // 4 if n is None else n
 
     cache = words.Bounded(length)
     cache.update(first)
@@ -69,7 +69,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048) ->
             n = []
             for text in batch.column(1).to_pylist():
                 if words.ODD_SPACE.search(text):
-                    n.append(len(words.encoder(path).whole(text)))
+                    n.append(len(words.encoder(path).whole(text)) // 4)
                 else:
                     n.append(sum(map(lengths.__getitem__, text.split())))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64())],

@@ -9,15 +9,14 @@ outside the plain cases goes to the library itself.
 from __future__ import annotations
 
 import re
-import sys
+import struct
 import unicodedata
-from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: Entries of a worker's word cache, and the longest word worth an entry.
-CACHE_WORDS, CACHE_LETTERS = 300_000, 48
+CACHE_WORDS, CACHE_LETTERS = 200_000, 48
 #: Where Python's and the tokenizer's idea of white space may differ: such texts go to the library whole.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​﻿]")
 #: The tokenizer's split pattern on lower-case ASCII (fixed values).
@@ -32,44 +31,59 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
 
 
 class Bounded(dict):
-    """A dict that makes missing values and starts afresh when it is full."""
+    """A dict that makes missing values and holds at most two generations of
+    ``most`` keys: when one is full it becomes the old one, from which keys still
+    in use return."""
 
     def __init__(self, make: Callable, most: int = CACHE_WORDS):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= CACHE_LETTERS:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
 
 
+def to_bytes(ids) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
+    """Ids of words, as bytes."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
-        self.pieces = Bounded(lambda p: tuple(t.id for t in self.model.tokenize(p)), CACHE_WORDS // 3)
-        self.letters = Bounded(self.whole, CACHE_WORDS // 3)
+        model = self.tokenizer.model
+        #: of lower-case ASCII pieces, and of words of letters
+        self.pieces = Bounded(lambda p: to_bytes([t.id for t in model.tokenize(p)]))
+        self.letters = Bounded(self.whole, CACHE_WORDS // 2)
 
-    def whole(self, text: str) -> tuple[int, ...]:
+    def whole(self, text: str) -> bytes:
         """The library's own answer for any text."""
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return to_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> bytes:
         """Ids of one white-space-delimited word."""
-        if "<|" in word:
-            return self.whole(word)
         if word.isascii():
-            if not word.isprintable():
+            if word.isalpha():
+                return self.pieces[word.lower()]
+            if "<|" in word or not word.isprintable():
                 return self.whole(word)
-            return tuple(i for p in ASCII_PIECES.findall(word.lower()) for i in self.pieces[p])
+            return b"".join([self.pieces[p] for p in ASCII_PIECES.findall(word.lower())])
+        if "<|" in word:
+            return self.whole(word)
         parts = LETTERS_THEN_MARKS.fullmatch(word)
         if parts and unicodedata.normalize("NFC", parts[1]).lower().isalpha():  # no mark for the punctuation to join
             return self.letters[parts[1]] + self.pieces[parts[2]]
@@ -82,24 +96,13 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def to_bytes(ids) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    out = array("I", ids)
-    if out.itemsize != 4:
-        raise OSError("unsigned int isn't 32 bits wide here")
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out.tobytes()
-
-
 @lru_cache(maxsize=2)
 def byte_cache(path: str) -> Bounded:
-    enc = encoder(path)
-    return Bounded(lambda w: to_bytes(enc.word(w)))
+    return Bounded(encoder(path).word)
 
 
 def encode_bytes(path: str, text: str) -> bytes:
     """All ids of ``text`` as bytes, equal to the library's."""
     if ODD_SPACE.search(text):
-        return to_bytes(encoder(path).whole(text))
+        return encoder(path).whole(text)
     return b"".join(map(byte_cache(path).__getitem__, text.split()))
