@@ -17,40 +17,49 @@ from lexcurate.llm import common, exact_dedup, minhash, packing, quality, suffix
 ORACLE_SQL = None
 
 
-def _begin(spark, docs):
-    """The stage before is written out, so its scratch tables can go, unless ``docs`` still reads them."""
-    common.configure(spark)
-    if not any("/llm-" in path for path in docs.inputFiles()):
-        common.drop_scratch()
+#: Scratch tables of the last stage that ran. Its result is written out before the next stage begins.
+_PREVIOUS = []
+
+
+def _stage(make):
+    """A stage that deletes what the stage before it left in the scratch folder."""
+
+    def stage(spark, docs, sf_dir):
+        common.configure(spark)
+        if not any("/llm-" in path for path in docs.inputFiles()):  # else docs still reads it
+            for folder in _PREVIOUS:
+                common.delete(*folder)
+        _PREVIOUS.clear()
+        out, left = common.made_by(lambda: make(spark, docs, sf_dir))
+        if make is not pack:  # the last result is the caller's, to be read when it likes
+            _PREVIOUS.extend(left)
+        return out
+
+    return stage
 
 
 def keep_good(spark, docs, sf_dir):
-    _begin(spark, docs)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def keep_one_exact(spark, docs, sf_dir):
-    _begin(spark, docs)
     return exact_dedup.keep_one(docs)
 
 
 def keep_one_near(spark, docs, sf_dir):
-    _begin(spark, docs)
     return minhash.keep_one(docs)
 
 
 def cut_repeats(spark, docs, sf_dir):
-    _begin(spark, docs)
     return suffix_dedup.without_repeats(docs)
 
 
 def pack(spark, docs, sf_dir):
-    _begin(spark, docs)
     return packing.pack(docs)
 
 
-STAGES = [("quality", keep_good), ("exact_dedup", keep_one_exact), ("near_dedup", keep_one_near),
-          ("suffix_dedup", cut_repeats), ("packing", pack)]
+STAGES = [("quality", _stage(keep_good)), ("exact_dedup", _stage(keep_one_exact)), ("near_dedup", _stage(keep_one_near)),
+          ("suffix_dedup", _stage(cut_repeats)), ("packing", _stage(pack))]
 
 
 def run(spark, sf_dir):

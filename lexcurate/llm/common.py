@@ -17,7 +17,7 @@ from lexcurate.session import scratch_path
 BATCH_ROWS = 256
 #: The key column of documents, and the largest side (narrow rows, at most 64 bytes each) that is broadcast.
 KEY, BROADCAST_ROWS = "__key", 250_000
-#: Scratch folders of the running job, so that a pipeline can drop those of stages already written.
+#: Scratch folders written so far.
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
@@ -55,11 +55,10 @@ def delete(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def drop_scratch() -> None:
-    """Delete the scratch folders written so far. Only for callers that have
-    written out every frame that reads them (the pipeline, between stages)."""
-    while _SCRATCH:
-        delete(*_SCRATCH.pop())
+def made_by(make):
+    """What ``make()`` returns, and the scratch folders written meanwhile."""
+    before = len(_SCRATCH)
+    return make(), _SCRATCH[before:]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
