@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -122,7 +121,7 @@ class Chunks:
         return b"".join(ids), " ".join(decoded)
 
 
-@lru_cache(maxsize=1)
+@words.worker_cache("tokens")
 def chunks(path: str) -> Chunks:
     return Chunks(path)
 

@@ -22,7 +22,6 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +43,10 @@ def _shape(word: str) -> str:
     return re.sub(r"(.)\1\1+", r"\1\1", re.sub(r"\d+", "9", fold))
 
 
-@lru_cache(maxsize=1)
+@words.worker_cache("quality")
 def _hashes() -> words.Bounded:
     """A word's hash, its low 20 bits replaced by those of its shape's hash."""
-    return words.Bounded(lambda w: xxhash.xxh3_64_intdigest(w) >> 20 << 20 | xxhash.xxh3_64_intdigest(_shape(w)) & 0xFFFFF)
+    return words.Bounded(lambda w: xxhash.xxh3_64_intdigest(w) >> 20 << 20 | xxhash.xxh3_64_intdigest(_shape(w)) & 0xFFFFF, words.CACHE_WORDS // 2)
 
 
 def features(text: str, size: int = FEATURES) -> np.ndarray:

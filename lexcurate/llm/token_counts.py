@@ -13,7 +13,6 @@ of the input are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +43,7 @@ def frequent_words(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, most: in
     return (out[0], bytes(out[1])) if out else ("", b"")
 
 
-@lru_cache(maxsize=2)
+@words.worker_cache("tokens")
 def _lengths(path: str, table_words: str, table_lengths: bytes) -> words.Bounded:
     enc = words.encoder(path)
     first = dict(zip(table_words.split(" "), table_lengths)) if table_lengths else {}

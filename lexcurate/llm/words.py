@@ -12,7 +12,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, wraps
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: Entries of a worker's word cache, and the longest word worth an entry.
@@ -30,6 +30,33 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+_CACHES: dict[str, list] = {}
+_in_use = [""]
+
+
+def worker_cache(operator: str):
+    """Keeps a function's last result in the worker process, as long as the worker serves this
+    operator: Spark reuses workers, and the caches of several would add up."""
+
+    def keep(make: Callable) -> Callable:
+        held = lru_cache(maxsize=1)(make)
+        _CACHES.setdefault(operator, []).append(held)
+
+        @wraps(make)
+        def get(*args):
+            if _in_use[0] != operator:
+                for other, caches in _CACHES.items():
+                    if other != operator:
+                        for cache in caches:
+                            cache.cache_clear()
+                _in_use[0] = operator
+            return held(*args)
+
+        return get
+
+    return keep
+
+
 class Bounded(dict):
     """A dict that makes missing values and holds at most two generations of
     ``most`` keys: when one is full it becomes the old one, from which keys still
@@ -90,13 +117,13 @@ class WordEncoder:
         return self.letters[word]
 
 
-@lru_cache(maxsize=2)
+@worker_cache("tokens")
 def encoder(path: str) -> WordEncoder:
     """One encoder a worker process."""
     return WordEncoder(path)
 
 
-@lru_cache(maxsize=2)
+@worker_cache("tokens")
 def byte_cache(path: str) -> Bounded:
     return Bounded(encoder(path).word)
 
