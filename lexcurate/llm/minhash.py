@@ -15,10 +15,11 @@ pairs: in rounds, each bucket names a hub and every member outside the hub's
 class proposes that one pair; each member's most frequent hub is verified on the
 exact multiset overlap of whole texts, and found links join classes. When rounds
 no longer find many links, the members of buckets that still hold several classes
-are joined exactly, by prefixes: of n shingles (copies counted apart) a
-document's rarest n - ceil(0.8 n) + 1 must hold one of any partner's. Shingles that no
-other such document has fill most prefixes, so families of half-similar
-documents yield few pairs where their buckets would yield all, and no link between
+are compared exactly. Of n shingles (copies counted apart) a document's rarest
+n - ceil(0.8 n) + 1 must hold one of any partner's; shingles that no other such
+document has rule most documents of half-similar families out. The rest of a family
+is compared in blocks, by products of incidence matrices inside the tasks, which return
+only links that join classes: there is no row for each pair, and no link between
 bucket members is lost.
 
 Defined cases: words are separated by white space; a text of one to four words
@@ -34,6 +35,7 @@ import hashlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,10 @@ from lexcurate.llm import common, words
 WORDS, SIMILARITY = 5, 0.8
 #: 24 bands of 5 registers miss a pair of similarity 0.8 once in 14,000.
 BANDS, ROWS = 24, 5
+#: Members of a family that are compared with each other, or with as many others, at once.
+BLOCK = 1024
+#: Shingles that are signed, and pairs that are compared, at once.
+SHINGLES_AT_ONCE = 200_000
 _U = np.uint64
 _STEP, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -55,9 +61,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-@lru_cache(maxsize=1)
+@words.worker_cache("shingles")
 def _word_hashes() -> words.Bounded:
-    return words.Bounded(xxhash.xxh3_64_intdigest)
+    return words.Bounded(xxhash.xxh3_64_intdigest, words.CACHE_WORDS // 2)
 
 
 def shingles(tokens: list[str]) -> np.ndarray:
@@ -131,14 +137,21 @@ def signed(texts: DataFrame) -> DataFrame:
 
     def rows(batches):
         for batch in batches:
-            split = [t.split() for t in batch.column(2).to_pylist()]
-            bags = [shingles(t) for t in split]
-            got = bands(signatures(bags))
-            n = np.array([len(b) for b in bags], np.int64)
-            lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(np.where(n > 0, BANDS, 0))].astype(np.int32), got[n > 0].reshape(-1))
-            same = pa.array([hashlib.blake2b(" ".join(t).encode(), digest_size=16).digest() for t in split], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), same, pa.array(n), lists],
-                                             names=["row_key", "doc_id", "same", "n", "bands"])
+            keys, ids, texts_here = (batch.column(i).to_pylist() for i in range(3))
+            at = 0
+            while at < len(keys):  # texts whose shingles are held at once
+                bags, same, size = [], [], 0
+                while at + len(bags) < len(keys) and size < SHINGLES_AT_ONCE:
+                    split = texts_here[at + len(bags)].split()
+                    same.append(hashlib.blake2b(" ".join(split).encode(), digest_size=16).digest())
+                    bags.append(shingles(split))
+                    size += len(bags[-1])
+                got, n = bands(signatures(bags)), np.array([len(b) for b in bags], np.int64)
+                lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(np.where(n > 0, BANDS, 0))].astype(np.int32), got[n > 0].reshape(-1))
+                part = slice(at, at + len(bags))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[part], pa.int64()), pa.array(ids[part], pa.int64()), pa.array(same, pa.binary()),
+                                                  pa.array(n), lists], names=["row_key", "doc_id", "same", "n", "bands"])
+                at += len(bags)
 
     return texts.mapInArrow(rows, "row_key long, doc_id long, same binary, n long, bands array<long>")
 
@@ -147,7 +160,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole texts have a similarity of ``least`` or more."""
 
     def rows(batches):
-        bag = lru_cache(maxsize=64)(lambda text: np.sort(shingles(text.split())))
+        bag = lru_cache(maxsize=16)(lambda text: np.sort(shingles(text.split())))
         for batch in batches:
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             near = pa.array([overlap(bag(x), bag(y)) >= least for x, y in zip(a, b)], pa.bool_())
@@ -159,35 +172,92 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def elements(texts: DataFrame) -> DataFrame:
-    """(row_key, n, element): a row for each shingle; equal ones of a text are numbered apart."""
+    """(row_key, elements): the shingles of each text; equal ones of a text are numbered apart."""
 
     def rows(batches):
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            got = []
+            for text in batch.column(1).to_pylist():
                 h = np.sort(shingles(text.split()))
-                first = np.searchsorted(h, h, "left")
-                nth = (np.arange(len(h)) - first).astype(np.uint64)
-                got = np.where(nth > 0, mixed(h + nth * _STEP), h).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), key)), pa.array(np.full(len(h), len(h))), pa.array(got)],
-                                                 names=["row_key", "n", "element"])
-
-    return texts.select("row_key", "text").mapInArrow(rows, "row_key long, n long, element long")
-
-
-def prefix_pairs(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of ``members`` (row_key, root) with different roots that can reach a similarity of ``least``."""
+                nth = (np.arange(len(h)) - np.searchsorted(h, h, "left")).astype(np.uint64)
+                got.append(np.where(nth > 0, mixed(h + nth * _STEP), h).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.int64()))], names=["row_key", "elements"])
+
+    return texts.select("row_key", "text").mapInArrow(rows, "row_key long, elements array<long>")
+
+
+def families(arrays: DataFrame, least: float) -> DataFrame:
+    """(row_key, family) of those that may have a partner: two texts can only reach ``least`` if the rarest
+    n - ceil(least n) + 1 elements of each have one in common; a family is what such elements connect."""
+    single = arrays.select("row_key", F.size("elements").alias("n"), F.explode("elements").alias("element"))
+    spread = common.table(single.groupBy("element").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "spread")
+    shared = single.join(spread, "element").groupBy("row_key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("e"))
+    # elements that nobody else has come first in the prefix; the rarest others fill it up
+    room = F.size("e") - F.ceil(F.col("n") * least - 1e-9) + 1
+    heads = common.table(shared.where(room > 0).select("row_key", F.explode(F.slice("e", F.lit(1), room.cast("int"))).alias("e"))
+                         .select("row_key", "e.element"), "prefixes")
+    first = common.table(heads.groupBy("element").agg(F.min("row_key").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1"), "first")
+    return common.components(heads.join(first, "element").select("a", F.col("row_key").alias("b"))).select(
+        F.col("node").alias("row_key"), F.col("root").alias("family"))
+
+
+def spanning_links(keys: np.ndarray, roots: np.ndarray, bags: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Links of similarity ``least`` that join different roots, enough to connect all that such links connect."""
+    n = np.array([len(b) for b in bags])
+    _, label = np.unique(roots, return_inverse=True)
+    if not len(n) or label.max() == 0:
+        return []
+    _, column, count = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    row, common_ones = np.repeat(np.arange(len(n)), n), count[column] > 1
+    row, column = row[common_ones], column[common_ones]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(n), len(n)), np.float32)  # counts up to 2**24 are exact
+    for at in range(0, int(column.max(initial=-1)) + 1, 4096):
+        part = slice(*np.searchsorted(column, (at, at + 4096)))
+        has = np.zeros((len(n), min(4096, int(column[-1]) + 1 - at)), np.float32)
+        has[row[part], column[part] - at] = 1
+        both += has @ has.T
+    out = []
+    for i in range(len(n)):
+        overlaps = both[i, i + 1:].astype(np.float64)
+        near = i + 1 + np.flatnonzero(overlaps / np.maximum(n[i] + n[i + 1:] - overlaps, 1) >= least)
+        for j in near[np.unique(label[near], return_index=True)[1]]:
+            if label[j] != label[i]:
+                out.append((int(keys[i]), int(keys[j])))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def rest_links(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between ``members`` (row_key, root), enough to connect all that links connect.
+
+    Families are compared in blocks of BLOCK members, two blocks a task, without a row for
+    each pair; small families share a task.
+    """
     some = common.sized(members.select("row_key"))
-    rows = common.table(elements(texts.join(some, "row_key", "left_semi")), "elements")
-    spread = common.table(rows.groupBy("element").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "spread")
-    prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
-    # what nobody else has comes first in the prefix; the rarest others fill it up
-    shared = rows.join(spread, "element").groupBy("row_key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("e"))
-    room = prefix - (F.col("n") - F.size("e"))
-    heads = common.table(shared.where(room > 0).join(members, "row_key").select(
-        "row_key", "root", "n", F.explode(F.slice("e", F.lit(1), room.cast("int"))).alias("e")).select("row_key", "root", "n", "e.element"), "prefixes")
-    other = heads.select(F.col("row_key").alias("key_b"), F.col("root").alias("root_b"), F.col("n").alias("m"), "element")
-    met = heads.join(other, "element").where("root < root_b").where(F.least("n", "m") >= F.greatest("n", "m") * least)
-    return met.select(F.least("row_key", "key_b").alias("a"), F.greatest("row_key", "key_b").alias("b")).distinct()
+    arrays = common.table(elements(texts.join(some, "row_key", "left_semi")), "elements")
+    family = common.table(families(arrays, least), "families")
+    sizes = common.table(family.groupBy("family").agg(F.count(F.lit(1)).alias("k")), "family-sizes")
+    bins = max(1, family.count() // BLOCK)
+    blocks = F.ceil(F.col("k") / BLOCK)
+    placed = family.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("row_key"), blocks)).select(
+        "family", "row_key", "k", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    small = F.col("k") <= BLOCK
+    dealt = placed.select(
+        "family", "row_key", F.when(small, F.lit(-1)).otherwise(F.col("family")).alias("of"),
+        F.when(small, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.least("block", "other")).alias("i"),
+        F.when(small, F.lit(0)).otherwise(F.greatest("block", "other")).alias("j"))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        for _, g in rows.groupby("family"):
+            links += spanning_links(g["row_key"].to_numpy(), g["root"].to_numpy(), list(g["elements"]), least)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    full = dealt.join(members, "row_key").join(arrays, "row_key")
+    return full.groupBy("of", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def _hubs(buckets: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
@@ -199,14 +269,12 @@ def _hubs(buckets: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, D
     return at, common.table(hubs, "hubs")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """The verified pairs, and the classes with the found links."""
-    result = common.table(verified(pairs, texts, least), "verified")
-    links = result.where("near").select("a", "b")
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (row_key, root) with more links."""
     if links.isEmpty():
-        return result, roots
+        return roots
     known = links.union(roots.select(F.col("row_key").alias("a"), F.col("root").alias("b")))
-    return result, common.components(known).select(F.col("node").alias("row_key"), "root")
+    return common.components(known).select(F.col("node").alias("row_key"), "root")
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -237,14 +305,14 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("bands"), F.max("row_key").alias("member"))
         named = named.join(tested, ["a", "b"], "left_anti").groupBy("member").agg(F.max(F.struct("bands", "a", "b")).alias("p"))
         pairs = common.table(named.select("p.a", "p.b"), "pairs")
-        result, roots = _linked(pairs, whole, roots, least)
+        result = common.table(verified(pairs, whole, least), "verified")
+        roots = _joined(roots, result.where("near").select("a", "b"))
         tested = tested.union(result.select("a", "b"))
         n, near = result.agg(F.count(F.lit(1)), F.count_if("near")).first()
         fruitful = near * 8 > n
     at, hubs = _hubs(buckets, roots, turn)
     members = common.table(at.join(hubs.select("band"), "band").select("row_key", "root").distinct(), "members")
-    pairs = common.table(prefix_pairs(members, whole, least).join(tested, ["a", "b"], "left_anti"), "prefix-pairs")
-    _, roots = _linked(pairs, whole, roots, least)
+    roots = _joined(roots, common.table(rest_links(members, whole, least), "rest-links"))
     known = roots.select(F.col("row_key").alias("rep"), "root")
     out = copies.join(known, "rep", "left").select("row_key", "doc_id", F.coalesce("root", "rep").alias("root"))
     ids = copies.select(F.col("row_key").alias("root"), F.col("doc_id").alias("class_id"))

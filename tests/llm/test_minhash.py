@@ -64,6 +64,30 @@ def test_classes_match_brute_force(spark):
     assert sorted(r.doc_id for r in out if r.kept) == sorted({r.class_id for r in out})
 
 
+def test_rest_of_a_family_in_blocks(spark, monkeypatch):
+    """No link is found by rounds here: every pair is left to the exact comparison."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join(rng.choice(base) if rng.random() < 0.015 else w for w in base) for i in range(90)}
+    texts |= {100 + i: " ".join(f"v{rng.randint(0, 9999)}" for _ in range(30)) for i in range(5)}
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    docs = spark.createDataFrame(list(texts.items()), "row_key long, text string")
+    links = minhash.rest_links(docs.select("row_key", docs.row_key.alias("root")), docs, 0.8).collect()
+    root = {d: d for d in texts}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for r in links:
+        assert jaccard(texts[r.a], texts[r.b]) >= 0.8
+        x, y = sorted((find(r.a), find(r.b)))
+        root[y] = x
+    same = brute(texts)
+    assert {d: find(d) for d in texts} == same and 5 < len(set(same.values())) < 90
+
+
 def test_chain_of_links_is_one_class(spark):
     base = [f"c{i}" for i in range(200)]
     texts = {}
