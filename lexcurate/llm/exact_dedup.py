@@ -99,9 +99,11 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = lambda sha
     full = common.table(texts.select("row_key", normalised(F.col("text")).alias("normal"), digest(sha).alias("digest"))
                         .join(hits, "digest"), "hits")
     keeper = full.where("row_key = keep_key").select("digest", F.col("normal").alias("keeper"))
-    odd = common.table(full.join(keeper, "digest").where("normal <> keeper").select("digest").distinct(), "odd")
-    if odd.isEmpty():
+    # no aggregate above this join: then Spark can split a hot digest's partition
+    differ = common.table(full.join(keeper, "digest").where("normal <> keeper").select("digest"), "differ")
+    if differ.isEmpty():
         return _result(joined)
+    odd = common.table(differ.distinct(), "odd")
 
     # texts that share a digest without being equal: group those by the whole text
     mixed = full.join(odd, "digest", "left_semi").select("row_key", "normal").join(
