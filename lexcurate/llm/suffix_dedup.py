@@ -31,14 +31,13 @@ end inside a character; as text, such a character's rest is dropped.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexcurate.llm import common, gsaca
+from lexcurate.llm import common, gsaca, words
 
 WINDOW, GRAM, STEP = 400, 128, 16
 GRAMS = WINDOW - GRAM + 1
@@ -50,7 +49,7 @@ _SYMBOL = np.random.default_rng(10).integers(1, 1 << 63, 256, dtype=np.uint64)
 ITEMS = "row_key long, at long, core long, whole long, proven boolean"
 
 
-@lru_cache(maxsize=1)
+@words.worker_cache("substrings")
 def _powers() -> list:
     return [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -201,12 +200,14 @@ def runs_of(texts: DataFrame) -> DataFrame:
 def settle(items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """What is proven among ``items``, (row_key, at), and what goes to the next step, (row_key, at, proven)."""
     weight = F.when(F.col("proven"), 2).otherwise(1)
-    cores = items.groupBy("core").agg(F.sum(weight).alias("n"), F.min("proven").alias("closed")).where("n > 1 AND NOT closed")
-    shared = common.table(items.join(cores.select("core"), "core"), f"{name}-shared")
+    # sums are written before they are joined: then Spark can split a hot key's partition of the join
+    cores = common.table(items.groupBy("core").agg(F.sum(weight).alias("n"), F.min("proven").alias("closed"))
+                         .where("n > 1 AND NOT closed").select("core"), f"{name}-cores")
+    shared = common.table(items.join(cores, "core"), f"{name}-shared")
     wholes = common.table(shared.groupBy("whole").agg(
         F.sum(weight).alias("n"), F.min("core").alias("core"), F.min(F.struct("row_key", "at")).alias("one")), f"{name}-wholes")
     found = shared.where("NOT proven").join(wholes.where("n > 1").select("whole"), "whole").select("row_key", "at")
-    still = wholes.where("n = 1").select("core").distinct()
+    still = common.table(wholes.where("n = 1").select("core").distinct(), f"{name}-still")
     onward = wholes.join(still, "core", "left_semi").select("one.row_key", "one.at", (F.col("n") > 1).alias("proven"))
     return common.table(found, f"{name}-found"), onward
 
@@ -279,7 +280,7 @@ def removed(docs: DataFrame, outputs: bool = False) -> DataFrame:
     steps = common.table(finer(onward, whole, _steps), "steps")
     found_steps, onward = settle(steps, "steps")
     singles = common.table(finer(common.table(onward, "steps-onward"), whole, _singles), "singles")
-    twice = singles.groupBy("whole").agg(F.sum(F.when(F.col("proven"), 2).otherwise(1)).alias("n")).where("n > 1")
+    twice = common.table(singles.groupBy("whole").agg(F.sum(F.when(F.col("proven"), 2).otherwise(1)).alias("n")).where("n > 1"), "twice")
     found_singles = singles.where("NOT proven").join(twice, "whole").select("row_key", "at")
 
     low = F.shiftright("at", 24)
