@@ -3,8 +3,8 @@
 The reference calls a hosted embedding model per chunk. The default here is a
 feature-hashing embedder: every token (T9 pattern) goes to bucket
 ``int(md5(token)[:8], 16) % dim``, the vector holds bucket counts,
-L2-normalised, as float32. Hashing runs JVM-side; only the per-chunk
-``bincount`` + normalise runs in an Arrow-batched pandas UDF. A chunk with no
+L2-normalised, as float32. Hashing runs JVM-side; only one
+``bincount`` + normalise for every 256 chunks runs in an Arrow-batched pandas UDF. A chunk with no
 token cannot be embedded (a hosted model rejects empty input) and gets a null
 embedding, counted as an embedding error.
 
@@ -25,6 +25,8 @@ from lexcurate.functions.keys import index_name, vector_key
 from lexcurate.functions.text import TOKEN_PATTERN
 
 DEFAULT_DIM = 1536
+# chunks whose counts are held at once: 256 vectors of 1536 numbers are 3 MB
+CHUNKS_AT_ONCE = 256
 
 
 def token_buckets(text, dim: int, pattern: str = TOKEN_PATTERN) -> Column:
@@ -37,14 +39,15 @@ def token_buckets(text, dim: int, pattern: str = TOKEN_PATTERN) -> Column:
 def _bincount_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def normalized_counts(buckets: pd.Series) -> pd.Series:
-        out = []
-        for b in buckets:
-            if b is None or len(b) == 0:
-                out.append(None)
-                continue
-            v = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
-            out.append((v / np.sqrt((v * v).sum())).astype(np.float32))
-        return pd.Series(out)
+        out: list = []
+        for at in range(0, len(buckets), CHUNKS_AT_ONCE):
+            rows = [np.zeros(0, np.int64) if b is None else np.asarray(b, np.int64) for b in buckets.iloc[at:at + CHUNKS_AT_ONCE]]
+            n = np.array([len(r) for r in rows])
+            cells = np.concatenate(rows) + np.repeat(np.arange(len(rows)), n) * dim
+            counts = np.bincount(cells, minlength=len(rows) * dim).reshape(-1, dim).astype(np.float64)
+            unit = (counts / np.sqrt(np.maximum((counts * counts).sum(1), 1))[:, None]).astype(np.float32)
+            out += [u if k else None for u, k in zip(unit, n)]
+        return pd.Series(out, dtype=object)
 
     return normalized_counts
 

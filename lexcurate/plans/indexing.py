@@ -142,8 +142,10 @@ def derive(stage: DataFrame, meta_columns: list[str], embedder=None) -> Indexing
     embedder = embedder or hashing_embedder()
     records = stage.drop("chunks")
     cnr = F.col("cnr") if "cnr" in stage.columns else F.lit(None).cast("string")
+    # a vector's title is the record's own; the file name stands in only in the run's list of titles
+    title = F.col("title") if "title" in stage.columns else F.lit(None).cast("string")
     chunks = stage.where(F.col("outcome") == SUCCESS).select(
-        *RUN_KEYS, "court_name", "s3_key", cnr.alias("cnr"), F.col("run_title").alias("title"),
+        *RUN_KEYS, "court_name", "s3_key", cnr.alias("cnr"), title.alias("title"),
         F.col("year").alias("run_year"), "decision_date",
         upsert_date(F.col("decision_date")).alias("upsert_date"), "has_cnr",
         F.posexplode("chunks").alias("chunk_id", "content"),
