@@ -110,7 +110,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, size: int = FEATURES) -> dict:
 
     def model(some):
         part, sign = [rows[i] for i in some], y[some]
-        ratio = log_ratios(part, sign, size)
+        ratio = log_ratios(part, sign, size).astype(np.float32)  # half the memory of the scaled rows
         return ratio, descend(part, [scaled(r, ratio) for r in part], sign, size)
 
     half = np.random.default_rng(1).random(len(y)) < 0.5
