@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 
 from lexcurate.llm import common
 
-#: Levels of a URL's path that can carry a prefix pattern.
-PATH_LEVELS = 8
 KINDS = {"url": 4, "prefix": 3, "host": 2, "domain": 1}
 
 
@@ -48,15 +46,20 @@ def intervals(entries: DataFrame) -> DataFrame:
         .select("list", "kind", "pattern", F.col("day").alias("from_day"), "to_day")
 
 
-def patterns_of(url: Column) -> Column:
-    """The patterns (kind, pattern) that match a URL."""
+def deepest_prefix(force: DataFrame) -> int:
+    """Path levels of the deepest prefix pattern, at least 1."""
+    return force.where("kind = 'prefix'").agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 1
+
+
+def patterns_of(url: Column, path_levels: int) -> Column:
+    """The patterns (kind, pattern) that match a URL, of prefixes those of at most ``path_levels`` levels."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
     levels = F.split(F.trim(path, F.lit("/")), "/")
     one = lambda kind, pattern: F.struct(F.lit(kind).alias("kind"), pattern.alias("pattern"))
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)),
                           lambda i: one("domain", F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    prefixes = F.transform(F.sequence(F.lit(1), F.least(F.size(levels), F.lit(PATH_LEVELS))),
+    prefixes = F.transform(F.sequence(F.lit(1), F.least(F.size(levels), F.lit(path_levels))),
                            lambda i: one("prefix", F.concat(host, F.lit("/"), F.array_join(F.slice(levels, F.lit(1), i), "/"))))
     whole = F.array(one("url", F.concat(host, path)), one("host", host))
     return F.when(host != "", F.concat(whole, domains, F.when(F.length(F.trim(path, F.lit("/"))) > 0, prefixes)
@@ -65,10 +68,11 @@ def patterns_of(url: Column) -> Column:
 
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """``captures``: page_id, url, day. One row a capture: page_id, day, verdict, kind, pattern, from_day, to_day."""
-    force = common.sized(common.table(intervals(entries), "intervals"))
+    dated = common.table(intervals(entries), "intervals")
+    force, path_levels = common.sized(dated), deepest_prefix(dated)
     # equal (url, day) captures are judged once: a hot page is one row here
     asked = captures.where("url IS NOT NULL AND day IS NOT NULL").groupBy("url", "day").agg(F.count(F.lit(1)).alias("n"))
-    keys = asked.select("url", "day", F.explode(patterns_of(F.col("url"))).alias("p")).select("url", "day", "p.kind", "p.pattern")
+    keys = asked.select("url", "day", F.explode(patterns_of(F.col("url"), path_levels)).alias("p")).select("url", "day", "p.kind", "p.pattern")
     level = F.lit(0)
     for kind, n in KINDS.items():
         level = F.when(F.col("kind") == kind, n).otherwise(level)

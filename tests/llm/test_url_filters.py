@@ -37,3 +37,12 @@ def test_empty_tables(spark):
     captures, entries = frames(spark)
     assert url_filters.judge(captures.limit(0), entries).collect() == []
     assert {r.verdict for r in url_filters.judge(captures, entries.limit(0)).collect()} == {"none"}
+
+
+def test_prefixes_of_any_depth(spark):
+    nine, twelve = "h.example/" + "/".join("abcdefghi"), "h.example/" + "/".join("abcdefghijkl")
+    entries = [("block", "host", "h.example", 1, "add"), ("allow", "prefix", nine, 5, "add"), ("block", "prefix", twelve, 7, "add")]
+    captures = [(f"http://{nine}/z", 4, "block", "h.example"), (f"http://{nine}/z", 5, "allow", nine), (f"http://{nine}", 5, "allow", nine),
+                (f"http://{nine}z", 5, "block", "h.example"), (f"http://{twelve}/z", 6, "allow", nine), (f"http://{twelve}/z", 7, "block", twelve)]
+    out = url_filters.judge(*frames(spark, captures, entries)).collect()
+    assert {(r.page_id, r.verdict, r.pattern) for r in out} == {(i, v, p) for i, (_, _, v, p) in enumerate(captures)}
