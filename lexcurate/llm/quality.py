@@ -7,8 +7,9 @@ ratio of the classes' smoothed counts, rows to unit length, and a linear
 hinge-loss model is fitted by dual coordinate descent. A logistic curve over
 margins of rows left out of a half-sample fit turns margins into scores.
 
-The model is fitted on at most SAMPLE_ROWS labelled rows, those with the
-smallest hash of their id (a documented bound; the fit is one task's work).
+The model is fitted on at most SAMPLE_ROWS labelled documents, those with the
+smallest hash of their id (a documented bound; the fit is one task's work), one
+row each: of a repeated id the text with the smallest hash.
 Every row is scored from its whole text.
 
 Defined cases: null text is empty, and a text without words gets the score of
@@ -137,9 +138,12 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = SAMPLE_ROWS) -> d
 
     truth = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out("doc_id")) \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
-    some = common.table(truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows), "labels")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(some), "doc_id").select("label", "text")  # at most most_rows narrow rows
+    present = truth.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    some = common.table(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows), "labels")
+    # at most most_rows narrow rows are broadcast; a task keeps one text an id before the shuffle
+    rows = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id", "label") \
+        .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("label", "t.text")
     row = rows.repartition(1).mapInArrow(gather, "ratio binary, w binary, curve array<double>, constant double").first()
     if row is None:
         return fit([], np.zeros(0))

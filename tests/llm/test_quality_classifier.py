@@ -43,3 +43,14 @@ def test_odd_rows(spark):
     assert quality.classify(none, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).collect() == []
     left = quality.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert left.columns == docs.columns and left.count() == 5
+
+
+def test_fit_takes_one_row_of_each_id_present(spark):
+    rows = [(i, f"{'good' if i % 2 else 'bad'} word{i} here") for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality int")
+    absent = spark.range(10_000, 30_000).selectExpr("id AS doc_id", "1 AS quality")
+    want = quality.train(docs, labels, 20)
+    assert want["constant"] is None
+    assert np.array_equal(quality.train(docs, labels.union(absent), 20)["ratio"], want["ratio"])
+    assert np.array_equal(quality.train(docs.union(docs).union(docs), labels, 20)["ratio"], want["ratio"])
