@@ -1,9 +1,9 @@
 """Token counts by a map-side two-tier lookup.
 
-Tier one is a broadcast table of frequent words and their token numbers, built
-from a bounded sample of rows (it only saves time; no count depends on it).
+Tier one is a broadcast table of frequent words and their token numbers, found
+by counting the words of all rows (it only saves time; no count depends on it).
 Tier two encodes the words that it lacks through a bounded cache in each
-worker. No word crosses a shuffle.
+worker. Only the sums of word counts cross a shuffle.
 
 Defined cases: null text counts as empty (0 tokens, 0 bytes); repeated rows
 and null ids give one row each; an empty table gives no rows; other columns
@@ -20,27 +20,51 @@ from pyspark.sql import functions as F
 
 from lexcurate.llm import common, words
 
-#: Rows the frequent-word table is built from, and its entries: the bound of what is broadcast.
-SAMPLE_ROWS, TABLE_WORDS = 2048, 1 << 16
+#: Entries of the frequent-word table: the bound of what is broadcast. Words that a task counts before it sends its counts on.
+TABLE_WORDS, HELD_WORDS = 1 << 16, 300_000
 
 
-def frequent_words(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, most: int = TABLE_WORDS) -> tuple[str, bytes]:
-    """(words joined by blanks, one byte of token number each), at most ``most`` words of at most 48 letters."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, c) over all rows, of words of at most CACHE_LETTERS letters. Tasks add up before the shuffle."""
+
+    def rows(batches):
+        held: Counter = Counter()
+
+        def out():
+            kept = {w: c for w, c in held.items() if len(w) <= words.CACHE_LETTERS}
+            held.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(kept.keys(), pa.string()), pa.array(kept.values(), pa.int64())], names=["word", "c"])
 
-    def count(batches):
-        seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if not words.ODD_SPACE.search(text):
-                    seen.update(text.split())
-        lengths = {w: len(words.encoder(path).word(w)) // 4 for w, _ in seen.most_common(most)
-                   if len(w) <= words.CACHE_LETTERS}
-        keep = [w for w, n in lengths.items() if n < 256]
-        yield pa.RecordBatch.from_pydict({"words": [" ".join(keep)], "lengths": [bytes(lengths[w] for w in keep)]})
-
-    some = docs.where("text is not null").select("text").limit(rows).repartition(1)
-    out = some.mapInArrow(count, "words string, lengths binary").first()
-    return (out[0], bytes(out[1])) if out else ("", b"")
+                    held.update(text.split())
+                    if len(held) > HELD_WORDS:
+                        yield from out()
+        yield from out()
+
+    some = docs.where("text is not null").select("text")
+    return some.mapInArrow(rows, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def frequent_words(docs: DataFrame, path: str, most: int = TABLE_WORDS) -> tuple[str, bytes]:
+    """(words joined by blanks, one byte of token number each): the words of the highest counts over all rows, equal
+    ones all or none, at most ``most``."""
+    counts = common.table(word_counts(docs), "word-counts").withColumn(
+        "bin", F.when(F.col("c") < 4096, F.col("c")).otherwise(4096 + F.floor(F.log(F.col("c") / 4096) * 512)))
+    floor, held = 1 << 62, 0  # from a histogram with a fixed number of bins, as in maxent_lm.lexicon
+    for r in counts.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("bin")).collect():
+        if (held := held + r.n) > most:
+            break
+        floor = r.bin
+
+    def encode(batches):
+        for batch in batches:
+            n = [len(words.encoder(path).word(w)) // 4 for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["word", "n"])
+
+    top = counts.where(F.col("bin") >= floor).select("word").mapInArrow(encode, "word string, n long").where("n < 256").collect()
+    return " ".join(r.word for r in top), bytes(r.n for r in top)
 
 
 @words.worker_cache("tokens")

@@ -118,3 +118,11 @@ def test_hot_length_takes_exact_complements():
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert token_counts.token_counts(none).count() == bpe.encode(none).count() == packing.pack(none).count() == 0
+
+
+def test_frequent_words_come_from_all_rows(spark):
+    rows = [(i, "early early") for i in range(3000)] + [(i, "late late late") for i in range(3000, 6000)] + [(9000, "seldom"), (9001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert token_counts.frequent_words(docs, PATH, most=2)[0].split() in (["early", "late"], ["late", "early"])
+    assert token_counts.frequent_words(docs, PATH, most=1)[0] == "late"
+    assert token_counts.frequent_words(docs.limit(0), PATH) == ("", b"")
