@@ -21,8 +21,8 @@ KEY, BROADCAST_ROWS = "__key", 250_000
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def configure(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return spark
 
 
