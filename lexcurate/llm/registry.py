@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators and the SQL they are checked against."""
 
-from lexcurate.llm import bpe, exact_dedup, hard_negatives, maxent_lm, minhash, packing, quality, suffix_dedup, token_counts, topk, url_filters, whitening
+from lexcurate.llm import bpe, exact_dedup, hard_negatives, maxent_lm, minhash, packing, quality, secrets, suffix_dedup, token_counts, topk, url_filters, whitening
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_whitening": whitening.op12_whitening,
+    "op13_secrets": secrets.op13_secrets,
 }
 
 ORACLE_SQL = {
