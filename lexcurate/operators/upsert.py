@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 
 def upsert_date(decision_date: Column) -> Column:
-    """Ordering date of a record for last-write-wins: parsed decision date, lowest when absent."""
-    return F.coalesce(F.try_to_date(decision_date.cast("string"), "yyyy-M-d"),
+    """Ordering date of a record for last-write-wins: parsed decision date (a timestamp's day), lowest when absent."""
+    day = F.regexp_replace(decision_date.cast("string"), r"[T ]\d{2}:\d{2}:\d{2}(\.\d+)?$", "")
+    return F.coalesce(F.try_to_date(day, "yyyy-M-d"),
                       F.lit("0001-01-01").cast("date"))
 
 

@@ -396,19 +396,67 @@ def q_vectors_after_two_batches(spark, sf):
 
 
 def q_two_runs_one_root(spark, sf):
-    """E2 as a job, for two years one after the other into one root: each keeps its statistics."""
+    """E2 as a job, for two sets of years (until 1996, and all others) one after the other into one root: each run keeps its statistics."""
     from lexcurate.plans import jobs
 
     root, meta, objects = _scratch(spark), SI.metadata(spark, sf), _objects(spark, sf)
     embedder = hashing_embedder(SI.TEST_EMBED_DIM)
-    jobs.run_indexing(spark, meta.where("year = '1995'"), objects, root, "1", embedder=embedder)
-    out = jobs.run_indexing(spark, meta.where("year = '1996'"), objects, root, "2", current_version="1", embedder=embedder)
+    early = F.coalesce(F.col("year").try_cast("int") <= 1996, F.lit(False))
+    jobs.run_indexing(spark, meta.where(early), objects, root, "1", embedder=embedder)
+    out = jobs.run_indexing(spark, meta.where(~early), objects, root, "2", current_version="1", embedder=embedder)
     runs = spark.read.json(out.stats_path)
     return runs.groupBy("year", "process_id").agg(
         F.count(F.lit(1)).alias("runs"), F.sum("total_documents_attempted").alias("attempted"),
         F.sum("successful_documents").alias("successful"), F.sum("total_chunks").alias("chunks")).drop("process_id")
 
 
+def _mixed_metadata(spark, sf) -> str:
+    """Metadata partitions as different writers leave them: by year, ``decision_date`` is a date, a timestamp or
+    a string, and some files lack ``priority``."""
+    root, meta = _scratch(spark), SI.metadata(spark, sf)
+    day = F.try_to_date("decision_date", "yyyy-M-d")
+    noon = day.cast("timestamp") + F.make_dt_interval(hours=(F.col("doc_id") % 24).cast("int"))
+    kind = F.coalesce(F.col("year").try_cast("int") % 4, F.lit(2))
+    for k, rows in enumerate([meta.withColumn("decision_date", day), meta.withColumn("decision_date", noon), meta, meta.drop("priority")]):
+        rows.where(kind == k).repartition("year", "court_code", "bench").write.mode("append").partitionBy("year", "court_code", "bench").parquet(root)
+    return root
+
+
+def q_metadata_mixed(spark, sf):
+    """S3 over files that type a column differently, or lack one: one record, its key from the date itself."""
+    from lexcurate.sources.readers import metadata_partitions
+
+    meta = metadata_partitions(spark, _mixed_metadata(spark, sf), court_dir="court_code", file_glob="*.parquet")
+    k = indexing.keyed_records(meta)
+    return k.select("doc_id", "year", "court_code", "bench", "cnr", "decision_date", "date_of_registration", "priority", "year_val", "s3_key")
+
+
+def q_years_with_broken_file(spark, sf):
+    """M1 + M2 as a job: the first partition's file is cut in half; all others run, and the ledger names the one that failed."""
+    from lexcurate.plans import jobs, ledger
+    from lexcurate.sources.metadata import list_files, partition_glob
+
+    root, out = _mixed_metadata(spark, sf), _scratch(spark)
+    files = list_files(spark, partition_glob(root, year_range=(1900, 2100), court_dir="court_code"), "*.parquet")
+    cut_short(spark, files[0])
+    jobs.run_years(spark, root, _objects(spark, sf), out, "1", 1900, 2100, court_dir="court_code", file_glob="*.parquet",
+                   embedder=hashing_embedder(SI.TEST_EMBED_DIM))
+    runs = spark.read.schema("year string, court_code string, bench string, total_documents_attempted long, successful_documents long, "
+                             "total_chunks long").json(f"{out}/stats")
+    states = ledger.states(spark, out).select(*ledger.KEYS, "state", "records")
+    return states.join(runs, ledger.KEYS, "left").select(*ledger.KEYS, "state", "records", "total_documents_attempted", "successful_documents",
+                                                         F.coalesce("total_chunks", F.lit(0)).alias("total_chunks"))
+
+
+def cut_short(spark, path: str) -> None:
+    """Leaves the first half of a file, as a writer does that was stopped."""
+    content = spark.read.format("binaryFile").load(path).first().content
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(content[:len(content) // 2])
+    out.close()
+
+
 def q_document_log_stream(spark, sf):
     """Stage 1 through Structured Streaming: the stage-1 documents land as
     parquet files, an ``availableNow`` file stream drains them one file per
@@ -473,4 +521,6 @@ QUERIES = {
     "items_after_two_batches": q_items_after_two_batches,
     "vectors_after_two_batches": q_vectors_after_two_batches,
     "two_runs_one_root": q_two_runs_one_root,
+    "metadata_mixed": q_metadata_mixed,
+    "years_with_broken_file": q_years_with_broken_file,
 }

@@ -32,6 +32,7 @@ from lexcurate.operators import chunking, metadata as M
 from lexcurate.operators.broadcast import broadcast_if_small, materialize
 from lexcurate.operators.embedding import hashing_embedder, vector_records
 from lexcurate.operators.upsert import upsert_date
+from lexcurate.sources.metadata import DECISION_YEAR
 
 RUN_KEYS = ["year", "court_code", "bench"]
 
@@ -65,6 +66,8 @@ def keyed_records(meta: DataFrame, decision_type: str | None = None) -> DataFram
     dtype = decision_type or meta.schema["decision_date"].dataType.typeName()
     dtype = {"date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp"}.get(dtype, "string")
     year_val = K.key_year(F.col("decision_date"), F.col("year"), dtype)
+    if DECISION_YEAR in meta.columns:  # files that type the date differently: a typed one's year comes from the date itself
+        year_val = F.coalesce(F.col(DECISION_YEAR), year_val)
     fname = K.file_name(F.col("pdf_link"))
     return meta.select(
         "*",
@@ -72,7 +75,7 @@ def keyed_records(meta: DataFrame, decision_type: str | None = None) -> DataFram
         fname.alias("filename"),
         K.object_key(year_val, F.col("court_code"), F.col("bench"), fname).alias("s3_key"),
         K.skip_link(F.col("pdf_link")).alias("skipped"),
-    )
+    ).drop(DECISION_YEAR)
 
 
 def run_header(meta: DataFrame) -> DataFrame:
@@ -153,7 +156,7 @@ def derive(stage: DataFrame, meta_columns: list[str], embedder=None) -> Indexing
     emb = vector_records(chunks, embedder, court_col="court_name")
     vectors = emb.where(F.col("data").isNotNull() & F.col("has_cnr"))
     succeeded = records.where(F.col("outcome") == SUCCESS)
-    items_all = M.items(succeeded.select(*[c for c in meta_columns if c not in ("s3_key", "raw_html")], "s3_key"))
+    items_all = M.items(succeeded.select(*[c for c in meta_columns if c not in ("s3_key", "raw_html", DECISION_YEAR)], "s3_key"))
     ok_cnr = M.has_cnr(F.col("pk"))
     return IndexingResult(records=records, chunks=emb, vectors=vectors,
                           items=items_all.where(ok_cnr), rejects=items_all.where(~ok_cnr))

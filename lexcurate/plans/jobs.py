@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from lexcurate.functions.keys import year_from_log_name
 from lexcurate.operators import quality, stats
 from lexcurate.operators.broadcast import broadcast_if_small, materialize
-from lexcurate.plans import indexing
+from lexcurate.plans import indexing, ledger
 from lexcurate.sinks import writers
-from lexcurate.sources.readers import metadata_partitions, read_logs
+from lexcurate.sources.metadata import FILE, list_files, partition_glob, partition_of, read_metadata, short_files
+from lexcurate.sources.readers import read_logs
 
 
 def stage1_documents(spark: SparkSession, pdf_root: str, pages: DataFrame, *, year=None, court=None,
@@ -153,13 +154,39 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
 
 def run_years(spark: SparkSession, metadata_root: str, objects: DataFrame, out_root: str, version: str,
               first_year: int, last_year: int, court_code=None, bench=None, court_dir: str = "court",
-              file_glob: str | None = "*metadata.parquet", **kw) -> IndexingOutput:
-    """M1: every year of a court (and bench) in one job; results grouped by run.
+              file_glob: str | None = "*metadata.parquet", resume: bool = False, **kw) -> IndexingOutput | None:
+    """M1 + M2: every year of a court (and bench) in one job; results grouped by run.
 
-    A bad record never fails the job: it becomes an outcome row (M2)."""
-    meta = metadata_partitions(spark, metadata_root, court_code=court_code, bench=bench,
-                               year_range=(first_year, last_year), court_dir=court_dir, file_glob=file_glob)
-    return run_indexing(spark, meta, objects, out_root, version, **kw)
+    A bad record never fails the job: it becomes an outcome row. Nor does a bad file: its partition is
+    left out and is ``failed`` in the ledger (``plans.ledger``), all others run. ``resume=True`` takes
+    only the partitions that the ledger doesn't call finished; None if there are none.
+    """
+    out = out_root.rstrip("/")
+    run = uuid.uuid4().hex
+    files = list_files(spark, partition_glob(metadata_root, None, court_code, bench, (first_year, last_year), court_dir), file_glob)
+    if resume:
+        done = {tuple(r) for r in ledger.states(spark, out).where(F.col("state") == ledger.FINISHED).select(*ledger.KEYS).collect()}
+        files = [f for f in files if partition_of(f, court_dir) not in done]
+    if not files:
+        return None
+    partitions = spark.createDataFrame(sorted({partition_of(f, court_dir) for f in files}), "year string, court_code string, bench string")
+    ledger.append(spark, out, run, partitions, ledger.STARTED)
+    scan = read_metadata(spark, metadata_root, files=files, court_dir=court_dir)
+    broken = scan.unreadable
+    output = None
+    if scan.records is not None:
+        # read once: a file may prove to be short only now, and later reads are of what was checked
+        path = f"{out}/stage/metadata={run}"
+        scan.records.write.parquet(path)
+        records = spark.read.schema(scan.records.schema).parquet(path)
+        broken = materialize(broken.unionByName(short_files(spark, records, scan.files, court_dir)))
+        sound = records.join(F.broadcast(broken.select(*ledger.KEYS).distinct()), ledger.KEYS, "left_anti").drop(FILE)  # at most a row a file
+        output = run_indexing(spark, sound, objects, out_root, version, **kw)
+        counts = sound.groupBy(*ledger.KEYS).agg(F.count(F.lit(1)).alias("records"))
+        finished = partitions.join(broken, ledger.KEYS, "left_anti").join(counts, ledger.KEYS, "left")
+        ledger.append(spark, out, run, finished.fillna(0, ["records"]), ledger.FINISHED)
+    ledger.append(spark, out, run, broken, ledger.FAILED)
+    return output
 
 
 def backfill_logs(spark: SparkSession, log_glob: str, out_root: str) -> str:

@@ -416,6 +416,29 @@ RUN = "year, court_code, bench, court_name"
 _ITEM_COLS = "pk, sk, s3_key, doc_id, title, court, decision_date, date_of_registration, pdf_link, priority, year, court_code, bench"
 
 
+def mixed_metadata() -> str:
+    """The metadata CTEs where years divisible by 4 type ``decision_date`` as a date, those after them as a timestamp, and
+    those before them lack ``priority``. The objects are those of the plain records."""
+    head, rest = METADATA.strip().split("keyed AS (", 1)
+    keyed, rest = rest.split("header AS (", 1)
+    header, objects = rest.split("objects AS (", 1)
+    kind = "coalesce(TRY_CAST(m.year AS INTEGER) % 4, 2)"
+    day = "CAST(try_strptime(m.decision_date, '%Y-%m-%d') AS DATE)"
+    mixed = f"""meta AS (
+  SELECT m.* EXCLUDE (decision_date, priority),
+         CASE {kind} WHEN 0 THEN strftime({day}, '%Y-%m-%d')
+              WHEN 1 THEN strftime(CAST({day} AS TIMESTAMP) + to_hours(CAST(m.doc_id % 24 AS INTEGER)), '%Y-%m-%dT%H:%M:%S')
+              ELSE m.decision_date END AS decision_date,
+         CASE WHEN {kind} <> 3 THEN m.priority END AS priority
+  FROM plain_meta m
+),
+"""
+    typed = "CAST(year(try_strptime(decision_date, '%Y-%m-%dT%H:%M:%S')) AS VARCHAR)"
+    return (head.replace("meta AS (", "plain_meta AS (", 1) + "plain_keyed AS (" + keyed.replace("FROM meta)", "FROM plain_meta)")
+            + mixed + "keyed AS (" + keyed.replace("AS VARCHAR), year) END AS year_val", f"AS VARCHAR), {typed}, year) END AS year_val")
+            + "header AS (" + header + "objects AS (" + objects.replace("FROM keyed k", "FROM plain_keyed k"))
+
+
 def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_partition"] = "WITH " + LISTING.strip().replace(_ext("doc_id"), _ext("doc_id", mixed=True)) + """
@@ -521,7 +544,7 @@ FROM items WHERE coalesce(pk <> '', false) GROUP BY pk, sk"""
     q["two_runs_one_root"] = s2 + """
 SELECT year, count(*) AS runs, CAST(sum(total_documents_attempted) AS BIGINT) AS attempted,
        CAST(sum(successful_documents) AS BIGINT) AS successful, CAST(sum(total_chunks) AS BIGINT) AS chunks
-FROM runstats WHERE year IN ('1995', '1996') GROUP BY year"""
+FROM runstats GROUP BY year"""
     q["run_counts"] = s2 + f"""
 SELECT {RUN}, total_documents_attempted, successful_documents, failed_documents, empty_text_documents, keys_not_found
 FROM runstats"""
@@ -541,6 +564,18 @@ SELECT {RUN}, s3_key, token_count, chunk_count FROM docstats WHERE outcome = '{I
     q["failed_files"] = s2 + f"""
 SELECT {RUN}, s3_key, filename, outcome AS error, error_message FROM docstats
 WHERE outcome IN {IX.FAILURES}"""
+    q["metadata_mixed"] = "WITH " + mixed_metadata() + """
+SELECT doc_id, year, court_code, bench, cnr, decision_date, date_of_registration, priority, year_val, s3_key FROM keyed"""
+    numeric = "TRY_CAST(year AS INTEGER) IS NOT NULL"
+    q["years_with_broken_file"] = stage2_cte().replace(METADATA.strip(), mixed_metadata(), 1) + f""",
+parts AS (SELECT year, court_code, bench, count(*) AS records FROM meta WHERE {numeric} GROUP BY ALL),
+first_part AS (SELECT year, court_code, bench FROM parts ORDER BY year, court_code, bench LIMIT 1)
+SELECT p.year, p.court_code, p.bench, CASE WHEN f.year IS NULL THEN 'finished' ELSE 'failed' END AS state,
+       CASE WHEN f.year IS NULL THEN p.records END AS records,
+       CASE WHEN f.year IS NULL THEN r.total_documents_attempted END AS total_documents_attempted,
+       CASE WHEN f.year IS NULL THEN r.successful_documents END AS successful_documents,
+       CASE WHEN f.year IS NULL THEN coalesce(r.total_chunks, 0) ELSE 0 END AS total_chunks
+FROM parts p LEFT JOIN first_part f USING (year, court_code, bench) LEFT JOIN runstats r USING (year, court_code, bench)"""
     q["year_range_run"] = stage2_cte("AND TRY_CAST(year AS INTEGER) BETWEEN 1994 AND 1996") + f"""
 SELECT {RUN}, total_documents_attempted, successful_documents, total_chunks FROM runstats"""
     return q

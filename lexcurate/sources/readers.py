@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexcurate.functions.keys import year_from_log_name
+from lexcurate.sources.metadata import FILE, read_metadata
 
 #: Objects above this size are not read into a row; they become a fetch error of their own document.
 MAX_OBJECT_BYTES = 256 << 20
@@ -66,28 +67,18 @@ def metadata_partitions(spark: SparkSession, root: str, year=None, court_code=No
     no prefix match; a year range becomes a brace list, so only those
     directories are listed) and the run keys are taken from each file's
     path. Only files named ``...metadata.parquet`` are records (``file_glob=None``
-    takes all). Schemas are merged, so a column that some partitions lack
-    is null there. Column pruning means ``raw_html`` is never read unless selected.
+    takes all). A column that some files lack is null there; one that they type
+    differently is a string (``sources.metadata``). A file that can't be read is an
+    error here; ``plans.jobs.run_years`` goes on without it. Column pruning means ``raw_html`` is never read unless selected.
     """
-    def one_of(v):
-        if v is None:
-            return "*"
-        vals = [str(x) for x in (v if isinstance(v, (list, tuple, set)) else [v])]
-        return vals[0] if len(vals) == 1 else "{" + ",".join(vals) + "}"
-
-    years = [str(y) for y in range(year_range[0], year_range[1] + 1)] if year_range else year
-    path = f"{root.rstrip('/')}/year={one_of(years)}/{court_dir}={one_of(court_code)}/bench={one_of(bench)}"
-    reader = spark.read.option("mergeSchema", "true")
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    df = reader.parquet(path)
-    fp = F.col("_metadata.file_path")
-    return df.select(
-        "*",
-        F.regexp_extract(fp, r"/year=([^/]+)/", 1).alias("year"),
-        F.regexp_extract(fp, rf"/{court_dir}=([^/]+)/", 1).alias("court_code"),
-        F.regexp_extract(fp, r"/bench=([^/]+)/", 1).alias("bench"),
-    )
+    scan = read_metadata(spark, root, year=year, court_code=court_code, bench=bench, year_range=year_range,
+                         file_glob=file_glob, court_dir=court_dir, skip=())
+    broken = scan.unreadable.take(5)
+    if broken:
+        raise ValueError("unreadable metadata files: " + "; ".join(f"{r[FILE]}: {r.error}" for r in broken))
+    if scan.records is None:
+        raise ValueError(f"no metadata files under {root}")
+    return scan.records.drop(FILE)
 
 
 def assemble_pages(pages: DataFrame, key_col: str = "doc_key", page_col: str = "page_no",
