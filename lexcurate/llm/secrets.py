@@ -32,7 +32,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexcurate.llm import common
@@ -260,8 +260,9 @@ def prefix_tree(values: DataFrame, support: int = SUPPORT, levels: int = LEVELS,
     steps = values.select("kind", "value", F.explode(F.sequence(F.lit(0), F.least(F.length("value"), F.lit(levels)))).alias("i")).select(
         "kind", F.col("value").substr(F.lit(1), F.col("i")).alias("prefix"), F.col("value").substr(F.col("i") + 1, F.lit(1)).alias("next"))
     counted = steps.groupBy("kind", "prefix", "next").agg(F.count(F.lit(1)).alias("n"))
-    reached = counted.groupBy("kind", "prefix").agg(F.sum("n").alias("reached")).join(sizes, "kind").where((F.col("reached") * support >= F.col("samples")) & (F.col("reached") >= least))
-    return counted.join(reached.select("kind", "prefix"), ["kind", "prefix"])
+    # a state has a row for each next symbol, so the window's groups are small whatever the samples
+    reached = counted.withColumn("reached", F.sum("n").over(Window.partitionBy("kind", "prefix"))).join(sizes, "kind")
+    return reached.where((F.col("reached") * support >= F.col("samples")) & (F.col("reached") >= least)).select("kind", "prefix", "next", "n")
 
 
 def train(docs: DataFrame) -> Model:
