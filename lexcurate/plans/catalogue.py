@@ -370,6 +370,18 @@ def q_curated_copy(spark, sf):
     return spark.read.parquet(out.curated_path).select("key", "year", "court", "bench", "text")
 
 
+def q_curated_after_two_runs(spark, sf):
+    """K1 as a job: two runs into one root, the second with half of the documents, some of them for the second time.
+    Both runs' documents are there, and ``content`` names the run that wrote last."""
+    from lexcurate.plans import jobs
+
+    root, docs, repaired = _scratch(spark), _stage1_docs(spark, sf), SI.repaired_text(spark, sf)
+    for content, some in (("first", docs.where("doc_id % 3 <> 0")), ("second", docs.where("doc_id % 2 = 0"))):
+        out = jobs.run_curation(spark, some.withColumn("content", F.encode(F.lit(content), "UTF-8")), root, langid.GivenLanguage("lang"),
+                                repaired, min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED)
+    return spark.read.parquet(out.curated_path).select("key", "year", "court", "bench", "text", F.col("content").cast("string").alias("content"))
+
+
 def _two_batches(spark, sf, rows, write):
     """The rows of two batches written one after the other: documents not divisible by 3, then the others."""
     rows, path = materialize(rows), _scratch(spark)
@@ -521,6 +533,7 @@ QUERIES = {
     "items_after_two_batches": q_items_after_two_batches,
     "vectors_after_two_batches": q_vectors_after_two_batches,
     "two_runs_one_root": q_two_runs_one_root,
+    "curated_after_two_runs": q_curated_after_two_runs,
     "metadata_mixed": q_metadata_mixed,
     "years_with_broken_file": q_years_with_broken_file,
 }

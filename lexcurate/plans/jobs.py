@@ -23,6 +23,7 @@ from lexcurate.operators import quality, stats
 from lexcurate.operators.broadcast import broadcast_if_small, materialize
 from lexcurate.plans import indexing, ledger
 from lexcurate.sinks import writers
+from lexcurate.sources.files import delete
 from lexcurate.sources.metadata import FILE, list_files, partition_glob, partition_of, read_metadata, short_files
 from lexcurate.sources.readers import read_logs
 
@@ -71,7 +72,10 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
     has them, its bytes) replace the garbled ones.
     """
     out = out_root.rstrip("/")
-    documents = materialize(documents)  # assembled texts: written once, read by every score and by the copy
+    # assembled texts: written once as columns, read by every score and by the copy, dropped at the end
+    texts = f"{out}/stage/run={uuid.uuid4().hex}/documents"
+    documents.write.parquet(texts)
+    documents = spark.read.schema(documents.schema).parquet(texts)
     log = quality.assess(documents, detector, repaired, min_ratio=min_ratio, allowed_langs=allowed_langs,
                          lexicon=lexicon, fix_fused=fix_fused, classify_on=classify_on,
                          fetch_error_col=fetch_error_col, keep=("year", "court", "bench"), freq=freq,
@@ -83,6 +87,7 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
     writers.write_log(log, f"{out}/logs")
 
     writers.write_curated(curated_documents(documents, log, repaired), f"{out}/curated")
+    delete(spark, texts)
     return CurationOutput(f"{out}/logs", f"{out}/curated")
 
 
@@ -171,7 +176,7 @@ def run_years(spark: SparkSession, metadata_root: str, objects: DataFrame, out_r
         return None
     partitions = spark.createDataFrame(sorted({partition_of(f, court_dir) for f in files}), "year string, court_code string, bench string")
     ledger.append(spark, out, run, partitions, ledger.STARTED)
-    scan = read_metadata(spark, metadata_root, files=files, court_dir=court_dir)
+    scan = read_metadata(spark, metadata_root, paths=files, court_dir=court_dir)
     broken = scan.unreadable
     output = None
     if scan.records is not None:

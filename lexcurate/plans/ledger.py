@@ -14,6 +14,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexcurate.sources.files import exists
 from lexcurate.sources.metadata import ERROR, FILE
 
 STARTED, FINISHED, FAILED = "started", "finished", "failed"
@@ -21,11 +22,6 @@ KEYS = ["year", "court_code", "bench"]
 SCHEMA = "year string, court_code string, bench string, state string, records long, file string, error string, run string, at double"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def events(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/ledger"
     return spark.read.schema(SCHEMA).parquet(path) if exists(spark, path) else spark.createDataFrame([], SCHEMA)

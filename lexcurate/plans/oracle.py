@@ -510,6 +510,9 @@ SELECT substring('{{"key":"' || key || '","status":"' || status || '"', 1, 60) A
 SELECT d.key, d.year, d.court, d.bench, CASE WHEN d.did_ocr THEN r.text ELSE s.text END AS text
 FROM doclog d JOIN stage1 s ON s.key = d.key LEFT JOIN repaired r ON r.key = d.key
 WHERE d.doc_type = 'judgment' AND d.status IN ('{Q.OK_NO_OCR}', '{Q.OK_AFTER_OCR}')"""
+    of_run = f"CASE WHEN {number.replace('key', 'd.key')} % 2 = 0 THEN 'second' ELSE 'first' END"
+    q["curated_after_two_runs"] = q["curated_copy"].replace("ELSE s.text END AS text", f"ELSE s.text END AS text, {of_run} AS content", 1) \
+        + f" AND ({number.replace('key', 'd.key')} % 2 = 0 OR {number.replace('key', 'd.key')} % 3 <> 0)"
 
     meta = "WITH " + METADATA.strip()
     q["object_key"] = meta + "\nSELECT doc_id, year, court_code, bench, year_val, filename, s3_key FROM keyed WHERE NOT skipped"

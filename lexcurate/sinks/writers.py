@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexcurate.functions import keys as K
+from lexcurate.sinks import keyed
 from lexcurate.operators.upsert import upsert_date, upsert_table
 
 
@@ -47,8 +48,9 @@ def write_log(log: DataFrame, path: str, origin=JOB_ORIGIN) -> str:
 
 
 def write_curated(curated_docs: DataFrame, path: str) -> str:
-    """K1: the curated documents (key, content / text) under ``year=/court=/bench=``."""
-    return _write(curated_docs, path, ["year", "court", "bench"])
+    """K1: the curated documents (key, content / text) put by key under ``year=/court=/bench=/run=``: those
+    of earlier runs stay, and of a key the later run's document."""
+    return keyed.put(curated_docs, path, ["year", "court", "bench"])
 
 
 def write_vectors(spark, vectors: DataFrame, path: str, version: str, current_version: str | None = None) -> str:

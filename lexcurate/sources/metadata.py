@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexcurate.operators.metadata import iso_date
+from lexcurate.sources import files
 
 #: Year of a date or timestamp ``decision_date`` ("None" where it is null); null where the column is text.
 DECISION_YEAR = "__decision_year"
@@ -69,10 +70,8 @@ def partition_of(path: str, court_dir: str = "court") -> tuple[str, str, str]:
 
 def list_files(spark: SparkSession, glob: str, file_glob: str | None) -> list[str]:
     """Paths of the metadata files, empty ones too (a scan wouldn't list them)."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{glob}/{file_glob or '*'}")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    names = [s.getPath() for s in found if s.isFile()]
-    return sorted(p.toString() for p in names if not p.getName().startswith(("_", ".")))
+    found = files.glob(spark, f"{glob}/{file_glob or '*'}", files_only=True)
+    return [f for f in found if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
 
 
 def reason(e: Exception) -> str:
@@ -136,9 +135,9 @@ def decision_year(df: DataFrame) -> Column:
 
 def read_metadata(spark: SparkSession, root: str, *, year=None, court_code=None, bench=None,
                   year_range: tuple[int, int] | None = None, file_glob: str | None = "*metadata.parquet",
-                  court_dir: str = "court", skip: tuple[str, ...] = ("raw_html",), files: list[str] | None = None) -> MetadataScan:
-    """Canonical records of the selected partitions' files. ``files``: those to read, if the caller has listed them."""
-    paths = files if files is not None else list_files(spark, partition_glob(root, year, court_code, bench, year_range, court_dir), file_glob)
+                  court_dir: str = "court", skip: tuple[str, ...] = ("raw_html",), paths: list[str] | None = None) -> MetadataScan:
+    """Canonical records of the selected partitions' files. ``paths``: those to read, if the caller has listed them."""
+    paths = paths if paths is not None else list_files(spark, partition_glob(root, year, court_code, bench, year_range, court_dir), file_glob)
     groups, broken = schemas(spark, paths)
     # a record's own column named like a run key gives way to the path's
     groups = [(T.StructType([f for f in s.fields if f.name not in skip and f.name.lower() not in RUN_KEYS]), p) for s, p in groups]
@@ -164,12 +163,12 @@ def file_errors(spark: SparkSession, broken: list[tuple[str, str]], court_dir: s
     return rows.select(FILE, *run_keys(F.col(FILE), court_dir), ERROR)
 
 
-def short_files(spark: SparkSession, records: DataFrame, files: list[str], court_dir: str = "court") -> DataFrame:
-    """Those of ``files`` of which fewer rows came than their footers name. ``records``: the rows read (a written table)."""
-    if not files:
+def short_files(spark: SparkSession, records: DataFrame, paths: list[str], court_dir: str = "court") -> DataFrame:
+    """Those of ``paths`` of which fewer rows came than their footers name. ``records``: the rows read (a written table)."""
+    if not paths:
         return file_errors(spark, [], court_dir)
     came = records.groupBy(FILE).agg(F.count(F.lit(1)).alias("came"))
-    named = spark.read.schema("__none string").parquet(*files).select(F.col("_metadata.file_path").alias(FILE)) \
+    named = spark.read.schema("__none string").parquet(*paths).select(F.col("_metadata.file_path").alias(FILE)) \
         .groupBy(FILE).agg(F.count(F.lit(1)).alias("named"))  # no column: footers alone are read
     short = named.join(came, FILE, "left").where(F.coalesce("came", F.lit(0)) < F.col("named"))
     message = F.format_string("%d of %d rows can be read", F.coalesce("came", F.lit(0)), F.col("named"))
