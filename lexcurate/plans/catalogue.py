@@ -388,7 +388,7 @@ def _two_batches(spark, sf, rows, write):
     number = F.regexp_extract("s3_key", r"/(\d+)\.[^/.]*$", 1)
     later = F.coalesce(F.when(number != "", number).cast("long") % 3 == 0, F.lit(False))
     write(spark, rows.where(~later), path, "1")
-    return spark.read.parquet(write(spark, rows.where(later), path, "2", "1"))
+    return upsert.read_table(spark, write(spark, rows.where(later), path, "2", "1"))
 
 
 def q_items_after_two_batches(spark, sf):

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lexcurate.operators import langid
+from lexcurate.operators import langid, upsert
 from lexcurate.operators.embedding import hashing_embedder
 from lexcurate.plans import jobs, standins as SI
 from lexcurate.plans.catalogue import _objects
@@ -33,8 +33,8 @@ def test_indexing_job_and_upsert_idempotent(spark, scratch):
     emb = hashing_embedder(SI.TEST_EMBED_DIM)
     o1 = jobs.run_indexing(spark, meta, objs, scratch, "1", embedder=emb)
     o2 = jobs.run_indexing(spark, meta, objs, scratch, "2", current_version="1", embedder=emb)
-    v1 = sorted((r.index_name, r.key, r.s3_key) for r in spark.read.parquet(o1.vectors_path).collect())
-    v2 = sorted((r.index_name, r.key, r.s3_key) for r in spark.read.parquet(o2.vectors_path).collect())
+    v1 = sorted((r.index_name, r.key, r.s3_key) for r in upsert.read_table(spark, o1.vectors_path).collect())
+    v2 = sorted((r.index_name, r.key, r.s3_key) for r in upsert.read_table(spark, o2.vectors_path).collect())
     assert v1 == v2 and len(v1) > 0
     assert len({(a, b) for a, b, _ in v1}) == len(v1)  # one row per (index, key)
     st = spark.read.json(o2.stats_path)
