@@ -213,6 +213,29 @@ def q_keys_not_found(spark, sf):
     return k.join(o, "s3_key", "left_anti").select("doc_id", "s3_key")
 
 
+HOT_KEY = "data/pdf/year=2000/court=hot/bench=hot/None"
+
+
+def _hot_metadata(spark, sf):
+    """The metadata with a third of all records in one run, without a link: all of them name one object."""
+    hot = F.col("doc_id") % 3 == 0
+    plain = SI.metadata(spark, sf)
+    fixed = {"year": "2000", "court_code": "hot", "bench": "hot", "decision_date": "2000-01-01", "pdf_link": None}
+    return plain.withColumns({c: F.when(hot, F.lit(v)).otherwise(F.col(c)) for c, v in fixed.items()})
+
+
+def _hot_objects(spark, sf):
+    one = SI.table(spark, sf, "benchmark").select(F.min(F.struct("item_id", "text")).alias("o")).select(
+        F.lit(HOT_KEY).alias("key"), F.col("o.text").alias("text"), *[F.lit(None).cast("string").alias(c) for c in ("extract_error", "fetch_error", "general_error")])
+    return _objects(spark, sf).unionByName(one)
+
+
+def q_lookup_hot_key(spark, sf):
+    """J1 where a third of all records name one object."""
+    stage = indexing.lookup_and_chunk(_hot_metadata(spark, sf), _hot_objects(spark, sf))
+    return stage.where(F.col("outcome") != indexing.SKIPPED).select("doc_id", "s3_key", "outcome", "token_count", "chunk_count")
+
+
 def _stage2(spark, sf, meta=None):
     meta = meta if meta is not None else SI.metadata(spark, sf)
     return indexing.index(meta, _objects(spark, sf), embedder=hashing_embedder(SI.TEST_EMBED_DIM))
@@ -533,6 +556,7 @@ QUERIES = {
     "items_after_two_batches": q_items_after_two_batches,
     "vectors_after_two_batches": q_vectors_after_two_batches,
     "two_runs_one_root": q_two_runs_one_root,
+    "lookup_hot_key": q_lookup_hot_key,
     "curated_after_two_runs": q_curated_after_two_runs,
     "metadata_mixed": q_metadata_mixed,
     "years_with_broken_file": q_years_with_broken_file,

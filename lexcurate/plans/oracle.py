@@ -15,6 +15,7 @@ from lexcurate.operators import chunking
 from lexcurate.operators.langid import SCALE
 from lexcurate.plans import indexing as IX
 from lexcurate.plans import standins as SI
+from lexcurate.plans.catalogue import HOT_KEY
 from lexcurate.operators import quality as Q
 from lexcurate.operators.metadata import ITEM_SK
 
@@ -416,12 +417,30 @@ RUN = "year, court_code, bench, court_name"
 _ITEM_COLS = "pk, sk, s3_key, doc_id, title, court, decision_date, date_of_registration, pdf_link, priority, year, court_code, bench"
 
 
+def _metadata_parts() -> tuple[str, str, str, str]:
+    """Text before ``keyed``, and the bodies of ``keyed``, ``header`` and ``objects``."""
+    head, rest = METADATA.strip().split("keyed AS (", 1)
+    keyed, rest = rest.split("header AS (", 1)
+    return head, keyed, *rest.split("objects AS (", 1)
+
+
+def hot_metadata() -> str:
+    """The metadata CTEs where a third of the records name one object, which is the first of ``benchmark``."""
+    head, keyed, header, objects = _metadata_parts()
+    hot = "doc_id % 3 = 0"
+    fixed = {"year": "'2000'", "court_code": "'hot'", "bench": "'hot'", "decision_date": "'2000-01-01'", "pdf_link": "NULL"}
+    columns = ", ".join(f"CASE WHEN {hot} THEN {v} ELSE {c} END AS {c}" for c, v in fixed.items())
+    return (head.replace("meta AS (", "plain_meta AS (", 1) + "plain_keyed AS (" + keyed.replace("FROM meta)", "FROM plain_meta)")
+            + f"meta AS (SELECT * REPLACE ({columns}) FROM plain_meta),\nkeyed AS (" + keyed + "header AS (" + header
+            + "plain_objects AS (" + objects.replace("FROM keyed k", "FROM plain_keyed k") + f""",
+objects AS (SELECT * FROM plain_objects UNION ALL BY NAME
+            SELECT {lit(HOT_KEY)} AS key, arg_min(text, item_id) AS text FROM benchmark)""")
+
+
 def mixed_metadata() -> str:
     """The metadata CTEs where years divisible by 4 type ``decision_date`` as a date, those after them as a timestamp, and
     those before them lack ``priority``. The objects are those of the plain records."""
-    head, rest = METADATA.strip().split("keyed AS (", 1)
-    keyed, rest = rest.split("header AS (", 1)
-    header, objects = rest.split("objects AS (", 1)
+    head, keyed, header, objects = _metadata_parts()
     kind = "coalesce(TRY_CAST(m.year AS INTEGER) % 4, 2)"
     day = "CAST(try_strptime(m.decision_date, '%Y-%m-%d') AS DATE)"
     mixed = f"""meta AS (
@@ -567,6 +586,8 @@ SELECT {RUN}, s3_key, token_count, chunk_count FROM docstats WHERE outcome = '{I
     q["failed_files"] = s2 + f"""
 SELECT {RUN}, s3_key, filename, outcome AS error, error_message FROM docstats
 WHERE outcome IN {IX.FAILURES}"""
+    q["lookup_hot_key"] = stage2_cte().replace(METADATA.strip(), hot_metadata(), 1) + """
+SELECT doc_id, s3_key, outcome, token_count, chunk_count FROM docstats"""
     q["metadata_mixed"] = "WITH " + mixed_metadata() + """
 SELECT doc_id, year, court_code, bench, cnr, decision_date, date_of_registration, priority, year_val, s3_key FROM keyed"""
     numeric = "TRY_CAST(year AS INTEGER) IS NOT NULL"
