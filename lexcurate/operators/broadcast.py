@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexcurate.session import checkpoint_dir, scratch_path
+
 DEFAULT_MAX_BROADCAST_BYTES = 128 << 20
 
 
@@ -13,12 +17,17 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage of a small derived table (model, lookup) through the shared
     checkpoint folder, so a count and the later join do not compute it twice
     and a lost executor does not recompute its whole lineage."""
-    from lexcurate.session import checkpoint_dir
-
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet in the shared scratch folder: for tables that may be large, read by column and by several plans."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_bytes(df: DataFrame) -> int:
     """Bytes of ``df`` in memory: strings and nested values by their length, 8 for any other column, 16 a row."""
     width = F.lit(16)

@@ -256,6 +256,19 @@ def q_vector_upsert(spark, sf):
     return latest.select("index_name", "key", "s3_key", "content")
 
 
+def q_vectors_from_store(spark, sf):
+    """The vectors of a second run, whose embedder answers nothing: every one of them comes from the first run's store."""
+    meta, store = SI.metadata(spark, sf), _scratch(spark)
+    path = _scratch(spark)
+    indexing.lookup_and_chunk(meta, _objects(spark, sf)).write.parquet(path)
+    stage = spark.read.parquet(path)
+    indexing.derive(stage, list(meta.columns), hashing_embedder(SI.TEST_EMBED_DIM), store)
+    v = indexing.derive(stage, list(meta.columns), lambda content: F.lit(None).cast("array<float>"), store).vectors
+    return v.select("index_name", "key", "s3_key", F.col("metadata.cnr").alias("cnr"), F.col("metadata.title").alias("title"),
+                    F.col("metadata.year").alias("year"), F.col("metadata.content").alias("content"),
+                    F.size(F.filter("data", lambda x: x != 0)).cast("long").alias("nonzero"))
+
+
 _ITEM_COLS = ["pk", "sk", "s3_key", "doc_id", "title", "court", "decision_date", "date_of_registration",
               "pdf_link", "priority", "year", "court_code", "bench"]
 
@@ -556,6 +569,7 @@ QUERIES = {
     "items_after_two_batches": q_items_after_two_batches,
     "vectors_after_two_batches": q_vectors_after_two_batches,
     "two_runs_one_root": q_two_runs_one_root,
+    "vectors_from_store": q_vectors_from_store,
     "lookup_hot_key": q_lookup_hot_key,
     "curated_after_two_runs": q_curated_after_two_runs,
     "metadata_mixed": q_metadata_mixed,

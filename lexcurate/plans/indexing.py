@@ -14,7 +14,7 @@ Per record outcome (one value each):
   success               counted tokens, chunked, embedded, item written
 
 Shuffles: the metadata rows (no text) meet the stored objects once, on the
-object key (keys that many records name: ``look_up``). The run header (court name of the run) is a map-side partial
+object key (``operators.lookup``: keys that many records name are dealt over all tasks). The run header (court name of the run) is a map-side partial
 ``min`` per run, joined back as a tiny table; text never moves again after
 the lookup join: chunking, embedding and vector records are per row.
 """
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from lexcurate.functions import keys as K
 from lexcurate.functions.text import is_blank, token_count
 from lexcurate.operators import chunking, metadata as M
-from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bytes, broadcast_if_small, materialize
+from lexcurate.operators import embedding_store
+from lexcurate.operators.broadcast import broadcast_if_small, materialize
 from lexcurate.operators.embedding import hashing_embedder, vector_records
+from lexcurate.operators.lookup import look_up, one_row_a_key
 from lexcurate.operators.upsert import upsert_date
 from lexcurate.sources.metadata import DECISION_YEAR
 
@@ -85,51 +87,6 @@ def run_header(meta: DataFrame) -> DataFrame:
         .select(*RUN_KEYS, K.court_name(F.col("__court")).alias("court_name"))
 
 
-def one_object_a_key(objs: DataFrame) -> DataFrame:
-    """One row per key, so a record never gets two outcomes: of several rows the greatest.
-
-    Keys that have several are found without their texts; where there are none (the store holds a key
-    once) the objects stay as they are, so no aggregate stands between the texts and the join."""
-    many = materialize(objs.groupBy("s3_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s3_key"))
-    if many.isEmpty():
-        return objs
-    many = broadcast_if_small(many)
-    rest = [c for c in objs.columns if c != "s3_key"]
-    one = objs.join(many, "s3_key", "left_semi").groupBy("s3_key").agg(F.max(F.struct(*rest)).alias("o"))
-    return objs.join(many, "s3_key", "left_anti").unionByName(one.select("s3_key", "o.*"))
-
-
-#: A key is heavy if its records are more than half an even share of a reducer, and so many at least.
-HEAVY_SHARE, LEAST_HEAVY = 0.5, 100
-
-
-def look_up(recs: DataFrame, objs: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``recs`` LEFT JOIN ``objs`` (one row a key) on ``s3_key``, however many records name one key.
-
-    All records without a link of a run name one key. Keys that many records name are counted first; their
-    records are dealt over all tasks, where they meet the few heavy objects by broadcast, or, if these are
-    large, one copy a share by shuffle; all others join plainly."""
-    tasks = int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # written once: the numbers that deal a key's records must be the same in every attempt
-    recs = materialize(recs.withColumn("__number", F.monotonically_increasing_id()))
-    share = max(LEAST_HEAVY, HEAVY_SHARE * recs.count() / tasks)
-    heavy = materialize(recs.groupBy("s3_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
-                        .select("s3_key", F.ceil(F.col("n") / share).alias("__shares")))
-    plain = recs.drop("__number")
-    if heavy.isEmpty():
-        return plain.join(objs, "s3_key", "left")
-    heavy = F.broadcast(heavy)  # a key holds a share at least, so there are at most 2 * tasks of them
-    plain = plain.join(heavy.select("s3_key"), "s3_key", "left_anti").join(objs, "s3_key", "left")
-    dealt, few = recs.join(heavy, "s3_key").repartition(tasks, "__number"), materialize(objs.join(heavy, "s3_key"))
-    if broadcast_bytes(few) <= max_broadcast_bytes:
-        joined = dealt.drop("__number", "__shares").join(F.broadcast(few.drop("__shares")), "s3_key", "left")
-    else:
-        dealt = dealt.withColumn("__share", F.col("__number") % F.col("__shares")).drop("__number", "__shares")
-        copies = few.withColumn("__share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__shares") - 1))).drop("__shares")
-        joined = dealt.join(copies, ["s3_key", "__share"], "left").drop("__share")
-    return plain.unionByName(joined)
-
-
 def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
                      overlap: int = chunking.DEFAULT_OVERLAP, counter=token_count,
                      object_key_col: str = "key") -> DataFrame:
@@ -143,10 +100,10 @@ def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = c
 
     # errors of the store and of later steps, where the object rows carry them
     optional = {c: F.col(c) if c in objects.columns else F.lit(None).cast("string") for c in ("fetch_error", "general_error")}
-    objs = one_object_a_key(objects.select(
+    objs = one_row_a_key(objects.select(
         F.col(object_key_col).alias("s3_key"), F.col("text").alias("__text"), F.col("extract_error").alias("__extract_error"),
-        optional["fetch_error"].alias("__fetch_error"), optional["general_error"].alias("__general_error")))
-    looked = look_up(recs.where(~F.col("skipped")), objs.withColumn("__found", F.lit(True)))
+        optional["fetch_error"].alias("__fetch_error"), optional["general_error"].alias("__general_error")), "s3_key")
+    looked = look_up(recs.where(~F.col("skipped")), objs.withColumn("__found", F.lit(True)), "s3_key")
     found = F.coalesce(F.col("__found"), F.lit(False))
     outcome = (F.when(~found, F.lit(KEY_NOT_FOUND))
                .when(F.col("__fetch_error").isNotNull(), F.lit(FETCH_ERROR))
@@ -184,8 +141,9 @@ def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = c
     return docs.unionByName(skipped, allowMissingColumns=True)
 
 
-def derive(stage: DataFrame, meta_columns: list[str], embedder=None) -> IndexingResult:
-    """Records, embedded chunks, vectors and items from the stage table."""
+def derive(stage: DataFrame, meta_columns: list[str], embedder=None, store: str | None = None, model: str = "default") -> IndexingResult:
+    """Records, embedded chunks, vectors and items from the stage table (a written one, where ``store`` is given: an
+    embedding store that is asked before the embedder, and keeps what that gives)."""
     embedder = embedder or hashing_embedder()
     records = stage.drop("chunks")
     cnr = F.col("cnr") if "cnr" in stage.columns else F.lit(None).cast("string")
@@ -197,7 +155,11 @@ def derive(stage: DataFrame, meta_columns: list[str], embedder=None) -> Indexing
         upsert_date(F.col("decision_date")).alias("upsert_date"), "has_cnr",
         F.posexplode("chunks").alias("chunk_id", "content"),
     )
-    emb = vector_records(chunks, embedder, court_col="court_name")
+    if store:
+        known = embedding_store.embedded(chunks, embedder, store, model, "__data")
+        emb = vector_records(known, lambda content: F.col("__data"), court_col="court_name").drop("__data")
+    else:
+        emb = vector_records(chunks, embedder, court_col="court_name")
     vectors = emb.where(F.col("data").isNotNull() & F.col("has_cnr"))
     succeeded = records.where(F.col("outcome") == SUCCESS)
     items_all = M.items(succeeded.select(*[c for c in meta_columns if c not in ("s3_key", "raw_html", DECISION_YEAR)], "s3_key"))

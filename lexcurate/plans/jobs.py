@@ -120,8 +120,10 @@ class IndexingOutput:
 
 def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_root: str, version: str, *,
                  current_version: str | None = None, embedder=None, max_tokens: int = 2000,
-                 overlap: int = 100) -> IndexingOutput:
-    """E2 over metadata records of any number of runs and the stored objects."""
+                 overlap: int = 100, embedding_store: str | None = None, model: str = "default") -> IndexingOutput:
+    """E2 over metadata records of any number of runs and the stored objects.
+
+    ``embedding_store``: a folder of embeddings by content and ``model``; contents that it holds aren't embedded again."""
     started = time.time()
     # Run identity and times, written with the statistics (not compared)
     process_id = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
@@ -132,7 +134,7 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
     stage.write.partitionBy(*indexing.RUN_KEYS).parquet(stage_path)
     stage = spark.read.parquet(stage_path)
 
-    res = indexing.derive(stage, list(meta.columns), embedder)
+    res = indexing.derive(stage, list(meta.columns), embedder, embedding_store, model)
     # embedded chunks are the second stage table: vectors and error counts read it
     chunks_path = f"{out}/stage/run={process_id}/chunks"
     res.chunks.write.partitionBy(*indexing.RUN_KEYS).parquet(chunks_path)

@@ -547,6 +547,7 @@ SELECT year, court_code, bench, court_name, replace(replace(court_name, '--', '-
 SELECT v.index_name, v.key, v.s3_key, v.cnr, v.title, v.year, v.content,
        (SELECT count(*) FROM emb e WHERE e.id = v.doc_id AND e.chunk_id = v.chunk_id AND e.value <> 0) AS nonzero
 FROM vectors v"""
+    q["vectors_from_store"] = q["vector_records"]
     q["vector_upsert"] = s2 + """
 SELECT index_name, key, arg_max_null(s3_key, (udate, s3_key)) AS s3_key, arg_max_null(content, (udate, s3_key)) AS content
 FROM vectors GROUP BY index_name, key"""

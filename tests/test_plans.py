@@ -122,7 +122,7 @@ def test_hot_object_key_is_dealt_over_tasks(spark, monkeypatch):
     """A third of all records name one object: no task gets more than twice the median of rows."""
     from pyspark.sql import functions as F
 
-    from lexcurate.plans import indexing
+    from lexcurate.operators.lookup import look_up, one_row_a_key
 
     n = 6000
     recs = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("s3_key"))
@@ -130,7 +130,7 @@ def test_hot_object_key_is_dealt_over_tasks(spark, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         for most in (1 << 20, 0):  # heavy objects by broadcast, and by shuffle
-            looked = indexing.look_up(recs, indexing.one_object_a_key(objs), most)
+            looked = look_up(recs, one_row_a_key(objs, "s3_key"), "s3_key", most)
             assert looked.count() == n and [r.s3_key for r in looked.where("__text IS NULL").collect()] == ["k7"]
             tasks = looked.where("s3_key = 'hot'").groupBy(F.spark_partition_id().alias("task")).count().collect()
             shares = sorted(r["count"] for r in tasks)
@@ -142,15 +142,15 @@ def test_hot_object_key_is_dealt_over_tasks(spark, monkeypatch):
 def test_no_aggregate_between_exchange_and_lookup_join(spark):
     from pyspark.sql import functions as F
 
-    from lexcurate.plans import indexing
+    from lexcurate.operators.lookup import look_up, one_row_a_key
 
     recs = spark.range(50).select(F.col("id").cast("string").alias("s3_key"))
     objs = recs.withColumn("__text", F.lit("text"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(indexing.look_up(recs, indexing.one_object_a_key(objs)))
+        p = plan(look_up(recs, one_row_a_key(objs, "s3_key"), "s3_key"))
         assert "SortMergeJoin" in p and "Aggregate" not in p
-        twice = indexing.one_object_a_key(objs.union(objs.limit(3).withColumn("__text", F.lit("z"))))
+        twice = one_row_a_key(objs.union(objs.limit(3).withColumn("__text", F.lit("z"))), "s3_key")
         assert twice.count() == 50 and twice.where("__text = 'z'").count() == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
