@@ -12,11 +12,14 @@ Decision order (first hit wins):
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexcurate.functions.lexicons import Lexicon, get_lexicon
 from lexcurate.functions.text import upper_text, word_count
+from lexcurate.functions.trie import bounded_regex, trie_regex
 
 HEAD_CHARS = 1000
 JUDGMENT_MIN_WORDS = 1200   # strictly more than
@@ -30,6 +33,11 @@ _W = r"[\p{L}\p{N}_]"
 WORD_BOUNDARY = rf"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
 
 
+#: Patterns that are words between boundaries (their ends are letters or digits), and patterns without any sign.
+_WHOLE_WORDS = re.compile(r"\\b([A-Za-z0-9](?:[A-Za-z0-9 ]*[A-Za-z0-9])?)\\b")
+_LITERAL = re.compile(r"[^\\.^$|?*+()\[\]{}]+")
+
+
 def _python_boundaries(p: str) -> str:
     """``\\b`` of a pattern as Python's boundary. A ``\\b`` before a leading
     (after a trailing) letter or digit only needs the other side checked."""
@@ -42,18 +50,17 @@ def _python_boundaries(p: str) -> str:
 
 
 def head_regex(patterns: list[str]) -> str:
-    """One alternation of the head patterns, ``\\b`` as Python's Unicode word boundary."""
-    return "|".join(f"(?:{_python_boundaries(p)})" for p in patterns)
-
-
-def phrase_regex(phrases: list[str]) -> str:
-    """Any-substring test as one alternation of quoted literals."""
-    return "|".join(r"\Q" + p + r"\E" for p in phrases)
+    """The head patterns as one, ``\\b`` as Python's Unicode word boundary: whole words and literals as prefix trees, others as they are."""
+    words = [m[1] for p in patterns if (m := _WHOLE_WORDS.fullmatch(p))]
+    literals = [p for p in patterns if _LITERAL.fullmatch(p)]
+    rest = [f"(?:{_python_boundaries(p)})" for p in patterns if not _WHOLE_WORDS.fullmatch(p) and not _LITERAL.fullmatch(p)]
+    trees = [bounded_regex(words, f"(?<!{_W})", f"(?!{_W})")] * bool(words) + [trie_regex(literals)] * bool(literals)
+    return "|".join(trees + rest)
 
 
 def any_phrase(text_upper: Column, phrases: list[str]) -> Column:
     """Does the (upper-cased) text contain any of the phrases."""
-    return text_upper.rlike(phrase_regex(phrases))
+    return text_upper.rlike(trie_regex(phrases))
 
 
 def doc_type(text, lexicon: str | Lexicon = "latin", fix_fused: bool = False) -> Column:
