@@ -68,7 +68,7 @@ def _bounds(T: Column, max_tokens: int, overlap: int) -> Column:
 
 
 def chunk_array(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int = DEFAULT_OVERLAP,
-                counter=token_count) -> Column:
+                counter=token_count, splitter=split_sentences) -> Column:
     """Array of chunk texts for a text column (T10 split, ``counter`` per sentence)."""
     text = F.col(text) if isinstance(text, str) else text
 
@@ -79,7 +79,7 @@ def chunk_array(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int = DEFAU
             lambda b: F.array_join(F.slice(S, b["s"] + 1, b["e"] - b["s"] + 1), " "),
         )
 
-    S = split_sentences(text)
+    S = splitter(text)
     # bind the sentence array once, then its token counts once: lambdas do
     # not share sub-expressions, and the fold reads T many times per row
     bound = F.transform(F.array(S), lambda s: F.struct(s.alias("S"), F.transform(s, lambda x: counter(x)).alias("T")))
@@ -87,7 +87,7 @@ def chunk_array(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int = DEFAU
 
 
 def chunks_and_tokens(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int = DEFAULT_OVERLAP,
-                      counter=token_count) -> Column:
+                      counter=token_count, splitter=split_sentences) -> Column:
     """struct(chunks array, tokens long) from one sentence split and one count per sentence.
 
     For an additive counter (the default: tokens never span whitespace, and
@@ -103,7 +103,7 @@ def chunks_and_tokens(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int =
         total = F.aggregate(T, F.lit(0).cast("long"), lambda acc, t: acc + t.cast("long"))
         return F.struct(chunks.alias("chunks"), total.alias("tokens"))
 
-    bound = F.transform(F.array(split_sentences(text)),
+    bound = F.transform(F.array(splitter(text)),
                         lambda s: F.struct(s.alias("S"), F.transform(s, lambda x: counter(x)).alias("T")))
     return F.element_at(F.transform(bound, build), 1)
 
@@ -111,13 +111,13 @@ def chunks_and_tokens(text, max_tokens: int = DEFAULT_MAX_TOKENS, overlap: int =
 def chunk(df: DataFrame, text_col: str = "text", max_tokens: int = DEFAULT_MAX_TOKENS,
           overlap: int = DEFAULT_OVERLAP, keep=("*",), counter=token_count,
           chunk_id_col: str = "chunk_id", content_col: str = "content",
-          count_col: str | None = None) -> DataFrame:
+          count_col: str | None = None, splitter=split_sentences) -> DataFrame:
     """One row per chunk: ``keep`` columns + chunk position + chunk text.
 
     With ``count_col`` set, the number of chunks of the document is kept on
     every row too (the reference counts chunks before embedding them).
     """
-    arr = chunk_array(text_col, max_tokens, overlap, counter)
+    arr = chunk_array(text_col, max_tokens, overlap, counter, splitter)
     # one struct per chunk, built from the array bound once (see langid.detect)
     def rows(a):
         return F.transform(a, lambda x, i: F.struct(

@@ -16,7 +16,7 @@ from lexcurate.functions import keys as K
 from lexcurate.functions import text as TX
 from lexcurate.functions.classify import doc_type
 from lexcurate.functions.partitioning import spread
-from lexcurate.operators import chunking, langid, quality, stats, upsert, frequency
+from lexcurate.operators import chunking, frequency, langid, quality, sentence_model, stats, upsert
 from lexcurate.operators.broadcast import materialize
 from lexcurate.operators.embedding import hashing_embedder
 from lexcurate.plans import indexing, standins as SI
@@ -127,6 +127,18 @@ def q_sentences(spark, sf):
     return s.select("doc_id", "sentence_no", "sentence", TX.token_count(F.col("sentence")).alias("tokens"))
 
 
+def q_sentence_model(spark, sf):
+    """T10's training: abbreviations, collocations and sentence starters of all documents."""
+    return sentence_model.train(_documents(spark, sf)).withColumn("score", F.round("score", 3))
+
+
+def q_sentences_trained(spark, sf):
+    """T10 with the model trained on the same documents."""
+    d = _documents(spark, sf)
+    model = sentence_model.SentenceModel.of(sentence_model.train(d))
+    return d.select("doc_id", F.posexplode(sentence_model.sentences("text", model)).alias("sentence_no", "sentence"))
+
+
 def q_chunks(spark, sf):
     d = _documents(spark, sf)
     return chunking.chunk(d, "text", SI.TEST_CHUNK_MAX, SI.TEST_CHUNK_OVERLAP, keep=("doc_id",))
@@ -535,6 +547,8 @@ QUERIES = {
     "word_ratio": q_word_ratio,
     "token_count": q_token_count,
     "sentences": q_sentences,
+    "sentence_model": q_sentence_model,
+    "sentences_trained": q_sentences_trained,
     "chunks": q_chunks,
     "chunk_embedding": q_chunk_embedding,
     "pages_newline": q_pages_newline,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexcurate.functions import keys as K
-from lexcurate.functions.text import is_blank, token_count
+from lexcurate.functions.text import is_blank, sentences, token_count
 from lexcurate.operators import chunking, metadata as M
 from lexcurate.operators import embedding_store
 from lexcurate.operators.broadcast import broadcast_if_small, materialize
@@ -89,9 +89,10 @@ def run_header(meta: DataFrame) -> DataFrame:
 
 def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = chunking.DEFAULT_MAX_TOKENS,
                      overlap: int = chunking.DEFAULT_OVERLAP, counter=token_count,
-                     object_key_col: str = "key") -> DataFrame:
+                     object_key_col: str = "key", splitter=sentences) -> DataFrame:
     """The stage table: one row per metadata record with outcome, counts and
-    the chunk array of a successful document (text itself is dropped)."""
+    the chunk array of a successful document (text itself is dropped). ``splitter``: T10, as a rule or a trained
+    model (``operators.sentence_model``)."""
     recs = keyed_records(meta)
     # one row per run (years x courts x benches): counted, then broadcast, so
     # a run holding a third of all records is never shuffled onto one task
@@ -123,11 +124,11 @@ def lookup_and_chunk(meta: DataFrame, objects: DataFrame, *, max_tokens: int = c
     if counter is token_count:
         # additive counter: the token count is the sum of the sentence counts
         # the chunk fold computes anyway (one pass over the text, not two)
-        both = F.when(ok, chunking.chunks_and_tokens(F.col("__text"), max_tokens, overlap, counter))
+        both = F.when(ok, chunking.chunks_and_tokens(F.col("__text"), max_tokens, overlap, counter, splitter))
         per_doc = [both["tokens"].alias("token_count"), both["chunks"].alias("chunks")]
     else:
         per_doc = [F.when(ok, counter(F.col("__text"))).alias("token_count"),
-                   F.when(ok, chunking.chunk_array(F.col("__text"), max_tokens, overlap, counter)).alias("chunks")]
+                   F.when(ok, chunking.chunk_array(F.col("__text"), max_tokens, overlap, counter, splitter)).alias("chunks")]
     docs = looked.select(
         *carried,
         outcome.alias("outcome"),

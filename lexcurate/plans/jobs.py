@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexcurate.functions.keys import year_from_log_name
-from lexcurate.operators import quality, stats
+from lexcurate.operators import quality, sentence_model, stats
 from lexcurate.operators.broadcast import broadcast_if_small, materialize
+from lexcurate.operators.sentence_model import SentenceModel
 from lexcurate.plans import indexing, ledger
 from lexcurate.sinks import writers
 from lexcurate.sources.files import delete
@@ -120,17 +121,20 @@ class IndexingOutput:
 
 def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_root: str, version: str, *,
                  current_version: str | None = None, embedder=None, max_tokens: int = 2000,
-                 overlap: int = 100, embedding_store: str | None = None, model: str = "default") -> IndexingOutput:
+                 overlap: int = 100, embedding_store: str | None = None, model: str = "default",
+                 sentences: SentenceModel | None = None) -> IndexingOutput:
     """E2 over metadata records of any number of runs and the stored objects.
 
-    ``embedding_store``: a folder of embeddings by content and ``model``; contents that it holds aren't embedded again."""
+    ``embedding_store``: a folder of embeddings by content and ``model``; contents that it holds aren't embedded again.
+    ``sentences``: a trained sentence model; without one sentences end after every ``. ! ?`` before white space."""
     started = time.time()
     # Run identity and times, written with the statistics (not compared)
     process_id = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     processing_date = datetime.datetime.now().isoformat()
     out = out_root.rstrip("/")
     stage_path = f"{out}/stage/run={process_id}/records"
-    stage = indexing.lookup_and_chunk(meta, objects, max_tokens=max_tokens, overlap=overlap)
+    splitter = {"splitter": lambda text: sentence_model.sentences(text, sentences)} if sentences else {}
+    stage = indexing.lookup_and_chunk(meta, objects, max_tokens=max_tokens, overlap=overlap, **splitter)
     stage.write.partitionBy(*indexing.RUN_KEYS).parquet(stage_path)
     stage = spark.read.parquet(stage_path)
 

@@ -12,6 +12,7 @@ from lexcurate.functions.classify import HEAD_CHARS, JUDGMENT_MIN_WORDS, PROCEDU
 from lexcurate.functions.lexicons import get_lexicon
 from lexcurate.functions.text import TOKEN_PATTERN, WHITESPACE_CLASS, WHITESPACE_RUN
 from lexcurate.operators import chunking
+from lexcurate.operators import sentence_model as SM
 from lexcurate.operators.langid import SCALE
 from lexcurate.plans import indexing as IX
 from lexcurate.plans import standins as SI
@@ -417,6 +418,58 @@ RUN = "year, court_code, bench, court_name"
 _ITEM_COLS = "pk, sk, s3_key, doc_id, title, court, decision_date, date_of_registration, pdf_link, priority, year, court_code, bench"
 
 
+def _x_log_y(x: str, y: str) -> str:
+    return f"(CASE WHEN ({x}) = 0 THEN 0.0 ELSE ({x}) * ln({y}) END)"
+
+
+def _association(a: str, b: str, both: str, n: str) -> str:
+    p, p1, p2 = f"({b}) * 1.0 / ({n})", f"({both}) * 1.0 / ({a})", f"(({b}) - ({both})) * 1.0 / (({n}) - ({a}))"
+    rest = f"({n}) - ({a}) - ({b}) + ({both})"
+    left, right = f"({a}) - ({both})", f"({b}) - ({both})"
+    apart = [_x_log_y(both, p), _x_log_y(left, f"1 - {p}"), _x_log_y(right, p), _x_log_y(rest, f"1 - {p}")]
+    joint = [_x_log_y(both, p1), _x_log_y(left, f"1 - {p1}"), _x_log_y(right, p2), _x_log_y(rest, f"1 - {p2}")]
+    return f"(-2.0 * (({' + '.join(apart)}) - ({' + '.join(joint)})))"
+
+
+def _word_type(w: str) -> str:
+    core = f"lower(regexp_replace({w}, {lit(SM._HEAD)}, ''))"
+    return f"(CASE WHEN suffix({core}, '.') THEN substring({core}, 1, length({core}) - 1) ELSE regexp_replace({core}, {lit(SM._TAIL)}, '') END)"
+
+
+def _stopped(w: str) -> str:
+    return f"suffix(lower(regexp_replace({w}, {lit(SM._HEAD)}, '')), '.')"
+
+
+def sentence_model_cte() -> str:
+    letters = "length(replace(token, '.', ''))"
+    p = "(t.stops * 1.0 / t.total)"
+    return f"""
+sm_words AS (SELECT unnest(list_transform(range(1, len(W) + 1), lambda i: {{'word': W[i], 'following': W[i + 1]}})) AS p
+             FROM (SELECT {words('text')} AS W FROM documents)),
+sm_typed AS (SELECT {_word_type('p.word')} AS token, {_stopped('p.word')} AS stopped, regexp_matches(p.word, '[.!?]$') AS ends,
+                    {_word_type('p.following')} AS following FROM sm_words),
+sm_pairs AS (SELECT token, stopped, ends, CASE WHEN stopped OR ends THEN following END AS following, count(*) AS n FROM sm_typed GROUP BY ALL),
+sm_types AS (SELECT token, sum(n) AS n, coalesce(sum(n) FILTER (WHERE stopped), 0) AS n_stopped FROM sm_pairs GROUP BY token),
+sm_total AS (SELECT sum(n) AS total, sum(n_stopped) AS stops FROM sm_types),
+sm_abbr AS (SELECT * FROM (
+  SELECT token, n_stopped AS n, -2.0 * (n_stopped * ln({p}) + (n - n_stopped) * ln(1 - {p}) - n_stopped * ln({SM.EXPECTED}) - (n - n_stopped) * ln(1 - {SM.EXPECTED}))
+         * exp(-{letters}) * (length(token) - {letters} + 1) * pow({letters}, -(n - n_stopped)) AS score
+  FROM sm_types, sm_total t WHERE regexp_matches(token, {lit(SM.SHAPE)}) AND n_stopped >= {SM.LEAST_SEEN}) WHERE score >= {SM.ABBREVIATION}),
+sm_after AS (SELECT following, sum(n) AS n_both FROM sm_pairs
+             WHERE ends AND regexp_matches(following, {lit(SM.WORD)}) AND NOT (stopped AND token IN (SELECT token FROM sm_abbr)) GROUP BY following),
+sm_ends AS (SELECT sum(n_both) AS n_ends FROM sm_after),
+sm_start AS (SELECT * FROM (
+  SELECT a.following AS token, a.n_both AS n, {_association('e.n_ends', 'o.n', 'a.n_both', 't.total')} AS score
+  FROM sm_after a JOIN sm_types o ON o.token = a.following, sm_total t, sm_ends e
+  WHERE a.n_both * t.total > o.n * e.n_ends) WHERE score >= {SM.STARTER}),
+sm_two AS (SELECT token, following, sum(n) AS n_both FROM sm_pairs WHERE stopped AND regexp_matches(token, {lit(SM.ORDINAL)})
+             AND regexp_matches(following, {lit(SM.WORD)}) GROUP BY token, following HAVING sum(n) >= {SM.LEAST_SEEN}),
+sm_coll AS (SELECT * FROM (
+  SELECT w.token, w.following, w.n_both AS n, {_association('f.n_stopped', 'o.n', 'w.n_both', 't.total')} AS score
+  FROM sm_two w JOIN sm_types f ON f.token = w.token JOIN sm_types o ON o.token = w.following, sm_total t
+  WHERE w.n_both * t.total > o.n * f.n_stopped AND w.following NOT IN (SELECT token FROM sm_start)) WHERE score >= {SM.COLLOCATION})"""
+
+
 def _metadata_parts() -> tuple[str, str, str, str]:
     """Text before ``keyed``, and the bodies of ``keyed``, ``header`` and ``objects``."""
     head, rest = METADATA.strip().split("keyed AS (", 1)
@@ -489,6 +542,27 @@ WHERE doc_type = 'judgment' AND status IN ('{Q.OK_NO_OCR}', '{Q.OK_AFTER_OCR}')"
 SELECT doc_id, sentence_no, sentence, {token_count('sentence')} AS tokens FROM (
   SELECT doc_id, unnest(S) AS sentence, CAST(generate_subscripts(S, 1) - 1 AS INTEGER) AS sentence_no
   FROM (SELECT doc_id, {sentences('text')} AS S FROM documents))"""
+    q["sentence_model"] = "WITH " + sentence_model_cte().strip() + """
+SELECT 'abbreviation' AS kind, token, NULL::VARCHAR AS following, CAST(n AS BIGINT) AS n, round(score, 3) AS score FROM sm_abbr
+UNION ALL SELECT 'starter', token, NULL, CAST(n AS BIGINT), round(score, 3) FROM sm_start
+UNION ALL SELECT 'collocation', token, following, CAST(n AS BIGINT), round(score, 3) FROM sm_coll"""
+    space = WHITESPACE_CLASS[1:-1]
+    q["sentences_trained"] = "WITH " + sentence_model_cte().strip() + f""",
+pieces AS (
+  SELECT doc_id, unnest(P) AS piece, unnest(list_append(P[2:], NULL)) AS after, generate_subscripts(P, 1) AS i
+  FROM (SELECT doc_id, string_split(regexp_replace(text, {lit('([.!?])(' + WHITESPACE_RUN + ')')}, '\\1' || chr(30) || '\\2', 'g'), chr(30)) AS P FROM documents)
+),
+ends AS (SELECT doc_id, i, piece, after, regexp_extract(piece, {lit('([^' + space + ']+)$')}, 1) AS word,
+                regexp_extract(after, {lit('[^' + space + ']+')}) AS following FROM pieces),
+typed AS (SELECT *, {_word_type('word')} AS a, {_word_type('following')} AS b FROM ends),
+cut AS (SELECT doc_id, i, piece,
+          CASE WHEN after IS NULL OR {_stopped('word')} AND (
+                 a IN (SELECT token FROM sm_abbr) AND b NOT IN (SELECT token FROM sm_start)
+                 OR (a, b) IN (SELECT (token, following) FROM sm_coll)) THEN 0 ELSE 1 END AS cut FROM typed),
+numbered AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM cut),
+whole AS (SELECT doc_id, s, string_agg(piece, '' ORDER BY i) AS sentence FROM numbered GROUP BY doc_id, s),
+trimmed AS (SELECT doc_id, s, {strip('sentence')} AS sentence FROM whole)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INTEGER) AS sentence_no, sentence FROM trimmed WHERE sentence <> ''"""
     chunks_cte = "WITH RECURSIVE src AS (SELECT doc_id AS id, text FROM documents)," + _chunk_cte(
         "ch", "src", SI.TEST_CHUNK_MAX, SI.TEST_CHUNK_OVERLAP)
     q["chunks"] = chunks_cte + "\nSELECT id AS doc_id, chunk_id, content FROM ch"
