@@ -36,6 +36,24 @@ def q_scan_partition(spark, sf):
                     K.is_pdf(F.col("key")).alias("is_pdf"))
 
 
+def q_store_scan(spark, sf):
+    """S1 + S2 over files: the objects of 1996 to 1998 in a partitioned store of ``.pdf``, ``.PDF`` and ``.txt`` files, with their bytes.
+    An object holds the texts of all documents of its partition, one a line."""
+    from lexcurate.sources.readers import pdf_objects
+
+    root, o = _scratch(spark), SI.stage1_objects(spark, sf, mixed=True)
+    kind = F.regexp_extract("key", r"\.([^.]*)$", 1)
+    line = F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.base64(F.encode("text", "UTF-8")))
+    lines = o.select(F.replace(line, F.lit("\r\n"), F.lit("")).alias("line"), "year", "court", "bench", kind.alias("kind")).repartition("year", "court", "bench")
+    for name in ("pdf", "PDF", "txt"):
+        lines.where(F.col("kind") == name).drop("kind").write.mode("append").option("extension", name).partitionBy("year", "court", "bench").csv(root)
+    objects = pdf_objects(spark, root, year_range=(1996, 1998))
+    text = F.explode(F.split(F.trim(F.decode("content", "UTF-8"), F.lit("\n")), "\n")).alias("line")
+    rows = objects.select("year", "court", "bench", F.lower(F.regexp_extract("path", r"\.([^.]*)$", 1)).alias("kind"), text)
+    return rows.select(F.substring_index("line", " ", 1).cast("long").alias("doc_id"), "year", "court", "bench", "kind",
+                       F.decode(F.unbase64(F.substring_index("line", " ", -1)), "UTF-8").alias("text"))
+
+
 def q_doc_type_latin(spark, sf):
     return _stage1_docs(spark, sf).select("key", doc_type(F.col("text"), "latin").alias("doc_type"))
 
@@ -99,6 +117,15 @@ def q_repair_status(spark, sf):
     return log.groupBy("status", "did_ocr").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+def q_failure_statuses(spark, sf):
+    """T11 where some objects can't be fetched and the curated store refuses some copies."""
+    docs = _stage1_docs(spark, sf).withColumns({
+        "fetch": F.when(F.col("doc_id") % 41 == 0, F.lit("gone")), "upload": F.when(F.col("doc_id") % 13 < 5, F.lit("denied"))})
+    log = quality.assess(docs, langid.GivenLanguage("lang"), SI.repaired_text(spark, sf), min_ratio=SI.TEST_MIN_RATIO,
+                         allowed_langs=SI.TEST_ALLOWED, fetch_error_col="fetch", upload_error_col="upload", keep=("year", "court", "bench"))
+    return log.select("key", "status", "word_ratio_before", F.col("lang_before.lang").alias("lang_before"), "did_ocr", "doc_type")
+
+
 def q_curated(spark, sf):
     log = _document_log(spark, sf)
     return quality.curated(log).select("key", "year", "court", "bench", "status")
@@ -344,6 +371,33 @@ def q_titles(spark, sf):
     return stats.titles(_stage2(spark, sf).records)
 
 
+def q_titles_sink(spark, sf):
+    """K5: the titles as they lie in the sink, by court path and run."""
+    from lexcurate.sinks.writers import write_titles
+
+    path = write_titles(stats.titles(_stage2(spark, sf).records), _scratch(spark))
+    return spark.read.parquet(path).select("court_path", "court_code", "year", "bench", "s3_key", "title")
+
+
+def q_run_times(spark, sf):
+    """Identity and times of two runs, as their statistics record them."""
+    from lexcurate.plans import jobs
+
+    root, meta, objects = _scratch(spark), SI.metadata(spark, sf), _objects(spark, sf)
+    early = F.coalesce(F.col("year").try_cast("int") <= 1996, F.lit(False))
+    for version, some in (("1", meta.where(early)), ("2", meta.where(~early))):
+        out = jobs.run_indexing(spark, some, objects, root, version, embedder=hashing_embedder(SI.TEST_EMBED_DIM))
+    runs = spark.read.schema("year string, court_code string, bench string, process_id string, processing_date string, start_time double, "
+                             "end_time double, total_processing_time_seconds double").json(out.stats_path)
+    took = F.col("end_time") - F.col("start_time")
+    lasts = (took > 0) & (F.abs(took - F.col("total_processing_time_seconds")) < 1e-3)
+    dated = F.abs(F.to_timestamp("processing_date").cast("double") - F.col("start_time")) < 86400 * 2
+    per = runs.groupBy(F.coalesce(F.col("year").try_cast("int") <= 1996, F.lit(False)).alias("early")).agg(
+        F.count_distinct("process_id").alias("ids"), F.count_distinct("start_time").alias("starts"), F.count(F.lit(1)).alias("runs"),
+        F.bool_and(lasts).alias("end_after_start"), F.bool_and(dated).alias("dated"))
+    return per
+
+
 def q_failed_files(spark, sf):
     return stats.failed_files(_stage2(spark, sf).records)
 
@@ -409,6 +463,26 @@ def q_log_rejects(spark, sf):
     return log_rejects(spark, _foreign_logs(spark, sf)).select("line")
 
 
+def q_log_backfill(spark, sf):
+    """K7 + P9: log files of other writers, named by their year, brought into the log's layout; two folders hold files of one name."""
+    from lexcurate.plans import jobs
+    from lexcurate.sinks.writers import log_json
+    from lexcurate.sources import files
+
+    root, out = _scratch(spark), _scratch(spark)
+    log = log_json(_document_log(spark, sf))
+    record = F.to_json(F.struct(*[c for c in log.columns if c not in ("year", "court", "bench")]), {"ignoreNullFields": "false"})
+    folder = F.concat(F.lit("part"), F.crc32("key") % 2)
+    log.select(folder.alias("folder"), "year", record.alias("value")).repartition("folder", "year").write.partitionBy("folder", "year").text(root)
+    for path in files.glob(spark, f"{root}/folder=*/year=*/part-*", files_only=True):  # a file a folder and year
+        files.rename(spark, path, f"processing_log_{path.split('/year=')[1].split('/')[0]}.jsonl")
+    for part in ("part0", "part1", "part0"):  # one of them twice: its records are replaced
+        jobs.backfill_logs(spark, f"{root}/folder={part}/year=*/processing*", out)
+    rows = spark.read.schema("key string, status string, word_ratio_before double, lang_before array<string>, did_ocr boolean, doc_type string, "
+                             "year string, court string").json(f"{out}/logs")
+    return rows.select("key", "status", "word_ratio_before", F.col("lang_before")[0].alias("lang_before"), "did_ocr", "doc_type", "year", "court")
+
+
 def q_curated_copy(spark, sf):
     """E1 as a job: the curated store holds the repaired text of repaired documents."""
     from lexcurate.plans import jobs
@@ -535,6 +609,11 @@ def q_document_log_stream(spark, sf):
 
 QUERIES = {
     "scan_partition": q_scan_partition,
+    "store_scan": q_store_scan,
+    "failure_statuses": q_failure_statuses,
+    "log_backfill": q_log_backfill,
+    "titles_sink": q_titles_sink,
+    "run_times": q_run_times,
     "doc_type_latin": q_doc_type_latin,
     "doc_type_multi": q_doc_type_multi,
     "garble_gate": q_garble_gate,

@@ -203,12 +203,14 @@ def run_years(spark: SparkSession, metadata_root: str, objects: DataFrame, out_r
 def backfill_logs(spark: SparkSession, log_glob: str, out_root: str) -> str:
     """K7: log files written outside the job -> the log layout, year from the
     file name (``.jsonl`` names only), court from each record's key. Each file's
-    records lie in a partition of their own, so a backfill replaces only what
+    records lie in a partition of their own, named by the file and a digest of its folder, so a backfill replaces only what
     the same file gave before."""
     logs = read_logs(spark, log_glob).where(F.col("file_name").endswith(".jsonl"))
     court = F.regexp_extract(F.col("key"), r"/court=([^/]+)/", 1)
     logs = logs.select(
         "key", "status", "word_ratio_before", "lang_before", "word_ratio_after", "lang_after", "did_ocr", "doc_type",
         year_from_log_name(F.col("file_name")).alias("year"),
-        F.when(court != "", court).otherwise(F.lit("unknown")).alias("court"), "file_name")
-    return writers.write_log(logs, f"{out_root.rstrip('/')}/logs", origin=F.col("file_name"))
+        F.when(court != "", court).otherwise(F.lit("unknown")).alias("court"), "file_name",
+        F.substring(F.md5(F.regexp_replace("file_path", "/[^/]*$", "")), 1, 8).alias("folder"))
+    return writers.write_log(logs.withColumn("file_name", F.concat("file_name", F.lit("-"), "folder")).drop("folder"),
+                             f"{out_root.rstrip('/')}/logs", origin=F.col("file_name"))

@@ -516,6 +516,8 @@ def queries_sql() -> dict[str, str]:
     q["scan_partition"] = "WITH " + LISTING.strip().replace(_ext("doc_id"), _ext("doc_id", mixed=True)) + """
 SELECT key, year, court, bench, 'data/pdf/year=' || year || '/court=' || court || '/' AS prefix,
        lower(key) LIKE '%.pdf' AS is_pdf FROM listing"""
+    q["store_scan"] = "WITH " + LISTING.strip().replace(_ext("doc_id"), _ext("doc_id", mixed=True)) + """
+SELECT doc_id, year, court, bench, 'pdf' AS kind, text FROM stage1 WHERE CAST(year AS INTEGER) BETWEEN 1996 AND 1998"""
     for name, lex in (("doc_type_latin", "latin"), ("doc_type_multi", "multi")):
         q[name] = "WITH " + LISTING.strip() + f"\nSELECT key, {doc_type('text', lex)} AS doc_type FROM stage1"
     allowed = Q.parse_langs(SI.TEST_ALLOWED)
@@ -599,6 +601,14 @@ SELECT key, status, word_ratio_before, lang_before, word_ratio_after, lang_after
     # a record begins with its key and status: what is left of a cut line
     q["log_rejects"] = log + f"""
 SELECT substring('{{"key":"' || key || '","status":"' || status || '"', 1, 60) AS line FROM doclog WHERE {cut}"""
+    gone, denied = f"{number} % 41 = 0", f"{number} % 13 < 5"
+    copied = f"doc_type = 'judgment' AND status IN ('{Q.OK_NO_OCR}', '{Q.OK_AFTER_OCR}')"
+    q["failure_statuses"] = log + f"""
+SELECT key, CASE WHEN {gone} THEN '{Q.DOWNLOAD_FAILED}gone' WHEN {copied} AND {denied} THEN '{Q.UPLOAD_FAILED}denied' ELSE status END AS status,
+       CASE WHEN NOT {gone} THEN word_ratio_before END AS word_ratio_before, CASE WHEN NOT {gone} THEN lang_before END AS lang_before,
+       did_ocr AND NOT {gone} AS did_ocr, CASE WHEN NOT {gone} THEN doc_type END AS doc_type FROM doclog"""
+    q["log_backfill"] = log + """
+SELECT key, status, word_ratio_before, lang_before, did_ocr, doc_type, year, court FROM doclog"""
     q["curated_copy"] = log + f"""
 SELECT d.key, d.year, d.court, d.bench, CASE WHEN d.did_ocr THEN r.text ELSE s.text END AS text
 FROM doclog d JOIN stage1 s ON s.key = d.key LEFT JOIN repaired r ON r.key = d.key
@@ -658,6 +668,12 @@ FROM runstats"""
     q["document_counts"] = s2 + f"""
 SELECT {RUN}, s3_key, token_count, chunk_count FROM docstats WHERE outcome = '{IX.SUCCESS}'"""
     q["titles"] = s2 + f"\nSELECT {RUN}, s3_key, title FROM docstats WHERE outcome = '{IX.SUCCESS}'"
+    q["titles_sink"] = s2 + f"""
+SELECT replace(replace(court_name, '--', '-'), ' ', '-') AS court_path, court_code, year, bench, s3_key, title
+FROM docstats WHERE outcome = '{IX.SUCCESS}'"""
+    q["run_times"] = s2 + """
+SELECT coalesce(TRY_CAST(year AS INTEGER) <= 1996, false) AS early, 1 AS ids, 1 AS starts, count(*) AS runs, true AS end_after_start, true AS dated
+FROM runstats GROUP BY 1"""
     q["failed_files"] = s2 + f"""
 SELECT {RUN}, s3_key, filename, outcome AS error, error_message FROM docstats
 WHERE outcome IN {IX.FAILURES}"""

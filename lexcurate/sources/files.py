@@ -24,3 +24,9 @@ def glob(spark: SparkSession, pattern: str, files_only: bool = False) -> list[st
     """Sorted paths that match; none if there is no such folder."""
     p, fs = _open(spark, pattern)
     return sorted(s.getPath().toString() for s in fs.globStatus(p) or [] if s.isFile() or not files_only)
+
+
+def rename(spark: SparkSession, path: str, name: str) -> None:
+    """Gives a file another name in its folder."""
+    p, fs = _open(spark, path)
+    fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), name))

@@ -158,7 +158,7 @@ def read_logs(spark: SparkSession, path_glob: str) -> DataFrame:
     return rows.select(
         "key", "status", "word_ratio_before", _lang_struct("lang_before").alias("lang_before"),
         "word_ratio_after", _lang_struct("lang_after").alias("lang_after"), "did_ocr", "doc_type",
-        name.alias("file_name"), F.when(folder != "", folder).otherwise(year_from_log_name(name)).alias("log_year"),
+        "file_path", name.alias("file_name"), F.when(folder != "", folder).otherwise(year_from_log_name(name)).alias("log_year"),
     )
 
 
