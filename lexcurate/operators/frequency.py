@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexcurate.functions.text import letter_tokens
-from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bytes, materialize
+from lexcurate.operators.broadcast import DEFAULT_MAX_BROADCAST_BYTES, broadcast_bytes, broadcast_if_small, materialize
 
 DEFAULT_ZIPF_CUT = 2.0
 
@@ -31,10 +31,31 @@ def frequency_list(corpus: DataFrame, text_col: str = "text") -> DataFrame:
     return counts.select("token", "n", F.log10(F.col("n") / total * F.lit(1e9)).alias("zipf"))
 
 
+#: Cells into which words are hashed before they are counted one by one.
+CELLS = 1 << 22
+
+
+def frequent_words(corpus: DataFrame, text_col: str = "text", cut: float = DEFAULT_ZIPF_CUT, cells: int = CELLS) -> DataFrame:
+    """T2b for a corpus with more words than are worth a row: (token, n, zipf, total) of the words at or above the cut, exactly.
+
+    Words are hashed into cells and cells counted: a word has no more occurrences than its cell, so
+    only words of cells at or above the cut can pass, and only they are counted themselves. The first count shuffles at
+    most ``cells`` rows a task, and the second the words of at most 10^(9 - cut) cells: rare words, the bulk of
+    a large vocabulary, are never shuffled."""
+    tokens = corpus.select(F.explode(letter_tokens(text_col)).alias("token")).withColumn("cell", F.pmod(F.xxhash64("token"), F.lit(cells)))
+    counted = materialize(tokens.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    passes = F.col("n") * F.lit(1e9) >= F.lit(10.0 ** cut) * total
+    heavy = broadcast_if_small(counted.where(passes).select("cell"))
+    counts = tokens.join(heavy, "cell", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(passes)
+    return counts.select("token", "n", F.log10(F.col("n") / F.lit(max(total, 1)) * F.lit(1e9)).alias("zipf"), F.lit(total).cast("long").alias("total"))
+
+
 def known_words(freq: DataFrame, cut: float = DEFAULT_ZIPF_CUT) -> DataFrame:
     """Tokens at or above the cut, compared on counts (n * 1e9 >= 10^cut * total),
     which is exact where the log form can round either way at the boundary."""
-    total = freq.select(F.sum("n")).scalar()
+    # a list of frequent words alone carries the total of all
+    total = F.col("total") if "total" in freq.columns else freq.select(F.sum("n")).scalar()
     return freq.where(F.col("n") * F.lit(1e9) >= F.lit(10.0 ** cut) * total).select("token")
 
 

@@ -26,6 +26,13 @@ def one_row_a_key(objs: DataFrame, on: str) -> DataFrame:
 HEAVY_SHARE, LEAST_HEAVY = 0.5, 100
 
 
+def heavy_keys(rows: DataFrame, on: list[str], total: int) -> DataFrame:
+    """(``on``, shares) of the keys of too many of the ``total`` rows: 2 * reducers of them at most, found by a count that tasks combine."""
+    share = max(LEAST_HEAVY, HEAVY_SHARE * total / int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return materialize(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
+                       .select(*on, F.ceil(F.col("n") / share).alias("__shares")))
+
+
 def look_up(recs: DataFrame, objs: DataFrame, on: str, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``recs`` LEFT JOIN ``objs`` (one row a key) on ``on``, however many records name one key.
 
@@ -35,9 +42,7 @@ def look_up(recs: DataFrame, objs: DataFrame, on: str, max_broadcast_bytes: int
     tasks = int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # written once: the numbers that deal a key's records must be the same in every attempt
     recs = written(recs.withColumn("__number", F.monotonically_increasing_id()), "lookup")
-    share = max(LEAST_HEAVY, HEAVY_SHARE * recs.count() / tasks)
-    heavy = materialize(recs.groupBy(on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
-                        .select(on, F.ceil(F.col("n") / share).alias("__shares")))
+    heavy = heavy_keys(recs, [on], recs.count())
     plain = recs.drop("__number")
     if heavy.isEmpty():
         return plain.join(objs, on, "left")

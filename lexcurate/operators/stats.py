@@ -17,6 +17,24 @@ from lexcurate.plans.indexing import (EMPTY_TEXT, EXTRACTION_ERROR, FAILURES, KE
                                       SUCCESS)
 
 
+#: Size of a sketch, and the rank error that goes with it (99 % of the time a quantile's rank is off by less).
+SKETCH_K, RANK_ERROR = 400, 0.01
+
+
+def distribution(stats: DataFrame, by: list[str], ranks: list[float], count: str = "token") -> DataFrame:
+    """A3 / A8 over any runs: (``by``, rank, n, quantile) from the merged sketches of their statistics records.
+
+    ``count``: ``token`` or ``chunk``. Records read back from JSON hold a sketch as base64 text. Each
+    quantile's rank is within RANK_ERROR of the rank asked for; groups without a successful document have no rows."""
+    sketch = F.col(f"{count}_sketch")
+    held = stats.withColumn("__sketch", F.unbase64(sketch) if stats.schema[f"{count}_sketch"].dataType.typeName() == "string" else sketch)
+    # the sketch of a run without a successful document is null or empty
+    merged = held.where(F.col("__sketch").isNotNull() & (F.kll_sketch_get_n_bigint("__sketch") > 0)) \
+        .groupBy(*by).agg(F.kll_merge_agg_bigint("__sketch", SKETCH_K).alias("s"))
+    at = [F.struct(F.lit(float(r)).alias("rank"), F.kll_sketch_get_quantile_bigint("s", F.lit(float(r))).alias("quantile")) for r in ranks]
+    return merged.select(*by, F.kll_sketch_get_n_bigint("s").alias("n"), F.inline(F.array(*at))).select(*by, "rank", "n", "quantile")
+
+
 def run_stats(records: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
     """One row per (year, court_code, bench, court_name).
 
@@ -40,6 +58,7 @@ def run_stats(records: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
         F.max(F.when(ok, F.col("token_count"))).alias("max_tokens"),
         F.avg(F.when(ok, F.col("chunk_count"))).alias("avg_chunks_per_document"),
         F.sum(F.when(ok, F.col("chunk_count"))).alias("total_chunks"),
+        *[F.kll_sketch_agg_bigint(F.when(ok, F.col(f"{c}_count").cast("long")), SKETCH_K).alias(f"{c}_sketch") for c in ("token", "chunk")],
     )
     if chunks is not None:
         refused = F.col("upload_error") if "upload_error" in chunks.columns else F.lit(None).cast("string")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexcurate.sources.files import delete
+from lexcurate.operators.lookup import heavy_keys
 
 
 def upsert_date(decision_date: Column) -> Column:
@@ -51,16 +51,14 @@ ESCAPED = re.compile(r"""[\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
 
 def upsert_table(spark, new: DataFrame, path: str, version: str, keys: list[str], order: list[str],
                  partition_by: list[str] | None = None, current_version: str | None = None, buckets: int | None = None) -> str:
-    """Merges ``new`` into version ``current_version`` of the table at ``path`` and writes ``version``; returns the path of
+    """Merges ``new`` (best a written table: it is read for its keys, then whole) into version ``current_version`` of the table at ``path`` and writes ``version``; returns the path of
     its manifest, which ``read_table`` reads. ``buckets`` a partition: those of the current version, else from the rows."""
     unit, path = [*(partition_by or []), BUCKET], path.rstrip("/")
-    incoming = f"{path}/incoming/v={version}"
-    latest(new, keys, order).write.mode("overwrite").parquet(incoming)  # a hot key is one row from here on
-    new = spark.read.schema(new.schema).parquet(incoming)
     before = manifest(spark, f"{path}/v={current_version}") if current_version is not None else None
     units = {tuple(r[c] for c in unit): r[VERSION] for r in before.select(*unit, VERSION).collect()} if before else {}  # a row a unit
     shape = before.select("__buckets", "__schema").first() if before else None
-    n = shape["__buckets"] if shape else buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-new.count() // UNIT_ROWS)))
+    total = new.count()
+    n = shape["__buckets"] if shape else buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-total // UNIT_ROWS)))
     # no folder has an empty name
     new = new.withColumns({c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("None")) for c in partition_by or []})
     new = new.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
@@ -70,7 +68,12 @@ def upsert_table(spark, new: DataFrame, path: str, version: str, keys: list[str]
     merged = new.withColumn("__batch", F.lit(1))
     if old is not None:
         merged = old.withColumn("__batch", F.lit(0)).unionByName(merged, allowMissingColumns=True)
-    # one row a key and batch by now: the units are spread whole, and merged where they lie
+    # a key of very many rows is reduced in their tasks first; then units are spread whole and merged where they lie
+    heavy = heavy_keys(new, keys, total)
+    if not heavy.isEmpty():
+        heavy = F.broadcast(heavy.select(*keys))  # two a reducer at most
+        many = latest(merged.join(heavy, keys, "left_semi"), [*unit, *[k for k in keys if k not in unit], "__batch"], order)
+        merged = merged.join(heavy, keys, "left_anti").unionByName(many)
     merged = latest(merged.repartition(*unit), [*unit, *[k for k in keys if k not in unit]], ["__batch", *order]).drop("__batch")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*unit).parquet(f"{path}/files/upsert_version={_folder(version)}")
     columns = merged.drop(BUCKET).schema
@@ -81,7 +84,6 @@ def upsert_table(spark, new: DataFrame, path: str, version: str, keys: list[str]
     schema = ", ".join([*(f"`{c}` string" for c in unit[:-1]), f"{BUCKET} int", f"{VERSION} string", "__buckets int", "__schema string"])
     (spark.createDataFrame(rows or [(*[None] * (len(unit) + 1), n, columns.json())], schema).coalesce(1)
      .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/v={version}"))
-    delete(spark, incoming)
     return f"{path}/v={version}"
 
 

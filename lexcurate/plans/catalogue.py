@@ -17,7 +17,7 @@ from lexcurate.functions import text as TX
 from lexcurate.functions.classify import doc_type
 from lexcurate.functions.partitioning import spread
 from lexcurate.operators import chunking, frequency, langid, quality, sentence_model, stats, upsert
-from lexcurate.operators.broadcast import materialize
+from lexcurate.operators.broadcast import materialize, written
 from lexcurate.operators.embedding import hashing_embedder
 from lexcurate.plans import indexing, standins as SI
 from lexcurate.sources.readers import assemble_pages
@@ -194,6 +194,15 @@ def q_word_freq(spark, sf):
     return f.select("token", "n", F.round("zipf", 6).alias("zipf"))
 
 
+FREQUENT = 5.0  # a word in ten thousand
+
+
+def q_frequent_words(spark, sf):
+    """T2b with bounded counts: the words of all documents at or above a cut."""
+    f = frequency.frequent_words(_documents(spark, sf), cut=FREQUENT, cells=1 << 12)
+    return f.select("token", "n", F.round("zipf", 6).alias("zipf"), "total")
+
+
 def q_word_ratio_freq(spark, sf):
     f = frequency.frequency_list(SI.table(spark, sf, "benchmark"))
     return frequency.word_ratio_freq(_documents(spark, sf), f)
@@ -328,7 +337,7 @@ def q_metadata_upsert(spark, sf):
 def _stats(spark, sf, meta=None):
     """The stage table is written once; records and chunks both read it. The vector store refuses some chunks."""
     meta = meta if meta is not None else SI.metadata(spark, sf)
-    stage = materialize(indexing.lookup_and_chunk(meta, _objects(spark, sf)))
+    stage = written(indexing.lookup_and_chunk(meta, _objects(spark, sf)), "stage")
     r = indexing.derive(stage, list(meta.columns), hashing_embedder(SI.TEST_EMBED_DIM))
     refused = F.when((F.length("s3_key") + F.col("chunk_id")) % 11 == 0, F.lit("slow down"))
     return stats.run_stats(r.records, r.chunks.withColumn("upload_error", refused))
@@ -361,6 +370,28 @@ def q_chunk_stats(spark, sf):
                                     "total_chunks")
 
 
+RANKS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+
+
+def q_count_distributions(spark, sf):
+    """A3 + A8 merged over runs: quantiles of tokens a document and court, from the sketches in the statistics sink, each with
+    the share of the court's documents below it and not above it; both within the sketch's rank error of the rank asked for."""
+    from lexcurate.sinks.writers import write_stats
+
+    meta = SI.metadata(spark, sf)
+    stage = written(indexing.lookup_and_chunk(meta, _objects(spark, sf)), "stage")
+    r = indexing.derive(stage, list(meta.columns), hashing_embedder(SI.TEST_EMBED_DIM))
+    path = write_stats(stats.run_stats(r.records), _scratch(spark))
+    sink = spark.read.schema("court_code string, token_sketch string, chunk_sketch string").json(path)
+    q = stats.distribution(sink, ["court_code"], RANKS)
+    counts = r.records.where(F.col("outcome") == indexing.SUCCESS).groupBy("court_code", "token_count").agg(F.count(F.lit(1)).alias("docs"))
+    at = q.join(counts, "court_code").groupBy("court_code", "rank", "n").agg(  # a row a distinct count and rank, not a document
+        (F.sum(F.when(F.col("token_count") < F.col("quantile"), F.col("docs")).otherwise(0)) / F.col("n")).alias("below"),
+        (F.sum(F.when(F.col("token_count") <= F.col("quantile"), F.col("docs")).otherwise(0)) / F.col("n")).alias("up_to"))
+    error = stats.RANK_ERROR + 1 / F.col("n")  # a rank falls between two documents
+    return at.select("court_code", "rank", "n", ((F.col("below") <= F.col("rank") + error) & (F.col("up_to") >= F.col("rank") - error)).alias("within_error"))
+
+
 def q_document_counts(spark, sf):
     """A8 rows: token and chunk count of every successful document."""
     r = _stage2(spark, sf).records
@@ -506,7 +537,7 @@ def q_curated_after_two_runs(spark, sf):
 
 def _two_batches(spark, sf, rows, write):
     """The rows of two batches written one after the other: documents not divisible by 3, then the others."""
-    rows, path = materialize(rows), _scratch(spark)
+    rows, path = written(rows, "batches"), _scratch(spark)
     number = F.regexp_extract("s3_key", r"/(\d+)\.[^/.]*$", 1)
     later = F.coalesce(F.when(number != "", number).cast("long") % 3 == 0, F.lit(False))
     write(spark, rows.where(~later), path, "1")
@@ -633,6 +664,7 @@ QUERIES = {
     "pages_newline": q_pages_newline,
     "pages_concat": q_pages_concat,
     "word_freq": q_word_freq,
+    "frequent_words": q_frequent_words,
     "word_ratio_freq": q_word_ratio_freq,
     "lang_profiles": q_lang_profiles,
     "detect_language": q_detect_language,
@@ -652,6 +684,7 @@ QUERIES = {
     "token_stats": q_token_stats,
     "chunk_stats": q_chunk_stats,
     "document_counts": q_document_counts,
+    "count_distributions": q_count_distributions,
     "titles": q_titles,
     "failed_files": q_failed_files,
     "year_range_run": q_year_range_run,

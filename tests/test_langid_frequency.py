@@ -37,3 +37,25 @@ def test_vowel_signs_stay_in_their_words(spark):
              "te": "\u0c24\u0c40\u0c30\u0c4d\u0c2a\u0c41 \u0c07\u0c1a\u0c4d\u0c1a\u0c3e\u0c30\u0c41"}
     df = spark.createDataFrame([(k, t + " 12, (3)") for k, t in texts.items()], "k string, t string")
     assert {r.k: r.n.split() for r in df.select("k", normalized("t").alias("n")).collect()} == {k: t.split() for k, t in texts.items()}
+
+
+def test_frequent_words_are_exact_and_rare_ones_are_not_shuffled(spark):
+    import random
+    from collections import Counter
+
+    from lexcurate.operators import frequency
+
+    rng = random.Random(2)
+    word = lambda i: "w" + "".join(chr(97 + int(d)) for d in str(i))
+    texts = [" ".join([word(rng.randrange(20))] * 3 + [word(rng.randrange(10 ** 6)) for _ in range(20)]) for _ in range(500)]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    counts = Counter(w for t in texts for w in t.split())
+    total = sum(counts.values())
+    cut = 6.5
+    want = {w: n for w, n in counts.items() if n * 1e9 >= 10 ** cut * total}
+    for cells in (16, 1 << 16):  # shared cells let more words through to the count, and no other result
+        got = frequency.frequent_words(d, cut=cut, cells=cells)
+        assert {r.token: r.n for r in got.collect()} == want and {r.total for r in got.collect()} == {total}
+    full = frequency.known_words(frequency.frequency_list(d), cut)
+    assert {r.token for r in frequency.known_words(got, cut).collect()} == {r.token for r in full.collect()} == set(want)
+    assert frequency.frequent_words(d.limit(0)).collect() == []

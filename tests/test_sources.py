@@ -94,3 +94,30 @@ def test_logs_both_shapes(spark, scratch):
     assert sorted(r.log_year for r in rows) == ["1995", "2006", "2006", "2006"]
     one = [r for r in rows if r.log_year == "1995"][0]
     assert one.lang_before.lang == "en" and abs(one.lang_before.prob - 0.9999958767899285) < 1e-15
+
+
+def test_pretty_printed_file_is_read_in_splits(spark, scratch):
+    """A file of many splits, with strings that hold braces and quotes, records that share lines, a cut one and stray lines."""
+    record = lambda i: {"key": f"k{i}", "status": 'a "quoted" {brace} }', "lang_before": ["en", 0.5], "doc_type": "order"}
+    body = ["stray before\n"]
+    for i in range(3000):
+        text = json.dumps(record(i), indent=4)
+        body.append(text[:40] + "\n" if i == 1500 else text + ("," if i % 7 == 0 else "") + ("" if i % 5 == 0 else "\n"))
+        if i == 2000:
+            body.append("\nnot a record\n")
+    os.makedirs(f"{scratch}/logs", exist_ok=True)
+    with open(f"{scratch}/logs/processing_log_1995.jsonl", "w") as f:
+        f.write("".join(body))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(f"{scratch}/logs").rdd.getNumPartitions() > 10
+        got = read_logs(spark, f"{scratch}/logs/*").collect()
+        assert sorted(r.key for r in got) == sorted(f"k{i}" for i in range(3000) if i != 1500)
+        assert {(r.status, r.lang_before.prob, r.log_year) for r in got} == {('a "quoted" {brace} }', 0.5, "1995")}
+        rejects = [r.line for r in log_rejects(spark, f"{scratch}/logs/*").collect()]
+        assert sorted(x.strip() for x in rejects if "{" not in x) == ["not a record", "stray before"]
+        assert [x for x in rejects if "{" in x] and len(rejects) == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

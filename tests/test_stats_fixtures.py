@@ -51,3 +51,29 @@ def test_missing_title_and_court_columns(spark):
     assert [r.title for r in stats.titles(res.records).collect()] == ["a.pdf"]
     assert st.first().court_name == "unknown-court"
     assert {r.index_name for r in res.vectors.collect()} == {"unknown-court"}
+
+
+def test_sketches_merge_over_runs_within_the_rank_error(spark, scratch):
+    """A third of all documents in one run; quantiles of all runs together, from the records read back."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from lexcurate.operators import stats
+    from lexcurate.sinks.writers import write_stats
+
+    n = 60_000
+    rows = spark.range(n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("1999")).otherwise((F.col("id") % 9).cast("string")).alias("year"), F.lit("c").alias("court_code"),
+        F.lit("b").alias("bench"), F.lit("X").alias("court_name"), F.when(F.col("id") % 100 == 5, F.lit("empty_text")).otherwise(F.lit("success")).alias("outcome"),
+        F.lit(True).alias("has_cnr"), (F.col("id") * F.col("id") % 9973).alias("token_count"), F.lit(1).cast("long").alias("chunk_count"))
+    none = rows.limit(3).withColumn("year", F.lit("none")).withColumn("outcome", F.lit("key_not_found"))
+    path = write_stats(stats.run_stats(rows.unionByName(none)), scratch)
+    back = spark.read.json(path)
+    counts = np.sort([r[0] for r in rows.where("outcome = 'success'").select("token_count").collect()])
+    got = stats.distribution(back, ["court_code"], [0.01, 0.5, 0.99]).collect()
+    assert len(got) == 3 and all(r.n == len(counts) for r in got)
+    for r in got:
+        assert np.searchsorted(counts, r.quantile, "left") / len(counts) - stats.RANK_ERROR <= r.rank <= \
+            np.searchsorted(counts, r.quantile, "right") / len(counts) + stats.RANK_ERROR
+    assert stats.distribution(back.where("year = 'none'"), ["year"], [0.5]).collect() == []
+    assert max(len(r.token_sketch) for r in back.where("token_sketch IS NOT NULL").collect()) < 20_000

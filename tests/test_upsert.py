@@ -59,3 +59,11 @@ def test_new_and_missing_columns_and_empty_batches(spark, scratch):
     path = upsert_table(spark, b.limit(0), scratch, "3", ["key"], ["d"], current_version="2")
     got = {r.key: (r.old, r.fresh) for r in read_table(spark, path).collect()}
     assert got == {"a": ("x", None), "b": (None, 7)}
+
+
+def test_a_hot_key_is_one_row(spark, scratch):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) key", "cast(id as string) d", "id v")
+    path = upsert_table(spark, rows, scratch, "1", ["key"], ["v"])
+    path = upsert_table(spark, rows.withColumn("v", rows.v + 1), scratch, "2", ["key"], ["v"], current_version="1")
+    table = read_table(spark, path)
+    assert table.count() == 2001 and table.where("key = 'hot'").first().v == 2998
