@@ -5,7 +5,9 @@ segments. Over segments of length L, sum L ((m_q - m_v)^2 + (s_q - s_v)^2) is a
 lower bound of the squared distance of q and v, so (|q|^2 + |v|^2 - bound) / 2 is an
 upper bound of their inner product. Candidates go from four segments to
 sixteen to exact integer products, and leave as soon as their bound is below the
-query's k-th best score so far. Nothing is approximate.
+query's k-th best score so far. Coarse bounds of a run of candidates are one matrix product; so are the
+scores while most pairs are still open. Nothing is approximate: bounds have slack for rounding, scores are
+integers that their type holds.
 
 Queries (a stated set) and candidates are dealt into blocks; a task gets one block
 of each and returns the block's k best a query; a window over these ranks them.
@@ -41,39 +43,72 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     return np.stack([p.mean(1) * r for p, r in zip(parts, root)] + [p.std(1) * r for p, r in zip(parts, root)], 1)
 
 
-def product_bound(q: np.ndarray, v: np.ndarray, q_norm: np.ndarray, v_norm: np.ndarray) -> np.ndarray:
-    """Upper bounds of inner products from the lower bounds of distances, pair by pair (broadcast), with slack for rounding."""
-    distance = ((q - v) ** 2).sum(-1)
-    return (q_norm + v_norm - distance) / 2 + 1e-9 * (q_norm + v_norm) + 1e-6
+def bound_factors(x: np.ndarray, stats: np.ndarray, left: bool) -> np.ndarray:
+    """Rows whose products bound inner products from above: with |q - v|^2 >= |a - b|^2 for statistics a of q and b of v,
+    q v <= a b + (|q|^2 - |a|^2) / 2 + (|v|^2 - |b|^2) / 2, which is one product of rows longer by two."""
+    rest = ((x * x).sum(1) - (stats * stats).sum(1))[:, None] / 2
+    one = np.ones((len(x), 1))
+    return np.hstack([stats, rest, one] if left else [stats, one, rest])
+
+
+class Pairs:
+    """Products of rows of two matrices, for whole runs at once or for single pairs."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, kind: type):
+        self.a, self.b = a.astype(kind), b.astype(kind)
+
+    def table(self, rows, cols) -> np.ndarray:
+        return self.a[rows] @ self.b[cols].T
+
+    def at(self, rows: np.ndarray, cols: np.ndarray, numbers: int = 1 << 21) -> np.ndarray:
+        out = np.empty(len(rows), self.a.dtype)
+        most = max(1, numbers // self.a.shape[1])
+        for i in range(0, len(rows), most):
+            part = slice(i, i + most)
+            out[part] = np.einsum("ij,ij->i", self.a[rows[part]], self.b[cols[part]])
+        return out
 
 
 def block_search(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarray, k: int = K,
                  stride: int = STRIDE, resolutions: tuple[int, ...] = RESOLUTIONS) -> tuple[np.ndarray, ...]:
     """(query row, vec_id, score) of each query's k best among ``v``; the rows hold integers as float64."""
-    exact = np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * max(1, q.shape[1]) < 2.0 ** 53
-    stats = [(statistics(q, s), statistics(v, s)) for s in resolutions]
-    q_norm, v_norm = (q * q).sum(1), (v * v).sum(1)
+    # every partial sum of a product stays below the product of the norms: exact in single precision up to 2^24
+    most = np.sqrt((q * q).sum(1).max(initial=0)) * np.sqrt((v * v).sum(1).max(initial=0))
+    exact = Pairs(q, v, np.float32 if most < 2.0 ** 23 else np.float64) if most < 2.0 ** 52 else None
+    order = np.argsort(-(v * v).sum(1), kind="stable")  # long vectors first: they tend to score high and raise the floor
     best_q, best_v, best_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     floor = np.full(len(q), -np.inf)  # a query's k-th best score
-    order = np.argsort(-v_norm, kind="stable")  # long vectors first: they tend to score high and raise the floor
+    if exact:
+        bounds = [Pairs(bound_factors(q, statistics(q, s), True), bound_factors(v, statistics(v, s), False), np.float32) for s in resolutions]
+        slack = most * 1e-4 + 1e-6  # far above the rounding of a bound in single precision
     for block in (order[:stride // 16], *(order[i:i + stride] for i in range(stride // 16, len(v), stride))):
-        # coarse bound for all pairs as a product: |q|^2 + |v|^2 - (|a|^2 + |b|^2 - 2ab), where |a|, |b| are the statistics' norms
-        a, b = stats[0][0], stats[0][1][block]
-        away = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-        norms = q_norm[:, None] + v_norm[block][None, :]
-        bound = (norms - away) / 2 + 1e-9 * norms + 1e-6
-        rows, cols = np.nonzero((bound >= floor[:, None]) & (q_ids[:, None] != v_ids[block][None, :]))
-        for a, b in stats[1:]:
-            keep = np.concatenate([product_bound(a[r], b[block[c]], q_norm[r], v_norm[block[c]]) >= floor[r]
-                                   for r, c in _slices(rows, cols, a.shape[1])]) if len(rows) else np.zeros(0, bool)
-            rows, cols = rows[keep], cols[keep]
-        found = block[cols]
-        if exact:
-            scores = np.concatenate([np.einsum("ij,ij->i", q[r], v[c]) for r, c in _slices(rows, found, q.shape[1])] or [np.zeros(0)]).astype(np.int64)
-        else:
-            wide = ((sum(int(x) * int(y) for x, y in zip(q[r], v[c]))) for r, c in zip(rows, found))
+        allowed = q_ids[:, None] != v_ids[block][None, :]
+        if exact is None:
+            rows, cols = np.nonzero(allowed)
+            wide = ((sum(int(x) * int(y) for x, y in zip(q[r], v[c]))) for r, c in zip(rows, block[cols]))
             scores = np.array([min(max(s, -(1 << 63)), (1 << 63) - 1) for s in wide], np.int64)
-        best_q, best_v = np.concatenate([best_q, rows]), np.concatenate([best_v, v_ids[found]])
+        else:
+            every, rows = slice(None), None
+            if np.isfinite(floor).all():
+                low = (floor - slack).astype(np.float32)
+                open_ = (bounds[0].table(every, block) >= low[:, None]) & allowed
+                if open_.mean() < 1 / 8:  # few pairs are left: the finer bounds, then the products, pair by pair
+                    rows, cols = np.nonzero(open_)
+                    for finer in bounds[1:]:
+                        keep = finer.at(rows, block[cols]) >= low[rows]
+                        rows, cols = rows[keep], cols[keep]
+                    scores = exact.at(rows, block[cols])
+                    keep = scores >= floor[rows]
+                    rows, cols, scores = rows[keep], cols[keep], scores[keep].astype(np.int64)
+            if rows is None:
+                table = exact.table(every, block)
+                if len(block) > 4 * k:  # no more than the block's own k best (and their equals) can count
+                    floor_here = np.maximum(floor, np.partition(np.where(allowed, table, -np.inf), len(block) - k, axis=1)[:, len(block) - k])
+                else:
+                    floor_here = floor
+                rows, cols = np.nonzero((table >= floor_here[:, None]) & allowed)
+                scores = table[rows, cols].astype(np.int64)
+        best_q, best_v = np.concatenate([best_q, rows]), np.concatenate([best_v, v_ids[block[cols]]])
         best_s = np.concatenate([best_s, scores])
         top = np.lexsort((best_v, ~best_s, best_q))
         place = np.arange(len(top)) - np.searchsorted(best_q[top], best_q[top], "left")
@@ -82,16 +117,11 @@ def block_search(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndar
         full, n = np.unique(best_q, return_counts=True)
         last = np.searchsorted(best_q, full, "right") - 1
         floor[full[n == k]] = best_s[last[n == k]]
-        floor[full[n == k]] -= np.abs(floor[full[n == k]]) * 1e-12
+        if exact is None:
+            floor[:] = -np.inf
     return best_q, best_v, best_s
 
 
-def _slices(rows: np.ndarray, cols: np.ndarray, width: int, numbers: int = 1 << 21):
-    most = max(1, numbers // width)
-    for i in range(0, len(rows), most):
-        yield rows[i:i + most], cols[i:i + most]
-
-
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """``vectors`` and ``queries``: (vec_id, embedding). One row a result: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
