@@ -83,7 +83,7 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
                          upload_error_col=upload_error_col)
     # stage table: this run's log, written once (parquet keeps structs exact)
     stage = f"{out}/stage/run={uuid.uuid4().hex}/log"
-    log.write.partitionBy("year", "court").parquet(stage)
+    log.write.parquet(stage)
     log = spark.read.parquet(stage)
     writers.write_log(log, f"{out}/logs")
 
@@ -135,25 +135,23 @@ def run_indexing(spark: SparkSession, meta: DataFrame, objects: DataFrame, out_r
     stage_path = f"{out}/stage/run={process_id}/records"
     splitter = {"splitter": lambda text: sentence_model.sentences(text, sentences)} if sentences else {}
     stage = indexing.lookup_and_chunk(meta, objects, max_tokens=max_tokens, overlap=overlap, **splitter)
-    stage.write.partitionBy(*indexing.RUN_KEYS).parquet(stage_path)
+    stage.write.parquet(stage_path)  # read whole by this run: not partitioned, so a task writes one file
     stage = spark.read.parquet(stage_path)
 
     res = indexing.derive(stage, list(meta.columns), embedder, embedding_store, model)
     # embedded chunks are the second stage table: vectors and error counts read it
     chunks_path = f"{out}/stage/run={process_id}/chunks"
-    res.chunks.write.partitionBy(*indexing.RUN_KEYS).parquet(chunks_path)
+    res.chunks.write.parquet(chunks_path)
     chunks = spark.read.parquet(chunks_path)
     vectors = chunks.where(F.col("data").isNotNull() & F.col("has_cnr"))
 
     vectors_path = writers.write_vectors(spark, vectors, f"{out}/vectors", version, current_version)
     items_path = writers.write_items(spark, res.items, f"{out}/items", version, current_version)
     rejects_path = f"{out}/rejects"
-    res.rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*indexing.RUN_KEYS).parquet(rejects_path)
+    writers.write_partitioned(res.rejects, rejects_path, indexing.RUN_KEYS)
     titles_path = writers.write_titles(stats.titles(res.records), f"{out}/titles")
     failed_path = f"{out}/failed_files"
-    stats.failed_files(res.records).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*indexing.RUN_KEYS).parquet(failed_path)
+    writers.write_partitioned(stats.failed_files(res.records), failed_path, indexing.RUN_KEYS)
     ended = time.time()
     run = stats.run_stats(res.records, chunks).select(
         "*", F.lit(process_id).alias("process_id"), F.lit(processing_date).alias("processing_date"),

@@ -59,7 +59,7 @@ def put(batch: DataFrame, path: str, partition_by: list[str], key: str = "key")
             others = spark.read.option("basePath", path).schema(held.schema).parquet(*replaced).join(keys, on, "left_anti")
             rows = others.drop(RUN).unionByName(batch, allowMissingColumns=True)
     spark.createDataFrame([(f,) for f in replaced], "file string").coalesce(1).write.parquet(f"{journal}/replaced")
-    rows.withColumn(RUN, F.lit(run)).write.mode("append").partitionBy(*partition_by, RUN).parquet(path)
+    rows.hint("rebalance", *partition_by).withColumn(RUN, F.lit(run)).write.mode("append").partitionBy(*partition_by, RUN).parquet(path)
     spark.createDataFrame([(run,)], "run string").coalesce(1).write.parquet(f"{journal}/published")
     _drop_replaced(spark, journal)
     delete(spark, journal)

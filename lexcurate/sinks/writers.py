@@ -15,8 +15,10 @@ from lexcurate.sinks import keyed
 from lexcurate.operators.upsert import upsert_date, upsert_table
 
 
-def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> str:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> str:
+    """Dynamic partition overwrite. Rows of a partition are brought together first (a large one is split again), as
+    otherwise each task would write a small file for every partition."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).format(fmt).save(path))
     return path
 
@@ -42,7 +44,7 @@ def write_log(log: DataFrame, path: str, origin=JOB_ORIGIN) -> str:
     ``origin`` is the job, or the name of the file that a backfill took the
     record from (a column): writing one replaces only its own records."""
     origin = origin if not isinstance(origin, str) else F.lit(origin)
-    (log_json(log.withColumn("origin", origin)).drop("file_name").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (log_json(log.withColumn("origin", origin)).drop("file_name").hint("rebalance", "year", "court", "origin").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy("year", "court", "origin").json(path))
     return path
 
@@ -71,12 +73,12 @@ def write_items(spark, items: DataFrame, path: str, version: str, current_versio
 
 def write_titles(titles: DataFrame, path: str) -> str:
     """K5: titles as rows under P4's court path; the court's code keeps nameless courts apart."""
-    return _write(titles.withColumn("court_path", K.court_path_name(F.col("court_name"))), path, RUN_PATH)
+    return write_partitioned(titles.withColumn("court_path", K.court_path_name(F.col("court_name"))), path, RUN_PATH)
 
 
 def write_stats(stats: DataFrame, path: str) -> str:
     """K6: one JSON stats record per run."""
-    (stats.withColumn("court_path", K.court_path_name(F.col("court_name")))
+    (stats.withColumn("court_path", K.court_path_name(F.col("court_name"))).hint("rebalance", *RUN_PATH)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy(*RUN_PATH).json(path))
     return path
