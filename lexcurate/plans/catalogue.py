@@ -523,6 +523,19 @@ def q_curated_copy(spark, sf):
     return spark.read.parquet(out.curated_path).select("key", "year", "court", "bench", "text")
 
 
+def q_uploads_refused(spark, sf):
+    """T11 + K1 as a job whose uploads fail as they occur: the log names the failure, and the store lacks those documents."""
+    from lexcurate.plans import jobs
+    from lexcurate.sources.readers import read_logs
+
+    refused = lambda doc: F.when(F.conv(F.substring(F.md5(doc["key"]), 1, 8), 16, 10).cast("long") % 7 < 3, F.concat(F.lit("denied "), doc["year"]))
+    out = jobs.run_curation(spark, _stage1_docs(spark, sf), _scratch(spark), langid.GivenLanguage("lang"), SI.repaired_text(spark, sf),
+                            min_ratio=SI.TEST_MIN_RATIO, allowed_langs=SI.TEST_ALLOWED, uploader=refused)
+    log = read_logs(spark, f"{out.log_path}/year=*/court=*/origin=*/*.json").select("key", "status", "doc_type")
+    stored = spark.read.parquet(out.curated_path).select("key", F.lit(True).alias("stored"))
+    return log.join(stored, "key", "left").select("key", "status", "doc_type", F.coalesce("stored", F.lit(False)).alias("stored"))
+
+
 def q_curated_after_two_runs(spark, sf):
     """K1 as a job: two runs into one root, the second with half of the documents, some of them for the second time.
     Both runs' documents are there, and ``content`` names the run that wrote last."""
@@ -697,6 +710,7 @@ QUERIES = {
     "two_runs_one_root": q_two_runs_one_root,
     "vectors_from_store": q_vectors_from_store,
     "lookup_hot_key": q_lookup_hot_key,
+    "uploads_refused": q_uploads_refused,
     "curated_after_two_runs": q_curated_after_two_runs,
     "metadata_mixed": q_metadata_mixed,
     "years_with_broken_file": q_years_with_broken_file,

@@ -64,13 +64,15 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
                  repaired: DataFrame | None = None, *, min_ratio: float = quality.DEFAULT_MIN_WORD_RATIO,
                  allowed_langs: str = quality.DEFAULT_ALLOWED_LANGS, lexicon: str = "latin",
                  fix_fused: bool = False, classify_on: str = "before", fetch_error_col: str | None = None,
-                 freq: DataFrame | None = None, upload_error_col: str | None = None) -> CurationOutput:
+                 freq: DataFrame | None = None, upload_error_col: str | None = None, uploader=None) -> CurationOutput:
     """E1 over ``documents`` (key, year, court, bench, text [, fetch error, upload error, content]).
 
     Writes the per-document log (K2, JSON lines under year=/court=) and the
     curated documents (K1, under year=/court=/bench=). One log row per input.
     A repaired document is stored as repaired: its text (and, where ``repaired``
     has them, its bytes) replace the garbled ones.
+    ``uploader``: a function from a column (struct of a curated document's columns) to a column, called once for each curated document as it
+    is copied; where it answers with an error the document's status is ``upload_failed: ...`` and the store has no copy of it.
     """
     out = out_root.rstrip("/")
     # assembled texts: written once as columns, read by every score and by the copy, dropped at the end
@@ -85,9 +87,18 @@ def run_curation(spark: SparkSession, documents: DataFrame, out_root: str, detec
     stage = f"{out}/stage/run={uuid.uuid4().hex}/log"
     log.write.parquet(stage)
     log = spark.read.parquet(stage)
+    copies = curated_documents(documents, log, repaired)
+    if uploader:
+        # answers are written once, beside their documents: no document is uploaded again to write the log or the store
+        answered = f"{stage[:-len('/log')]}/uploads"
+        copies.withColumn("__error", uploader(F.struct(*copies.columns))).write.parquet(answered)
+        answers = spark.read.parquet(answered)
+        errors = answers.where(F.col("__error").isNotNull()).select("key", "__error")
+        log = log.join(errors, "key", "left").withColumn("status", F.coalesce(
+            F.concat(F.lit(quality.UPLOAD_FAILED), F.col("__error")), F.col("status"))).select(*log.columns)
+        copies = answers.where(F.col("__error").isNull()).drop("__error")
     writers.write_log(log, f"{out}/logs")
-
-    writers.write_curated(curated_documents(documents, log, repaired), f"{out}/curated")
+    writers.write_curated(copies, f"{out}/curated")
     delete(spark, texts)
     return CurationOutput(f"{out}/logs", f"{out}/curated")
 

@@ -615,6 +615,10 @@ SELECT key, status, word_ratio_before, lang_before, did_ocr, doc_type, year, cou
 SELECT d.key, d.year, d.court, d.bench, CASE WHEN d.did_ocr THEN r.text ELSE s.text END AS text
 FROM doclog d JOIN stage1 s ON s.key = d.key LEFT JOIN repaired r ON r.key = d.key
 WHERE d.doc_type = 'judgment' AND d.status IN ('{Q.OK_NO_OCR}', '{Q.OK_AFTER_OCR}')"""
+    refused = "('0x' || substr(md5(key), 1, 8))::BIGINT % 7 < 3"
+    q["uploads_refused"] = log + f"""
+SELECT key, CASE WHEN {copied} AND {refused} THEN '{Q.UPLOAD_FAILED}denied ' || year ELSE status END AS status, doc_type,
+       {copied} AND NOT {refused} AS stored FROM doclog"""
     of_run = f"CASE WHEN {number.replace('key', 'd.key')} % 2 = 0 THEN 'second' ELSE 'first' END"
     q["curated_after_two_runs"] = q["curated_copy"].replace("ELSE s.text END AS text", f"ELSE s.text END AS text, {of_run} AS content", 1) \
         + f" AND ({number.replace('key', 'd.key')} % 2 = 0 OR {number.replace('key', 'd.key')} % 3 <> 0)"

@@ -172,3 +172,20 @@ def test_repaired_document_is_stored_repaired(spark, scratch):
     out = jobs.run_curation(spark, docs, scratch, langid.GivenLanguage("lang"), rep, min_ratio=0.6, allowed_langs="en")
     rows = {r.key: (r.text, bytes(r.content).decode()) for r in spark.read.parquet(out.curated_path).collect()}
     assert rows == {"a": ("JUDGMENT the repaired reasons",) * 2, "b": ("JUDGMENT the reasons are given here",) * 2}
+
+
+def test_each_curated_document_is_uploaded_once(spark, scratch):
+    import pandas as pd
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def upload(doc: pd.DataFrame) -> pd.Series:
+        calls.add(len(doc))
+        return doc["key"].map(lambda k: "slow down" if k == "b" else None)
+
+    docs = spark.createDataFrame([(k, t, "en") for k, t in (("a", "JUDGMENT the reasons are given"), ("b", "JUDGMENT the reasons are given"), ("c", "ORDER adjourned"))],
+                                 "key string, text string, lang string").selectExpr("*", "'1995' year", "'c' court", "'b' bench")
+    out = jobs.run_curation(spark, docs, scratch, langid.GivenLanguage("lang"), min_ratio=0.1, allowed_langs="en", uploader=upload.asNondeterministic())
+    assert {r.key: r.status for r in spark.read.json(out.log_path).collect()} == {"a": "ok_no_ocr", "b": "upload_failed: slow down", "c": "ok_no_ocr"}
+    assert [r.key for r in spark.read.parquet(out.curated_path).collect()] == ["a"] and calls.value == 2
