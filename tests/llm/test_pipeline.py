@@ -49,12 +49,39 @@ def test_stages(spark):
 
 
 def test_run_and_odd_rows(spark, tmp_path):
+    """Null, empty, very long and repeated texts, repeated and null ids, a clashing column; and an empty table."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
     odd = spark.createDataFrame([(1, None, None, None, None), (1, None, "en", "s", 3), (None, "x" * 90_000, "en", "s", 3),
                                  (None, "", "en", "s", 3)], docs.schema)
-    for k, table in enumerate((docs.union(odd), docs.limit(0))):
+    row = collections.Counter
+    for k, table in enumerate((docs.union(odd).union(docs.limit(2)), docs.limit(0))):
         sf = f"{tmp_path}/{k}"
         table.withColumn("row_key", table.doc_id).write.parquet(f"{sf}/documents.parquet")
         spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{sf}/labels.parquet")
-        out = corpus_pipeline.run(spark, sf)
-        assert out.count() >= (1 - k)
+        now = spark.read.parquet(f"{sf}/documents.parquet")
+        columns, rows = now.columns, [row(map(tuple, now.collect()))]
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            path = corpus_pipeline.common.stage_path(spark, name)
+            stage(spark, now, sf).write.parquet(path)
+            now = spark.read.parquet(path)
+            assert now.columns == columns
+            rows.append(row(map(tuple, now.collect())))
+        start, good, exact, near, cut = rows
+        assert good <= start and exact <= good and near <= exact  # rows go whole, or stay as they are
+        plain = lambda r: re.sub("[\x20\x09-\x0d]", "", r[1] or "")
+        assert row(map(plain, exact.elements())) == row({plain(r) for r in good})  # one row of each text
+        assert all(-len(r[1] or "") <= min(-len(o[1] or "") for o in good if plain(o) == plain(r)) for r in exact)
+        classes = test_minhash.brute(dict(enumerate(r[1] or "" for r in exact.elements())))
+        assert sum(near.values()) == len(set(classes.values()))
+        assert row(r[0] for r in cut.elements()) == row(r[0] for r in near.elements())
+        out = corpus_pipeline.run(spark, sf).collect()
+        assert (len(out) >= sum(cut.values())) if not k else out == []
+        filled = collections.defaultdict(list)
+        for r in out:
+            filled[r.sequence_id].append((r.offset, r.length))
+        for places in filled.values():
+            ends = [0]
+            for offset, length in sorted(places):
+                assert offset == ends[-1] and length > 0
+                ends.append(offset + length)
+            assert ends[-1] <= 2048
