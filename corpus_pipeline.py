@@ -9,6 +9,12 @@ stage returns is written as Parquet and read back as the next one's docs.
 3. near_dedup    of each class of near-duplicates one row stays
 4. suffix_dedup  byte strings of 400 and more that occur elsewhere are cut out
 5. packing       what is left is encoded and packed into sequences of 2048 tokens
+
+Defined cases: null text counts as empty in every stage, and empty texts are equal, so one row of them stays if the
+classifier keeps them; repeated rows and repeated or null ids are rows of their own until exact_dedup, which keeps one row
+of each text (most characters, then smallest id, null last); very long texts are worked on whole, and cut into pieces by
+packing alone; a document whose text is cut empty stays and is packed as its closing id; other columns, also with names
+that the operators use themselves, go through unchanged; an empty table gives empty stages and no sequences.
 """
 
 from lexcurate.llm import common, exact_dedup, minhash, packing, quality, suffix_dedup
