@@ -1,9 +1,10 @@
 """Token counts by a map-side two-tier lookup.
 
 Tier one is a broadcast table of frequent words and their token numbers, found
-by counting the words of all rows (it only saves time; no count depends on it).
+by counting the words of all rows in the tasks (it only saves time; no count depends on it):
+each task names its most frequent words, a bounded number, and only these are added up.
 Tier two encodes the words that it lacks through a bounded cache in each
-worker. Only the sums of word counts cross a shuffle.
+worker. No word of a text crosses a shuffle.
 
 Defined cases: null text counts as empty (0 tokens, 0 bytes); repeated rows
 and null ids give one row each; an empty table gives no rows; other columns
@@ -20,37 +21,35 @@ from pyspark.sql import functions as F
 
 from lexcurate.llm import common, words
 
-#: Entries of the frequent-word table: the bound of what is broadcast. Words that a task counts before it sends its counts on.
-TABLE_WORDS, HELD_WORDS = 1 << 16, 300_000
+#: Entries of the frequent-word table: the bound of what is broadcast. Words that a task holds while it counts, and those that it names.
+TABLE_WORDS, HELD_WORDS, SKETCH_WORDS = 1 << 16, 300_000, 1 << 13
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) over all rows, of words of at most CACHE_LETTERS letters. Tasks add up before the shuffle."""
+def frequent(docs: DataFrame) -> DataFrame:
+    """(word, c): the words of the highest counts of each task, at most SKETCH_WORDS, with a lower bound of their count.
 
+    A task counts all its words in bounded space: when HELD_WORDS are held, the median count is taken off all of them, and
+    the words that are used up go (so no word is undercounted by more than the sum of what was taken off)."""
     def rows(batches):
         held: Counter = Counter()
-
-        def out():
-            kept = {w: c for w, c in held.items() if len(w) <= words.CACHE_LETTERS}
-            held.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(kept.keys(), pa.string()), pa.array(kept.values(), pa.int64())], names=["word", "c"])
-
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if not words.ODD_SPACE.search(text):
                     held.update(text.split())
                     if len(held) > HELD_WORDS:
-                        yield from out()
-        yield from out()
+                        less = sorted(held.values())[len(held) // 2]
+                        held = Counter({w: c - less for w, c in held.items() if c > less})
+        top = [(w, c) for w, c in held.most_common(SKETCH_WORDS) if c > 1 and len(w) <= words.CACHE_LETTERS]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([c for _, c in top], pa.int64())], names=["word", "c"])
 
     some = docs.where("text is not null").select("text")
-    return some.mapInArrow(rows, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return some.mapInArrow(rows, "word string, c long")
 
 
 def frequent_words(docs: DataFrame, path: str, most: int = TABLE_WORDS) -> tuple[str, bytes]:
-    """(words joined by blanks, one byte of token number each): the words of the highest counts over all rows, equal
-    ones all or none, at most ``most``."""
-    counts = common.table(word_counts(docs), "word-counts").withColumn(
+    """(words joined by blanks, one byte of token number each): the words with the highest counts in the tasks' sketches over all
+    rows, equal ones all or none, at most ``most``."""
+    counts = common.table(frequent(docs).groupBy("word").agg(F.sum("c").alias("c")), "sketches").withColumn(
         "bin", F.when(F.col("c") < 4096, F.col("c")).otherwise(4096 + F.floor(F.log(F.col("c") / 4096) * 512)))
     floor, held = 1 << 62, 0  # from a histogram with a fixed number of bins, as in maxent_lm.lexicon
     for r in counts.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("bin")).collect():
