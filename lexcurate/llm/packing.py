@@ -29,18 +29,21 @@ from lexcurate.llm import common, words
 
 LIMIT = 2048
 END = words.to_bytes([0])
+#: Words that a worker keeps: beside other operators, as in a pipeline, and alone.
+CACHE_WORDS, CACHE_WORDS_ALONE = 100_000, 400_000
 
 
-def pieces(docs: DataFrame, path: str | None = None, limit: int = LIMIT, outputs: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, limit: int = LIMIT, outputs: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Encoded pieces with ``task`` and ``nth``: the how-manieth piece of its length in its task."""
     path = path or words.tokenizer_path()
+    common.configure(docs.sparkSession)
 
     def cut(batches):
         seen, task = [0] * (limit + 1), TaskContext.get().partitionId()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = words.encode_bytes(path, text) + END
+                ids = words.encode_bytes(path, text, cache_words) + END
                 for piece, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at:at + 4 * limit]
                     n = len(part) // 4
@@ -54,7 +57,7 @@ def pieces(docs: DataFrame, path: str | None = None, limit: int = LIMIT, outputs
             yield pa.RecordBatch.from_arrays(arrays[:k], names=list(names[:k]))
 
     return (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
-            .mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
+            .mapInArrow(words.giving_back(cut), "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
                         + ", ids binary" * outputs))
 
 
@@ -154,10 +157,12 @@ def slots(patterns: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "rank", "sequence", "each", "offset"), table.T))
 
 
-def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, outputs: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (``outputs``: and ids)."""
+def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, outputs: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (``outputs``: and ids).
+
+    ``cache_words``: words whose ids a worker keeps, twice over (some 200 bytes each); more save time, and change nothing else."""
     spark = docs.sparkSession
-    cut = common.table(pieces(docs, path, limit, outputs), "pieces")
+    cut = common.table(pieces(docs, path, limit, outputs, cache_words), "pieces")
     by_task = cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     by_task = common.table(by_task.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0))), "lengths")
@@ -184,4 +189,4 @@ def pack(docs: DataFrame, path: str | None = None, limit: int = LIMIT, outputs:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(common.documents(spark, sf_dir))
+    return pack(common.documents(spark, sf_dir), cache_words=CACHE_WORDS_ALONE)

@@ -126,3 +126,17 @@ def test_frequent_words_come_from_all_rows(spark):
     assert token_counts.frequent_words(docs, PATH, most=2)[0].split() in (["early", "late"], ["late", "early"])
     assert token_counts.frequent_words(docs, PATH, most=1)[0] == "late"
     assert token_counts.frequent_words(docs.limit(0), PATH) == ("", b"")
+
+
+def test_latin_words_equal_the_library():
+    import itertools
+    import random
+
+    from lexcurate.llm import words
+
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)] if chr(c).isalpha()]
+    rng = random.Random(5)
+    some = [*letters, *("".join(p) for p in itertools.product(letters[52:], "aZé")), *("".join(rng.choices(letters, k=rng.randint(2, 14))) for _ in range(3000))]
+    some += [w + m for w in some[::7] for m in (".", ",!", "|")] + ["µ", "aªb", "ºx", "straße", "İstanbul", "ΣΑΣ", "e\u0301tat", "naïve's", "élan-vital"]
+    enc = words.WordEncoder(PATH)
+    assert all(enc.word(w) == enc.whole(w) for w in some)
