@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from lexcurate.session import scratch_path
 
-#: Rows of one Arrow batch. Texts may be long; a batch of them must fit a Python worker.
-BATCH_ROWS = 256
+#: Rows and bytes of one Arrow batch. Texts may be long; a batch of them must fit a Python worker.
+BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 #: The key column of documents, and the largest side (narrow rows, at most 64 bytes each) that is broadcast.
 KEY, BROADCAST_ROWS = "__key", 250_000
 #: Scratch folders written so far.
@@ -23,6 +23,7 @@ _SCRATCH: list[tuple[SparkSession, str]] = []
 
 def configure(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

@@ -153,7 +153,7 @@ def signed(texts: DataFrame) -> DataFrame:
                                                   pa.array(n), lists], names=["row_key", "doc_id", "same", "n", "bands"])
                 at += len(bags)
 
-    return texts.mapInArrow(rows, "row_key long, doc_id long, same binary, n long, bands array<long>")
+    return texts.mapInArrow(words.giving_back(rows), "row_key long, doc_id long, same binary, n long, bands array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -168,7 +168,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     side = lambda k: texts.select(F.col("row_key").alias(k), F.col("text").alias(f"text_{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(rows, "a long, b long, near boolean")
+    return both.mapInArrow(words.giving_back(rows), "a long, b long, near boolean")
 
 
 def elements(texts: DataFrame) -> DataFrame:
@@ -183,7 +183,7 @@ def elements(texts: DataFrame) -> DataFrame:
                 got.append(np.where(nth > 0, mixed(h + nth * _STEP), h).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.int64()))], names=["row_key", "elements"])
 
-    return texts.select("row_key", "text").mapInArrow(rows, "row_key long, elements array<long>")
+    return texts.select("row_key", "text").mapInArrow(words.giving_back(rows), "row_key long, elements array<long>")
 
 
 def families(arrays: DataFrame, least: float) -> DataFrame:

@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = SAMPLE_ROWS) -> d
     # at most most_rows narrow rows are broadcast; a task keeps one text an id before the shuffle
     rows = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id", "label") \
         .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("label", "t.text")
-    row = rows.repartition(1).mapInArrow(gather, "ratio binary, w binary, curve array<double>, constant double").first()
+    row = rows.repartition(1).mapInArrow(words.giving_back(gather), "ratio binary, w binary, curve array<double>, constant double").first()
     if row is None:
         return fit([], np.zeros(0))
     return {"ratio": np.frombuffer(row.ratio, "<f4"), "w": np.frombuffer(row.w, "<f4"), "curve": tuple(row.curve), "constant": row.constant}
@@ -174,7 +174,7 @@ def scores(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFr
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.float64())], names=[*keep, "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *key, F.coalesce("text", F.lit("")).alias("text"))
-    out = rows.mapInArrow(rate, "doc_id long, " + "row_key long, " * bool(key) + "score double")
+    out = rows.mapInArrow(words.giving_back(rate), "doc_id long, " + "row_key long, " * bool(key) + "score double")
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"), *["row_key"] * bool(key))
 

@@ -42,7 +42,7 @@ from lexcurate.llm import common, gsaca, words
 WINDOW, GRAM, STEP = 400, 128, 16
 GRAMS = WINDOW - GRAM + 1
 #: Bytes that are analysed, and put into one suffix array, at once. Longer texts are analysed in overlapping parts.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _SYMBOL = np.random.default_rng(10).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -194,7 +194,7 @@ def runs_of(texts: DataFrame) -> DataFrame:
         if held:
             yield _batch(analyse(held))
 
-    return texts.select("row_key", "text").mapInArrow(rows, ITEMS)
+    return texts.select("row_key", "text").mapInArrow(words.giving_back(rows), ITEMS)
 
 
 def settle(items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -253,7 +253,7 @@ def finer(onward: DataFrame, texts: DataFrame, cut) -> DataFrame:
     # the runs of a document: no more than it has windows
     lists = onward.groupBy("row_key").agg(F.collect_list(F.struct("at", "proven")).alias("r"))
     both = texts.select("row_key", "text").join(lists, "row_key")
-    return both.select("row_key", "text", "r.at", "r.proven").mapInArrow(rows, ITEMS)
+    return both.select("row_key", "text", "r.at", "r.proven").mapInArrow(words.giving_back(rows), ITEMS)
 
 
 def merged(lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,7 +308,7 @@ def removed(docs: DataFrame, outputs: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays[:n], names=names[:n])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, row_key long" + ", kept string" * outputs
-    cut = common.table(whole.join(lists, "row_key").select("row_key", "doc_id", "text", "s.low", "s.high").mapInArrow(rows, schema), "cut")
+    cut = common.table(whole.join(lists, "row_key").select("row_key", "doc_id", "text", "s.low", "s.high").mapInArrow(words.giving_back(rows), schema), "cut")
     intact = texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
                           F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), "row_key",
                           *[F.lit(None).cast("string").alias("kept")] * outputs)
