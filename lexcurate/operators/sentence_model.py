@@ -33,9 +33,15 @@ LEAST_SEEN = 2
 # letters, with inner full stops; initials and numbers
 SHAPE, ORDINAL, WORD = r"^\p{L}+(\.\p{L}+)*$", r"^(\p{L}|\p{N}+)$", r"^\p{L}+$"
 _HEAD, _TAIL = r"^[^\p{L}\p{N}]+", r"[^\p{L}\p{N}]+$"
+_UP_TO_LAST = r"(?s)\A.*[\p{L}\p{N}]"  # what is left without _TAIL, in linear time
 _MARK = "\u001e"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, also inside another lambda, where sub-expressions aren't shared."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def core(word: Column) -> Column:
     """Lower case, without marks before the first letter or digit."""
     return F.lower(F.regexp_replace(word, _HEAD, ""))
@@ -47,8 +53,8 @@ def stopped(word: Column) -> Column:
 
 def word_type(word: Column) -> Column:
     """The word without its full stop, or without any marks that end it."""
-    c = core(word)
-    return F.when(F.endswith(c, F.lit(".")), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(F.regexp_replace(c, _TAIL, ""))
+    return _bound(core(word), lambda c: F.when(F.endswith(c, F.lit(".")), F.substring(c, F.lit(1), F.length(c) - 1))
+                  .otherwise(F.regexp_extract(c, _UP_TO_LAST, 0)))
 
 
 def x_log_y(x: Column, y: Column) -> Column:
@@ -68,13 +74,15 @@ def train(corpus: DataFrame, text_col: str = "text") -> DataFrame:
     """(kind, token, following, n, score): the model's entries. ``following`` is null but for collocations."""
     bound = F.transform(F.array(words(text_col)), lambda w: F.transform(
         w, lambda x, i: F.struct(x.alias("word"), F.get(w, i + 1).alias("following"))))
-    pairs = corpus.select(F.explode(F.element_at(bound, 1)).alias("p")).select(
-        word_type(F.col("p.word")).alias("token"), stopped(F.col("p.word")).alias("stopped"),
-        F.col("p.word").rlike("[.!?]$").alias("ends"), F.col("p.following").alias("following"))
-    # the word that follows matters after a stop alone: all others are counted as single words
-    pairs = pairs.withColumn("following", F.when(F.col("stopped") | F.col("ends"), word_type(F.col("following"))))
+    # words as written are counted first: types are worked out once a distinct row, not once a word of the texts.
+    # The word that follows matters after a stop alone: all others are counted as single words
+    written = corpus.select(F.explode(F.element_at(bound, 1)).alias("p")).select(
+        F.col("p.word").alias("word"), F.col("p.following").alias("following"), F.substring("p.word", -1, 1).isin(".", "!", "?").alias("ends"))
+    written = written.groupBy("word", "ends", F.when(F.col("ends"), F.col("following")).alias("following")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = written.select(word_type(F.col("word")).alias("token"), stopped(F.col("word")).alias("stopped"), "ends",
+                           F.when(F.col("ends"), word_type(F.col("following"))).alias("following"), "n")
     # one pass over the texts: every statistic is a sum over these rows
-    pairs = materialize(pairs.groupBy("token", "stopped", "ends", "following").agg(F.count(F.lit(1)).alias("n")))
+    pairs = materialize(pairs.groupBy("token", "stopped", "ends", "following").agg(F.sum("n").alias("n")))
     types = pairs.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("stopped"), F.col("n")).otherwise(0)).alias("n_stopped"))
     types = materialize(types)
     total, stops = types.agg(F.sum("n"), F.sum("n_stopped")).first()
@@ -132,10 +140,14 @@ class SentenceModel:
 
     def joins(self, word: Column, following: Column) -> Column:
         """Does the full stop after ``word`` belong to it?"""
-        first, second = word_type(word), word_type(following)
-        abbreviated = first.rlike(whole_regex(self.abbreviations)) & ~second.rlike(whole_regex(self.starters))
-        together = F.concat(first, F.lit(" "), second).rlike(whole_regex([" ".join(c) for c in self.collocations]))
-        return stopped(word) & (abbreviated | together)
+        abbreviation, starter, pair = (whole_regex(p) for p in (self.abbreviations, self.starters, [" ".join(c) for c in self.collocations]))
+
+        def of_types(t):
+            together = F.concat(t["first"], F.lit(" "), t["second"]).rlike(pair)
+            return (t["first"].rlike(abbreviation) & ~t["second"].rlike(starter)) | together
+
+        return _bound(core(word), lambda c: F.when(F.endswith(c, F.lit(".")), _bound(
+            F.struct(F.substring(c, F.lit(1), F.length(c) - 1).alias("first"), word_type(following).alias("second")), of_types)).otherwise(False))
 
 
 def sentences(text, model: SentenceModel) -> Column:
@@ -147,8 +159,9 @@ def sentences(text, model: SentenceModel) -> Column:
     def marked(ps):
         def one(piece, i):
             following = F.regexp_extract(F.get(ps, i + 1), f"{not_space}+", 0)
-            word = F.regexp_extract(piece, f"({not_space}+)$", 1)
-            return F.concat(piece, F.when((i + 1 == F.size(ps)) | model.joins(word, following), F.lit("")).otherwise(F.lit(_MARK)))
+            word = F.regexp_replace(piece, rf"(?s)\A.*{WHITESPACE_CLASS}", "")  # linear in the piece, unlike a pattern that ends in $
+            apart = F.when(i + 1 == F.size(ps), False).when(F.endswith(piece, F.lit(".")), ~model.joins(word, following)).otherwise(True)
+            return F.concat(piece, F.when(apart, F.lit(_MARK)).otherwise(F.lit("")))
 
         return F.array_join(F.transform(ps, one), "")
 

@@ -1,6 +1,7 @@
 """What is learned from counts, and how it splits."""
 import math
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -69,3 +70,15 @@ def test_chunks_with_a_model(spark):
     model = M.SentenceModel(["no"], [], [])
     got = chunking.chunk(d, "text", 8, 0, splitter=lambda t: M.sentences(t, model)).orderBy("chunk_id").collect()
     assert [r.content for r in got] == ["One two No. 7 three.", "The end of it."]
+
+
+def test_long_words_take_time_in_proportion(spark):
+    long = "x" * 400_000
+    d = spark.createDataFrame([(1, f"{long} No. 7 of it. The end{'-' * 400_000}a. It is No. 8.")], "doc_id long, text string")
+    model = M.SentenceModel(["no"], ["the"], [("j", "bach")])
+    M.train(d).collect()
+    began = time.time()
+    got = d.select(M.sentences("text", model).alias("s")).first().s
+    assert got == [f"{long} No. 7 of it.", f"The end{'-' * 400_000}a.", "It is No. 8."]
+    assert d.select(M.word_type(F.concat(F.lit("a"), F.repeat(F.lit("-"), 400_000), F.lit("b!"))).alias("t")).first().t == f"a{'-' * 400_000}b"
+    assert time.time() - began < 20
