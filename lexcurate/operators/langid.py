@@ -11,15 +11,20 @@ Model: character-trigram naive Bayes with add-one smoothing.
     exact sums, identical whatever order a cluster adds them in.
   * top-1 language by score desc, language asc; probability = softmax.
 
-Scale: the exploded trigram occurrences never cross a shuffle. The profile
+Scale: trigram occurrences are counted in the scan stage, as integers in Arrow
+batches, and never cross a shuffle. The profile
 (bounded by languages x distinct trigrams, size checked at plan time) is
-broadcast; each occurrence is joined in the scan stage and partially summed
+broadcast; each distinct trigram of a document is joined in the scan stage and partially summed
 per (document, language) before the only shuffle, which carries one row per
 document and language.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +50,92 @@ def trigrams(text) -> Column:
     return F.regexp_extract_all(normalized(text), F.lit("(?=(.{3}))"), 1)
 
 
+#: Characters that are counted at once; rows of a batch that a task returns, and trigrams that it holds.
+BLOCK, OUT_ROWS, HELD_GRAMS = 1 << 20, 1 << 17, 300_000
+_BITS = 21  # of a code point
+
+
+def gram_keys(normal: str):
+    """The trigrams of a normalized text as integers of three code points, in arrays of BLOCK at most."""
+    for a in range(0, len(normal) - 2, BLOCK):
+        c = np.frombuffer(normal[a:a + BLOCK + 2].encode("utf-32-le"), np.uint32).astype(np.int64)
+        yield c[:-2] << 2 * _BITS | c[1:-1] << _BITS | c[2:]
+
+
+def gram_key(gram: Column) -> Column:
+    """The same integer of a trigram."""
+    code = [F.ascii(F.substring(gram, i, 1)).cast("long") for i in (1, 2, 3)]
+    return F.shiftleft(code[0], 2 * _BITS).bitwiseOR(F.shiftleft(code[1], _BITS)).bitwiseOR(code[2])
+
+
+def _gram(key: int) -> str:
+    return "".join(chr(key >> i * _BITS & (1 << _BITS) - 1) for i in (2, 1, 0))
+
+
 def train_profiles(corpus: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, gram, n) counts. Map-side partial counts absorb hot grams."""
-    return (corpus.where(F.col(lang_col).isNotNull())
-            .select(F.col(lang_col).alias("lang"), F.explode(trigrams(text_col)).alias("gram"))
-            .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")))
+    """(lang, gram, n) counts. Tasks add up before the shuffle, so hot grams are a row a task."""
+    texts = corpus.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), normalized(text_col).alias("text"))
+    schema = f"lang {texts.schema['lang'].dataType.simpleString()}, gram string, n long"
+    kind = texts.limit(0).toArrow().schema.field("lang").type
+
+    def rows(batches):
+        held, waiting = defaultdict(Counter), defaultdict(list)
+
+        def count(lang):
+            keys, n = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
+            held[lang].update(dict(zip(keys.tolist(), n.tolist())))
+
+        def out():
+            for lang in list(waiting):
+                count(lang)
+            for lang, grams in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), kind), pa.array(map(_gram, grams), pa.string()),
+                                                  pa.array(grams.values(), pa.int64())], names=["lang", "gram", "n"])
+            held.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for keys in gram_keys(text):
+                    waiting[lang].append(keys)
+            for lang in [k for k, w in waiting.items() if sum(map(len, w)) >= BLOCK]:
+                count(lang)
+            if sum(map(len, held.values())) > HELD_GRAMS:
+                yield from out()
+        yield from out()
+
+    return texts.mapInArrow(rows, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def gram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(__id, __letters, __key, __c): a row a distinct trigram of a text (of a block, where it is long); one without a key for a text that has none."""
+    texts = docs.select(F.col(id_col).alias("__id"), normalized(text_col).alias("__text")).select(
+        "__id", F.col("__text").rlike(r"\p{L}").alias("__letters"), "__text")
+    schema = f"__id {texts.schema['__id'].dataType.simpleString()}, __letters boolean, __key long, __c long"
+
+    def rows(batches):
+        for batch in batches:
+            at, keys, counts = [], [], []
+
+            def out():
+                place = pa.array(np.repeat(np.array([i for i, _ in at]), [n for _, n in at]))  # noqa: B023
+                key, n = np.concatenate(keys), np.concatenate(counts)  # noqa: B023
+                return pa.RecordBatch.from_arrays([batch.column(0).take(place), batch.column(1).take(place),  # noqa: B023
+                                                   pa.array(key, pa.int64(), mask=key < 0), pa.array(n)], names=["__id", "__letters", "__key", "__c"])
+
+            held = 0
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                for k, n in [np.unique(keys, return_counts=True) for keys in gram_keys(text)] or [(np.array([-1]), np.array([0]))]:
+                    at.append((i, len(k)))
+                    keys.append(k)
+                    counts.append(n.astype(np.int64))
+                    held += len(k)
+                    if held > OUT_ROWS:
+                        yield out()
+                        at, keys, counts, held = [], [], [], 0
+            if at:
+                yield out()
+
+    return texts.mapInArrow(rows, schema)
 
 
 def model_weights(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -66,7 +152,7 @@ class NaiveBayesDetector:
     """Detector backed by trained profiles (a DataFrame of lang, gram, n).
 
     The model is pivoted to one row per gram with one weight column per
-    language, so each trigram occurrence joins exactly one model row and the
+    language, so each distinct trigram of a document joins at most one model row and the
     only aggregate is a per-document sum of a few columns. The language
     labels (one per language, a handful of strings) are read at plan time to
     name those columns, together with each language's normaliser.
@@ -84,7 +170,7 @@ class NaiveBayesDetector:
         self.langs = [r.lang for r in params]
         self.base = {r.lang: int(r.base) for r in params}
         wide = weights.groupBy("gram").pivot("lang", self.langs).agg(F.first("w"))
-        wide = wide.select("gram", *[F.coalesce(F.col(f"`{l}`"), F.lit(0)).cast("long").alias(self._c(i))
+        wide = wide.select(gram_key(F.col("gram")).alias("__key"), *[F.coalesce(F.col(f"`{l}`"), F.lit(0)).cast("long").alias(self._c(i))
                                      for i, l in enumerate(self.langs)])
         if materialize_model:
             wide = materialize(wide)
@@ -97,23 +183,11 @@ class NaiveBayesDetector:
 
     def detect(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """(id, lang, prob): top-1 language per document; (null, 0.0) without letters."""
-        # Explode structs that already carry the per-document values: a sibling
-        # column computed from the same array would be evaluated inside the
-        # generator loop by whole-stage codegen, once per element.
-        def rows(g):
-            n = F.size(g).cast("long")
-            letters = F.exists(g, lambda x: x.rlike(r"\p{L}"))
-            return F.transform(g, lambda x: F.struct(x.alias("gram"), n.alias("__n"), letters.alias("__letters")))
-
-        occ = docs.select(
-            F.col(id_col).alias("__id"),
-            F.inline_outer(F.element_at(F.transform(F.array(trigrams(text_col)), rows), 1)),
-        )
         k = len(self.langs)
         wcols = [self._c(i) for i in range(k)]
-        sums = (occ.join(self.wide, "gram", "left")
-                .groupBy("__id").agg(F.max("__n").alias("__n"), F.max("__letters").alias("__letters"),
-                                     *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in wcols]))
+        sums = (gram_counts(docs, id_col, text_col).join(self.wide, "__key", "left")
+                .groupBy("__id").agg(F.sum("__c").alias("__n"), F.max("__letters").alias("__letters"),
+                                     *[F.sum(F.coalesce(F.col(c), F.lit(0)) * F.col("__c")).alias(c) for c in wcols]))
         best = self.pick(sums, "__n", "__letters", wcols)
         return sums.select(F.col("__id").alias(id_col), best["lang"].alias("lang"), best["prob"].alias("prob"))
 

@@ -59,3 +59,18 @@ def test_frequent_words_are_exact_and_rare_ones_are_not_shuffled(spark):
     full = frequency.known_words(frequency.frequency_list(d), cut)
     assert {r.token for r in frequency.known_words(got, cut).collect()} == {r.token for r in full.collect()} == set(want)
     assert frequency.frequent_words(d.limit(0)).collect() == []
+
+
+def test_trigrams_are_counted_by_code_points_once_a_document(spark, monkeypatch):
+    corpus = spark.createDataFrame([("a", "𝐀𝐁𝐂𝐃"), ("b", "xyz " * 500), ("b", None), (None, "abc")], "lang string, text string")
+    got = {(r.lang, r.gram): r.n for r in langid.train_profiles(corpus).collect()}
+    assert got == {("a", g): 1 for g in (" 𝐀𝐁", "𝐀𝐁𝐂", "𝐁𝐂𝐃", "𝐂𝐃 ")} | {("b", " xy"): 500, ("b", "xyz"): 500, ("b", "yz "): 500, ("b", "z x"): 499, ("b", "z  "): 1}
+    det = langid.NaiveBayesDetector(langid.train_profiles(corpus))
+    docs = spark.createDataFrame([(1, "𝐀𝐁𝐂𝐃 𝐀𝐁"), (2, "xyz " * 10_000), (3, ""), (4, "1 2"), (5, None), (6, "́")], "id long, text string")
+    assert {r.id: r.lang for r in det.detect(docs, "id", "text").collect()} == {1: "a", 2: "b", 3: None, 4: None, 5: None, 6: None}
+    counts = langid.gram_counts(docs, "id", "text").where("__id = 2").collect()  # not a row an occurrence
+    assert len(counts) == 5 and sum(r["__c"] for r in counts) == 40_000
+    whole = [k.tolist() for k in langid.gram_keys(" abcde 𝐀 ")]
+    monkeypatch.setattr(langid, "BLOCK", 3)
+    parts = [k.tolist() for k in langid.gram_keys(" abcde 𝐀 ")]
+    assert len(parts) > 1 and [k for p in parts for k in p] == whole[0] and not list(langid.gram_keys("  "))
