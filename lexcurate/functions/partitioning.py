@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -18,3 +19,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     except Exception:  # a Spark Connect session has no RDD view: leave the plan as is
         return df
     return df if have >= want else df.repartition(want)
+
+
+def spread_by_key(df: DataFrame, key: str, files: int) -> DataFrame:
+    """Deal the rows of at most ``files`` files over all cores by key, where that is fewer files than cores.
+
+    Partitions don't tell: a scan cuts a file into splits by bytes, but only those with the
+    start of a row group get rows.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # a Spark Connect session has no RDD view: leave the plan as is
+        return df
+    # a hash of its own: files dealt by the key's plain hash hold few remainders of it
+    return df if files >= cores else df.repartition(max(cores, have), F.xxhash64(key))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexcurate.functions.partitioning import spread_by_key
 from lexcurate.operators import quality
 from lexcurate.plans.jobs import curated_documents
 
@@ -38,7 +39,9 @@ def curation_stream(spark: SparkSession, landing: str, out_root: str, checkpoint
             .parquet(landing))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        log = quality.assess(batch, detector, repaired, keep=("year", "court", "bench"), **assess_kw)
+        # a file may be one row group, so one task: fewer files than cores are dealt out by row before they are scored
+        scored = spread_by_key(batch, "key", max_files_per_trigger)
+        log = quality.assess(scored, detector, repaired, keep=("year", "court", "bench"), **assess_kw)
         log = log.withColumn("batch_id", F.lit(batch_id))
         # idempotent per batch: a replayed batch overwrites its own partition
         (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

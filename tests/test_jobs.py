@@ -106,6 +106,17 @@ def test_curation_stream(spark, scratch):
     assert sorted(r.key for r in spark.read.parquet(f"{scratch}/out/curated").collect()) == sorted(r.key for r in kept.collect())
 
 
+def test_a_file_of_the_stream_is_dealt_over_the_cores(spark, scratch):
+    from lexcurate.functions.partitioning import spread_by_key
+
+    docs = SI.stage1_objects(spark, SF_SMALL).select("key", "text")
+    docs.repartition(4, "key").where(F.spark_partition_id() == 1).coalesce(1).write.parquet(f"{scratch}/landing")
+    one, cores = spark.read.parquet(f"{scratch}/landing"), spark.sparkContext.defaultParallelism
+    dealt = [r["count"] for r in spread_by_key(one, "key", 1).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(dealt) == one.count() and max(dealt) <= one.count() * min(1, 4 / cores)
+    assert spread_by_key(one, "key", cores) is one
+
+
 def test_year_range_job_over_partitioned_metadata(spark, scratch):
     from lexcurate.sources.readers import metadata_partitions
 
