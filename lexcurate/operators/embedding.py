@@ -3,8 +3,8 @@
 The reference calls a hosted embedding model per chunk. The default here is a
 feature-hashing embedder: every token (T9 pattern) goes to bucket
 ``int(md5(token)[:8], 16) % dim``, the vector holds bucket counts,
-L2-normalised, as float32. Hashing runs JVM-side; only one
-``bincount`` + normalise for every 256 chunks runs in an Arrow-batched pandas UDF. A chunk with no
+L2-normalised, as float32. Tokens are found JVM-side; an Arrow UDF hashes the distinct ones of
+a batch and takes one ``bincount`` + normalise for every 256 chunks. A chunk with no
 token cannot be embedded (a hosted model rejects empty input) and gets a null
 embedding, counted as an embedding error.
 
@@ -15,8 +15,10 @@ and write its output once, so task retries do not pay twice.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,25 +31,32 @@ DEFAULT_DIM = 1536
 CHUNKS_AT_ONCE = 256
 
 
-def token_buckets(text, dim: int, pattern: str = TOKEN_PATTERN) -> Column:
+def tokens(text, pattern: str = TOKEN_PATTERN) -> Column:
     text = F.col(text) if isinstance(text, str) else text
-    toks = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), 0)
-    return F.transform(toks, lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long")
-                                        % F.lit(dim)).cast("int"))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), 0)
+
+
+def token_buckets(text, dim: int, pattern: str = TOKEN_PATTERN) -> Column:
+    return F.transform(tokens(text, pattern), lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long")
+                                                         % F.lit(dim)).cast("int"))
 
 
 def _bincount_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def normalized_counts(buckets: pd.Series) -> pd.Series:
-        out: list = []
-        for at in range(0, len(buckets), CHUNKS_AT_ONCE):
-            rows = [np.zeros(0, np.int64) if b is None else np.asarray(b, np.int64) for b in buckets.iloc[at:at + CHUNKS_AT_ONCE]]
-            n = np.array([len(r) for r in rows])
-            cells = np.concatenate(rows) + np.repeat(np.arange(len(rows)), n) * dim
-            counts = np.bincount(cells, minlength=len(rows) * dim).reshape(-1, dim).astype(np.float64)
-            unit = (counts / np.sqrt(np.maximum((counts * counts).sum(1), 1))[:, None]).astype(np.float32)
-            out += [u if k else None for u, k in zip(unit, n)]
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def normalized_counts(tokens: pa.Array) -> pa.Array:
+        words = tokens.flatten().dictionary_encode()  # a digest for each distinct token of a batch, not for each token
+        digests = (hashlib.md5(w.encode(), usedforsecurity=False).digest() for w in words.dictionary.to_pylist())
+        bucket = np.array([int.from_bytes(d[:4], "big") % dim for d in digests], np.int64)[words.indices.to_numpy()]
+        n = tokens.value_lengths().fill_null(0).to_numpy()
+        end = np.cumsum(n)
+        units = [np.zeros(0, np.float32)]
+        for at in range(0, len(n), CHUNKS_AT_ONCE):
+            size = n[at:at + CHUNKS_AT_ONCE]
+            cells = bucket[end[at] - n[at]:end[at + len(size) - 1]] + np.repeat(np.arange(len(size)), size) * dim
+            counts = np.bincount(cells, minlength=len(size) * dim).reshape(-1, dim)[size > 0].astype(np.float64)
+            units.append((counts / np.sqrt((counts * counts).sum(1))[:, None]).astype(np.float32).ravel())
+        offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, dim, 0))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(units)), mask=pa.array(n == 0))
 
     return normalized_counts
 
@@ -57,7 +66,7 @@ def hashing_embedder(dim: int = DEFAULT_DIM):
     # nondeterministic: evaluated once per row and never duplicated into a
     # pushed-down filter (the contract a paid embedder needs too)
     udf = _bincount_udf(dim).asNondeterministic()
-    return lambda text: udf(token_buckets(text, dim))
+    return lambda text: udf(tokens(text))
 
 
 def vector_records(chunks: DataFrame, embedder, *, court_col: str = "court", cnr_col: str = "cnr",

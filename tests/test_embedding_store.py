@@ -55,3 +55,21 @@ def test_a_second_run_embeds_no_chunk(spark, scratch):
     assert stored > 0 and calls.value - before == blank == 0
     rows = [{(r.key, tuple(r.data)) for r in read_table(spark, o.vectors_path).collect()} for o in (one, two)]
     assert rows[0] == rows[1]
+
+
+def test_embedder_hashes_each_distinct_token_once(spark):
+    """Equal to the plain definition for null, blank and repeated contents, and the tokens aren't hashed one by one in the plan."""
+    import hashlib
+
+    from lexcurate.operators.embedding import hashing_embedder
+
+    texts = [None, "", "  ", "a b a.", "é 中 a-b " * 300, "x " * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1).select("i", "t", hashing_embedder(16)(F.col("t")).alias("e"))
+    assert "md5" not in df._jdf.queryExecution().toString()
+    for r in df.collect():
+        tokens = [] if not r.t else {3: ["a", "b", "a", "."], 4: ["é", "中", "a", "-", "b"] * 300, 5: ["x"] * 5000}.get(r.i, [])
+        counts = [0] * 16
+        for t in tokens:
+            counts[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 16] += 1
+        norm = sum(c * c for c in counts) ** 0.5
+        assert (r.e is None) if not tokens else all(abs(x - c / norm) < 1e-6 for x, c in zip(r.e, counts))
