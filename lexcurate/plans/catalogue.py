@@ -414,7 +414,7 @@ def q_run_times(spark, sf):
     """Identity and times of two runs, as their statistics record them."""
     from lexcurate.plans import jobs
 
-    root, meta, objects = _scratch(spark), SI.metadata(spark, sf), _objects(spark, sf)
+    root, meta, objects = _scratch(spark), SI.metadata(spark, sf), written(_objects(spark, sf), "objects")  # a store that both runs read
     early = F.coalesce(F.col("year").try_cast("int") <= 1996, F.lit(False))
     for version, some in (("1", meta.where(early)), ("2", meta.where(~early))):
         out = jobs.run_indexing(spark, some, objects, root, version, embedder=hashing_embedder(SI.TEST_EMBED_DIM))
@@ -577,7 +577,7 @@ def q_two_runs_one_root(spark, sf):
     """E2 as a job, for two sets of years (until 1996, and all others) one after the other into one root: each run keeps its statistics."""
     from lexcurate.plans import jobs
 
-    root, meta, objects = _scratch(spark), SI.metadata(spark, sf), _objects(spark, sf)
+    root, meta, objects = _scratch(spark), SI.metadata(spark, sf), written(_objects(spark, sf), "objects")  # a store that both runs read
     embedder = hashing_embedder(SI.TEST_EMBED_DIM)
     early = F.coalesce(F.col("year").try_cast("int") <= 1996, F.lit(False))
     jobs.run_indexing(spark, meta.where(early), objects, root, "1", embedder=embedder)

@@ -7,6 +7,8 @@ each other (every sink is partitioned down to the bench).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,27 @@ from lexcurate.sinks import keyed
 from lexcurate.operators.upsert import upsert_date, upsert_table
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> str:
+#: Bytes under which AQE puts folders into one task. A file costs more than its bytes, so many small folders are dealt over all cores.
+LEAST_TASK_BYTES = "1k"
+
+
+@contextmanager
+def folders_dealt_out(spark):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, LEAST_TASK_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet", **options: str) -> str:
     """Dynamic partition overwrite. Rows of a partition are brought together first (a large one is split again), as
     otherwise each task would write a small file for every partition."""
-    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).format(fmt).save(path))
+    with folders_dealt_out(df.sparkSession):
+        (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .options(**options).partitionBy(*partition_by).format(fmt).save(path))
     return path
 
 
@@ -44,9 +62,8 @@ def write_log(log: DataFrame, path: str, origin=JOB_ORIGIN) -> str:
     ``origin`` is the job, or the name of the file that a backfill took the
     record from (a column): writing one replaces only its own records."""
     origin = origin if not isinstance(origin, str) else F.lit(origin)
-    (log_json(log.withColumn("origin", origin)).drop("file_name").hint("rebalance", "year", "court", "origin").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("ignoreNullFields", "false").partitionBy("year", "court", "origin").json(path))
-    return path
+    log = log_json(log.withColumn("origin", origin)).drop("file_name")
+    return write_partitioned(log, path, ["year", "court", "origin"], "json", ignoreNullFields="false")
 
 
 def write_curated(curated_docs: DataFrame, path: str) -> str:
@@ -78,10 +95,8 @@ def write_titles(titles: DataFrame, path: str) -> str:
 
 def write_stats(stats: DataFrame, path: str) -> str:
     """K6: one JSON stats record per run."""
-    (stats.withColumn("court_path", K.court_path_name(F.col("court_name"))).hint("rebalance", *RUN_PATH)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("ignoreNullFields", "false").partitionBy(*RUN_PATH).json(path))
-    return path
+    stats = stats.withColumn("court_path", K.court_path_name(F.col("court_name")))
+    return write_partitioned(stats, path, RUN_PATH, "json", ignoreNullFields="false")
 
 
 def write_objects_bucketed(objects: DataFrame, table: str, buckets: int, key_col: str = "key") -> str:

@@ -200,3 +200,14 @@ def test_each_curated_document_is_uploaded_once(spark, scratch):
     out = jobs.run_curation(spark, docs, scratch, langid.GivenLanguage("lang"), min_ratio=0.1, allowed_langs="en", uploader=upload.asNondeterministic())
     assert {r.key: r.status for r in spark.read.json(out.log_path).collect()} == {"a": "ok_no_ocr", "b": "upload_failed: slow down", "c": "ok_no_ocr"}
     assert [r.key for r in spark.read.parquet(out.curated_path).collect()] == ["a"] and calls.value == 2
+
+
+def test_folders_of_a_sink_are_dealt_over_tasks(spark, scratch):
+    from lexcurate.sinks import writers
+
+    rows = spark.range(300).select((F.col("id") % 60).cast("string").alias("year"), F.lit("c").alias("court_code"), F.lit("b").alias("bench"), "id")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    path = writers.write_partitioned(rows, f"{scratch}/sink", ["year", "court_code", "bench"])
+    files = spark.read.parquet(path).select(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).alias("task"), F.input_file_name().alias("file")).distinct().collect()
+    assert len(files) == 60 and len({r.task for r in files}) > 1  # one file a folder, by more than one task
+    assert spark.read.parquet(path).count() == 300 and spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize") == before
