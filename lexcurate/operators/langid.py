@@ -55,11 +55,20 @@ BLOCK, OUT_ROWS, HELD_GRAMS = 1 << 20, 1 << 17, 300_000
 _BITS = 21  # of a code point
 
 
+def _key_maker(block: int, bits: int):
+    """``gram_keys`` as a function that tasks carry with them: they needn't have this package."""
+
+    def keys(normal: str):
+        for a in range(0, len(normal) - 2, block):
+            c = np.frombuffer(normal[a:a + block + 2].encode("utf-32-le"), np.uint32).astype(np.int64)
+            yield c[:-2] << 2 * bits | c[1:-1] << bits | c[2:]
+
+    return keys
+
+
 def gram_keys(normal: str):
     """The trigrams of a normalized text as integers of three code points, in arrays of BLOCK at most."""
-    for a in range(0, len(normal) - 2, BLOCK):
-        c = np.frombuffer(normal[a:a + BLOCK + 2].encode("utf-32-le"), np.uint32).astype(np.int64)
-        yield c[:-2] << 2 * _BITS | c[1:-1] << _BITS | c[2:]
+    return _key_maker(BLOCK, _BITS)(normal)
 
 
 def gram_key(gram: Column) -> Column:
@@ -68,15 +77,14 @@ def gram_key(gram: Column) -> Column:
     return F.shiftleft(code[0], 2 * _BITS).bitwiseOR(F.shiftleft(code[1], _BITS)).bitwiseOR(code[2])
 
 
-def _gram(key: int) -> str:
-    return "".join(chr(key >> i * _BITS & (1 << _BITS) - 1) for i in (2, 1, 0))
-
-
 def train_profiles(corpus: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, gram, n) counts. Tasks add up before the shuffle, so hot grams are a row a task."""
     texts = corpus.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), normalized(text_col).alias("text"))
     schema = f"lang {texts.schema['lang'].dataType.simpleString()}, gram string, n long"
-    kind = texts.limit(0).toArrow().schema.field("lang").type
+    kind, keys_of = texts.limit(0).toArrow().schema.field("lang").type, _key_maker(BLOCK, _BITS)
+
+    def gram(key):
+        return "".join(chr(key >> i * _BITS & (1 << _BITS) - 1) for i in (2, 1, 0))
 
     def rows(batches):
         held, waiting = defaultdict(Counter), defaultdict(list)
@@ -89,13 +97,13 @@ def train_profiles(corpus: DataFrame, text_col: str = "text", lang_col: str = "l
             for lang in list(waiting):
                 count(lang)
             for lang, grams in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), kind), pa.array(map(_gram, grams), pa.string()),
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), kind), pa.array([gram(k) for k in grams], pa.string()),
                                                   pa.array(grams.values(), pa.int64())], names=["lang", "gram", "n"])
             held.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for keys in gram_keys(text):
+                for keys in keys_of(text):
                     waiting[lang].append(keys)
             for lang in [k for k, w in waiting.items() if sum(map(len, w)) >= BLOCK]:
                 count(lang)
@@ -110,6 +118,7 @@ def gram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(__id, __letters, __key, __c): a row a distinct trigram of a text (of a block, where it is long); one without a key for a text that has none."""
     texts = docs.select(F.col(id_col).alias("__id"), normalized(text_col).alias("__text")).select(
         "__id", F.col("__text").rlike(r"\p{L}").alias("__letters"), "__text")
+    keys_of = _key_maker(BLOCK, _BITS)
     schema = f"__id {texts.schema['__id'].dataType.simpleString()}, __letters boolean, __key long, __c long"
 
     def rows(batches):
@@ -124,7 +133,7 @@ def gram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
             held = 0
             for i, text in enumerate(batch.column(2).to_pylist()):
-                for k, n in [np.unique(keys, return_counts=True) for keys in gram_keys(text)] or [(np.array([-1]), np.array([0]))]:
+                for k, n in [np.unique(keys, return_counts=True) for keys in keys_of(text)] or [(np.array([-1]), np.array([0]))]:
                     at.append((i, len(k)))
                     keys.append(k)
                     counts.append(n.astype(np.int64))
