@@ -293,8 +293,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     some = common.sized(common.table(buckets.select("row_key").distinct(), "candidates"))
     whole = common.table(texts.join(some, "row_key", "left_semi").select("row_key", "text"), "candidate-texts")
 
-    roots = spark.createDataFrame([], "row_key long, root long")
-    tested = spark.createDataFrame([], "a long, b long")
+    # of a range, not of Python rows: those would keep a second pool of Python workers on every executor
+    nothing = spark.range(0)
+    roots = nothing.select(F.col("id").alias("row_key"), F.col("id").alias("root"))
+    tested = nothing.select(F.col("id").alias("a"), F.col("id").alias("b"))
     turn, fruitful = 0, True
     while fruitful:
         turn += 1

@@ -30,7 +30,7 @@ from lexcurate.llm import common, words
 LIMIT = 2048
 END = words.to_bytes([0])
 #: Words that a worker keeps: beside other operators, as in a pipeline, and alone.
-CACHE_WORDS, CACHE_WORDS_ALONE = 100_000, 200_000
+CACHE_WORDS, CACHE_WORDS_ALONE = 50_000, 200_000
 
 
 def pieces(docs: DataFrame, path: str | None = None, limit: int = LIMIT, outputs: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:

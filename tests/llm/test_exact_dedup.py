@@ -53,3 +53,10 @@ def test_native_plan(spark):
     out = exact_dedup.op5_exact_dedup(spark, "/root/testdata/sf0.001")
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
     assert out.count() == 200
+
+
+def test_state_has_small_write_buffers(spark):
+    key = "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB"
+    with exact_dedup._rocksdb(spark):
+        assert 0 < int(spark.conf.get(key, "-1")) <= 2
+    assert spark.conf.get(key, None) is None

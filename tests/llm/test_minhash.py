@@ -106,3 +106,15 @@ def test_repeated_null_and_no_rows(spark):
     left = minhash.keep_one(docs)
     assert left.columns == docs.columns and left.count() == 2
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_no_rows_come_from_python(spark, monkeypatch):
+    """Rows made in Python are read by workers of a pool of their own, which stays on the executors."""
+    texts = {i: f"a b c d e f g h i j k l m n o p q r s t {i % 3}" for i in range(9)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows made in Python")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()} == brute(texts)

@@ -84,3 +84,14 @@ def test_rows_follow(spark):
     assert out.columns == docs.columns
     assert sorted((r.text or "", r.n_chars) for r in out.collect() if r.text) == [("A", 1), ("b", 1), ("short", 5)]
     assert suffix_dedup.removed(docs.limit(0)).collect() == []
+
+
+def test_smaller_blocks_of_the_pipeline_cut_the_same(spark, monkeypatch):
+    texts = corpus(4)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    out = suffix_dedup.removed(docs, outputs=True, block_bytes=2000).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out} == brute(texts)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES_BESIDE", 2000)
+    kept = {r.doc_id: r.kept for r in out if r.n_removed}
+    left = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs).collect()}
+    assert left == {d: kept.get(d, t) for d, t in texts.items()}
