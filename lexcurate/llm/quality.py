@@ -34,6 +34,8 @@ from lexcurate.llm import common, words
 
 SAMPLE_ROWS, FEATURES, THRESHOLD = 8192, 1 << 18, 0.3
 COST, EPOCHS, SMOOTHING = 1.0, 8, 1.0
+#: Words whose hashes a worker keeps, twice over; twice as many save a tenth of the time.
+CACHE_WORDS = 50_000
 _U = np.uint64
 _STEP, _LETTERS = _U(0x9E3779B97F4A7C15), re.compile(r"[^\W\d_]+")
 
@@ -47,7 +49,7 @@ def _shape(word: str) -> str:
 @words.worker_cache("quality")
 def _hashes() -> words.Bounded:
     """A word's hash, its low 20 bits replaced by those of its shape's hash."""
-    return words.Bounded(lambda w: xxhash.xxh3_64_intdigest(w) >> 20 << 20 | xxhash.xxh3_64_intdigest(_shape(w)) & 0xFFFFF, words.CACHE_WORDS // 2)
+    return words.Bounded(lambda w: xxhash.xxh3_64_intdigest(w) >> 20 << 20 | xxhash.xxh3_64_intdigest(_shape(w)) & 0xFFFFF, CACHE_WORDS)
 
 
 def features(text: str, size: int = FEATURES) -> np.ndarray:

@@ -1,13 +1,17 @@
 """Each stage's rows against brute force on its own input."""
 
 import collections
+import os
 import re
+import subprocess
+import sys
 
 import corpus_pipeline
 from tests.llm import test_minhash, test_suffix_dedup
 from tests.llm.test_tokens import check_packing
 
 SF = "/root/testdata/sf0.001"
+REPO = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
 
 
 def test_stages(spark):
@@ -85,3 +89,10 @@ def test_run_and_odd_rows(spark, tmp_path):
                 assert offset == ends[-1] and length > 0
                 ends.append(offset + length)
             assert ends[-1] <= 2048
+
+
+def test_workers_load_only_their_stage():
+    """A worker that runs a stage's functions doesn't load pandas (27 MB a worker) or the operators of no stage."""
+    code = ("import sys; from lexcurate.llm import common, exact_dedup, minhash, packing, quality, suffix_dedup; "
+            "print([m for m in ('pandas', 'lexcurate.llm.topk', 'lexcurate.llm.whitening', 'lexcurate.llm.registry') if m in sys.modules])")
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=REPO).stdout == "[]\n"
