@@ -1,7 +1,7 @@
 """Sentence boundaries from a trained model (Kiss and Strunk, 2006).
 
 Which words end in a full stop that is theirs (``No.``, ``v.``), and not the sentence's, is learned from
-counts alone, without labels. All counts are Spark aggregates, combined in the tasks;
+counts alone, without labels. Words are counted in the scan stage, in Arrow batches, and added up by Spark;
 log-likelihood ratios decide:
 
 * abbreviation: the word seldom goes without its full stop, weighted for short words and
@@ -11,18 +11,22 @@ log-likelihood ratios decide:
 * starter: a word that comes after a sentence's end more often than chance
 
 A full stop between white space ends a sentence unless its word is an abbreviation and no
-starter follows, or it is part of a collocation. ``!`` and ``?`` always do.
+starter follows, or it is part of a collocation. ``!`` and ``?`` always do. Texts are split in Arrow batches too,
+with the model's entries as sets.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lexcurate.functions.text import WHITESPACE_CLASS, WHITESPACE_RUN, strip_ws, words
-from lexcurate.functions.trie import whole_regex
 from lexcurate.operators.broadcast import broadcast_if_small, materialize
 
 # FIXED VALUES — the thresholds of the published method, and the share of an abbreviation's occurrences expected with a full stop.
@@ -35,6 +39,8 @@ SHAPE, ORDINAL, WORD = r"^\p{L}+(\.\p{L}+)*$", r"^(\p{L}|\p{N}+)$", r"^\p{L}+$"
 _HEAD, _TAIL = r"^[^\p{L}\p{N}]+", r"[^\p{L}\p{N}]+$"
 _UP_TO_LAST = r"(?s)\A.*[\p{L}\p{N}]"  # what is left without _TAIL, in linear time
 _MARK = "\u001e"
+#: Distinct words, and words with the one after them, that a task counts before it sends its counts on.
+HELD_WORDS = 500_000
 
 
 def _bound(value: Column, use) -> Column:
@@ -47,16 +53,31 @@ def core(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, _HEAD, ""))
 
 
-def stopped(word: Column) -> Column:
-    return F.endswith(core(word), F.lit("."))
-
-
 def word_type(word: Column) -> Column:
     """The word without its full stop, or without any marks that end it."""
     return _bound(core(word), lambda c: F.when(F.endswith(c, F.lit(".")), F.substring(c, F.lit(1), F.length(c) - 1))
                   .otherwise(F.regexp_extract(c, _UP_TO_LAST, 0)))
 
 
+def _typing():
+    """``core`` and ``word_type`` of one word, in Python: what tasks carry with them, so that their workers needn't have this package."""
+    head, tail = re.compile(r"[\W_]*"), re.compile(r"(?s).*[^\W_]")  # Python's \w is a letter, a number or _
+
+    def core(word):
+        return word[head.match(word).end():].lower()
+
+    def word_type(word):
+        c = word.lower()
+        if word.isalnum() and c.isalnum():  # no mark to take off
+            return c
+        c = core(word)
+        if c.endswith("."):
+            return c[:-1]
+        return m[0] if (m := tail.match(c)) else ""
+
+    return core, word_type
+
+
 def x_log_y(x: Column, y: Column) -> Column:
     return F.when(x == 0, F.lit(0.0)).otherwise(x * F.log(y))
 
@@ -70,19 +91,44 @@ def association(a: Column, b: Column, both: Column, n: Column) -> Column:
     return -2.0 * (apart - joint)
 
 
+def typed_words(texts: DataFrame) -> DataFrame:
+    """(token, stopped, ends, following, n) of the words of the texts, the one column: a word's type, whether it has a full stop, whether a
+    mark that may end a sentence is its last character, the type of the next word. That matters after such a mark alone, and is
+    null after all other words. Rows of a task are added up, but not yet those of several."""
+    most, (core, word_type) = HELD_WORDS, _typing()
+
+    def rows(batches):
+        words, pairs = Counter(), Counter()
+
+        def out():
+            # words as written were counted first: types are worked out once a distinct one
+            single = [w for w in words if w[-1] not in ".!?"]
+            none = len(single)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([word_type(w) for w in chain(single, (w for w, _ in pairs))], pa.string()),
+                pa.array([False] * none + [core(w).endswith(".") for w, _ in pairs], pa.bool_()), pa.array([False] * none + [True] * len(pairs), pa.bool_()),
+                pa.array([None] * none + [None if f is None else word_type(f) for _, f in pairs], pa.string()),
+                pa.array([*(words[w] for w in single), *pairs.values()], pa.int64())], names=["token", "stopped", "ends", "following", "n"])
+            words.clear()
+            pairs.clear()
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = (text or "").split()  # at any white space of WHITESPACE_CLASS
+                words.update(found)
+                pairs.update([(w, f) for w, f in zip(found, chain(found[1:], (None,))) if w[-1] in ".!?"])
+                if len(words) + len(pairs) > most:
+                    yield from out()
+        yield from out()
+
+    return texts.mapInArrow(rows, "token string, stopped boolean, ends boolean, following string, n long")
+
+
 def train(corpus: DataFrame, text_col: str = "text") -> DataFrame:
     """(kind, token, following, n, score): the model's entries. ``following`` is null but for collocations."""
-    bound = F.transform(F.array(words(text_col)), lambda w: F.transform(
-        w, lambda x, i: F.struct(x.alias("word"), F.get(w, i + 1).alias("following"))))
-    # words as written are counted first: types are worked out once a distinct row, not once a word of the texts.
-    # The word that follows matters after a stop alone: all others are counted as single words
-    written = corpus.select(F.explode(F.element_at(bound, 1)).alias("p")).select(
-        F.col("p.word").alias("word"), F.col("p.following").alias("following"), F.substring("p.word", -1, 1).isin(".", "!", "?").alias("ends"))
-    written = written.groupBy("word", "ends", F.when(F.col("ends"), F.col("following")).alias("following")).agg(F.count(F.lit(1)).alias("n"))
-    pairs = written.select(word_type(F.col("word")).alias("token"), stopped(F.col("word")).alias("stopped"), "ends",
-                           F.when(F.col("ends"), word_type(F.col("following"))).alias("following"), "n")
     # one pass over the texts: every statistic is a sum over these rows
-    pairs = materialize(pairs.groupBy("token", "stopped", "ends", "following").agg(F.sum("n").alias("n")))
+    pairs = materialize(typed_words(corpus.select(F.col(text_col).cast("string")))
+                        .groupBy("token", "stopped", "ends", "following").agg(F.sum("n").alias("n")))
     types = pairs.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("stopped"), F.col("n")).otherwise(0)).alias("n_stopped"))
     types = materialize(types)
     total, stops = types.agg(F.sum("n"), F.sum("n_stopped")).first()
@@ -138,32 +184,48 @@ class SentenceModel:
         of_kind = lambda k: sorted(r.token for r in rows if r.kind == k)
         return cls(of_kind("abbreviation"), of_kind("starter"), sorted((r.token, r.following) for r in rows if r.kind == "collocation"))
 
-    def joins(self, word: Column, following: Column) -> Column:
-        """Does the full stop after ``word`` belong to it?"""
-        abbreviation, starter, pair = (whole_regex(p) for p in (self.abbreviations, self.starters, [" ".join(c) for c in self.collocations]))
-
-        def of_types(t):
-            together = F.concat(t["first"], F.lit(" "), t["second"]).rlike(pair)
-            return (t["first"].rlike(abbreviation) & ~t["second"].rlike(starter)) | together
-
-        return _bound(core(word), lambda c: F.when(F.endswith(c, F.lit(".")), _bound(
-            F.struct(F.substring(c, F.lit(1), F.length(c) - 1).alias("first"), word_type(following).alias("second")), of_types)).otherwise(False))
+    def splitter(self):
+        """``text -> sentences`` in Python, with all that it needs in the tasks."""
+        abbreviations, starters = set(self.abbreviations), set(self.starters)
+        pairs, firsts = {" ".join(c) for c in self.collocations}, {c[0] for c in self.collocations}
+        boundary, mark, (core, word_type) = re.compile(r"([.!?])(\s+)"), _MARK, _typing()
+
+        def joins(word, after):
+            """Does the full stop after ``word`` belong to it? ``after`` is the text up to the next mark."""
+            first = core(word)
+            if not first.endswith("."):
+                return False
+            first = first[:-1]
+            abbreviation = first in abbreviations
+            if not abbreviation and first not in firsts:
+                return False
+            following = after.split(None, 1)
+            second = word_type(following[0]) if following else ""
+            return (abbreviation and second not in starters) or f"{first} {second}" in pairs
+
+        def split(text):
+            if text is None:
+                return None
+            pieces = boundary.sub(rf"\1{mark}\2", text).split(mark)
+            out, held = [], ""
+            for piece, after in zip(pieces, chain(pieces[1:], (None,))):
+                if after is not None and piece.endswith(".") and joins(piece.rsplit(None, 1)[-1], after):
+                    held += piece
+                    continue
+                if sentence := (held + piece).strip():
+                    out.append(sentence)
+                held = ""
+            return out
+
+        return split
 
 
 def sentences(text, model: SentenceModel) -> Column:
     """T10 with a trained model: pieces trimmed, blanks dropped, white space inside a sentence as it was."""
-    text = F.col(text) if isinstance(text, str) else text
-    pieces = F.split(F.regexp_replace(text, f"([.!?])({WHITESPACE_RUN})", f"$1{_MARK}$2"), _MARK)
-    not_space = "[^" + WHITESPACE_CLASS[1:]
-
-    def marked(ps):
-        def one(piece, i):
-            following = F.regexp_extract(F.get(ps, i + 1), f"{not_space}+", 0)
-            word = F.regexp_replace(piece, rf"(?s)\A.*{WHITESPACE_CLASS}", "")  # linear in the piece, unlike a pattern that ends in $
-            apart = F.when(i + 1 == F.size(ps), False).when(F.endswith(piece, F.lit(".")), ~model.joins(word, following)).otherwise(True)
-            return F.concat(piece, F.when(apart, F.lit(_MARK)).otherwise(F.lit("")))
+    split, kind = model.splitter(), pa.list_(pa.string())
 
-        return F.array_join(F.transform(ps, one), "")
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def split_all(texts: pa.Array) -> pa.Array:
+        return pa.array([split(t) for t in texts.to_pylist()], kind)
 
-    joined = F.element_at(F.transform(F.array(pieces), marked), 1)
-    return F.filter(F.transform(F.split(joined, _MARK), strip_ws), lambda s: s != "")
+    return split_all(F.col(text) if isinstance(text, str) else text)

@@ -82,3 +82,45 @@ def test_long_words_take_time_in_proportion(spark):
     assert got == [f"{long} No. 7 of it.", f"The end{'-' * 400_000}a.", "It is No. 8."]
     assert d.select(M.word_type(F.concat(F.lit("a"), F.repeat(F.lit("-"), 400_000), F.lit("b!"))).alias("t")).first().t == f"a{'-' * 400_000}b"
     assert time.time() - began < 20
+
+
+ODD = ["No.", "(e.g.", "...", "", "a!", "'É.", "x's", "--", "12.", "ΟΔΟΣ.", "ΣΑΣ,", "İ", "İ.", "_v.", "v._", "no.́", "a.b.c.", "?!", "ﬁ.", "ß", "１２."]
+
+
+def test_words_are_typed_the_same_in_both_forms(spark):
+    core, word_type = M._typing()
+    df = spark.createDataFrame([(w,) for w in ODD], "w string")
+    got = df.select("w", M.core(F.col("w")).alias("c"), M.word_type(F.col("w")).alias("t")).collect()
+    assert [(r.c, r.t) for r in got] == [(core(r.w), word_type(r.w)) for r in got]
+
+
+def test_words_are_counted_in_the_scan_stage(spark, monkeypatch):
+    """By loops over all words, also where a task sends its counts on many times; no row a word leaves the scan."""
+    monkeypatch.setattr(M, "HELD_WORDS", 5)
+    rng = random.Random(9)
+    texts = [rng.choice([" ", "\n\t", "\x1e", "　"]).join(rng.choices(ODD + WORDS, k=rng.randint(0, 40))) for _ in range(80)] + [None, "", " \x1c"]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    core, word_type = M._typing()
+    want = {}
+    for t in texts:
+        found = (t or "").split()
+        for w, f in zip(found, found[1:] + [None]):
+            ends = w[-1] in ".!?"
+            key = word_type(w), core(w).endswith("."), ends, word_type(f) if ends and f is not None else None
+            want[key] = want.get(key, 0) + 1
+    counted = M.typed_words(d).groupBy("token", "stopped", "ends", "following").agg(F.sum("n").alias("n"))
+    assert {tuple(r)[:4]: r.n for r in counted.collect()} == want
+    plan = counted._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_a_large_model_splits_in_batches(spark):
+    """What a sentence costs doesn't grow with the model, whose entries are sets and no pattern."""
+    starters = [f"w{i}x" for i in range(50_000)]
+    model = M.SentenceModel(["no"], starters, [("j", f"b{i}") for i in range(50_000)])
+    d = spark.createDataFrame([(1, "No. w7x came. J. B9 met J. Ba. " * 5_000)], "doc_id long, text string")
+    began = time.time()
+    got = d.select(M.sentences("text", model).alias("s")).first().s
+    assert got == ["No.", "w7x came.", "J. B9 met J.", "Ba."] * 5_000
+    assert time.time() - began < 20
+    assert "ArrowEvalPython" in d.select(M.sentences("text", model))._jdf.queryExecution().toString()
